@@ -155,3 +155,21 @@ def with_views(*names: str, extra: list[str] | None = None) -> str:
         add(n)
     ctes = [VIEWS[n].strip() for n in order] + [e.strip() for e in (extra or [])]
     return "WITH " + ",\n".join(ctes) + "\n"
+
+RAW = """
+raw AS (
+SELECT r0.*, e.hash, e.type AS response_type, e.ts AS response_ts FROM (
+  SELECT id AS sample_id, id % 997 AS response_id, trip_id, station_id, is_departure, scheduled_time,
+    CASE WHEN delay_minutes IS NOT NULL
+         THEN scheduled_time + to_seconds(CAST(CAST(delay_minutes AS INTEGER) * 60 + id % 61 - 30 AS BIGINT)) END
+      AS projected_time,
+    CASE WHEN delay_minutes IS NOT NULL THEN CAST(delay_minutes AS INTEGER) * 60 + id % 61 - 30 END AS delay_seconds,
+    CASE WHEN id % 7 <> 0 THEN cancelled END AS cancelled,
+    CASE WHEN id % 13 <> 0 THEN sample_time END AS sample_time,
+    line_name, product_type_id, operator_id, remarks_hash, load_factor_id,
+    scheduled_duration_minutes, projected_duration_minutes
+  FROM sample) r0
+LEFT JOIN responses e ON r0.response_id = e.event_id)"""
+
+VIEWS["raw"] = RAW
+DEPENDS["raw"] = ["sample", "responses"]

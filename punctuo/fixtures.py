@@ -142,3 +142,28 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     typ = (F.when(t == "view", "departures").when(t == "click", "arrivals")
            .when(t == "signup", "trip").when(t == "purchase", "journeys"))
     return e.select("event_id", h.alias("hash"), typ.alias("type"), "ts")
+
+
+def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-normalisation samples as extracted from responses (seconds, nullable flags).
+
+    Every ``sample`` row is turned back into what a response carried: delay in
+    seconds (with a sub-minute part so rounding matters), projected time,
+    an often missing sample time and cancel flag, and the id of the response
+    (an ``events`` row) it came in, for the fallback time.
+    """
+    s = sample(spark, sf_dir)
+    i = F.col("id")
+    delay_s = F.when(F.col("delay_minutes").isNotNull(), F.col("delay_minutes").cast("int") * 60 + i % 61 - 30)
+    r = responses(spark, sf_dir).select(F.col("event_id").alias("response_id"), "hash",
+                                        F.col("type").alias("response_type"), F.col("ts").alias("response_ts"))
+    raw = s.select(
+        i.alias("sample_id"), (i % 997).alias("response_id"), "trip_id", "station_id", "is_departure",
+        "scheduled_time",
+        F.when(delay_s.isNotNull(), F.timestamp_add("SECOND", delay_s, F.col("scheduled_time"))).alias("projected_time"),
+        delay_s.alias("delay_seconds"),
+        F.when(i % 7 != 0, F.col("cancelled")).alias("cancelled"),
+        F.when(i % 13 != 0, F.col("sample_time")).alias("sample_time"),
+        "line_name", "product_type_id", "operator_id", "remarks_hash", "load_factor_id",
+        "scheduled_duration_minutes", "projected_duration_minutes")
+    return raw.join(r, "response_id", "left")

@@ -143,3 +143,97 @@ def q_cancellation_rate(spark, d):
 @register("rt_availability")
 def q_rt_availability(spark, d):
     return ST.rt_availability(fx.sample(spark, d))
+
+
+# --- N: normalisation and counters --------------------------------------------
+
+from .operators import normalise as N  # noqa: E402
+
+
+def _norm(spark, d):
+    return N.normalise(fx.raw_samples(spark, d))
+
+
+@register("delay_minutes")
+def q_delay_minutes(spark, d):
+    return fx.raw_samples(spark, d).select(
+        "sample_id", "delay_seconds", N.minutes_from_seconds(F.col("delay_seconds")).alias("delay_minutes"))
+
+
+@register("ttl_minutes")
+def q_ttl_minutes(spark, d):
+    return _norm(spark, d).select("sample_id", "sample_time", "ttl_minutes")
+
+
+@register("fallback_sample_time")
+def q_fallback_sample_time(spark, d):
+    return N.with_sample_time(_norm(spark, d)).select("sample_id", "sample_time", "sample_time_fallback",
+                                                      "ttl_minutes", "cancelled")
+
+
+@register("relevant_samples")
+def q_relevant_samples(spark, d):
+    return N.relevant(_norm(spark, d)).select("sample_id", "ttl_minutes", "delay_minutes", "cancelled")
+
+
+@register("response_validation")
+def q_response_validation(spark, d):
+    st = N.response_status(fx.responses(spark, d), fx.raw_samples(spark, d))
+    return st.groupBy("status").agg(F.count(F.lit(1)).alias("responses"))
+
+
+STORED_BEFORE = "2024-01-15 00:00:00"
+
+
+@register("response_dedup")
+def q_response_dedup(spark, d):
+    r = fx.responses(spark, d)
+    cut = F.lit(STORED_BEFORE).cast("timestamp_ntz")
+    return N.new_responses(r.where(F.col("ts") >= cut), r.where(F.col("ts") < cut))
+
+
+SAMPLE_CONTENT = ["trip_id", "station_id", "is_departure", "scheduled_time", "delay_minutes", "cancelled",
+                  "line_name", "product_type_id", "operator_id", "load_factor_id"]
+
+
+@register("sample_dedup")
+def q_sample_dedup(spark, d):
+    return N.dedup_samples(fx.sample(spark, d).select(*SAMPLE_CONTENT))
+
+
+@register("remarks_hash")
+def q_remarks_hash(spark, d):
+    s = fx.sample(spark, d).select("remarks_hash").where(F.col("remarks_hash").isNotNull())
+    r = fx.remarks(spark, d)
+    j = s.join(r, "remarks_hash")
+    return j.groupBy(N.remarks_key(F.col("remarks")).alias("remarks_key")).agg(F.count(F.lit(1)).alias("samples"))
+
+
+@register("response_log")
+def q_response_log(spark, d):
+    return N.response_log(_norm(spark, d))
+
+
+@register("quality_counters")
+def q_quality_counters(spark, d):
+    return N.quality(_norm(spark, d))
+
+
+@register("rt_count_check")
+def q_rt_count_check(spark, d):
+    # expected count as the raw response would announce it (fixture: id-derived)
+    return N.rt_count_check(_norm(spark, d), (F.col("response_id") % 7).cast("bigint"))
+
+
+@register("rt_diff_avg")
+def q_rt_diff_avg(spark, d):
+    return N.rt_diff_avg(_norm(spark, d))
+
+
+@register("batch_window")
+def q_batch_window(spark, d):
+    n = N.relevant(_norm(spark, d))
+    origin = n.select(F.min("sample_time")).scalar()
+    b = n.withColumn("batch", N.batch_id(F.col("sample_time"), origin))
+    return b.groupBy("batch").agg(F.count(F.lit(1)).alias("samples"), F.min("sample_time").alias("first_sample_time"),
+                                  F.max("sample_time").alias("last_sample_time"))
