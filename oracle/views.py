@@ -173,3 +173,39 @@ LEFT JOIN responses e ON r0.response_id = e.event_id)"""
 
 VIEWS["raw"] = RAW
 DEPENDS["raw"] = ["sample", "responses"]
+
+
+def hms(sec: str) -> str:
+    return (f"concat_ws(':', lpad(CAST(CAST(floor({sec} / 3600) AS BIGINT) AS VARCHAR), 2, '0'), "
+            f"lpad(CAST(CAST(floor({sec} % 3600 / 60) AS BIGINT) AS VARCHAR), 2, '0'), "
+            f"lpad(CAST({sec} % 60 AS VARCHAR), 2, '0'))")
+
+
+VIEWS["gtfs_stop_times"] = f"""
+gtfs_stop_times AS (
+SELECT trip_id, stop_sequence, stop_id, {hms("arrival_s")} AS arrival_time, {hms("departure_s")} AS departure_time
+FROM stop_times)"""
+DEPENDS["gtfs_stop_times"] = ["stop_times"]
+
+VIEWS["trip_updates"] = """
+trip_updates AS (
+SELECT CAST(o_orderkey AS VARCHAR) AS trip_id,
+  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 28 AS INTEGER)), '%Y%m%d') AS start_date,
+  CASE WHEN o_orderkey % 7 = 0 THEN '06:00:00' END AS start_time,
+  CASE WHEN o_orderkey % 23 = 0 THEN 'CANCELED' WHEN o_orderkey % 29 = 0 THEN 'ADDED' ELSE 'SCHEDULED' END
+    AS trip_schedule_relationship,
+  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 28 AS INTEGER))
+    + to_seconds(CAST((o_orderkey % 20) * 3600 + 14400 AS BIGINT)) AS feed_ts
+FROM orders)"""
+
+VIEWS["feed_files"] = """
+feed_files AS (
+SELECT concat('feeds/', strftime(ts, '%Y%m%dT%H%M%S.%f'), '-', CAST(event_id AS VARCHAR), '.pb') AS path,
+  ts AS mtime, event_id
+FROM events)"""
+
+VIEWS["gtfs_versions"] = """
+gtfs_versions AS (
+SELECT concat('gtfs-', strftime(d, '%Y%m%d'), '.zip') AS version,
+  d + to_hours(CAST(day(d) % 5 * 5 AS BIGINT)) AS mtime
+FROM (SELECT DISTINCT date_trunc('day', ts) AS d FROM events) x)"""

@@ -167,3 +167,45 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         "line_name", "product_type_id", "operator_id", "remarks_hash", "load_factor_id",
         "scheduled_duration_minutes", "projected_duration_minutes")
     return raw.join(r, "response_id", "left")
+
+
+def _hms(sec: Column) -> Column:
+    """Seconds after service-day start as GTFS ``HH:MM:SS`` text (hour may exceed 23)."""
+    return F.concat_ws(":", F.lpad(_s(F.floor(sec / 3600)), 2, "0"), F.lpad(_s(F.floor(sec % 3600 / 60)), 2, "0"),
+                       F.lpad(_s(sec % 60), 2, "0"))
+
+
+def gtfs_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``stop_times`` as a GTFS file carries it: times as text."""
+    st = stop_times(spark, sf_dir)
+    return st.select("trip_id", "stop_sequence", "stop_id", _hms(F.col("arrival_s")).alias("arrival_time"),
+                     _hms(F.col("departure_s")).alias("departure_time"))
+
+
+def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One GTFS-RT TripUpdate per order: start date, optional start time, relationship, feed time."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    day = F.timestamp_add("DAY", (k % 28).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
+    rel = F.when(k % 23 == 0, "CANCELED").when(k % 29 == 0, "ADDED").otherwise("SCHEDULED")
+    return o.select(
+        _s(k).alias("trip_id"), F.date_format(day, "yyyyMMdd").alias("start_date"),
+        F.when(k % 7 == 0, F.lit("06:00:00")).alias("start_time"), rel.alias("trip_schedule_relationship"),
+        F.timestamp_add("SECOND", ((k % 20) * 3600 + 14400).cast("int"), day).alias("feed_ts"))
+
+
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed snapshot files: one per ``events`` row, named by time order."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("feeds/"), F.date_format("ts", "yyyyMMdd'T'HHmmss.SSSSSS"), F.lit("-"),
+                             _s(F.col("event_id")), F.lit(".pb")).alias("path"),
+                    F.col("ts").alias("mtime"), "event_id")
+
+
+def gtfs_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Timetable versions: one per calendar day seen in ``events``, published at a varying hour."""
+    e = table(spark, sf_dir, "events")
+    d = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    days = e.select(d.alias("d")).distinct()
+    return days.select(F.concat(F.lit("gtfs-"), F.date_format("d", "yyyyMMdd"), F.lit(".zip")).alias("version"),
+                       F.timestamp_add("HOUR", (F.dayofmonth("d") % 5 * 5).cast("int"), F.col("d")).alias("mtime"))

@@ -237,3 +237,112 @@ def q_batch_window(spark, d):
     b = n.withColumn("batch", N.batch_id(F.col("sample_time"), origin))
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("samples"), F.min("sample_time").alias("first_sample_time"),
                                   F.max("sample_time").alias("last_sample_time"))
+
+
+# --- G: GTFS timetable x GTFS-RT ----------------------------------------------
+
+from .operators import gtfs as G  # noqa: E402
+
+
+def _instances(spark, d):
+    return G.join_timetable(fx.trip_updates(spark, d), fx.trips(spark, d), fx.routes(spark, d),
+                            fx.agency(spark, d), fx.gtfs_stop_times(spark, d))
+
+
+def _events(spark, d):
+    return G.stop_events(_instances(spark, d), fx.gtfs_stop_times(spark, d), fx.stops(spark, d),
+                         fx.updates(spark, d))
+
+
+EV_KEY = ["trip_id", "start_date", "stop_number", "is_departure"]
+
+
+@register("gtfs_trip_join")
+def q_gtfs_trip_join(spark, d):
+    return _instances(spark, d).select("trip_id", "start_date", "route_id", "operator_id", "product_type_id",
+                                       "line_name", "line_fahrtnr", "trip_schedule_relationship")
+
+
+@register("gtfs_product_type")
+def q_gtfs_product_type(spark, d):
+    r = fx.routes(spark, d)
+    return r.select("route_id", "route_type", "route_short_name",
+                    G.product_type(F.col("route_type"), F.col("route_short_name")).alias("product_type_id"))
+
+
+@register("gtfs_time_seconds")
+def q_gtfs_time_seconds(spark, d):
+    st = fx.gtfs_stop_times(spark, d)
+    return st.select("trip_id", "stop_sequence", "arrival_time", G.gtfs_seconds(F.col("arrival_time")).alias("arrival_s"),
+                     "departure_time", G.gtfs_seconds(F.col("departure_time")).alias("departure_s"))
+
+
+@register("service_day_start")
+def q_service_day_start(spark, d):
+    inst = _instances(spark, d)
+    st = fx.gtfs_stop_times(spark, d).groupBy("trip_id").agg(
+        F.min_by(G.gtfs_seconds(F.col("departure_time")), F.col("stop_sequence")).alias("first_departure_s"))
+    j = inst.join(st, "trip_id")
+    return j.select("trip_id", "start_date", "start_time", "first_departure_s",
+                    G.service_start(F.col("start_date"), F.col("start_time"), F.col("first_departure_s"))
+                    .alias("service_start"))
+
+
+@register("stop_events")
+def q_stop_events(spark, d):
+    return _events(spark, d).drop("has_update")
+
+
+@register("delay_propagation")
+def q_delay_propagation(spark, d):
+    return _events(spark, d).select(*EV_KEY, "scheduled_time", "delay_minutes", "ttl_minutes")
+
+
+@register("stop_update_match")
+def q_stop_update_match(spark, d):
+    return _events(spark, d).select(*EV_KEY, "has_update")
+
+
+@register("cancel_propagation")
+def q_cancel_propagation(spark, d):
+    return _events(spark, d).select(*EV_KEY, "cancelled")
+
+
+@register("event_durations")
+def q_event_durations(spark, d):
+    return _events(spark, d).select(*EV_KEY, "scheduled_duration_minutes", "projected_duration_minutes")
+
+
+@register("offline_samples")
+def q_offline_samples(spark, d):
+    off = G.offline_instances(_instances(spark, d))
+    return G.stop_events(off, fx.gtfs_stop_times(spark, d), fx.stops(spark, d), None,
+                         sample_time=F.col("offline_sample_time"))
+
+
+@register("bus_sampling")
+def q_bus_sampling(spark, d):
+    return G.bus_thinning(_instances(spark, d))
+
+
+@register("gtfs_operators")
+def q_gtfs_operators(spark, d):
+    return G.operators(fx.agency(spark, d))
+
+
+@register("gtfs_stations")
+def q_gtfs_stations(spark, d):
+    return G.stations(fx.stops(spark, d)).select("station_id", "name", F.col("lonlat.lon").alias("lon"),
+                                                 F.col("lonlat.lat").alias("lat"), "parent")
+
+
+@register("feed_file_sampling")
+def q_feed_file_sampling(spark, d):
+    return G.every_nth(fx.feed_files(spark, d))
+
+
+@register("gtfs_version_asof")
+def q_gtfs_version_asof(spark, d):
+    feeds = fx.feed_files(spark, d).select("path", G.feed_time(F.lit(None).cast("timestamp_ntz"),
+                                                              F.col("mtime")).alias("feed_ts"))
+    return G.attach_version(feeds, fx.gtfs_versions(spark, d)).select("path", "feed_ts", "version")
