@@ -209,3 +209,39 @@ gtfs_versions AS (
 SELECT concat('gtfs-', strftime(d, '%Y%m%d'), '.zip') AS version,
   d + to_hours(CAST(day(d) % 5 * 5 AS BIGINT)) AS mtime
 FROM (SELECT DISTINCT date_trunc('day', ts) AS d FROM events) x)"""
+
+VIEWS["official_station_list"] = """
+official_station_list AS (
+SELECT CAST(CASE WHEN s_suppkey % 9 = 0 THEN s_suppkey + 100000 ELSE s_suppkey END AS VARCHAR) AS EVA_NR,
+  concat('de:', CAST(s_suppkey AS VARCHAR)) AS IFOPT, concat('Official ', s_name) AS NAME,
+  replace(CAST(CAST(6 + s_suppkey % 90 * 0.1 + (s_suppkey % 3) * 0.003 AS DOUBLE) AS VARCHAR), '.', ',') AS Laenge,
+  CASE WHEN s_suppkey % 11 <> 0 THEN replace(CAST(CAST(47 + s_suppkey % 70 * 0.1 AS DOUBLE) AS VARCHAR), '.', ',')
+  END AS Breite
+FROM supplier)"""
+
+_MONTH_COLS = ", ".join(f'max(CASE WHEN m = {m} THEN v END) AS "{m}"' for m in range(1, 13))
+_SUM = " + ".join(f'coalesce("{m}", 0.0)' for m in range(1, 13))
+_CNT = " + ".join(f'CASE WHEN "{m}" IS NOT NULL THEN 1 ELSE 0 END' for m in range(1, 13))
+
+VIEWS["official_punctuality_csv"] = f"""
+official_punctuality_csv AS (
+SELECT JAHR, BEREICH, threshold AS "< VERSPÄTUNG", {", ".join(f'"{m}"' for m in range(1, 13))},
+  CASE WHEN ({_CNT}) > 0 THEN (0.0 + {_SUM}) / ({_CNT}) END AS "AVG JAHR"
+FROM (
+  SELECT JAHR, BEREICH, threshold, {_MONTH_COLS} FROM (
+    SELECT JAHR, BEREICH, threshold, m,
+      CASE WHEN (JAHR + m) % 7 <> 0 THEN CAST(n % 1000 AS DOUBLE) / 10.0 END AS v
+    FROM (SELECT JAHR, BEREICH, threshold, m, count(*) AS n FROM (SELECT year(o_orderdate) + 29 AS JAHR,
+            CASE WHEN o_custkey % 3 = 0 THEN 'db-total' WHEN o_custkey % 3 = 1 THEN 'db-fernverkehr'
+                 ELSE 'db-regio' END AS BEREICH,
+            CASE WHEN o_orderkey % 2 = 0 THEN 5 ELSE 15 END AS threshold, month(o_orderdate) AS m FROM orders) o
+    GROUP BY ALL) c) g
+  GROUP BY JAHR, BEREICH, threshold) w)"""
+
+VIEWS["official_operator_mapping"] = """
+official_operator_mapping AS (
+SELECT CASE WHEN operator IN ('0', '1') THEN 'db-fernverkehr' ELSE 'db-regio' END AS category, operator
+FROM (SELECT DISTINCT CAST(operator_id AS VARCHAR) AS operator FROM sample) o
+UNION ALL
+SELECT 'db-total' AS category, operator FROM (SELECT DISTINCT CAST(operator_id AS VARCHAR) AS operator FROM sample) o)"""
+DEPENDS["official_operator_mapping"] = ["sample"]

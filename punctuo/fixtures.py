@@ -209,3 +209,45 @@ def gtfs_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = e.select(d.alias("d")).distinct()
     return days.select(F.concat(F.lit("gtfs-"), F.date_format("d", "yyyyMMdd"), F.lit(".zip")).alias("version"),
                        F.timestamp_add("HOUR", (F.dayofmonth("d") % 5 * 5).cast("int"), F.col("d")).alias("mtime"))
+
+
+def official_station_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official station list as read from its ``;`` CSV: text columns, decimal commas."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    lon = F.expr("CAST(6 + s_suppkey % 90 * 0.1 + (s_suppkey % 3) * 0.003 AS DOUBLE)")
+    lat = F.expr("CAST(47 + s_suppkey % 70 * 0.1 AS DOUBLE)")
+    return s.select(
+        _s(F.when(k % 9 == 0, k + 100000).otherwise(k)).alias("EVA_NR"),
+        F.concat(F.lit("de:"), _s(k)).alias("IFOPT"), F.concat(F.lit("Official "), F.col("s_name")).alias("NAME"),
+        F.regexp_replace(_s(lon), r"\.", ",").alias("Laenge"),
+        F.when(k % 11 != 0, F.regexp_replace(_s(lat), r"\.", ",")).alias("Breite"))
+
+
+OFFICIAL_AREAS = ["db-total", "db-fernverkehr", "db-regio"]
+
+
+def official_punctuality_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Official punctuality figures in the published wide layout (year, area, threshold, 12 months, avg)."""
+    o = table(spark, sf_dir, "orders")
+    area = (F.when(F.col("o_custkey") % 3 == 0, OFFICIAL_AREAS[0]).when(F.col("o_custkey") % 3 == 1, OFFICIAL_AREAS[1])
+            .otherwise(OFFICIAL_AREAS[2]))
+    g = o.groupBy((F.year("o_orderdate") + 29).alias("JAHR"), area.alias("BEREICH"),
+                  F.when(F.col("o_orderkey") % 2 == 0, 5).otherwise(15).alias("threshold"),
+                  F.month("o_orderdate").alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    g = g.withColumn("v", F.when((F.col("JAHR") + F.col("m")) % 7 != 0, (F.col("n") % 1000) / F.lit(10.0)))
+    w = g.groupBy("JAHR", "BEREICH", "threshold").pivot("m", list(range(1, 13))).agg(F.first("v"))
+    months = [F.col(str(m)) for m in range(1, 13)]
+    avg = F.aggregate(F.array(*months), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    cnt = F.size(F.filter(F.array(*months), lambda x: x.isNotNull()))
+    return w.select(F.col("JAHR"), F.col("BEREICH"), F.col("threshold").alias("< VERSPÄTUNG"),
+                    *[F.col(str(m)).alias(str(m)) for m in range(1, 13)],
+                    F.when(cnt > 0, avg / cnt).alias("AVG JAHR"))
+
+
+def official_operator_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """category -> operator id text, over the operators present in ``sample``."""
+    ops = sample(spark, sf_dir).select(_s(F.col("operator_id")).alias("operator")).distinct()
+    cat = (F.when(F.col("operator").isin("0", "1"), OFFICIAL_AREAS[1]).otherwise(OFFICIAL_AREAS[2]))
+    return ops.select(cat.alias("category"), "operator").unionByName(
+        ops.select(F.lit(OFFICIAL_AREAS[0]).alias("category"), "operator"))

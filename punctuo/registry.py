@@ -346,3 +346,140 @@ def q_gtfs_version_asof(spark, d):
     feeds = fx.feed_files(spark, d).select("path", G.feed_time(F.lit(None).cast("timestamp_ntz"),
                                                               F.col("mtime")).alias("feed_ts"))
     return G.attach_version(feeds, fx.gtfs_versions(spark, d)).select("path", "feed_ts", "version")
+
+
+# --- D: dimensions, T: stations, S16/C6: official figures ---------------------
+
+from .operators import dims as D  # noqa: E402
+from .operators import stations as T  # noqa: E402
+from .sources import official as OF  # noqa: E402
+
+
+@register("zip_unnest")
+def q_zip_unnest(spark, d):
+    li = fx.table(spark, d, "lineitem")
+    per = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("s"))
+    arrays = per.select("l_orderkey", F.transform("s", lambda x: x["l_linenumber"]).alias("l_linenumber"),
+                        F.transform("s", lambda x: x["l_partkey"]).alias("l_partkey"))
+    return D.zip_rows(arrays, ["l_linenumber", "l_partkey"])
+
+
+def _line_dim(spark, d):
+    s = fx.sample(spark, d).select("line_name").distinct()
+    n = F.regexp_extract("line_name", r"^L(\d+)$", 1).cast("int")
+    return s.where(n < 10).select((n + 1).cast("smallint").alias("line_id"), "line_name")
+
+
+@register("surrogate_keys")
+def q_surrogate_keys(spark, d):
+    dim, _ = D.assign_ids(_line_dim(spark, d), fx.sample(spark, d).select("line_name"), "line_name", "line_id")
+    return dim
+
+
+@register("surrogate_key_lookup")
+def q_surrogate_key_lookup(spark, d):
+    _, mapped = D.assign_ids(_line_dim(spark, d), fx.sample(spark, d).select("id", "line_name"),
+                             "line_name", "line_id")
+    return mapped
+
+
+def _station_dim(spark, d):
+    st = fx.stops(spark, d)
+    return st.select(F.col("stop_id").alias("station_id"), F.col("stop_name").alias("name"),
+                     F.when(F.col("stop_id").cast("int") % 3 != 0, F.concat(F.lit("{\"id\":\""), F.col("stop_id"),
+                                                                              F.lit("\"}"))).alias("details"))
+
+
+def _station_new(spark, d):
+    st = fx.stops(spark, d)
+    return st.where(F.col("stop_id").cast("int") % 2 == 0).select(
+        F.col("stop_id").alias("station_id"), F.concat(F.lit("new "), F.col("stop_name")).alias("name"),
+        F.concat(F.lit("{\"new\":\""), F.col("stop_id"), F.lit("\"}")).alias("details"))
+
+
+@register("station_upsert")
+def q_station_upsert(spark, d):
+    old = _station_dim(spark, d).where(F.col("station_id").cast("int") % 5 != 1)
+    return D.upsert(old, _station_new(spark, d), "station_id", ["details"])
+
+
+@register("station_upsert_if_null")
+def q_station_upsert_if_null(spark, d):
+    old = _station_dim(spark, d).where(F.col("station_id").cast("int") % 5 != 1)
+    return D.upsert(old, _station_new(spark, d), "station_id", ["details"], only_if_null=True)
+
+
+@register("insert_ignore")
+def q_insert_ignore(spark, d):
+    ops = G.operators(fx.agency(spark, d))
+    old = ops.where(F.col("operator_id") % 2 == 0).withColumn("name", F.concat(F.lit("old "), F.col("name")))
+    return D.insert_ignore(old, ops, "operator_id")
+
+
+@register("first_per_key")
+def q_first_per_key(spark, d):
+    r = fx.raw_samples(spark, d).select("response_id", "station_id", "sample_id", "line_name")
+    return D.first_per_key(r, ["response_id", "station_id"], F.col("sample_id"))
+
+
+@register("last_response_time")
+def q_last_response_time(spark, d):
+    return D.last_response_time(N.response_log(_norm(spark, d)))
+
+
+def _served_lines(spark, d):
+    st = fx.gtfs_stop_times(spark, d).select("trip_id", F.col("stop_id").alias("station_id"))
+    tr = fx.trips(spark, d).select("trip_id", "route_id")
+    rt = fx.routes(spark, d).select("route_id", F.col("route_short_name").alias("line_name"))
+    return st.join(tr, "trip_id").join(rt, "route_id").select("station_id", "line_name")
+
+
+@register("station_lines")
+def q_station_lines(spark, d):
+    stn = G.stations(fx.stops(spark, d)).select("station_id", "name")
+    return T.station_lines(stn, _served_lines(spark, d))
+
+
+def _official_stations(spark, d):
+    return T.official_from_raw(fx.official_station_list(spark, d))
+
+
+def _our_stations(spark, d):
+    return G.stations(fx.stops(spark, d)).select("station_id", "name", F.col("lonlat.lon").alias("lon"),
+                                                 F.col("lonlat.lat").alias("lat"))
+
+
+@register("official_stations")
+def q_official_stations(spark, d):
+    return _official_stations(spark, d)
+
+
+@register("geo_distance")
+def q_geo_distance(spark, d):
+    o = _official_stations(spark, d)
+    s = _our_stations(spark, d)
+    j = s.join(o, s.station_id == o.eva)
+    return j.select("station_id", F.round(T.geo_distance(s.lon, s.lat, o.lon, o.lat), 3).alias("distance_m"))
+
+
+@register("station_repair")
+def q_station_repair(spark, d):
+    r = T.repair_positions(_our_stations(spark, d), _official_stations(spark, d))
+    return r.withColumn("distance_m", F.round("distance_m", 3))
+
+
+@register("missing_stations")
+def q_missing_stations(spark, d):
+    return T.missing_stations(_our_stations(spark, d), _official_stations(spark, d))
+
+
+@register("official_stats_unpivot")
+def q_official_stats_unpivot(spark, d):
+    return OF.official_long(fx.official_punctuality_csv(spark, d))
+
+
+@register("official_comparison")
+def q_official_comparison(spark, d):
+    stats = OF.official_delay_stats(OF.official_long(fx.official_punctuality_csv(spark, d)))
+    bm = H.by_month(_hist(spark, d, "by_day"))
+    return OF.official_comparison(bm, stats, fx.official_operator_mapping(spark, d))
