@@ -245,3 +245,26 @@ FROM (SELECT DISTINCT CAST(operator_id AS VARCHAR) AS operator FROM sample) o
 UNION ALL
 SELECT 'db-total' AS category, operator FROM (SELECT DISTINCT CAST(operator_id AS VARCHAR) AS operator FROM sample) o)"""
 DEPENDS["official_operator_mapping"] = ["sample"]
+
+_INNER = """concat('{"svcResL":[{"meth":"',
+  CASE WHEN event_type IN ('view', 'click') THEN 'StationBoard' WHEN event_type = 'signup' THEN 'JourneyDetails'
+       WHEN event_type = 'purchase' THEN 'TripSearch' WHEN event_id % 3 = 0 THEN 'JourneyGeoPos'
+       WHEN event_id % 3 = 1 THEN 'LocMatch' ELSE 'Unknown' END,
+  '","res":{"type":"', CASE WHEN event_type = 'click' THEN 'ARR' ELSE 'DEP' END, '","jnyL":[',
+  repeat('{"stbStop":{"dTimeR":"120000"}},', CAST(event_id % 4 AS INTEGER)), '{}', ']}}]}')"""
+
+VIEWS["hafas_log_lines"] = f"""
+hafas_log_lines AS (
+SELECT event_id, CASE WHEN event_id % 5 = 0 THEN concat('[0,"res","', replace(inner_json, '"', '\\"'), '"]')
+  WHEN event_id % 5 = 1 THEN concat('{{"log":"', replace(inner_json, '"', '\\"'), '"}}')
+  WHEN event_id % 5 = 2 THEN inner_json WHEN event_id % 5 = 3 THEN '{{"other":1}}' ELSE 'not json' END AS value
+FROM (SELECT event_id, {_INNER} AS inner_json FROM events) e)"""
+
+VIEWS["access_log_lines"] = """
+access_log_lines AS (
+SELECT event_id, concat('[', strftime(ts, '%d/%b/%Y:%H:%M:%S'), ' +0000] "GET /',
+  CASE event_type WHEN 'view' THEN 'departures' WHEN 'click' THEN 'arrivals' WHEN 'signup' THEN 'trips'
+                  WHEN 'purchase' THEN 'journeys' ELSE 'radar' END,
+  '?id=', CAST(user_id AS VARCHAR), ' HTTP/1.1" ', CASE WHEN event_id % 9 = 0 THEN '404' ELSE '200' END, ' 1234')
+  AS value
+FROM events)"""

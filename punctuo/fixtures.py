@@ -251,3 +251,142 @@ def official_operator_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = (F.when(F.col("operator").isin("0", "1"), OFFICIAL_AREAS[1]).otherwise(OFFICIAL_AREAS[2]))
     return ops.select(cat.alias("category"), "operator").unionByName(
         ops.select(F.lit(OFFICIAL_AREAS[0]).alias("category"), "operator"))
+
+
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FPTF response documents (one JSON text per row) built from the timetable tables.
+
+    trip_id % 4 picks the document type of each trip (trip, journeys,
+    refreshJourney, radar); departure/arrival boards are built per (stop, day,
+    hour) so a board stays bounded; ``locations`` per parent station.
+    """
+    st = stop_times(spark, sf_dir)
+    tr = trips(spark, sf_dir)
+    rt = routes(spark, sf_dir)
+    ag = agency(spark, sf_dir)
+    sp = stops(spark, sf_dir)
+    up = updates(spark, sf_dir).select("trip_id", "stop_sequence", "departure_delay")
+    loc = F.struct(F.lit("location").alias("type"), F.col("stop_id").alias("id"),
+                   F.col("stop_lat").alias("latitude"), F.col("stop_lon").alias("longitude"))
+    parent = F.when(F.col("parent_station").isNotNull(), F.struct(
+        F.lit("station").alias("type"), F.col("parent_station").alias("id"),
+        F.concat(F.lit("Station "), F.col("parent_station")).alias("name"), loc.alias("location")))
+    stop = F.struct(F.lit("stop").alias("type"), F.col("stop_id").alias("id"), F.col("stop_name").alias("name"),
+                    loc.alias("location"), parent.alias("station"),
+                    F.when(F.col("stop_id").cast("int") % 4 == 0, F.lit("low-to-medium")).alias("loadFactor"))
+    stops_s = sp.select("stop_id", stop.alias("stop"))
+    line = F.struct(F.lit("line").alias("type"), F.col("route_id").alias("id"),
+                    F.col("trip_short_name").alias("fahrtNr"), F.col("route_short_name").alias("name"),
+                    F.lit("regional").alias("product"), F.col("route_type").alias("productName"),
+                    F.struct(F.lit("operator").alias("type"), F.col("agency_id").alias("id"),
+                             F.col("agency_name").alias("name")).alias("operator"))
+    lines = tr.join(rt, "route_id").join(ag, "agency_id").select("trip_id", line.alias("line"))
+    k = F.col("trip_id").cast("bigint")
+    day = F.timestamp_add("DAY", (k % 28).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
+    ev = (st.join(stops_s, "stop_id").join(up, ["trip_id", "stop_sequence"], "left")
+          .withColumn("_day", day)
+          .withColumn("pd", F.timestamp_add("SECOND", F.col("departure_s").cast("int"), F.col("_day")))
+          .withColumn("pa", F.timestamp_add("SECOND", F.col("arrival_s").cast("int"), F.col("_day"))))
+    dly = F.col("departure_delay").cast("int")
+    so = F.struct(
+        F.col("stop"), _iso(F.col("pa")).alias("plannedArrival"), F.lit(None).cast("string").alias("arrival"),
+        F.lit(None).cast("int").alias("arrivalDelay"), _iso(F.col("pd")).alias("plannedDeparture"),
+        F.when(dly.isNotNull(), _iso(F.timestamp_add("SECOND", dly, F.col("pd")))).alias("departure"),
+        dly.alias("departureDelay"), (F.col("stop_sequence") == 7).alias("cancelled"))
+    per_trip = ev.groupBy("trip_id").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", so.alias("so"))))
+                                         .alias("s"), F.max("_day").alias("_day"))
+    per_trip = per_trip.join(lines, "trip_id").withColumn("sos", F.transform("s", lambda x: x["so"]))
+    first, last = F.col("sos")[0], F.element_at(F.col("sos"), -1)
+    kk = F.col("trip_id").cast("bigint")
+    remarks = F.when(kk % 5 == 0, F.array(F.struct(F.lit("hint").alias("type"), F.lit("bicycle").alias("code"),
+                                                   F.lit("Bicycles allowed").alias("text"))))
+    trip = F.struct(
+        F.col("trip_id").alias("id"), first["stop"].alias("origin"), last["stop"].alias("destination"),
+        F.col("line"), remarks.alias("remarks"), (kk % 23 == 0).alias("cancelled"),
+        first["plannedDeparture"].alias("plannedDeparture"), first["departure"].alias("departure"),
+        first["departureDelay"].alias("departureDelay"), last["plannedArrival"].alias("plannedArrival"),
+        last["arrival"].alias("arrival"), last["arrivalDelay"].alias("arrivalDelay"),
+        F.slice(F.col("sos"), 2, 1000).alias("stopovers"))
+    rt_s = F.unix_timestamp(F.timestamp_add("HOUR", F.lit(4), F.col("_day")).cast("timestamp"))
+    walking = F.struct(F.lit(True).alias("walking"), last["stop"].alias("origin"), last["stop"].alias("destination"))
+    leg = trip.withField("walking", F.lit(False))
+    kind = kk % 4
+    doc = (F.when(kind == 0, F.to_json(F.struct(trip.alias("trip"), rt_s.alias("realtimeDataUpdatedAt"))))
+           .when(kind == 1, F.concat(F.lit('{"journeys":[{"legs":['), F.to_json(leg), F.lit(","),
+                                     F.to_json(walking), F.lit(']}],"realtimeDataFrom":'), _s(rt_s), F.lit("}")))
+           .when(kind == 2, F.to_json(F.struct(F.struct(F.array(leg).alias("legs")).alias("journey"),
+                                               rt_s.alias("realtimeDataUpdatedAt"))))
+           .otherwise(F.to_json(F.struct(F.array(F.struct(
+               F.col("trip_id").alias("tripId"), F.col("line"), F.col("sos").alias("nextStopovers")))
+               .alias("movements"), rt_s.alias("realtimeDataUpdatedAt")))))
+    typ = (F.when(kind == 0, "trip").when(kind == 1, "journeys").when(kind == 2, "refreshJourney")
+           .otherwise("radar"))
+    trip_docs = per_trip.select(F.concat(F.lit("t"), F.col("trip_id")).alias("response_key"), typ.alias("type"),
+                                doc.alias("doc"))
+    alt = F.struct(F.col("trip_id").alias("tripId"), F.col("stop"), F.col("line"),
+                   F.when(F.col("stop_sequence") % 3 == 0, F.col("dep_time")).alias("when"),
+                   F.col("planned").alias("plannedWhen"),
+                   F.when(F.col("stop_sequence") % 3 == 0, dly).alias("delay"),
+                   F.lit(False).alias("cancelled"))
+    boards = []
+    for is_dep, name in ((True, "departures"), (False, "arrivals")):
+        t_col = F.col("pd") if is_dep else F.col("pa")
+        b = ev.join(lines, "trip_id").select(
+            "trip_id", "stop_id", "stop", "line", "stop_sequence", "departure_delay",
+            _iso(t_col).alias("planned"),
+            _iso(F.timestamp_add("SECOND", F.coalesce(dly, F.lit(0)), t_col)).alias("dep_time"),
+            F.date_trunc("hour", t_col).alias("_h"))
+        g = b.groupBy("stop_id", "_h").agg(F.array_sort(F.collect_list(F.struct("trip_id", alt.alias("a"))))
+                                          .alias("l"))
+        alts = F.transform("l", lambda x: x["a"])
+        obj_form = F.to_json(F.struct(alts.alias(name), F.unix_timestamp(F.col("_h").cast("timestamp"))
+                                      .alias("realtimeDataUpdatedAt")))
+        arr_form = F.to_json(alts)
+        d = F.when(F.col("stop_id").cast("int") % 2 == 0, obj_form).otherwise(arr_form)
+        boards.append(g.select(F.concat(F.lit(name[0]), F.col("stop_id"), F.lit("@"),
+                                        F.date_format("_h", "yyyyMMddHH")).alias("response_key"),
+                               F.lit(name).alias("type"), d.alias("doc")))
+    lg = sp.join(stops_s, "stop_id").groupBy(F.coalesce("parent_station", "stop_id").alias("p")).agg(
+        F.array_sort(F.collect_list(F.struct("stop_id", "stop"))).alias("l"))
+    locs = lg.select(F.concat(F.lit("l"), F.col("p")).alias("response_key"), F.lit("locations").alias("type"),
+                     F.to_json(F.transform("l", lambda x: x["stop"])).alias("doc"))
+    return trip_docs.unionByName(boards[0]).unionByName(boards[1]).unionByName(locs)
+
+
+def _hafas_inner(e: Column, i: Column) -> Column:
+    et = F.col("event_type")
+    meth = (F.when(et.isin("view", "click"), "StationBoard").when(et == "signup", "JourneyDetails")
+            .when(et == "purchase", "TripSearch").when(i % 3 == 0, "JourneyGeoPos").when(i % 3 == 1, "LocMatch")
+            .otherwise("Unknown"))
+    rtype = F.when(et == "click", "ARR").otherwise("DEP")
+    jny = F.concat(F.repeat(F.lit('{"stbStop":{"dTimeR":"120000"}},'), (i % 4).cast("int")), F.lit("{}"))
+    return F.concat(F.lit('{"svcResL":[{"meth":"'), meth, F.lit('","res":{"type":"'), rtype,
+                    F.lit('","jnyL":['), jny, F.lit("]}}]}"))
+
+
+def hafas_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HAFAS log lines (one per ``events`` row) in the three envelope forms plus junk."""
+    e = table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    inner = _hafas_inner(e, i)
+    esc = F.replace(inner, F.lit('"'), F.lit('\\"'))
+    line = (F.when(i % 5 == 0, F.concat(F.lit('[0,"res","'), esc, F.lit('"]')))
+            .when(i % 5 == 1, F.concat(F.lit('{"log":"'), esc, F.lit('"}')))
+            .when(i % 5 == 2, inner).when(i % 5 == 3, F.lit('{"other":1}')).otherwise(F.lit("not json")))
+    return e.select("event_id", line.alias("value"))
+
+
+def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Access-log header lines (one per ``events`` row)."""
+    e = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    path = (F.when(et == "view", "departures").when(et == "click", "arrivals").when(et == "signup", "trips")
+            .when(et == "purchase", "journeys").otherwise("radar"))
+    status = F.when(F.col("event_id") % 9 == 0, "404").otherwise("200")
+    line = F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "GET /'), path,
+                    F.lit('?id='), _s(F.col("user_id")), F.lit(' HTTP/1.1" '), status, F.lit(" 1234"))
+    return e.select("event_id", line.alias("value"))

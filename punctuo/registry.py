@@ -483,3 +483,79 @@ def q_official_comparison(spark, d):
     stats = OF.official_delay_stats(OF.official_long(fx.official_punctuality_csv(spark, d)))
     bm = H.by_month(_hist(spark, d, "by_day"))
     return OF.official_comparison(bm, stats, fx.official_operator_mapping(spark, d))
+
+
+# --- S5-S8: response readers; P: FPTF documents --------------------------------
+
+from .operators import fptf as P  # noqa: E402
+from .sources import envelopes as EN  # noqa: E402
+
+
+@register("hafas_envelope")
+def q_hafas_envelope(spark, d):
+    r = EN.hafas_responses(fx.hafas_log_lines(spark, d))
+    return r.select("event_id", F.get_json_object("res", "$.svcResL[0].meth").alias("meth"), "hash")
+
+
+@register("hafas_response_type")
+def q_hafas_response_type(spark, d):
+    return EN.hafas_responses(fx.hafas_log_lines(spark, d)).select("event_id", "type")
+
+
+@register("expected_rt_count")
+def q_expected_rt_count(spark, d):
+    return EN.hafas_responses(fx.hafas_log_lines(spark, d)).select("event_id", "expected_rt_count")
+
+
+@register("access_log_meta")
+def q_access_log_meta(spark, d):
+    m = fx.access_log_lines(spark, d).select("event_id", EN.log_meta(F.col("value")).alias("m"))
+    return m.where(F.col("m").isNotNull()).select("event_id", "m.ts", "m.type")
+
+
+def _fptf(spark, d):
+    return P.fptf_samples(fx.fptf_documents(spark, d)).drop("stations")
+
+
+SAMPLE_OUT = ["response_key", "type", "trip_id", "station_id", "is_departure", "scheduled_time", "projected_time",
+              "delay_seconds", "cancelled", "load_factor", "line_name", "operator_id", "sample_time"]
+
+
+@register("fptf_samples")
+def q_fptf_samples(spark, d):
+    return _fptf(spark, d).select(*SAMPLE_OUT)
+
+
+for _t in ("board", "trip", "journeys", "radar"):
+    def _mkp(kind):
+        types = {"board": ["departures", "arrivals"], "trip": ["trip"], "journeys": ["journeys", "refreshJourney"],
+                 "radar": ["radar"]}[kind]
+        return lambda spark, d: _fptf(spark, d).where(F.col("type").isin(types)).select(*SAMPLE_OUT)
+    register(f"fptf_{_t}")(_mkp(_t))
+
+
+@register("fptf_metadata")
+def q_fptf_metadata(spark, d):
+    return _fptf(spark, d).select("response_key", "trip_id", "station_id", "is_departure", "cancelled",
+                                  "load_factor", "operator_id", "operator_name", "line_name", "line_fahrtnr",
+                                  "line_id", "product_type", "product_name",
+                                  F.to_json("remarks").alias("remarks"))
+
+
+@register("fptf_stopovers")
+def q_fptf_stopovers(spark, d):
+    return _fptf(spark, d).where(F.col("type") == "trip").groupBy("is_departure").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("delay_seconds").alias("with_delay"))
+
+
+@register("fptf_stations")
+def q_fptf_stations(spark, d):
+    st = P.fptf_stations(fx.fptf_documents(spark, d))
+    return D.first_per_key(st, ["response_key", "station_id"], F.col("type"))
+
+
+@register("fptf_normalised")
+def q_fptf_normalised(spark, d):
+    s = _fptf(spark, d).withColumn("response_ts", F.col("sample_time"))
+    return N.relevant(N.normalise(s)).select("response_key", "trip_id", "station_id", "is_departure",
+                                             "scheduled_time", "delay_minutes", "ttl_minutes", "cancelled")

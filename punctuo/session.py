@@ -25,6 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.driver.memory"] = "16g"  # local mode: the driver JVM is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
