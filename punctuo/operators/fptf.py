@@ -126,118 +126,115 @@ def _stops(*stops: Column) -> Column:
     return F.array(*stops)
 
 
-# Every level below is one projection over a DataFrame whose parsed parts are
-# columns, so each parsed struct is referenced, never copied into nested lambdas.
+def _first_char(c: Column) -> Column:
+    return F.substring(F.ltrim(c), 1, 1)
 
-def _rows(df: DataFrame, keep: list[str], events: list[Column]) -> DataFrame:
-    arr = F.filter(F.array(*events), lambda x: x.isNotNull())
-    return df.select(*keep, F.inline(arr))
 
+# --- single-scan flattening ------------------------------------------------------
+# Stage A parses each document once and lists its sample sources ("objects":
+# trips/legs, board entries, radar movements); stage B computes each object's
+# metadata once as a column; stage C emits all rows of an object with one
+# generator. No unions, so the input is scanned once.
 
-def stopover_rows(df: DataFrame, keep: list[str], arr: str, parent: str, st: str,
-                  prov: str | None, dest: str | None) -> DataFrame:
-    """Each stopover -> departure row (if planned) and arrival row (if planned)."""
-    null_stop = F.lit(None).cast(STOP)
-    x = df.select(*keep, F.col(parent).alias("_pm"), F.col(st).alias("_st"),
-                  (F.col(prov) if prov else null_stop).alias("_prov"),
-                  (F.col(dest) if dest else null_stop).alias("_dest"),
-                  F.explode(F.col(arr)).alias("_so"))
-    so = F.col("_so")
-    x = x.select(*keep, "_so", "_st", "_prov", "_dest",
-                 metadata(so, F.col("_pm"), so["stop"]["loadFactor"], None, has_id=False, has_trip_id=False,
-                          has_line=False).alias("_m"))
-    dep = F.when(_truthy(so["plannedDeparture"]),
-                 _event(F.col("_m"), so, True, so["stop"]["id"], F.col("_st"), _stops(so["stop"], F.col("_prov"))))
-    arrv = F.when(_truthy(so["plannedArrival"]),
-                  _event(F.col("_m"), so, False, so["stop"]["id"], F.col("_st"), _stops(so["stop"], F.col("_dest"))))
-    return _rows(x, keep, [dep, arrv])
-
-
-def alternative_rows(df: DataFrame, keep: list[str], arr: str, is_dep: bool, st: str,
-                     fallback: str | None) -> DataFrame:
-    """Board entries -> own row + previous/next stopover rows."""
-    fb = F.col(fallback) if fallback else F.lit(None).cast(STOP)
-    x = df.select(*keep, F.col(st).alias("_ast"), fb.alias("_fb"), F.explode(F.col(arr)).alias("_a"))
-    a = F.col("_a")
-    x = x.select(*keep, "_a", "_ast", "_fb",
-                 metadata(a, None, a["stop"]["loadFactor"], None, has_id=False).alias("_am"))
-    pm = F.col("_am")
-    sid = F.when(_truthy(a["stop"]["id"]), a["stop"]["id"]).otherwise(F.col("_fb")["id"])
+OBJ = (f"struct<kind:string,t:{TRIP},a:{ALT},m:{MOVEMENT},st:timestamp_ntz,dep:boolean>")
+
+
+def _obj(kind: str, t=None, a=None, m=None, st=None, dep=None) -> Column:
+    def n(x, typ):
+        return x if x is not None else F.lit(None).cast(typ)
+    return F.struct(F.lit(kind).alias("kind"), n(t, TRIP).alias("t"), n(a, ALT).alias("a"), n(m, MOVEMENT).alias("m"),
+                    n(st, "timestamp_ntz").alias("st"), n(dep, "boolean").alias("dep"))
+
+
+def _legs(legs: Column, st: Column) -> Column:
+    live = F.filter(F.coalesce(legs, F.array()), lambda l: ~F.coalesce(l["walking"], F.lit(False)))
+    return F.transform(live, lambda l: _obj("trip", t=l, st=st))
+
+
+def _objects(t: Column, d: Column) -> Column:
+    is_arr = _first_char(d) == "["
+    no_time = F.lit(None).cast("timestamp_ntz")
+
+    def alts(arr, st, dep):
+        return F.transform(F.coalesce(arr, F.array()), lambda a: _obj("alt", a=a, st=st, dep=F.lit(dep)))
+
+    def board(kind, dep):
+        arr_form = F.from_json(d, ENVELOPES["board_arr"])
+        obj_form = F.from_json(d, ENVELOPES[f"{kind}_obj"])
+        return F.when(is_arr, alts(arr_form, no_time, dep)).otherwise(
+            alts(obj_form[kind], data_time(obj_form), dep))
+
+    trip = F.from_json(d, ENVELOPES["trip"])
+    jr = F.from_json(d, ENVELOPES["journeys"])
+    rj = F.from_json(d, ENVELOPES["refreshJourney"])
+    rd = F.from_json(d, ENVELOPES["radar"])
+    out = (F.when(t == "departures", board("departures", True))
+           .when(t == "arrivals", board("arrivals", False))
+           .when(t == "trip", F.array(_obj("trip", t=trip["trip"], st=data_time(trip))))
+           .when(t == "journeys", F.flatten(F.transform(F.coalesce(jr["journeys"], F.array()),
+                                                        lambda j: _legs(j["legs"], data_time(jr)))))
+           .when(t == "refreshJourney", _legs(rj["journey"]["legs"], data_time(rj)))
+           .when((t == "radar") & ~is_arr, F.transform(F.coalesce(rd["movements"], F.array()),
+                                                       lambda m: _obj("mv", m=m, st=data_time(rd)))))
+    return F.coalesce(out, F.array().cast(f"array<{OBJ}>"))
+
+
+def _stopover_events(sos: Column, parent: Column, st: Column, prov: Column, dest: Column) -> Column:
+    """P7 on an array column: each stopover -> departure / arrival row when planned."""
+    def one(so):
+        meta = metadata(so, parent, so["stop"]["loadFactor"], None, has_id=False, has_trip_id=False,
+                        has_line=False)
+        dep = F.when(_truthy(so["plannedDeparture"]),
+                     _event(meta, so, True, so["stop"]["id"], st, _stops(so["stop"], prov)))
+        arr = F.when(_truthy(so["plannedArrival"]),
+                     _event(meta, so, False, so["stop"]["id"], st, _stops(so["stop"], dest)))
+        return F.array(dep, arr)
+    return F.flatten(F.transform(F.coalesce(sos, F.array()), one))
+
+
+def _alt_events(a: Column, pm: Column, st: Column, fb: Column, dep: Column) -> Column:
+    """P8 for one board entry with its metadata ``pm``: own row + previous/next stopovers."""
+    sid = F.when(_truthy(a["stop"]["id"]), a["stop"]["id"]).otherwise(fb["id"])
     vals = {n: pm[n] for n in META_FIELDS}
     vals.update({"station_id": sid, "scheduled_time": _ts(a["plannedWhen"]), "projected_time": _ts(a["when"]),
-                 "prognosis_type": a["prognosisType"], "is_departure": F.lit(is_dep),
+                 "prognosis_type": a["prognosisType"], "is_departure": dep,
                  "delay_seconds": a["delay"].cast("int"), "scheduled_platform": a["plannedPlatform"],
-                 "projected_platform": a["platform"], "sample_time": F.col("_ast")})
+                 "projected_platform": a["platform"], "sample_time": st})
     own = F.struct(*[vals[n].alias(n) for n in SAMPLE_FIELDS],
-                   _stops(a["stop"], a["destination"], a["origin"], F.col("_fb")).alias("stations"))
-    out = _rows(x, keep, [own])
-    y = x.select(*keep, "_am", "_ast", a["origin"].alias("_o"), a["destination"].alias("_d"),
-                 a["previousStopovers"].alias("_prev"), a["nextStopovers"].alias("_next"))
-    for col in ("_prev", "_next"):
-        out = out.unionByName(stopover_rows(y, keep, col, "_am", "_ast", "_o", "_d"))
-    return out
-
-
-def trip_rows(df: DataFrame, keep: list[str], t: str, st: str) -> DataFrame:
-    """Origin departure, destination arrival, stopovers, alternatives of a trip or leg."""
-    tc = F.col(t)
-    x = df.select(*keep, F.col(t).alias("_t"), F.col(st).alias("_tst"))
-    tc = F.col("_t")
-    x = x.select(*keep, "_t", "_tst",
-                 metadata(tc, None, tc["origin"]["loadFactor"], tc["departure"]).alias("_pm"),
-                 metadata(tc, None, tc["destination"]["loadFactor"], tc["arrival"]).alias("_dm"))
-    origin = _event(F.col("_pm"), tc, True, tc["origin"]["id"], F.col("_tst"), _stops(tc["origin"]))
-    dest = _event(F.col("_dm"), tc, False, tc["destination"]["id"], F.col("_tst"), _stops(tc["destination"]))
-    out = _rows(x, keep, [origin, dest])
-    y = x.select(*keep, "_pm", "_tst", tc["origin"].alias("_o"), tc["destination"].alias("_d"),
-                 tc["stopovers"].alias("_sos"), tc["alternatives"].alias("_alts"))
-    out = out.unionByName(stopover_rows(y, keep, "_sos", "_pm", "_tst", "_o", "_d"))
-    out = out.unionByName(alternative_rows(y, keep, "_alts", True, "_tst", "_o"))
-    return out
-
-
-def _first_char(c: Column) -> Column:
-    return F.substring(F.ltrim(c), 1, 1)
+                   _stops(a["stop"], a["destination"], a["origin"], fb).alias("stations"))
+    return F.concat(F.array(own),
+                    _stopover_events(a["previousStopovers"], pm, st, a["origin"], a["destination"]),
+                    _stopover_events(a["nextStopovers"], pm, st, a["origin"], a["destination"]))
 
 
 def fptf_samples(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:
-    """Dispatch each response document by type, flatten to raw sample rows.
+    """Dispatch each response document by type, flatten to raw sample rows (one scan).
 
     Output: response columns + one row per sample (``SAMPLE_FIELDS`` and ``stations``).
     """
     keep = [c for c in docs.columns if c != doc_col]
-    t, d = F.col(type_col), F.col(doc_col)
-    is_arr = _first_char(d) == "["
-    no_time = F.lit(None).cast("timestamp_ntz")
-    parts = []
-    for kind, flag in (("departures", True), ("arrivals", False)):
-        arr_docs = docs.where((t == kind) & is_arr).select(
-            *keep, F.from_json(d, ENVELOPES["board_arr"]).alias("_l"), no_time.alias("_st"))
-        obj_docs = docs.where((t == kind) & ~is_arr).select(
-            *keep, F.from_json(d, ENVELOPES[f"{kind}_obj"]).alias("_o"))
-        obj_docs = obj_docs.select(*keep, F.col("_o")[kind].alias("_l"), data_time(F.col("_o")).alias("_st"))
-        parts.append(alternative_rows(arr_docs, keep, "_l", flag, "_st", None))
-        parts.append(alternative_rows(obj_docs, keep, "_l", flag, "_st", None))
-    tr = docs.where(t == "trip").select(*keep, F.from_json(d, ENVELOPES["trip"]).alias("_o"))
-    parts.append(trip_rows(tr.select(*keep, F.col("_o")["trip"].alias("_trip"), data_time(F.col("_o")).alias("_st")),
-                           keep, "_trip", "_st"))
-    jr = docs.where(t == "journeys").select(*keep, F.from_json(d, ENVELOPES["journeys"]).alias("_o"))
-    jr = jr.select(*keep, data_time(F.col("_o")).alias("_st"), F.explode(F.col("_o")["journeys"]).alias("_j"))
-    rj = docs.where(t == "refreshJourney").select(*keep, F.from_json(d, ENVELOPES["refreshJourney"]).alias("_o"))
-    rj = rj.select(*keep, data_time(F.col("_o")).alias("_st"), F.col("_o")["journey"].alias("_j"))
-    for legs_df in (jr, rj):
-        lg = legs_df.select(*keep, "_st", F.explode(F.col("_j")["legs"]).alias("_leg"))
-        lg = lg.where(~F.coalesce(F.col("_leg")["walking"], F.lit(False)))
-        parts.append(trip_rows(lg, keep, "_leg", "_st"))
-    rd = docs.where((t == "radar") & ~is_arr).select(*keep, F.from_json(d, ENVELOPES["radar"]).alias("_o"))
-    rd = rd.select(*keep, data_time(F.col("_o")).alias("_st"), F.explode(F.col("_o")["movements"]).alias("_mv"))
-    rd = rd.select(*keep, "_st", metadata(F.col("_mv"), None, None, None).alias("_pm"),
-                   F.col("_mv")["nextStopovers"].alias("_sos"))
-    parts.append(stopover_rows(rd, keep, "_sos", "_pm", "_st", None, None))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    x = docs.select(*keep, F.explode(_objects(F.col(type_col), F.col(doc_col))).alias("_o"))
+    o = F.col("_o")
+    t, a, m = o["t"], o["a"], o["m"]
+    kind = o["kind"]
+    pm = (F.when(kind == "trip", metadata(t, None, t["origin"]["loadFactor"], t["departure"]))
+          .when(kind == "alt", metadata(a, None, a["stop"]["loadFactor"], None, has_id=False))
+          .otherwise(metadata(m, None, None, None)))
+    dm = F.when(kind == "trip", metadata(t, None, t["destination"]["loadFactor"], t["arrival"]))
+    x = x.select(*keep, "_o", pm.alias("_pm"), dm.alias("_dm"))
+    o, pmc, dmc = F.col("_o"), F.col("_pm"), F.col("_dm")
+    t, a, m, st = o["t"], o["a"], o["m"], o["st"]
+    null_stop = F.lit(None).cast(STOP)
+    trip_rows = F.concat(
+        F.array(_event(pmc, t, True, t["origin"]["id"], st, _stops(t["origin"])),
+                _event(dmc, t, False, t["destination"]["id"], st, _stops(t["destination"]))),
+        _stopover_events(t["stopovers"], pmc, st, t["origin"], t["destination"]),
+        F.flatten(F.transform(F.coalesce(t["alternatives"], F.array()), lambda alt: _alt_events(
+            alt, metadata(alt, None, alt["stop"]["loadFactor"], None, has_id=False), st, t["origin"], F.lit(True)))))
+    alt_rows = _alt_events(a, pmc, st, null_stop, o["dep"])
+    mv_rows = _stopover_events(m["nextStopovers"], pmc, st, null_stop, null_stop)
+    rows = (F.when(o["kind"] == "trip", trip_rows).when(o["kind"] == "alt", alt_rows).otherwise(mv_rows))
+    return x.select(*keep, F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 def stations_of(stops: Column) -> Column:
