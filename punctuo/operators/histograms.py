@@ -10,6 +10,8 @@ histogram-sized and therefore cheap to persist and split.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,12 +91,13 @@ def all_histograms(facts: DataFrame, profile: Profile = DE_DB) -> dict[str, Data
             s.append(src)
         sets.append(s)
         cols += [c for c in s if c not in cols]
-    f.createOrReplaceTempView("_punctuo_facts")
+    view = f"_punctuo_facts_{uuid.uuid4().hex[:12]}"  # unique: concurrent refreshes share a session
+    f.createOrReplaceTempView(view)
     spark = facts.sparkSession
     gs = ", ".join("(" + ", ".join(s) + ")" for s in sets)
     agg = spark.sql(
         f"SELECT {', '.join(cols)}, grouping_id() AS _gid, CAST(sum(sample_count) AS BIGINT) AS sample_count "
-        f"FROM _punctuo_facts GROUP BY GROUPING SETS ({gs})")
+        f"FROM {view} GROUP BY GROUPING SETS ({gs})")
     agg = agg.persist()
     out: dict[str, DataFrame] = {"_all": agg}
     n = len(cols)
