@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, packing, simhash, toxicity
+from . import decontaminate, exact_dedup, packing, simhash, toxicity, url_filter, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op3_warc": warc.op3_warc,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
@@ -16,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_url_filter": url_filter.SQL,
+    "op3_warc": warc.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
 }
