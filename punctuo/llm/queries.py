@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, packing, simhash, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, line_dedup, packing, simhash, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_warc": warc.op3_warc,
+    "op4_token_counts": token_counts.op4_token_counts,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_packing": packing.op7_packing,
     "op8_simhash": simhash.op8_simhash,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
