@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, line_dedup, packing, simhash, token_counts, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_warc": warc.op3_warc,
     "op4_token_counts": token_counts.op4_token_counts,
