@@ -1,7 +1,7 @@
 """Dimension maintenance: surrogate keys, upserts, first-per-key.
 
 Without a table format every write is "build the new version, then swap"
-(``sinks.replace_table``); these functions compute the new version.
+(``sinks.commit``); these functions compute the new version.
 Dimensions are small next to the facts, but nothing here assumes it: key
 assignment is a ``row_number`` over the *new* keys only (distinct values,
 not rows) and lookups are equi-joins that AQE may broadcast by runtime size.

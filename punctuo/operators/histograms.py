@@ -115,11 +115,15 @@ def all_histograms(facts: DataFrame, profile: Profile = DE_DB) -> dict[str, Data
     return out
 
 
+def summed(hist: DataFrame) -> DataFrame:
+    """Counts of equal dimensions added up."""
+    dims = [c for c in hist.columns if c != "sample_count"]
+    return hist.groupBy(*dims).agg(F.sum("sample_count").cast("bigint").alias("sample_count"))
+
+
 def merge_histogram(stored: DataFrame, delta: DataFrame) -> DataFrame:
     """Additive merge of a stored histogram with new partial counts."""
-    dims = [c for c in stored.columns if c != "sample_count"]
-    return (stored.unionByName(delta.select(*stored.columns))
-            .groupBy(*dims).agg(F.sum("sample_count").cast("bigint").alias("sample_count")))
+    return summed(stored.unionByName(delta.select(*stored.columns)))
 
 
 def without_time(src: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"  # local mode: the driver JVM is the executor
+    conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -38,8 +38,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) a fresh scratch folder is made and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only where it is unset and the master is
+    local (tests) a fresh scratch folder is made and registered; elsewhere that is an error.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(cur)
         return cur
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="punctuo-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     try:

@@ -3,8 +3,7 @@
 * Files arrive in a folder; the file source with a checkpoint remembers which
   files were processed (S2), ``trigger(availableNow=True)`` drains what is
   there and stops, like one run of the reference's batch loop.
-* Sample de-duplication across files uses ``dropDuplicatesWithinWatermark``
-  on the content columns (N8), bounded by an event-time watermark.
+* Each batch is freed of repeats against the stored open samples (N8); late rows are kept.
 * ``foreachBatch`` appends the batch and runs the histogram refresh keyed by
   the batch id (D7): a retried batch is recognised and not counted twice.
 """
@@ -14,31 +13,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
 from ..plans import refresh as R
 from ..profiles import DE_DB, Profile
 
-DEDUP_COLS = ["trip_id", "station_id", "is_departure", "scheduled_time", "sample_time", "delay_minutes",
-              "cancelled", "ttl_minutes"]
-
-
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                  max_files: int | None = None) -> DataFrame:
-    """Incremental file source (progress lives in the query checkpoint)."""
+    """Incremental file source (progress lives in the query checkpoint; a new one starts over)."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.load(path)
 
 
-def dedup_stream(df: DataFrame, watermark: str = "2 days", cols: list[str] | None = None) -> DataFrame:
-    """N8 on a stream: identical samples within the watermark are dropped."""
-    ts = df.withColumn("_ev", F.col("scheduled_time").cast("timestamp"))
-    return (ts.withWatermark("_ev", watermark)
-            .dropDuplicatesWithinWatermark(cols or DEDUP_COLS).drop("_ev"))
+def new_samples(batch: DataFrame, current: DataFrame | None) -> DataFrame:
+    """Open and new samples without repeats, equal in all columns but ``id``.
+
+    Repeats are looked for among the stored open samples, which hold two days, so no watermark is
+    needed and no late row is dropped: one that comes after its stop event froze is folded in with its batch.
+    """
+    both = batch if current is None else current.select(*batch.columns).unionByName(batch)
+    return both.dropDuplicates([c for c in both.columns if c != "id"])
 
 
 def ingest_and_refresh(spark: SparkSession, source: DataFrame, state: str, checkpoint: str,
@@ -47,12 +44,11 @@ def ingest_and_refresh(spark: SparkSession, source: DataFrame, state: str, check
     """Each micro-batch = append samples + refresh, committed under its batch id."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch_id in sinks.committed_batches(spark, f"{state}/histograms"):
+        m = sinks.manifest(spark, state)
+        if sinks.committed(m, batch_id):
             return
-        current = sinks.read_table(spark, f"{state}/sample")
-        cols = batch.columns
-        merged = batch if current is None else current.select(*cols).unionByName(batch)
-        R.refresh(spark, merged, remarks, state, profile, batch_id=batch_id)
+        current = R.stored(spark, state, "sample", m)
+        R.refresh(spark, new_samples(batch, current), remarks, state, profile, batch_id=batch_id)
         if on_batch:
             on_batch(batch_id)
 

@@ -5,6 +5,7 @@ import tarfile
 import tempfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from punctuo import fixtures as fx
@@ -30,13 +31,82 @@ def test_stream_equals_batch_and_retry_is_idempotent(spark):
     state, ckpt = f"{work}/state", f"{work}/ckpt"
     q = STR.ingest_and_refresh(spark, STR.stream_files(spark, src, sample.schema), state, ckpt, fx.remarks(spark, D))
     q.awaitTermination()
-    got = sinks.read_table(spark, f"{state}/by_day")
+    got = R.stored(spark, state, "by_day")
     want = H.histogram(FA.facts(sample, fx.remarks(spark, D)), "by_day")
     assert _rows(got) == _rows(want.select(*got.columns))
     # the same batch again (a retry) changes nothing
-    v = sinks.current_version(spark, f"{state}/by_day")
-    R.refresh(spark, sinks.read_table(spark, f"{state}/sample"), None, state, batch_id=0)
-    assert sinks.current_version(spark, f"{state}/by_day") == v
+    before = sinks.manifest(spark, state)
+    assert R.refresh(spark, R.stored(spark, state, "sample"), None, state, batch_id=0) == {}
+    assert sinks.manifest(spark, state) == before
+
+
+def _totals(spark, state):
+    kinds = ("by_hour", "by_day", "by_station", "by_duration")
+    return ([R.stored(spark, state, k).agg(F.sum("sample_count")).first()[0] for k in kinds]
+            + [R.stored(spark, state, "sample").count()])
+
+
+def test_stop_after_each_write_and_retry(spark, tmp_path, monkeypatch):
+    sample, remarks = fx.sample(spark, D).where("trip_id < 'T3'").cache(), fx.remarks(spark, D)
+    first, second = sample.where("id % 2 = 0"), sample.where("id % 2 = 1")
+    R.refresh(spark, first, remarks, f"{tmp_path}/once", batch_id=0)
+    both = STR.new_samples(second, R.stored(spark, f"{tmp_path}/once", "sample"))
+    R.refresh(spark, both, remarks, f"{tmp_path}/once", batch_id=1)
+    want = _totals(spark, f"{tmp_path}/once")
+    state = f"{tmp_path}/stopped"
+    R.refresh(spark, first, remarks, state, batch_id=0)
+    before, real = _totals(spark, state), sinks.write_part
+    for stop in (1, 3, 5, 6):  # after the first and third histogram, after the open samples, in the commit
+        done = []
+
+        def stopping(df, *a, **k):
+            out = real(df, *a, **k)
+            done.append(out)
+            if len(done) == stop:
+                raise KeyboardInterrupt
+            return out
+
+        def stopped(*a, **k):
+            raise KeyboardInterrupt
+        with monkeypatch.context() as m:
+            m.setattr(sinks, "write_part", stopping)
+            if stop == 6:
+                m.setattr(sinks, "commit", stopped)
+            with pytest.raises(KeyboardInterrupt):
+                R.refresh(spark, STR.new_samples(second, R.stored(spark, state, "sample")), remarks, state, batch_id=1)
+        assert _totals(spark, state) == before
+    R.refresh(spark, STR.new_samples(second, R.stored(spark, state, "sample")), remarks, state, batch_id=1)
+    assert _totals(spark, state) == want
+    assert R.refresh(spark, second, remarks, state, batch_id=1) == {}
+    R.refresh_aggregations(spark, state)
+    assert R.stored(spark, state, "by_month").agg(F.sum("sample_count")).first()[0] == want[1]
+    assert R.stored(spark, state, "without_time").agg(F.sum("sample_count")).first()[0] == want[0]
+
+
+def test_commits_keep_history_and_clean_up(spark, tmp_path):
+    state, df = str(tmp_path), spark.range(3).selectExpr("id AS k", "1L AS sample_count")
+    for i in range(4):
+        m = sinks.manifest(spark, state)
+        sinks.commit(spark, state, m, {"t": [sinks.write_part(df.where(f"k <= {i}"), state, "t")]}, batch_id=i)
+    m = sinks.manifest(spark, state)
+    assert m["version"] == 4 and m["batches"] == [[0, 3]] and sinks.read_parts(spark, state, m["tables"]["t"]).count() == 3
+    assert len(os.listdir(f"{state}/t")) == sinks.KEEP
+    with pytest.raises(RuntimeError):  # a second writer from an older state
+        sinks.commit(spark, state, m | {"version": 3}, {})
+    assert sinks.manifest(spark, state) == m
+
+
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", None), (2, "b c", "x")], "i int, s string, t string")
+    sinks.append(df, f"{tmp_path}/p", ["i"])
+    sinks.append(df, f"{tmp_path}/p", ["i"])
+    assert spark.read.parquet(f"{tmp_path}/p").count() == 4
+    sinks.export_tsv(df.coalesce(1), f"{tmp_path}/t")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/t").collect()] == ["1\ta\t", "2\tb c\tx"]
+    sinks.export_json(df, f"{tmp_path}/j")
+    assert {r.s for r in spark.read.json(f"{tmp_path}/j").collect()} == {"a", "b c"}
+    lines = FS.read_lines(spark, f"{tmp_path}/j").collect()
+    assert len(lines) == 2 and all(r.path.startswith("file:") for r in lines)
 
 
 def test_unpack_and_split_log(spark):
