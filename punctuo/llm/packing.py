@@ -5,8 +5,9 @@
    Its configuration LP, min sum(x_c) with sum(x_c * c[l]) >= n_l over all ways c to fill a sequence, is
    solved by multiplicative weights: lengths covered less than their share gain weight, and the fullest
    configuration at these weights is priced by a knapsack dynamic program over the capacity.
-3. Rounding: the scaled solution is cut to whole numbers, configurations are taken only as far as pieces
-   are left, and what remains (about a piece per configuration) is filled in best-fit order, length by length.
+3. Rounding: shares of the solution are cut to whole numbers, configurations are taken only as far as
+   pieces are left, and what remains is filled in best-fit order, length by length; of the shares tried, the
+   one with the fewest sequences stays.
 4. The plan (configuration, how often) says for the r-th piece of a length which sequence and offset it
    gets. Pieces are numbered within (length, salt), with offsets from the counts, so a length that a third
    of all pieces share is numbered by many tasks. The plan's arrays are bounded by the number of
@@ -32,6 +33,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Rounds of the multiplicative weights; each adds a configuration for every length at most.
 ROUNDS = 12
+#: Shares of the fractional solution that the rounding takes over, the best of which stays.
+SHARES = (1.0, 0.5, 0.1)
 #: Rows of one numbering group, about.
 GROUP_ROWS = 4096
 #: White-space words and parts of words whose ids a worker remembers.
@@ -234,11 +237,17 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
         return []
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[int(x)] for x in lengths], float)
+    solution = fractional(lengths, need, capacity, rounds)
+    return min((rounded(histogram, solution, share, capacity) for share in SHARES), key=lambda p: sum(n for _, n in p))
+
+
+def rounded(histogram: dict[int, int], solution: list[tuple[Config, float]], share: float, capacity: int) -> list[tuple[Config, int]]:
+    """Whole numbers for ``share`` of the fractional solution, best fit for what is left."""
     left, used, due = dict(histogram), {}, 0.0
-    for config, times in fractional(lengths, need, capacity, rounds):
+    for config, times in solution:
         if sum(size * n for size, n in config) < capacity:  # a filling with a gap is left to the rounding
             continue
-        due += times  # the fractions of one configuration pass on to the next
+        due += times * share  # the fractions of one configuration pass on to the next
         n = min(int(due), min(left[size] // count for size, count in config))
         if n > 0:
             due -= n

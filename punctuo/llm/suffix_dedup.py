@@ -512,7 +512,8 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts.unpersist()
 
     lead = members.select("sha", doc).groupBy("sha").agg(F.min("doc").alias("lead"))
-    all_ = members.select("id", doc, "sha", "size").join(lead, "sha").join(removed, ["doc", "sha"], "left")
+    all_ = members.select("id", doc, "sha", "size").join(lead, "sha")
+    all_ = all_.join(removed.dropDuplicates(["doc", "sha"]), ["doc", "sha"], "left")  # a repeated row's text may be there twice
     copy = (F.col("doc") > F.col("lead")) & (F.col("size") >= least)
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return all_.select(
