@@ -4,13 +4,8 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from . import core
+    from . import core, dims, gtfs, ingest, sources
     out: dict[str, str] = {}
-    out.update(core.queries())
-    for mod in ("ingest", "gtfs", "dims", "stations", "sources"):
-        try:
-            m = __import__(f"oracle.{mod}", fromlist=["queries"])
-        except ImportError:
-            continue
+    for m in (core, ingest, gtfs, dims, sources):
         out.update(m.queries())
     return out

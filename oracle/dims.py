@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from punctuo.functions.buckets import DELAY_LABELS, py_contained
-
 from . import core
 from .gtfs import OP
 from .ingest import NORM
-from .views import with_views
+from .views import lies_in, with_views
 
 STATION_DIM = """
 station_dim AS (SELECT stop_id AS station_id, stop_name AS name,
@@ -32,10 +30,6 @@ def dist(lon1, lat1, lon2, lat2):
     return f"(acos(greatest(-1.0, least(1.0, {x}))) * 6371000.0)"
 
 
-def labels_in(outer: str) -> str:
-    return "(" + ", ".join(f"'{x}'" for x in DELAY_LABELS if py_contained(x, outer)) + ")"
-
-
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["zip_unnest"] = "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem"
@@ -112,9 +106,9 @@ bm AS (SELECT CAST(year(scheduled_time) AS SMALLINT) AS year, CAST(month(schedul
   product_type_id, operator_id, is_departure, prior_ttl_bucket, prior_delay_bucket, latest_sample_ttl_bucket,
   latest_sample_delay_bucket, CAST(sum(sample_count) AS BIGINT) AS sample_count FROM h GROUP BY ALL),
 own AS (SELECT year, month, category, CAST(sum(sample_count) AS BIGINT) AS stop_events,
-  CAST(sum(CASE WHEN latest_sample_delay_bucket IN {labels_in('(,6)')} THEN sample_count ELSE 0 END) AS BIGINT)
+  CAST(sum(CASE WHEN {lies_in('latest_sample_delay_bucket', None, 6)} THEN sample_count ELSE 0 END) AS BIGINT)
     AS on_time_6,
-  CAST(sum(CASE WHEN latest_sample_delay_bucket IN {labels_in('(,16)')} THEN sample_count ELSE 0 END) AS BIGINT)
+  CAST(sum(CASE WHEN {lies_in('latest_sample_delay_bucket', None, 16)} THEN sample_count ELSE 0 END) AS BIGINT)
     AS on_time_16
   FROM bm JOIN official_operator_mapping m ON CAST(bm.operator_id AS VARCHAR) = m.operator
   WHERE prior_ttl_bucket IS NULL AND latest_sample_delay_bucket IS NOT NULL AND latest_sample_delay_bucket <> '(,)'

@@ -11,7 +11,7 @@ def js_round(x: str, t: str = "INTEGER") -> str:
     return JSR.format(x=x, t=t)
 
 
-DELAY_MIN = js_round("CAST(delay_seconds AS DOUBLE) / 60.0", "SMALLINT")
+DELAY_MIN = js_round("CAST(delay_seconds AS DOUBLE) / 60.0", "INTEGER")
 
 NORM = f"""
 norm AS (
@@ -21,7 +21,7 @@ FROM (
   SELECT * EXCLUDE (delay_seconds, cancelled, sample_time), delay_seconds,
     {DELAY_MIN} AS delay_minutes,
     coalesce(cancelled, false) AS cancelled,
-    (sample_time IS NULL AND response_ts IS NOT NULL) AS sample_time_fallback,
+    sample_time IS NULL AS sample_time_fallback,
     coalesce(sample_time, response_ts - to_seconds(CAST(120 AS BIGINT))) AS sample_time
   FROM raw) n0)"""
 
@@ -51,10 +51,15 @@ SELECT hash, event_id, type, ts FROM (
   FROM responses WHERE ts >= TIMESTAMP '2024-01-15 00:00:00') b
 WHERE rn = 1 AND hash NOT IN (SELECT hash FROM responses WHERE ts < TIMESTAMP '2024-01-15 00:00:00')"""
     q["sample_dedup"] = with_views("sample") + """
-SELECT DISTINCT trip_id, station_id, is_departure, scheduled_time, delay_minutes, cancelled, line_name,
-  product_type_id, operator_id, load_factor_id FROM sample"""
+SELECT DISTINCT * EXCLUDE (id) FROM (SELECT * FROM sample UNION ALL SELECT * FROM sample WHERE id % 3 = 0) s"""
+    q["response_type_name"] = with_views("responses") + """
+SELECT event_id, type_id, CASE type_id WHEN 0 THEN 'journeys' WHEN 1 THEN 'departures' WHEN 2 THEN 'arrivals'
+  WHEN 3 THEN 'trip' WHEN 4 THEN 'refreshJourney' END AS name
+FROM (SELECT event_id, CAST(CASE type WHEN 'journeys' THEN 0 WHEN 'departures' THEN 1 WHEN 'arrivals' THEN 2 WHEN 'trip' THEN 3
+                       WHEN 'radar' THEN 6 END AS SMALLINT) AS type_id FROM responses) r"""
+    q["stream_incremental_files"] = "SELECT event_id, event_type FROM events"
     q["remarks_hash"] = with_views("sample", "remarks") + """
-SELECT md5(to_json(from_json(r.remarks, '[{"code":"VARCHAR","text":"VARCHAR"}]'))) AS remarks_key,
+SELECT md5(r.remarks) AS remarks_key,
   count(*) AS samples
 FROM sample s JOIN remarks r ON s.remarks_hash = r.remarks_hash GROUP BY 1"""
     q["response_log"] = wn + f"""
@@ -85,14 +90,17 @@ SELECT response_id, count(*) AS samples, count(delay_minutes) AS rt_samples,
   count(*) FILTER (WHERE {ins}) AS relevant_samples,
   count(*) FILTER (WHERE {ins} AND remarks_hash IS NOT NULL) AS remarks
 FROM norm GROUP BY response_id"""
-    q["rt_count_check"] = wn + """
+    q["rt_count_check"] = with_views("raw", "responses", extra=[NORM]) + """
 SELECT count(*) FILTER (WHERE expected - actual <> 0) AS incorrect_rt_count,
   CAST(sum(greatest(expected - actual, 0)) AS BIGINT) AS missing_rts,
   CAST(sum(greatest(actual - expected, 0)) AS BIGINT) AS excess_rts,
   count(*) FILTER (WHERE samples = 0) AS empty_responses,
-  CAST(sum(CASE WHEN response_type = 'radar' THEN samples ELSE 0 END) AS BIGINT) AS samples_from_radar
-FROM (SELECT response_id, count(delay_minutes) AS actual, CAST(response_id % 7 AS BIGINT) AS expected,
-        count(*) AS samples, any_value(response_type) AS response_type FROM norm GROUP BY response_id) p"""
+  CAST(sum(CASE WHEN type = 'radar' THEN samples ELSE 0 END) AS BIGINT) AS samples_from_radar,
+  CAST(sum(CASE WHEN type = 'radar' THEN actual ELSE 0 END) AS BIGINT) AS rt_samples_from_radar
+FROM (SELECT r.type, len(regexp_extract_all(r.raw, 'TimeR')) AS expected, coalesce(n.actual, 0) AS actual,
+        coalesce(n.samples, 0) AS samples
+      FROM responses r LEFT JOIN (SELECT response_id, count(delay_minutes) AS actual, count(*) AS samples
+                                  FROM norm GROUP BY response_id) n ON r.event_id = n.response_id) p"""
     q["rt_diff_avg"] = wn + f"""
 SELECT count(*) AS rt_diff_count, CAST(sum(epoch_us(ts) - epoch_us(last)) AS BIGINT) AS rt_diff_sum_us,
   CAST(sum(epoch_us(ts) - epoch_us(last)) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 1000000.0 AS rt_diff_avg_s

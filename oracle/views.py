@@ -6,7 +6,19 @@ pre-registered driver tables.
 
 from __future__ import annotations
 
-from punctuo.functions.buckets import DELAY_CUTS, DELAY_LABELS, TTL_CUTS, TTL_LABELS
+# Fixed values, written out here on their own: left edges and labels of the buckets.
+DELAY_CUTS = (-90, -75, -60, -45, -30, -25, -20, -15, -10, -9, -8, -7, -6, -5, -4, -3, -2, -1, 0, 1, 2, 3, 4, 5, 6, 7,
+              8, 9, 10, 11, 16, 21, 26, 31, 46, 61, 76, 91)
+DELAY_LABELS = (
+    "(,-90)", "[-90,-75)", "[-75,-60)", "[-60,-45)", "[-45,-30)", "[-30,-25)", "[-25,-20)", "[-20,-15)", "[-15,-10)",
+    "[-10,-9)", "[-9,-8)", "[-8,-7)", "[-7,-6)", "[-6,-5)", "[-5,-4)", "[-4,-3)", "[-3,-2)", "[-2,-1)", "[-1,0)", "[0,1)",
+    "[1,2)", "[2,3)", "[3,4)", "[4,5)", "[5,6)", "[6,7)", "[7,8)", "[8,9)", "[9,10)", "[10,11)", "[11,16)", "[16,21)",
+    "[21,26)", "[26,31)", "[31,46)", "[46,61)", "[61,76)", "[76,91)", "[91,)")
+TTL_CUTS = (-20, -15, -10, -5, 0, 5, 10, 15, 20, 25, 30, 45, 60, 75, 90, 120, 150, 180, 240, 300, 360)
+TTL_LABELS = (
+    "(,-20)", "[-20,-15)", "[-15,-10)", "[-10,-5)", "[-5,0)", "[0,5)", "[5,10)", "[10,15)", "[15,20)", "[20,25)", "[25,30)",
+    "[30,45)", "[45,60)", "[60,75)", "[75,90)", "[90,120)", "[120,150)", "[150,180)", "[180,240)", "[240,300)", "[300,360)",
+    "[360,)")
 
 BASE = "TIMESTAMP '2024-01-01 00:00:00'"
 
@@ -23,6 +35,15 @@ def case_bucket(expr: str, cuts, labels) -> str:
     return "(CASE " + " ".join(parts) + " END)"
 
 
+def lies_in(label: str, low: int | None, high: int | None) -> str:
+    """SQL: is the range a label names inside [low, high)? Edges are read from the label itself."""
+    lo = f"TRY_CAST(nullif(regexp_extract({label}, '^[\\[(](-?\\d*),', 1), '') AS INTEGER)"
+    hi = f"TRY_CAST(nullif(regexp_extract({label}, ',(-?\\d*)\\)$', 1), '') AS INTEGER)"
+    parts = ([f"coalesce({lo} >= {low}, false)"] if low is not None else []) + \
+        ([f"coalesce({hi} <= {high}, false)"] if high is not None else [])
+    return f"({label} IS NOT NULL AND " + " AND ".join(parts) + ")"
+
+
 def delay_b(expr: str) -> str:
     return case_bucket(expr, DELAY_CUTS, DELAY_LABELS)
 
@@ -62,20 +83,18 @@ SELECT
   concat('S', CAST(o_custkey % 40 AS VARCHAR)) AS station_id,
   CAST(o_custkey % 4 AS SMALLINT) AS operator_id,
   (l_linenumber % 2 = 0) AS is_departure,
-  CASE WHEN l_linenumber >= 5 THEN md5(concat('r', CAST(l_suppkey % 6 AS VARCHAR))) END AS remarks_hash,
+  CASE WHEN l_linenumber >= 5 THEN md5(concat('r', CAST(l_suppkey AS VARCHAR))) END AS remarks_hash,
   CASE WHEN l_suppkey % 3 = 0 THEN NULL ELSE CAST(l_suppkey % 4 AS SMALLINT) END AS load_factor_id
 FROM b2)"""
 
 REMARKS = """
 remarks AS (
-SELECT md5(concat('r', CAST(k AS VARCHAR))) AS remarks_hash, j AS remarks
-FROM (VALUES
-  (0, '[{"code":"alternative-trip","text":"x"}]'),
-  (1, '[{"code":"a","text":"Ersatzfahrt fuer RE 5"},{"code":"b","text":"wifi"}]'),
-  (2, '[{"code":"a","text":"ICE 2901 replaces"}]'),
-  (3, '[{"code":"a","text":"IC 2950"}]'),
-  (4, '[{"code":"a","text":"a substitute runs"}]'),
-  (5, '[{"code":"wifi","text":"WLAN"}]')) AS t(k, j))"""
+SELECT md5(concat('r', CAST(s_suppkey AS VARCHAR))) AS remarks_hash,
+  concat('[{"type":"', CASE WHEN s_suppkey % 2 = 0 THEN 'hint' ELSE 'status' END, '","code":"',
+    CASE WHEN s_suppkey % 6 = 0 THEN 'alternative-trip' ELSE 'a' END, '","text":"',
+    CASE s_suppkey % 6 WHEN 1 THEN 'Ersatzfahrt fuer RE 5' WHEN 2 THEN 'ICE 2901 replaces' WHEN 3 THEN 'IC 2950'
+      WHEN 4 THEN 'a substitute runs' ELSE 'WLAN' END, '","summary":"', s_name, '"}]') AS remarks
+FROM supplier)"""
 
 STOPS = """
 stops AS (
@@ -131,7 +150,8 @@ responses AS (
 SELECT event_id,
   md5(concat('e', CAST(CASE WHEN event_id % 50 = 1 THEN event_id - event_id % 3 ELSE event_id END AS VARCHAR))) AS hash,
   CASE event_type WHEN 'view' THEN 'departures' WHEN 'click' THEN 'arrivals'
-                  WHEN 'signup' THEN 'trip' WHEN 'purchase' THEN 'journeys' END AS type,
+                  WHEN 'signup' THEN 'trip' WHEN 'purchase' THEN CASE WHEN event_id % 4 = 3 THEN 'radar' ELSE 'journeys' END
+                  END AS type, concat('{"board":[', repeat('{"dTimeR":"1"},', CAST(event_id % 7 AS INTEGER)), '{}]}') AS raw,
   ts
 FROM events)"""
 
@@ -159,7 +179,7 @@ def with_views(*names: str, extra: list[str] | None = None) -> str:
 RAW = """
 raw AS (
 SELECT r0.*, e.hash, e.type AS response_type, e.ts AS response_ts FROM (
-  SELECT id AS sample_id, id % 997 AS response_id, trip_id, station_id, is_departure, scheduled_time,
+  SELECT id AS sample_id, id % (SELECT max(event_id) + 1 FROM events) AS response_id, trip_id, station_id, is_departure, scheduled_time,
     CASE WHEN delay_minutes IS NOT NULL
          THEN scheduled_time + to_seconds(CAST(CAST(delay_minutes AS INTEGER) * 60 + id % 61 - 30 AS BIGINT)) END
       AS projected_time,

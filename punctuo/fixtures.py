@@ -55,26 +55,21 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), _s(ck % 40)).alias("station_id"),
         (ck % 4).cast("smallint").alias("operator_id"),
         (ln % 2 == 0).alias("is_departure"),
-        F.when(ln >= 5, F.md5(F.concat(F.lit("r"), _s(sk % 6)))).alias("remarks_hash"),
+        F.when(ln >= 5, F.md5(F.concat(F.lit("r"), _s(sk)))).alias("remarks_hash"),
         F.when(sk % 3 != 0, sk % 4).cast("smallint").alias("load_factor_id"),
     )
 
 
-# Remarks dictionary: hashes 0-4 carry one substitute marker each, 5 none.
-REMARKS_ROWS = [
-    (0, '[{"code":"alternative-trip","text":"x"}]'),
-    (1, '[{"code":"a","text":"Ersatzfahrt fuer RE 5"},{"code":"b","text":"wifi"}]'),
-    (2, '[{"code":"a","text":"ICE 2901 replaces"}]'),
-    (3, '[{"code":"a","text":"IC 2950"}]'),
-    (4, '[{"code":"a","text":"a substitute runs"}]'),
-    (5, '[{"code":"wifi","text":"WLAN"}]'),
-]
-
-
-def remarks(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    """Remarks dimension (a fixed 6-row dictionary; joined, never a query on its own)."""
-    df = spark.createDataFrame(REMARKS_ROWS, "k int, remarks string")
-    return df.select(F.md5(F.concat(F.lit("r"), _s(F.col("k")))).alias("remarks_hash"), "remarks")
+def remarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remarks dimension, one array of one remark per supplier; 4 in 6 announce a substitute."""
+    k = F.col("s_suppkey")
+    text = (F.when(k % 6 == 1, "Ersatzfahrt fuer RE 5").when(k % 6 == 2, "ICE 2901 replaces").when(k % 6 == 3, "IC 2950")
+            .when(k % 6 == 4, "a substitute runs").otherwise("WLAN"))
+    return table(spark, sf_dir, "supplier").select(
+        F.md5(F.concat(F.lit("r"), _s(k))).alias("remarks_hash"),
+        F.concat(F.lit('[{"type":"'), F.when(k % 2 == 0, "hint").otherwise("status"), F.lit('","code":"'),
+                 F.when(k % 6 == 0, "alternative-trip").otherwise("a"), F.lit('","text":"'), text,
+                 F.lit('","summary":"'), F.col("s_name"), F.lit('"}]')).alias("remarks"))
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,8 +135,10 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.md5(F.concat(F.lit("e"), _s(F.when(i % 50 == 1, i - i % 3).otherwise(i))))
     t = F.col("event_type")
     typ = (F.when(t == "view", "departures").when(t == "click", "arrivals")
-           .when(t == "signup", "trip").when(t == "purchase", "journeys"))
-    return e.select("event_id", h.alias("hash"), typ.alias("type"), "ts")
+           .when(t == "signup", "trip")
+           .when(t == "purchase", F.when(i % 4 == 3, "radar").otherwise("journeys")))
+    raw = F.concat(F.lit('{"board":['), F.repeat(F.lit('{"dTimeR":"1"},'), (i % 7).cast("int")), F.lit("{}]}"))
+    return e.select("event_id", h.alias("hash"), typ.alias("type"), raw.alias("raw"), "ts")
 
 
 def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,12 +150,13 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     (an ``events`` row) it came in, for the fallback time.
     """
     s = sample(spark, sf_dir)
+    events = table(spark, sf_dir, "events")
     i = F.col("id")
     delay_s = F.when(F.col("delay_minutes").isNotNull(), F.col("delay_minutes").cast("int") * 60 + i % 61 - 30)
     r = responses(spark, sf_dir).select(F.col("event_id").alias("response_id"), "hash",
                                         F.col("type").alias("response_type"), F.col("ts").alias("response_ts"))
     raw = s.select(
-        i.alias("sample_id"), (i % 997).alias("response_id"), "trip_id", "station_id", "is_departure",
+        i.alias("sample_id"), F.pmod(i, events.select(F.max("event_id") + 1).scalar()).alias("response_id"), "trip_id", "station_id", "is_departure",
         "scheduled_time",
         F.when(delay_s.isNotNull(), F.timestamp_add("SECOND", delay_s, F.col("scheduled_time"))).alias("projected_time"),
         delay_s.alias("delay_seconds"),
@@ -310,7 +308,7 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         first["plannedDeparture"].alias("plannedDeparture"), first["departure"].alias("departure"),
         first["departureDelay"].alias("departureDelay"), last["plannedArrival"].alias("plannedArrival"),
         last["arrival"].alias("arrival"), last["arrivalDelay"].alias("arrivalDelay"),
-        F.slice(F.col("sos"), 2, 1000).alias("stopovers"))
+        F.slice(F.col("sos"), F.lit(2), F.size("sos")).alias("stopovers"))
     rt_s = F.unix_timestamp(F.timestamp_add("HOUR", F.lit(4), F.col("_day")).cast("timestamp"))
     walking = F.struct(F.lit(True).alias("walking"), last["stop"].alias("origin"), last["stop"].alias("destination"))
     leg = trip.withField("walking", F.lit(False))

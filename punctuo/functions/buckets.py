@@ -10,8 +10,6 @@ log2(#buckets) comparisons inside generated code.
 from __future__ import annotations
 
 import re
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -168,12 +166,6 @@ def _reduced_for(label: str) -> str | None:
 REDUCED_OF_TTL_ID = {i: _reduced_for(lab) for i, lab in enumerate(TTL_LABELS)}
 
 
-def reduced_ttl_label_from_id(idcol: Column) -> Column:
-    pairs = [(i, lab) for i, lab in REDUCED_OF_TTL_ID.items() if lab is not None]
-    return reduce(lambda acc, p: F.when(idcol == F.lit(p[0]), F.lit(p[1])).otherwise(acc),
-                  pairs, F.lit(None).cast("string"))
-
-
 def response_type_name(col: Column) -> Column:
     """A5: id -> name for the ids the lookup knows, NULL otherwise."""
     out = F.lit(None).cast("string")
@@ -188,5 +180,5 @@ def js_round(col: Column) -> Column:
 
 
 def minutes_from_seconds(col: Column) -> Column:
-    """Delay seconds -> minutes, rounded as above, NULL stays NULL."""
-    return js_round(col / F.lit(60.0)).cast("smallint")
+    """Delay seconds -> minutes, rounded as above, NULL stays NULL (int: outliers are counted, not an error)."""
+    return js_round(col / F.lit(60.0)).try_cast("int")

@@ -3,8 +3,7 @@
 Without a table format every write is "build the new version, then swap"
 (``sinks.commit``); these functions compute the new version.
 Dimensions are small next to the facts, but nothing here assumes it: key
-assignment is a ``row_number`` over the *new* keys only (distinct values,
-not rows) and lookups are equi-joins that AQE may broadcast by runtime size.
+assignment numbers the *new* keys only (distinct values, not rows) in two passes and lookups are equi-joins that AQE may broadcast by runtime size.
 """
 
 from __future__ import annotations
@@ -12,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def zip_rows(df: DataFrame, arrays: list[str], names: list[str] | None = None) -> DataFrame:
     """Parallel arrays -> one row per index (``UNNEST(a, b, ...)``)."""
@@ -21,6 +22,27 @@ def zip_rows(df: DataFrame, arrays: list[str], names: list[str] | None = None) -
     return df.select(*keep, F.inline(z))
 
 
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """``df`` with ``_nr``, 1, 2, ... in ``order``, without all rows in one task.
+
+    Rows are range-partitioned and sorted; the partitions are numbered locally, and the sum of the counts of
+    the partitions before (one number for each partition) is added. The checkpoint keeps the range
+    bounds the same for both passes.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    low = F.monotonically_increasing_id()  # (partition << 33) + place
+    rows = (df.repartitionByRange(n, order).sortWithinPartitions(order)
+            .select("*", F.shiftright(low, 33).alias("_part"), low.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"))
+            .checkpoint())
+    count = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    base = count.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return (rows.join(base, "_part").withColumn("_nr", F.col("_before") + F.col("_place") + 1)
+            .drop("_part", "_place", "_before"))
+
+
 def assign_ids(dim: DataFrame, values: DataFrame, key: str, id_col: str) -> tuple[DataFrame, DataFrame]:
     """D3: add unseen natural keys to ``dim`` with ids after max(id); map ``values.key`` to ids.
 
@@ -29,9 +51,8 @@ def assign_ids(dim: DataFrame, values: DataFrame, key: str, id_col: str) -> tupl
     seen = values.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
     missing = seen.join(dim.select(key), key, "left_anti")
     base = dim.select(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
-    w = Window.orderBy(key)  # distinct NEW keys of one batch: a small, ordered id range
-    new = (missing.crossJoin(base)
-           .select((F.col("_base") + F.row_number().over(w)).cast(dim.schema[id_col].dataType).alias(id_col), key))
+    new = (numbered(missing, key).crossJoin(base)
+           .select((F.col("_base") + F.col("_nr")).cast(dim.schema[id_col].dataType).alias(id_col), key))
     dim2 = dim.select(id_col, key).unionByName(new)
     mapped = values.join(dim2.withColumnRenamed(key, "_k"), F.col(key) == F.col("_k"), "left").drop("_k", key)
     return dim2, mapped
@@ -58,9 +79,11 @@ def upsert(old: DataFrame, new: DataFrame, key: str, update: list[str], only_if_
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFrame:
-    """Insert rows whose key is not stored yet; conflicts are ignored."""
+    """Insert rows whose key is not stored yet; conflicts, also among the new rows, are ignored."""
     keys = [key] if isinstance(key, str) else key
-    return old.unionByName(new.select(*old.columns).join(old.select(*keys), keys, "left_anti"))
+    rest = [F.col(c) for c in old.columns if c not in keys]
+    fresh = new.select(*old.columns).join(old.select(*keys), keys, "left_anti").select(*old.columns)
+    return old.unionByName(first_per_key(fresh, keys, rest) if rest else fresh.dropDuplicates(keys))
 
 
 def first_per_key(df: DataFrame, key: str | list[str], order: list[Column] | Column) -> DataFrame:

@@ -6,13 +6,9 @@ Plan shape (scale notes):
   event by (sample_time desc, ttl asc, id asc). Written as ``row_number() = 1``
   so Catalyst inserts a partial WindowGroupLimit before the shuffle: a hot stop
   event sends at most one row per map task over the network.
-* ``facts``: every frozen sample joined to the latest row of its stop event on
-  the four identity columns. The latest side is one row per stop event, the
-  sample side is the bulk; AQE splits a skewed sample partition (hot key) and
-  replicates the matching latest rows, or turns the join into a broadcast when
-  the runtime size of the latest side is under the broadcast threshold.
-* The substitute lookup is joined after the top-1 reduction, on the latest side
-  only, so it touches one row per stop event instead of every sample.
+* ``facts``: every frozen sample next to the latest of its stop event by one unordered window on
+  the four identity columns: one scan and one shuffle of the samples.
+* The substitute lookup runs on the hash of cancelled latest samples only.
 * Buckets stay small integer ids here (``functions.buckets``); labels are made
   after the histograms aggregate.
 """
@@ -85,6 +81,35 @@ def latest_samples(sample: DataFrame, remarks: DataFrame | None = None,
     )
 
 
+def with_latest(sample: DataFrame, remarks: DataFrame | None = None, profile: Profile = DE_DB) -> DataFrame:
+    """A7 + A9 in one pass: every sample next to the latest informative one of its stop event.
+
+    One unordered window on the stop event, so the samples are read and shuffled once; the latest is the
+    greatest (sample time, -ttl, -id) of the informative rows. Stop events without one drop out. A stop event
+    holds the observations of one arrival or departure, some hundred rows; its window buffer spills.
+    """
+    own = ["id", "ttl_minutes", "delay_minutes", "cancelled", "projected_duration_minutes", "remarks_hash"]
+    s = sample.select(*KEY, *own, "sample_time", "scheduled_duration_minutes", "line_name", "product_type_id",
+                      "operator_id", "load_factor_id")
+    rank = [F.col("sample_time").alias("t"), F.coalesce(-F.col("ttl_minutes").cast("int"), F.lit(1 << 30)).alias("ttl_first"),
+            (-F.col("id")).alias("id_first")]
+    informative = F.col("delay_minutes").isNotNull() | F.col("cancelled")
+    latest = F.max(F.when(informative, F.struct(*rank, *own))).over(Window.partitionBy(*KEY))
+    j = s.withColumn("_latest", latest).where(F.col("_latest").isNotNull())
+    has_sub = F.lit(False)
+    if profile.substitute_detection and remarks is not None:
+        subs = substitute_hashes(remarks).select(F.col("remarks_hash").alias("_sub_hash"))
+        gone = F.when(F.col("_latest.cancelled"), F.col("_latest.remarks_hash"))  # only these rows need the lookup
+        j = j.withColumn("_gone", gone).join(subs, F.col("_gone") == F.col("_sub_hash"), "left")
+        has_sub = F.col("_sub_hash").isNotNull()
+    gone = F.col("_latest.cancelled")
+    return j.withColumns({
+        "latest_id": F.col("_latest.id"), "latest_ttl_minutes": F.col("_latest.ttl_minutes"),
+        "latest_delay_minutes": F.when(~gone, F.col("_latest.delay_minutes")),
+        "latest_projected_duration_minutes": F.col("_latest.projected_duration_minutes"),
+        "cancelled_with_substitute": F.when(gone & has_sub, True).when(gone, False).cast("boolean")})
+
+
 def _relative_bucket(is_latest: Column, own: Column, latest: Column, cws: Column) -> Column:
     rel = F.when(is_latest | own.isNull(), latest.cast("int")).otherwise(latest.cast("int") - own.cast("int"))
     return F.when(cws == F.lit(True), F.lit(B.SUBSTITUTE_ID).cast("tinyint")).otherwise(B.delay_bucket_id(rel))
@@ -98,11 +123,8 @@ def facts(sample: DataFrame, remarks: DataFrame | None = None, profile: Profile
     """
     thr = freeze_threshold_col(sample) if threshold is None else threshold
     frozen = sample.where(F.col("scheduled_time") < thr)
-    latest = latest_samples(frozen, remarks, profile)
-    s = frozen.select(*KEY, "id", "ttl_minutes", "delay_minutes", "cancelled", "scheduled_duration_minutes",
-                      "projected_duration_minutes", "line_name", "product_type_id", "operator_id",
-                      "load_factor_id")
-    j = s.join(latest, KEY, "inner").where(~F.col("cancelled") | (F.col("latest_id") == F.col("id")))
+    j = with_latest(frozen, remarks, profile)
+    j = j.where(~F.col("cancelled") | (F.col("latest_id") == F.col("id")))
     is_latest = F.col("latest_id") == F.col("id")
     cws = F.col("cancelled_with_substitute")
     latest_ttl = B.ttl_bucket_id(F.col("latest_ttl_minutes"))

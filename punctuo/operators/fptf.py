@@ -55,7 +55,7 @@ def _truthy(c: Column) -> Column:
 
 
 def _ts(s: Column) -> Column:
-    return F.to_timestamp(s).cast("timestamp_ntz")
+    return F.try_to_timestamp(s).cast("timestamp_ntz")  # NULL where it is no date
 
 
 def data_time(doc: Column) -> Column:

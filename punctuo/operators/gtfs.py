@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.buckets import js_round
+from .dims import numbered
 
 # --- fixed values --------------------------------------------------------------
 OFFLINE_SAMPLES_PER_TRIP = 1
@@ -31,7 +32,6 @@ FEED_FILE_SAMPLING = 3
 VERSION_SWITCH_HOUR = 14          # a version is valid until 14:00 local on the next version's file date
 OPERATOR_ID_LIMIT = 30000
 OTHER_OPERATOR = (0, "0", "Other")
-VERSION_BROADCAST_LIMIT = 100_000  # rows; a version table is one row per published timetable
 # ---------------------------------------------------------------------------------
 
 
@@ -216,11 +216,9 @@ def offline_instances(instances: DataFrame, seed: int = 42) -> DataFrame:
 def every_nth(files: DataFrame, n: int = FEED_FILE_SAMPLING, order: str = "path") -> DataFrame:
     """The n-th, 2n-th, ... file in sorted order; a trailing incomplete group is dropped.
 
-    A global row number needs one ordered pass; the file listing is one row per
-    file (metadata, not data), so this sorts file names only.
+    Numbered in two passes (``dims.numbered``), so the listing never meets in one task.
     """
-    w = Window.orderBy(order)
-    return files.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") % n == 0).drop("_rn")
+    return numbered(files, order).where(F.col("_nr") % n == 0).drop("_nr")
 
 
 def feed_time(header_ts: Column, mtime: Column) -> Column:
@@ -229,7 +227,11 @@ def feed_time(header_ts: Column, mtime: Column) -> Column:
 
 
 def version_validity(versions: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Version v is valid for (valid_until(v-1), valid_until(v)]; newest has none."""
+    """Version v is valid for (valid_until(v-1), valid_until(v)]; newest has none.
+
+    One window over all versions: a timetable is published at most a few times a day, so the
+    table is bounded by about a thousand rows a year.
+    """
     w = Window.orderBy("version")
     nxt = F.lead("mtime").over(w)
     until = F.timestamp_add("HOUR", F.lit(VERSION_SWITCH_HOUR), F.date_trunc("day", nxt).cast("timestamp_ntz"))
@@ -242,17 +244,15 @@ def version_validity(versions: DataFrame, tz: str = "UTC") -> DataFrame:
 def attach_version(feeds: DataFrame, versions: DataFrame, ts: str = "feed_ts", tz: str = "UTC") -> DataFrame:
     """As-of join of each feed to the version valid at its time; NULL = gtfsUnavailable.
 
-    The version table has one row per published timetable; it is broadcast only
-    after its row count is checked, else joined by day bucket.
+    One plan for every size: versions are spread over the days they are valid for (the first one from the first
+    feed on) and joined on the day; the exact bounds decide within it.
     """
     v = version_validity(versions, tz).where(F.col("valid_until").isNotNull())
-    cond = ((F.col(ts) > F.coalesce(F.col("valid_from"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
-            & (F.col(ts) <= F.col("valid_until")))
-    vv = v.select("version", "valid_from", "valid_until")
-    if vv.count() <= VERSION_BROADCAST_LIMIT:
-        return feeds.join(F.broadcast(vv), cond, "left")
-    # range join by day bucket: explode each version over the days it covers
-    days = F.sequence(F.to_date(F.coalesce("valid_from", "valid_until")), F.to_date("valid_until"))
-    vb = vv.withColumn("_day", F.explode(days))
+    start = F.coalesce("valid_from", feeds.select(F.min(ts)).scalar(), "valid_until")
+    v = v.select("version", "valid_from", "valid_until", F.least(start, F.col("valid_until")).alias("_start"))
+    days = F.sequence(F.to_date("_start"), F.to_date("valid_until"))
+    vb = v.select("version", "valid_from", "valid_until", F.explode(days).alias("_vday"))
     fb = feeds.withColumn("_day", F.to_date(F.col(ts)))
-    return fb.join(vb, (fb._day == vb._day) & cond, "left").drop("_day")
+    cond = ((F.col("_day") == F.col("_vday")) & (F.col(ts) <= F.col("valid_until"))
+            & (F.col("valid_from").isNull() | (F.col(ts) > F.col("valid_from"))))
+    return fb.join(vb, cond, "left").drop("_day", "_vday")

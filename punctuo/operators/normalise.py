@@ -36,12 +36,12 @@ def normalise(raw: DataFrame, response_ts: str = "response_ts") -> DataFrame:
     return raw.withColumns({
         "delay_minutes": minutes_from_seconds(F.col("delay_seconds")),
         "cancelled": F.coalesce(F.col("cancelled"), F.lit(False)),
-        "sample_time_fallback": st.isNull() & F.col(response_ts).isNotNull(),
+        "sample_time_fallback": st.isNull(),
         "sample_time": F.coalesce(st, fallback),
     }).withColumn(
         "ttl_minutes",
         minutes_between(F.coalesce(F.col("projected_time"), F.col("scheduled_time")), F.col("sample_time"))
-        .cast("int"))
+        .try_cast("int"))
 
 
 def with_sample_time(df: DataFrame) -> DataFrame:
@@ -81,12 +81,9 @@ def dedup_samples(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.dropDuplicates(cols) if cols else df.dropDuplicates()
 
 
-REMARK_JSON_SCHEMA = "array<struct<code:string,text:string>>"
-
-
 def remarks_key(remarks_json: Column) -> Column:
-    """md5 of the compact JSON text of the remarks array."""
-    return F.md5(F.to_json(F.from_json(remarks_json, REMARK_JSON_SCHEMA)))
+    """md5 of the whole remarks array as compact JSON text, every field of it."""
+    return F.md5(F.get_json_object(remarks_json, "$"))
 
 
 def response_type_id(col: Column) -> Column:
@@ -139,20 +136,24 @@ def quality(norm: DataFrame) -> DataFrame:
     )
 
 
-def rt_count_check(norm: DataFrame, expected: Column) -> DataFrame:
-    """Expected vs extracted realtime count per response, then totals."""
-    per = norm.groupBy("response_id").agg(F.count("delay_minutes").alias("actual"),
-                                          F.first(expected).alias("expected"),
-                                          F.count(F.lit(1)).alias("samples"),
-                                          F.first("response_type").alias("response_type"))
+def rt_count_check(responses: DataFrame, norm: DataFrame) -> DataFrame:
+    """Expected (S7, ``expected_rt_count``) vs extracted realtime count per response, then totals.
+
+    Driven by the responses, so one without any sample counts as empty.
+    """
+    n = norm.groupBy("response_id").agg(F.count("delay_minutes").alias("_rt"), F.count(F.lit(1)).alias("_all"))
+    per = (responses.join(n, responses.event_id == n.response_id, "left")
+           .select("type", F.col("expected_rt_count").alias("expected"), F.coalesce("_rt", F.lit(0)).alias("actual"),
+                   F.coalesce("_all", F.lit(0)).alias("samples")))
     diff = F.col("expected") - F.col("actual")
+    radar = F.col("type") == "radar"
     return per.agg(
         F.count_if(diff != 0).alias("incorrect_rt_count"),
         F.sum(F.greatest(diff, F.lit(0))).cast("bigint").alias("missing_rts"),
         F.sum(F.greatest(-diff, F.lit(0))).cast("bigint").alias("excess_rts"),
         F.count_if(F.col("samples") == 0).alias("empty_responses"),
-        F.sum(F.when(F.col("response_type") == "radar", F.col("samples")).otherwise(0)).cast("bigint")
-        .alias("samples_from_radar"))
+        F.sum(F.when(radar, F.col("samples")).otherwise(0)).cast("bigint").alias("samples_from_radar"),
+        F.sum(F.when(radar, F.col("actual")).otherwise(0)).cast("bigint").alias("rt_samples_from_radar"))
 
 
 def rt_diff_avg(norm: DataFrame) -> DataFrame:

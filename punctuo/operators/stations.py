@@ -39,7 +39,7 @@ def read_official_stations(spark, path: str) -> DataFrame:
 
 def official_from_raw(raw: DataFrame) -> DataFrame:
     def num(c):
-        return F.regexp_replace(F.col(c), ",", ".").cast("double")
+        return F.regexp_replace(F.col(c), ",", ".").try_cast("double")  # NULL where it is no number
     return raw.select(F.col("EVA_NR").cast("string").alias("eva"), F.col("IFOPT").alias("ifopt"),
                       F.col("NAME").alias("name"), num("Laenge").alias("lon"), num("Breite").alias("lat"))
 

@@ -6,6 +6,7 @@ operator (or a chain ending in it) over the whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,11 @@ from . import fixtures as fx
 from .operators import facts as FA
 from .operators import histograms as H
 from .operators import stats as ST
+from .functions import buckets as B
 from .profiles import CH_SBB, DE_DB, DE_GTFS
+from .session import shared_path
+from .sources import envelopes as EN
+from .streaming import stream as STR
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -58,6 +63,22 @@ def q_substitute_running(spark, d):
     return subs.join(s, "remarks_hash", "left_semi")
 
 
+@register("delay_bucket")
+def q_delay_bucket(spark, d):
+    return fx.sample(spark, d).select("id", "delay_minutes", B.delay_bucket(F.col("delay_minutes")).alias("bucket"))
+
+
+@register("ttl_bucket")
+def q_ttl_bucket(spark, d):
+    return fx.sample(spark, d).select("id", "ttl_minutes", B.ttl_bucket(F.col("ttl_minutes")).alias("bucket"))
+
+
+@register("reduced_ttl_bucket")
+def q_reduced_ttl_bucket(spark, d):
+    s = fx.sample(spark, d).select("id", B.ttl_bucket(F.col("ttl_minutes")).alias("bucket"))
+    return s.select("id", "bucket", B.reduced_ttl_bucket(F.col("bucket")).alias("reduced"))
+
+
 @register("sample_facts")
 def q_sample_facts(spark, d):
     return FA.label_facts(_facts(spark, d)).drop("latest_sample_ttl_bucket_h")
@@ -83,9 +104,10 @@ for _k in ("by_hour", "by_day", "by_station", "by_duration"):
 
 @register("histogram_merge")
 def q_histogram_merge(spark, d):
-    h = _hist(spark, d, "by_day")
-    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    return H.merge_histogram(h.where(F.col("scheduled_time") < cut), h.where(F.col("scheduled_time") >= cut))
+    # the facts (latest known) fall in halves by line and station, so most keys are in both
+    f = _facts(spark, d)
+    half = F.pmod(F.xxhash64("line_name", "station_id"), F.lit(2))
+    return H.merge_histogram(H.histogram(f.where(half == 0), "by_day"), H.histogram(f.where(half == 1), "by_day"))
 
 
 @register("histogram_without_time")
@@ -189,16 +211,31 @@ STORED_BEFORE = "2024-01-15 00:00:00"
 def q_response_dedup(spark, d):
     r = fx.responses(spark, d)
     cut = F.lit(STORED_BEFORE).cast("timestamp_ntz")
+    r = r.drop("raw")
     return N.new_responses(r.where(F.col("ts") >= cut), r.where(F.col("ts") < cut))
 
 
-SAMPLE_CONTENT = ["trip_id", "station_id", "is_departure", "scheduled_time", "delay_minutes", "cancelled",
-                  "line_name", "product_type_id", "operator_id", "load_factor_id"]
-
-
 @register("sample_dedup")
 def q_sample_dedup(spark, d):
-    return N.dedup_samples(fx.sample(spark, d).select(*SAMPLE_CONTENT))
+    # a third of the samples is reported again under another id
+    s = fx.sample(spark, d)
+    return N.dedup_samples(s.unionByName(s.where("id % 3 = 0")).drop("id"))
+
+
+@register("response_type_name")
+def q_response_type_name(spark, d):
+    r = fx.responses(spark, d).select("event_id", N.response_type_id(F.col("type")).alias("type_id"))
+    return r.select("event_id", "type_id", B.response_type_name(F.col("type_id")).alias("name"))
+
+
+@register("stream_incremental_files")
+def q_stream_incremental_files(spark, d):
+    src = fx.table(spark, d, "events").select("event_id", "event_type")
+    out = shared_path(spark, f"stream-{uuid.uuid4().hex}")
+    rows = STR.stream_files(spark, f"{d.rstrip('/')}/events*.parquet", src.schema)
+    (rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/progress")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(src.schema).parquet(f"{out}/rows")
 
 
 @register("remarks_hash")
@@ -221,8 +258,8 @@ def q_quality_counters(spark, d):
 
 @register("rt_count_check")
 def q_rt_count_check(spark, d):
-    # expected count as the raw response would announce it (fixture: id-derived)
-    return N.rt_count_check(_norm(spark, d), (F.col("response_id") % 7).cast("bigint"))
+    r = fx.responses(spark, d).withColumn("expected_rt_count", EN.expected_rt(F.col("raw")))
+    return N.rt_count_check(r, _norm(spark, d))
 
 
 @register("rt_diff_avg")
@@ -488,7 +525,6 @@ def q_official_comparison(spark, d):
 # --- S5-S8: response readers; P: FPTF documents --------------------------------
 
 from .operators import fptf as P  # noqa: E402
-from .sources import envelopes as EN  # noqa: E402
 
 
 @register("hafas_envelope")

@@ -62,9 +62,9 @@ def hafas_responses(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def log_meta(line: Column) -> Column:
-    """Access-log header -> struct<ts, type> (NULL if not a 200 GET line)."""
+    """Access-log header -> struct<ts, type> (NULL if not a 200 GET line; ``ts`` NULL if it is no date)."""
     ts_txt = F.regexp_extract(line, ACCESS_LOG_RE, 1)
     path = F.regexp_extract(line, ACCESS_LOG_RE, 2)
-    ts = F.to_timestamp(ts_txt, ACCESS_LOG_TS).cast("timestamp_ntz")
+    ts = F.try_to_timestamp(ts_txt, F.lit(ACCESS_LOG_TS)).cast("timestamp_ntz")
     typ = F.regexp_extract(path, ACCESS_LOG_TYPES, 1)
     return F.when(ts_txt != "", F.struct(ts.alias("ts"), F.when(typ != "", typ).alias("type")))
