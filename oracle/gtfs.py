@@ -38,71 +38,83 @@ rt AS (SELECT r.route_id, a.operator_id, r.route_short_name AS line_name, r.rout
          {product('r.route_type', 'r.route_short_name')} AS product_type_id
        FROM routes r JOIN (SELECT agency_id, {OP} AS operator_id FROM agency) a ON r.agency_id = a.agency_id)""",
         """
-inst AS (SELECT tu.*, t.route_id, t.trip_short_name AS line_fahrtnr, rt.operator_id, rt.line_name, rt.product_name,
+inst AS (SELECT tu.* EXCLUDE (run), t.route_id, t.trip_short_name AS line_fahrtnr, rt.operator_id, rt.line_name, rt.product_name,
            rt.product_type_id
          FROM trip_updates tu JOIN trips t ON tu.trip_id = t.trip_id JOIN rt ON t.route_id = rt.route_id
          WHERE tu.trip_schedule_relationship IN ('SCHEDULED', 'CANCELED')
            AND tu.trip_id IN (SELECT trip_id FROM gtfs_stop_times))"""]
 
-W = "PARTITION BY trip_id, start_date, feed_ts"
+def mins(later: str, earlier: str) -> str:
+    return f"CAST(floor(CAST(epoch_us({later}) - epoch_us({earlier}) AS DOUBLE) / 60000000.0 + 0.5) AS INTEGER)"
 
 
-def mins(later: str, earlier: str) -> str:
-    return f"CAST(floor(CAST(epoch_us({later}) - epoch_us({earlier}) AS DOUBLE) / 60000000.0 + 0.5) AS SMALLINT)"
-
-
-EVENTS = INST + [f"""
-st AS (SELECT trip_id, stop_sequence, stop_id, {secs('arrival_time')} AS arr_s, {secs('departure_time')} AS dep_s
-       FROM gtfs_stop_times)""", f"""
-j AS (SELECT i.*, st.stop_sequence, st.stop_id, st.arr_s, st.dep_s,
-        min(st.stop_sequence) OVER w AS f, max(st.stop_sequence) OVER w AS l,
-        arg_min(st.dep_s, st.stop_sequence) OVER w AS fd,
-        u.trip_id IS NOT NULL AS has_upd, u.schedule_relationship AS upd_rel,
-        CAST(u.departure_delay AS BIGINT) AS dep_delay
-      FROM inst i JOIN st ON i.trip_id = st.trip_id
-      LEFT JOIN updates u ON u.trip_id = st.trip_id AND u.stop_sequence = st.stop_sequence
-      WINDOW w AS (PARTITION BY i.trip_id, i.start_date, i.feed_ts))""", f"""
-j2 AS (SELECT *,
-        CASE WHEN trip_schedule_relationship = 'CANCELED' THEN true ELSE
-          coalesce(last_value(CASE WHEN has_upd THEN upd_rel = 'SKIPPED' END IGNORE NULLS)
-                   OVER ({W} ORDER BY stop_sequence ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false) END
-          AS cancelled,
-        make_timestamp(CAST(substr(start_date, 1, 4) AS BIGINT), CAST(substr(start_date, 5, 2) AS BIGINT),
+I = "trip_id, start_date, feed_ts"
+SAME = "u{n}.trip_id = w.trip_id AND u{n}.start_date = w.start_date AND u{n}.feed_ts = w.feed_ts"
+HIT = "coalesce(u{n}.stop = s.stop_id, false) OR coalesce(u{n}.seq = s.stop_sequence, false)"
+
+
+def events(inst: str, updates: str) -> list[str]:
+    """A pointer walks along the stops of each run; what it carries is written as recursion, one stop a step."""
+    up = (f"up AS (SELECT *, row_number() OVER (PARTITION BY {I} ORDER BY pos) - 1 AS n FROM stop_time_updates)" if updates else
+          "up AS (SELECT '' AS trip_id, '' AS start_date, TIMESTAMP '2000-01-01' AS feed_ts, '' AS stop, 0 AS seq, '' AS rel, "
+          "NULL::BIGINT AS ad, NULL::BIGINT AS at_, NULL::BIGINT AS dd, NULL::BIGINT AS dt, 0 AS n WHERE false)")
+    later = "coalesce({own}, CAST({at} - epoch_us(sched) // 1000000 AS BIGINT))"
+    return [f"""
+st AS (SELECT trip_id, stop_sequence, stop_id, {secs('arrival_time')} AS arr_s, {secs('departure_time')} AS dep_s,
+         row_number() OVER (PARTITION BY trip_id ORDER BY stop_sequence) AS k, count(*) OVER (PARTITION BY trip_id) AS len
+       FROM gtfs_stop_times)""", up, f"""
+org AS (SELECT i.*, make_timestamp(CAST(substr(start_date, 1, 4) AS BIGINT), CAST(substr(start_date, 5, 2) AS BIGINT),
                        CAST(substr(start_date, 7, 2) AS BIGINT), 12, 0, 0)
-          + to_hours(CAST(floor((coalesce({secs('start_time')}, fd) - fd) / 3600.0 + 0.5) AS BIGINT))
+          + to_hours(CAST(floor((coalesce({secs('start_time')}, s.dep_s) - s.dep_s) / 3600.0 + 0.5) AS BIGINT))
           - INTERVAL 12 HOUR AS origin
-       FROM j)""", f"""
-ev AS (SELECT *, false AS is_departure, arr_s AS sec, CAST(NULL AS BIGINT) AS own FROM j2 WHERE stop_sequence <> f
-       UNION ALL
-       SELECT *, true AS is_departure, dep_s AS sec, dep_delay AS own FROM j2 WHERE stop_sequence <> l)""", f"""
-ev2 AS (SELECT *, origin + to_seconds(CAST(sec AS BIGINT)) AS scheduled_time,
-          last_value(own IGNORE NULLS) OVER ({W} ORDER BY stop_sequence, is_departure
-                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS delay_seconds
-        FROM ev WHERE sec IS NOT NULL)""", """
-ev3 AS (SELECT *, CASE WHEN delay_seconds IS NOT NULL THEN scheduled_time + to_seconds(delay_seconds) END AS real_t
-        FROM ev2)""", f"""
+        FROM {inst} i JOIN st s ON i.trip_id = s.trip_id AND s.k = 1)""", f"""
+walk AS (
+  SELECT {I}, 0::BIGINT AS k, 0::BIGINT AS j, NULL::BIGINT AS hit, false AS off FROM org
+  UNION ALL
+  SELECT w.trip_id, w.start_date, w.feed_ts, s.k,
+    CASE WHEN {HIT.format(n=1)} THEN w.j + 1 ELSE w.j END,
+    CASE WHEN {HIT.format(n=1)} THEN w.j + 1 WHEN w.j = 0 AND ({HIT.format(n=0)}) THEN 0 END,
+    CASE WHEN {HIT.format(n=1)} THEN u1.rel = 'SKIPPED' WHEN w.j = 0 AND ({HIT.format(n=0)}) THEN u0.rel = 'SKIPPED'
+         ELSE w.off END
+  FROM walk w JOIN st s ON s.trip_id = w.trip_id AND s.k = w.k + 1
+  LEFT JOIN up u1 ON {SAME.format(n=1)} AND u1.n = w.j + 1
+  LEFT JOIN up u0 ON {SAME.format(n=0)} AND u0.n = 0)""", f"""
+ev AS (
+  SELECT o.*, s.stop_id, s.stop_sequence, s.k, s.len, w.hit, w.off OR trip_schedule_relationship = 'CANCELED' AS cancelled,
+    e.dep, o.origin + to_seconds(CAST(CASE WHEN e.dep THEN s.dep_s ELSE s.arr_s END AS BIGINT)) AS sched, u.ad, u.at_, u.dd, u.dt
+  FROM walk w JOIN org o ON o.trip_id = w.trip_id AND o.start_date = w.start_date AND o.feed_ts = w.feed_ts
+  JOIN st s ON s.trip_id = w.trip_id AND s.k = w.k, (VALUES (false), (true)) AS e(dep)
+  LEFT JOIN up u ON {SAME.format(n='').replace('u.', 'u.')} AND u.n = w.hit
+  WHERE (e.dep AND s.k < s.len) OR (NOT e.dep AND s.k > 1))""", f"""
+ev2 AS (SELECT *, last_value(CASE WHEN dep THEN {later.format(own='dd', at='dt')} ELSE {later.format(own='ad', at='at_')} END
+                             IGNORE NULLS) OVER (PARTITION BY {I} ORDER BY k, dep
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS delay
+        FROM ev WHERE sched IS NOT NULL)""", f"""
+ev3 AS (SELECT *, sched + to_seconds(delay) AS real_t, lead(sched) OVER w AS sched_next,
+          lead(sched + to_seconds(delay)) OVER w AS real_next
+        FROM ev2 WINDOW w AS (PARTITION BY {I} ORDER BY k, dep))""", f"""
 events AS (
-SELECT feed_ts AS sample_time, trip_id, start_date, line_name, line_fahrtnr, product_type_id, product_name,
-  operator_id, cancelled, stop_id AS station_id, stop_sequence AS stop_number, scheduled_time,
-  CAST(floor(delay_seconds / 60.0 + 0.5) AS SMALLINT) AS delay_minutes,
-  {mins('coalesce(real_t, scheduled_time)', 'feed_ts')} AS ttl_minutes,
-  is_departure,
-  {mins(f'lead(scheduled_time) OVER ({W} ORDER BY stop_sequence, is_departure)', 'scheduled_time')}
-    AS scheduled_duration_minutes,
-  CASE WHEN real_t IS NOT NULL AND lead(real_t) OVER ({W} ORDER BY stop_sequence, is_departure) IS NOT NULL
-       THEN {mins(f'lead(real_t) OVER ({W} ORDER BY stop_sequence, is_departure)', 'real_t')} END
-    AS projected_duration_minutes,
-  has_upd AS has_update
-FROM ev3)"""]
-
-EV_KEY = "trip_id, start_date, stop_number, is_departure"
+SELECT {'feed_ts' if updates else 'offline_sample_time'} AS sample_time, trip_id, start_date, line_name, line_fahrtnr,
+  product_type_id, product_name, operator_id, cancelled, stop_id AS station_id, stop_sequence AS stop_number,
+  sched AS scheduled_time, CAST(floor(delay / 60.0 + 0.5) AS INTEGER) AS delay_minutes,
+  {mins('coalesce(real_t, sched)', 'feed_ts' if updates else 'offline_sample_time')} AS ttl_minutes, dep AS is_departure,
+  {mins('sched_next', 'sched')} AS scheduled_duration_minutes, {mins('real_next', 'real_t')} AS projected_duration_minutes,
+  hit IS NOT NULL AS has_update
+FROM ev3 WHERE stop_id IN (SELECT stop_id FROM stops))"""]
+
+
+def fraction(seed: int) -> str:
+    return (f"(('0x' || substr(md5(trip_id || '|' || start_date || '|{seed}'), 1, 7))::BIGINT / 268435456.0::DOUBLE)")
+
+
+EV_KEY = "trip_id, start_date, sample_time, stop_number, is_departure"
 
 
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     base = with_views("trip_updates", "trips", "routes", "agency", "gtfs_stop_times", extra=INST)
     q["gtfs_trip_join"] = base + ("SELECT trip_id, start_date, route_id, operator_id, product_type_id, line_name, "
-                                  "line_fahrtnr, trip_schedule_relationship FROM inst")
+                                  "line_fahrtnr, trip_schedule_relationship, feed_ts FROM inst")
     q["gtfs_product_type"] = with_views("routes") + (
         f"SELECT route_id, route_type, route_short_name, {product('route_type', 'route_short_name')} "
         "AS product_type_id FROM routes")
@@ -110,14 +122,22 @@ def queries() -> dict[str, str]:
         f"SELECT trip_id, stop_sequence, arrival_time, {secs('arrival_time')} AS arrival_s, departure_time, "
         f"{secs('departure_time')} AS departure_s FROM gtfs_stop_times")
     q["service_day_start"] = base + f"""
-SELECT i.trip_id, i.start_date, i.start_time, s.fd AS first_departure_s,
+SELECT i.trip_id, i.start_date, i.feed_ts, i.start_time, s.fd AS first_departure_s,
   make_timestamp(CAST(substr(i.start_date, 1, 4) AS BIGINT), CAST(substr(i.start_date, 5, 2) AS BIGINT),
                  CAST(substr(i.start_date, 7, 2) AS BIGINT), 12, 0, 0)
     + to_hours(CAST(floor((coalesce({secs('i.start_time')}, s.fd) - s.fd) / 3600.0 + 0.5) AS BIGINT))
     - INTERVAL 12 HOUR AS service_start
 FROM inst i JOIN (SELECT trip_id, arg_min({secs('departure_time')}, stop_sequence) AS fd
                   FROM gtfs_stop_times GROUP BY trip_id) s ON i.trip_id = s.trip_id"""
-    ev = with_views("trip_updates", "trips", "routes", "agency", "gtfs_stop_times", "updates", extra=EVENTS)
+    ev = with_views("trip_updates", "trips", "routes", "agency", "gtfs_stop_times", "stops", "stop_time_updates",
+                    extra=INST + events("inst", "stop_time_updates")).replace("WITH ", "WITH RECURSIVE ", 1)
+    offline = f"""
+off_inst AS (SELECT *, feed_ts - to_seconds(CAST(floor({fraction(42)} * 36000.0 + 0.5) AS BIGINT)) AS offline_sample_time
+             FROM (SELECT *, row_number() OVER (PARTITION BY trip_id, start_date ORDER BY feed_ts) AS rn FROM inst) x WHERE rn = 1)"""
+    q["offline_samples"] = with_views("trip_updates", "trips", "routes", "agency", "gtfs_stop_times", "stops",
+                                      extra=INST + [offline] + events("off_inst", "")).replace(
+        "WITH ", "WITH RECURSIVE ", 1) + "SELECT * EXCLUDE (has_update) FROM events"
+    q["bus_sampling"] = base + f"SELECT * FROM inst WHERE product_type_id <> 700 OR {fraction(42)} < 0.1"
     q["stop_events"] = ev + "SELECT * EXCLUDE (has_update) FROM events"
     q["delay_propagation"] = ev + f"SELECT {EV_KEY}, scheduled_time, delay_minutes, ttl_minutes FROM events"
     q["stop_update_match"] = ev + f"SELECT {EV_KEY}, has_update FROM events"

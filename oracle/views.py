@@ -209,14 +209,31 @@ DEPENDS["gtfs_stop_times"] = ["stop_times"]
 
 VIEWS["trip_updates"] = """
 trip_updates AS (
-SELECT CAST(o_orderkey AS VARCHAR) AS trip_id,
-  strftime(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 28 AS INTEGER)), '%Y%m%d') AS start_date,
+SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, strftime(d, '%Y%m%d') AS start_date,
   CASE WHEN o_orderkey % 7 = 0 THEN '06:00:00' END AS start_time,
   CASE WHEN o_orderkey % 23 = 0 THEN 'CANCELED' WHEN o_orderkey % 29 = 0 THEN 'ADDED' ELSE 'SCHEDULED' END
     AS trip_schedule_relationship,
-  TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(o_orderkey % 28 AS INTEGER))
-    + to_seconds(CAST((o_orderkey % 20) * 3600 + 14400 AS BIGINT)) AS feed_ts
-FROM orders)"""
+  d + to_seconds(CAST((o_orderkey % 20) * 3600 + 14400 + CASE WHEN run = 2 THEN 3600 ELSE 0 END AS BIGINT)) AS feed_ts, run
+FROM (SELECT o_orderkey, run, TIMESTAMP '2024-01-01 00:00:00'
+        + to_days(CAST(o_orderkey % 28 + CASE WHEN run = 1 THEN 1 ELSE 0 END AS INTEGER)) AS d
+      FROM orders, (VALUES (0), (1), (2)) AS r(run)
+      WHERE run = 0 OR (run = 1 AND o_orderkey % 3 = 0) OR (run = 2 AND o_orderkey % 5 = 0)) x)"""
+
+VIEWS["stop_time_updates"] = """
+stop_time_updates AS (
+SELECT trip_id, start_date, feed_ts, stop_sequence AS pos,
+  CASE WHEN bogus THEN 99 WHEN u % 4 <> 1 THEN stop_sequence END AS seq,
+  CASE WHEN bogus THEN 'nowhere' WHEN u % 4 <> 2 THEN stop_id END AS stop,
+  CASE WHEN u % 11 = 0 THEN 'SKIPPED' ELSE 'SCHEDULED' END AS rel,
+  CASE WHEN u % 11 <> 0 AND u % 6 = 2 THEN u % 900 - 100 END AS ad,
+  CASE WHEN u % 11 <> 0 AND u % 6 = 4 THEN epoch_us(feed_ts) // 1000000 + u % 7200 END AS at_,
+  CASE WHEN u % 11 <> 0 AND u % 5 <> 1 THEN u % 1500 - 300 END AS dd,
+  CASE WHEN u % 11 <> 0 AND u % 5 = 1 THEN epoch_us(feed_ts) // 1000000 + u % 7200 END AS dt
+FROM (SELECT t.trip_id, t.start_date, t.feed_ts, s.stop_sequence, s.stop_id, s.upd + t.run * 7 AS u,
+        CAST(s.trip_id AS BIGINT) % 37 = 0 AND s.stop_sequence = 3 AS bogus
+      FROM stop_times s JOIN trip_updates t ON s.trip_id = t.trip_id) x
+WHERE u % 3 <> 0 OR bogus)"""
+DEPENDS["stop_time_updates"] = ["stop_times", "trip_updates"]
 
 VIEWS["feed_files"] = """
 feed_files AS (

@@ -121,6 +121,7 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departure delay per (trip, stop), one run per trip (for the documents)."""
     st = stop_times(spark, sf_dir)
     u = F.col("upd")
     return st.where(u % 3 != 0).select(
@@ -129,6 +130,27 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(u % 11 != 0, u % 1500 - 300).alias("departure_delay"))
 
 
+def stop_time_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stop-time updates of every trip instance: by stop id, sequence or both; delays or absolute times.
+
+    Every 37th trip has an update in third place that is for no stop of it, so the pointer stays there.
+    """
+    runs = trip_updates(spark, sf_dir).select("trip_id", "start_date", "feed_ts", "run")
+    j = stop_times(spark, sf_dir).join(runs, "trip_id").withColumn("u", F.col("upd") + F.col("run") * 7)
+    u, bogus = F.col("u"), (F.col("trip_id").cast("bigint") % 37 == 0) & (F.col("stop_sequence") == 3)
+    off = u % 11 == 0
+    at = F.unix_seconds(F.col("feed_ts").cast("timestamp"))
+    return j.where((u % 3 != 0) | bogus).select(
+        "trip_id", "start_date", "feed_ts", F.col("stop_sequence").alias("position"),
+        F.when(bogus, 99).when(u % 4 != 1, F.col("stop_sequence")).alias("stop_sequence"),
+        F.when(bogus, "nowhere").when(u % 4 != 2, F.col("stop_id")).alias("stop_id"),
+        F.when(off, "SKIPPED").otherwise("SCHEDULED").alias("schedule_relationship"),
+        F.when(~off & (u % 6 == 2), u % 900 - 100).alias("arrival_delay"),
+        F.when(~off & (u % 6 == 4), at + u % 7200).alias("arrival_time"),
+        F.when(~off & (u % 5 != 1), u % 1500 - 300).alias("departure_delay"),
+        F.when(~off & (u % 5 == 1), at + u % 7200).alias("departure_time"))
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     i = F.col("event_id")
@@ -181,15 +203,22 @@ def gtfs_stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One GTFS-RT TripUpdate per order: start date, optional start time, relationship, feed time."""
+    """GTFS-RT TripUpdates of every order: optional start time, relationship, feed time.
+
+    ``run`` 0 is the order's day; a third of the trips runs the next day too (1), and a fifth is in a
+    second feed an hour later (2).
+    """
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
-    day = F.timestamp_add("DAY", (k % 28).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
+    runs = F.filter(F.array(F.lit(0), F.when(k % 3 == 0, 1), F.when(k % 5 == 0, 2)), lambda r: r.isNotNull())
+    o = o.select("o_orderkey", F.explode(runs).alias("run"))
+    day = F.timestamp_add("DAY", (k % 28 + (F.col("run") == 1).cast("int")).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
     rel = F.when(k % 23 == 0, "CANCELED").when(k % 29 == 0, "ADDED").otherwise("SCHEDULED")
     return o.select(
         _s(k).alias("trip_id"), F.date_format(day, "yyyyMMdd").alias("start_date"),
         F.when(k % 7 == 0, F.lit("06:00:00")).alias("start_time"), rel.alias("trip_schedule_relationship"),
-        F.timestamp_add("SECOND", ((k % 20) * 3600 + 14400).cast("int"), day).alias("feed_ts"))
+        F.timestamp_add("SECOND", ((k % 20) * 3600 + 14400 + (F.col("run") == 2).cast("int") * 3600).cast("int"), day)
+        .alias("feed_ts"), "run")
 
 
 def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:

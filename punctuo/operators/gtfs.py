@@ -7,12 +7,10 @@ Plan shape (scale notes):
   trips -> routes -> agency on natural ids; stop_times join by trip_id (the
   one big shuffle). AQE turns the dimension joins into broadcasts from their
   runtime size; nothing is force-broadcast without a bound.
-* Per trip instance (trip, start date, feed time) the stop events are ordered
-  by (stop_sequence, arrival before departure). Fills (delay, cancel flag) are
-  ``last(..., ignorenulls)`` windows and durations are ``lead`` windows over
-  that partition, whose size is bounded by the stops of one trip.
+* Per trip instance (trip, start date, feed time) matching and fills (delay, cancel flag, durations) walk the
+  ordered arrays of stops and updates; no window, and no key but the trip and the instance is shuffled.
 * Random choices of the reference (offline sample time, bus thinning) are
-  replaced by seeded ``xxhash64`` fractions, so reruns and retries of a lost
+  replaced by seeded MD5 fractions, so reruns and retries of a lost
   task give identical rows.
 """
 
@@ -93,7 +91,7 @@ def operators(agency: DataFrame) -> DataFrame:
 def agency_operator(agency: DataFrame) -> DataFrame:
     oid = _leading_int(F.col("agency_id"))
     oid = F.when(oid.isNull() | (oid > OPERATOR_ID_LIMIT), 0).otherwise(oid).cast("int")
-    return agency.select("agency_id", oid.alias("operator_id"))
+    return agency.select(*_keys("agency_id", agency), oid.alias("operator_id"))
 
 
 def stations(stops: DataFrame) -> DataFrame:
@@ -105,97 +103,141 @@ def stations(stops: DataFrame) -> DataFrame:
                         parent.alias("parent"))
 
 
+def _keys(name: str, *tables: DataFrame) -> list[str]:
+    """Join key: ``name``, and the timetable version where all tables carry one."""
+    return ([VERSION] if all(VERSION in t.columns for t in tables) else []) + [name]
+
+
 def join_timetable(tu: DataFrame, trips: DataFrame, routes: DataFrame, agency: DataFrame,
                    stop_times: DataFrame) -> DataFrame:
     """G1 + G2: updates of known trips with stop times, relationship SCHEDULED or CANCELED.
 
-    One row per trip instance with route, operator and product attributes.
+    One row per trip instance with route, operator and product attributes. With ``gtfs_version`` columns
+    every join stays inside the version that is valid at the feed's time.
     """
     ok = tu.where(F.col("trip_schedule_relationship").isin("SCHEDULED", "CANCELED"))
-    has_stops = stop_times.select("trip_id").distinct()
-    r = routes.join(agency_operator(agency), "agency_id", "inner").select(
-        "route_id", "operator_id", F.col("route_short_name").alias("line_name"),
+    has_stops = stop_times.select(*_keys("trip_id", stop_times, tu)).distinct()
+    v = [VERSION] if VERSION in routes.columns else []
+    ag = agency_operator(agency)
+    r = routes.join(ag, _keys("agency_id", routes, ag), "inner").select(
+        *v, "route_id", "operator_id", F.col("route_short_name").alias("line_name"),
         F.col("route_type").alias("product_name"),
         product_type(F.col("route_type"), F.col("route_short_name")).alias("product_type_id"))
-    t = trips.select("trip_id", "route_id", F.col("trip_short_name").alias("line_fahrtnr"))
-    return (ok.join(t, "trip_id").join(r, "route_id").join(has_stops, "trip_id", "left_semi"))
+    t = trips.select(*_keys("trip_id", trips), "route_id", F.col("trip_short_name").alias("line_fahrtnr"))
+    return (ok.join(t, _keys("trip_id", ok, t)).join(r, _keys("route_id", t, r))
+            .join(has_stops, _keys("trip_id", ok, has_stops), "left_semi"))
 
 
 def bus_thinning(df: DataFrame, fraction: float = BUS_SAMPLING_FRACTION, seed: int = 42) -> DataFrame:
     """Keep a seeded ``fraction`` of bus (700) trip instances, all others."""
-    h = F.pmod(F.xxhash64(F.col("trip_id"), F.col("start_date"), F.lit(seed)), F.lit(1_000_000))
-    return df.where((F.col("product_type_id") != 700) | (h < F.lit(int(fraction * 1_000_000))))
+    return df.where((F.col("product_type_id") != 700) | (_fraction(seed, "trip_id", "start_date") < F.lit(fraction)))
+
+
+def _fraction(seed: int, *cols: str) -> Column:
+    """A number in [0, 1) from the MD5 of the columns' text, the same in every run and retry."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("double") / F.lit(float(16 ** 7))
 
 
 INSTANCE = ["trip_id", "start_date", "feed_ts"]
+VERSION = "gtfs_version"
+
+
+def _walk(stops: Column, updates: Column, cancelled: Column) -> Column:
+    """G7 + G8 along a trip: per stop the place of its update (or NULL) and whether it is cancelled.
+
+    A forward pointer into the updates moves on when the next update is for the stop (by stop id or sequence);
+    while it hasn't moved, the first update may match. A stop without update inherits the cancel flag.
+    """
+    def matches(u: Column, s: Column) -> Column:
+        return F.coalesce(u["stop_id"] == s["stop_id"], F.lit(False)) | F.coalesce(u["seq"] == s["seq"], F.lit(False))
+
+    def step(acc: Column, s: Column) -> Column:
+        nxt, first = F.get(updates, acc["at"] + 1), F.get(updates, F.lit(0))
+        place = F.when(matches(nxt, s), acc["at"] + 1).when((acc["at"] == 0) & matches(first, s), F.lit(0))
+        skipped = F.when(cancelled, F.lit(True)).when(place.isNotNull(), F.coalesce(F.get(updates, place)["rel"] == "SKIPPED",
+                                                                                   F.lit(False))).otherwise(acc["off"])
+        return F.struct(F.coalesce(place, acc["at"]).alias("at"), skipped.alias("off"), F.concat(
+            acc["out"], F.array(F.struct(place.alias("place"), skipped.alias("off")))).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("off"),
+                     F.array().cast("array<struct<place:int,off:boolean>>").alias("out"))
+    return F.aggregate(stops, start, step, lambda acc: acc["out"])
 
 
-def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame, updates: DataFrame | None,
+def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame | None, updates: DataFrame | None,
                 tz: str = "UTC", sample_time: Column | None = None) -> DataFrame:
     """One sample row per arrival (not at the first stop) and departure (not at the last stop).
 
-    ``updates`` (trip_id, stop_sequence, schedule_relationship, departure_delay[, arrival_delay])
-    are matched by (trip, stop_sequence) - the fast path of G7. ``None`` = no realtime at all
-    (offline samples).
+    Stop times become one ordered array per (version,) trip, updates one per trip instance (trip, start date,
+    feed time; order ``position``), each once; an instance meets both in one join each, and all matching
+    and filling walks the arrays, which hold the stops of one trip. ``updates`` carries
+    ``trip_id, start_date, feed_ts, position, stop_sequence, stop_id, schedule_relationship`` and any of
+    ``arrival_delay, arrival_time, departure_delay, departure_time`` (times in epoch seconds, used where there
+    is no delay). ``None`` = no realtime at all (offline samples). ``stops`` restricts to known stop ids.
     """
-    st = stop_times.select("trip_id", "stop_sequence", "stop_id",
-                           gtfs_seconds(F.col("arrival_time")).alias("arr_s"),
-                           gtfs_seconds(F.col("departure_time")).alias("dep_s"))
-    j = instances.join(st, "trip_id")
-    wt = Window.partitionBy(*INSTANCE)
-    first_seq = F.min("stop_sequence").over(wt)
-    last_seq = F.max("stop_sequence").over(wt)
-    first_dep = F.min_by("dep_s", "stop_sequence").over(wt)
-    j = j.withColumns({"_first": first_seq, "_last": last_seq, "_first_dep": first_dep})
+    st = stop_times.select(*_keys("trip_id", stop_times), F.struct(
+        F.col("stop_sequence").cast("bigint").alias("seq"), "stop_id", gtfs_seconds(F.col("arrival_time")).alias("arr_s"),
+        gtfs_seconds(F.col("departure_time")).alias("dep_s")).alias("s"))
+    keys = _keys("trip_id", st, instances)
+    j = instances.join(st.groupBy(*keys).agg(F.array_sort(F.collect_list("s")).alias("_stops")), keys)
+    kind = "array<struct<position:bigint,stop_id:string,seq:bigint,rel:string,ad:bigint,at:bigint,dd:bigint,dt:bigint>>"
     if updates is not None:
-        u = updates.select("trip_id", "stop_sequence", F.lit(True).alias("_has_upd"),
-                           F.col("schedule_relationship").alias("_upd_rel"),
-                           F.col("departure_delay").cast("bigint").alias("_dep_delay"),
-                           (F.col("arrival_delay") if "arrival_delay" in updates.columns
-                            else F.lit(None)).cast("bigint").alias("_arr_delay"))
-        j = j.join(u, ["trip_id", "stop_sequence"], "left")
+        def own(c: str, kind_: str = "bigint") -> Column:
+            return (F.col(c) if c in updates.columns else F.lit(None)).cast(kind_)
+        u = updates.select(*INSTANCE, F.struct(
+            own("position").alias("position"), own("stop_id", "string").alias("stop_id"), own("stop_sequence").alias("seq"),
+            own("schedule_relationship", "string").alias("rel"), own("arrival_delay").alias("ad"), own("arrival_time").alias("at"),
+            own("departure_delay").alias("dd"), own("departure_time").alias("dt")).alias("u"))
+        j = j.join(u.groupBy(*INSTANCE).agg(F.array_sort(F.collect_list("u")).cast(kind).alias("_updates")), INSTANCE, "left")
     else:
-        j = j.withColumns({"_has_upd": F.lit(None).cast("boolean"), "_upd_rel": F.lit(None).cast("string"),
-                           "_dep_delay": F.lit(None).cast("bigint"), "_arr_delay": F.lit(None).cast("bigint")})
-    ws = wt.orderBy("stop_sequence").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    skipped = F.when(F.col("_has_upd") == True, F.col("_upd_rel") == "SKIPPED")  # noqa: E712
-    cancel = F.when(F.col("trip_schedule_relationship") == "CANCELED", True).otherwise(
-        F.coalesce(F.last(skipped, ignorenulls=True).over(ws), F.lit(False)))
-    origin = service_start(F.col("start_date"), F.col("start_time"), F.col("_first_dep"), tz)
-    j = j.withColumns({"cancelled": cancel, "_origin": origin})
-    ev = F.explode(F.array(
-        F.struct(F.lit(False).alias("is_departure"), F.col("arr_s").alias("sec"), F.col("_arr_delay").alias("own"),
-                 (F.col("stop_sequence") != F.col("_first")).alias("emit")),
-        F.struct(F.lit(True).alias("is_departure"), F.col("dep_s").alias("sec"), F.col("_dep_delay").alias("own"),
-                 (F.col("stop_sequence") != F.col("_last")).alias("emit"))))
-    e = j.select("*", ev.alias("e")).where(F.col("e.emit") & F.col("e.sec").isNotNull())
-    we = wt.orderBy("stop_sequence", F.col("e.is_departure").cast("int"))
-    wfill = we.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sched = F.timestamp_add("SECOND", F.col("e.sec"), F.col("_origin"))
-    delay = F.last(F.col("e.own"), ignorenulls=True).over(wfill)
-    e = e.withColumns({"scheduled_time": sched, "delay_seconds": delay})
-    real = F.when(F.col("delay_seconds").isNotNull(),
-                  F.timestamp_add("SECOND", F.col("delay_seconds"), F.col("scheduled_time")))
-    e = e.withColumn("_real", real)
-    nxt_s = F.lead("scheduled_time").over(we)
-    nxt_r = F.lead("_real").over(we)
+        j = j.withColumn("_updates", F.lit(None).cast(kind))
+    j = j.withColumn("_updates", F.coalesce("_updates", F.array().cast(kind)))
+    first_dep = F.get("_stops", F.lit(0))["dep_s"]
+    j = j.withColumns({
+        "_walk": _walk(F.col("_stops"), F.col("_updates"), F.col("trip_schedule_relationship") == "CANCELED"),
+        "_origin": F.unix_seconds(service_start(F.col("start_date"), F.col("start_time"), first_dep, tz).cast("timestamp"))})
+
+    def event(s: Column, w: Column, i: Column, dep: bool) -> Column:
+        upd = F.get(F.col("_updates"), w["place"])
+        sec = s["dep_s"] if dep else s["arr_s"]
+        sched = F.col("_origin") + sec
+        there = (i < F.size("_stops") - 1) if dep else (i > 0)
+        return F.struct(s["stop_id"].alias("stop_id"), s["seq"].alias("seq"), F.lit(dep).alias("dep"), w["off"].alias("off"),
+                        w["place"].isNotNull().alias("upd"), sched.alias("sched"),
+                        F.coalesce(upd["dd" if dep else "ad"], upd["dt" if dep else "at"] - sched).alias("own"),
+                        (there & sec.isNotNull()).alias("there"))
+
+    both = F.flatten(F.transform(F.arrays_zip("_stops", F.col("_walk").alias("_w")), lambda x, i: F.array(
+        event(x["_stops"], x["_w"], i, False), event(x["_stops"], x["_w"], i, True))))
+    j = j.withColumn("_events", F.filter(both, lambda e: e["there"])).drop("_stops", "_updates", "_walk")
+    delays = F.aggregate("_events", F.array().cast("array<bigint>"), lambda acc, e: F.concat(  # G6: the last known one goes on
+        acc, F.array(F.coalesce(e["own"], F.when(F.size(acc) > 0, F.element_at(acc, -1))))))
+    j = j.withColumn("_delays", delays)
+    nxt = F.transform("_events", lambda e, i: F.struct(
+        F.get("_events", i + 1)["sched"].alias("sched"), F.get("_delays", i + 1).alias("delay")))
+    j = j.withColumn("_rows", F.arrays_zip("_events", "_delays", nxt.alias("_next"))).drop("_events", "_delays")
+    e = j.withColumn("r", F.explode("_rows")).drop("_rows")
+    ev, delay, after = F.col("r._events"), F.col("r._delays"), F.col("r._next")
+    real, real_next = ev["sched"] + delay, after["sched"] + after["delay"]
     stime = F.col("feed_ts") if sample_time is None else sample_time
 
-    def mins(later, earlier):
-        return js_round(F.timestamp_diff("MICROSECOND", earlier, later) / F.lit(60_000_000.0))
+    def mins(seconds: Column) -> Column:
+        return js_round(seconds / F.lit(60.0)).try_cast("int")
 
-    return e.select(
+    to_ts = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", stime, to_ts(F.coalesce(real, ev["sched"])))
+    out = e.select(
         stime.alias("sample_time"), "trip_id", "start_date", "line_name", "line_fahrtnr", "product_type_id",
-        "product_name", "operator_id", "cancelled", F.col("stop_id").alias("station_id"),
-        F.col("stop_sequence").alias("stop_number"), "scheduled_time",
-        js_round(F.col("delay_seconds") / F.lit(60.0)).cast("smallint").alias("delay_minutes"),
-        mins(F.coalesce(F.col("_real"), F.col("scheduled_time")), stime).cast("smallint").alias("ttl_minutes"),
-        F.col("e.is_departure").alias("is_departure"),
-        mins(nxt_s, F.col("scheduled_time")).cast("smallint").alias("scheduled_duration_minutes"),
-        F.when(nxt_r.isNotNull() & F.col("_real").isNotNull(), mins(nxt_r, F.col("_real")))
-        .cast("smallint").alias("projected_duration_minutes"),
-        F.col("_has_upd").isNotNull().alias("has_update"),
-    )
+        "product_name", "operator_id", ev["off"].alias("cancelled"), ev["stop_id"].alias("station_id"),
+        ev["seq"].alias("stop_number"), to_ts(ev["sched"]).alias("scheduled_time"), mins(delay).alias("delay_minutes"),
+        js_round(micros / F.lit(60_000_000.0)).try_cast("int").alias("ttl_minutes"), ev["dep"].alias("is_departure"),
+        mins(after["sched"] - ev["sched"]).alias("scheduled_duration_minutes"),
+        mins(real_next - real).alias("projected_duration_minutes"), ev["upd"].alias("has_update"))
+    if stops is None:
+        return out
+    known = stops.select(F.col("stop_id").alias("station_id")).distinct()
+    return out.join(known, "station_id", "left_semi")
 
 
 def offline_instances(instances: DataFrame, seed: int = 42) -> DataFrame:
@@ -206,7 +248,7 @@ def offline_instances(instances: DataFrame, seed: int = 42) -> DataFrame:
     """
     w = Window.partitionBy("trip_id", "start_date").orderBy("feed_ts")
     first = instances.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    frac = F.pmod(F.xxhash64("trip_id", "start_date", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    frac = _fraction(seed, "trip_id", "start_date")
     off = js_round(frac * F.lit(OFFLINE_MAX_HOURS * 3600.0)).cast("int")
     return first.withColumn("offline_sample_time", F.timestamp_add("SECOND", -off, F.col("feed_ts")))
 

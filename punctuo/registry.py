@@ -282,22 +282,22 @@ from .operators import gtfs as G  # noqa: E402
 
 
 def _instances(spark, d):
-    return G.join_timetable(fx.trip_updates(spark, d), fx.trips(spark, d), fx.routes(spark, d),
+    return G.join_timetable(fx.trip_updates(spark, d).drop("run"), fx.trips(spark, d), fx.routes(spark, d),
                             fx.agency(spark, d), fx.gtfs_stop_times(spark, d))
 
 
 def _events(spark, d):
     return G.stop_events(_instances(spark, d), fx.gtfs_stop_times(spark, d), fx.stops(spark, d),
-                         fx.updates(spark, d))
+                         fx.stop_time_updates(spark, d))
 
 
-EV_KEY = ["trip_id", "start_date", "stop_number", "is_departure"]
+EV_KEY = ["trip_id", "start_date", "sample_time", "stop_number", "is_departure"]
 
 
 @register("gtfs_trip_join")
 def q_gtfs_trip_join(spark, d):
     return _instances(spark, d).select("trip_id", "start_date", "route_id", "operator_id", "product_type_id",
-                                       "line_name", "line_fahrtnr", "trip_schedule_relationship")
+                                       "line_name", "line_fahrtnr", "trip_schedule_relationship", "feed_ts")
 
 
 @register("gtfs_product_type")
@@ -320,7 +320,7 @@ def q_service_day_start(spark, d):
     st = fx.gtfs_stop_times(spark, d).groupBy("trip_id").agg(
         F.min_by(G.gtfs_seconds(F.col("departure_time")), F.col("stop_sequence")).alias("first_departure_s"))
     j = inst.join(st, "trip_id")
-    return j.select("trip_id", "start_date", "start_time", "first_departure_s",
+    return j.select("trip_id", "start_date", "feed_ts", "start_time", "first_departure_s",
                     G.service_start(F.col("start_date"), F.col("start_time"), F.col("first_departure_s"))
                     .alias("service_start"))
 
@@ -354,7 +354,7 @@ def q_event_durations(spark, d):
 def q_offline_samples(spark, d):
     off = G.offline_instances(_instances(spark, d))
     return G.stop_events(off, fx.gtfs_stop_times(spark, d), fx.stops(spark, d), None,
-                         sample_time=F.col("offline_sample_time"))
+                         sample_time=F.col("offline_sample_time")).drop("has_update")
 
 
 @register("bus_sampling")
