@@ -1,10 +1,11 @@
 """FPTF documents -> sample rows and stations.
 
-A response document is parsed once with ``from_json`` against a fixed schema
-(no inference) and flattened with ``explode``/``inline``: every step is
-row-local, so documents are processed where they are read and nothing is
-grouped. Envelope variants (bare array vs. object) are told apart by the
-first character of the document.
+A document is parsed once, by the schema of its envelope, into a column of its own; the realtime stamp is
+another column. Its sample sources (trips and legs, board entries and alternatives, movements) are exploded,
+each one's metadata becomes plain columns, then its own events and stopovers are exploded as items of one
+shape and turned into sample fields in one place. Every step is linear in the entries and row-local.
+Stops and remarks stay raw JSON text until an item needs a field of them, so ``details`` and remarks keep
+every field. Envelope variants (bare array vs. object) are told apart by the first character.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 # --- document schema (subset of FPTF read by the reference) ---------------------
 LOC = "struct<type:string,id:string,latitude:double,longitude:double>"
 STATION = f"struct<type:string,id:string,name:string,location:{LOC}>"
-STOP = f"struct<type:string,id:string,name:string,location:{LOC},station:{STATION},loadFactor:string>"
+STOP_FIELDS = f"struct<type:string,id:string,name:string,location:{LOC},station:{STATION},loadFactor:string>"
+STOP = "string"     # raw text; STOP_FIELDS where a field is needed
 OPER = "struct<type:string,id:string,name:string>"
 LINE = f"struct<type:string,id:string,fahrtNr:string,name:string,product:string,productName:string,operator:{OPER}>"
-REMARKS = "array<struct<type:string,code:string,text:string>>"
+REMARKS = "string"  # raw text
 _DEP = ("plannedDeparture:string,departure:string,departureDelay:int,departurePrognosisType:string,"
         "plannedDeparturePlatform:string,departurePlatform:string")
 _ARR = ("plannedArrival:string,arrival:string,arrivalDelay:int,arrivalPrognosisType:string,"
@@ -41,7 +43,7 @@ ENVELOPES = {
     "journeys": f"struct<journeys:array<struct<legs:array<{TRIP}>>>,{RT}>",
     "refreshJourney": f"struct<journey:struct<legs:array<{TRIP}>>,{RT}>",
     "radar": f"struct<movements:array<{MOVEMENT}>,{RT}>",
-    "locations": f"array<{STOP}>",
+    "locations": "array<string>",
 }
 
 META_FIELDS = ["trip_id", "remarks", "cancelled", "load_factor", "operator_id", "operator_name", "line_name",
@@ -65,192 +67,167 @@ def data_time(doc: Column) -> Column:
     return F.timestamp_seconds(sec).cast("timestamp_ntz")
 
 
-META_TYPES = ["string", REMARKS, "boolean", "string", "string", "string", "string", "string", "string",
-              "string", "string"]
-
-
-def empty_meta() -> Column:
-    return F.struct(*[F.lit(None).cast(t).alias(n) for n, t in zip(META_FIELDS, META_TYPES)])
-
-
-def metadata(obj: Column, parent: Column | None, load_factor: Column | None, projected: Column | None,
-             has_id: bool = True, has_trip_id: bool = True, has_line: bool = True) -> Column:
-    """P4 + P5: inherited metadata of a sample source object."""
-    p = empty_meta() if parent is None else parent
-    trip = p["trip_id"]
-    if has_id:
-        trip = F.when(_truthy(obj["id"]), obj["id"]).otherwise(trip)
-    if has_trip_id:
-        trip = F.when(_truthy(obj["tripId"]), obj["tripId"]).otherwise(trip)
-    rem = F.when(obj["remarks"].isNotNull(), obj["remarks"]).otherwise(p["remarks"])
-    canc = F.coalesce(obj["cancelled"], F.lit(False))
-    if projected is not None:
-        canc = canc & ~_truthy(projected)
-    lf = obj["loadFactor"] if load_factor is None else F.when(_truthy(load_factor), load_factor).otherwise(
-        obj["loadFactor"])
-    fields = {"trip_id": trip, "remarks": rem, "cancelled": canc, "load_factor": lf}
-    line_map = {"operator_id": ("operator", "id"), "operator_name": ("operator", "name"), "line_name": "name",
-                "line_fahrtnr": "fahrtNr", "line_id": "id", "product_type": "product",
-                "product_name": "productName"}
-    for k, path in line_map.items():
-        if not has_line:
-            fields[k] = p[k]
-            continue
-        line = obj["line"]
-        v = line[path[0]][path[1]] if isinstance(path, tuple) else line[path]
-        fields[k] = F.when(line.isNotNull(), v).otherwise(p[k])
-    return F.struct(*[fields[n].alias(n) for n in META_FIELDS])
-
-
-def _event(meta: Column, obj: Column, is_dep: bool, station_id: Column, sample_time: Column,
-           stations: Column) -> Column:
-    """Departure / arrival field mapping into one flat sample struct."""
-    pre = "departure" if is_dep else "arrival"
-    cap = "Departure" if is_dep else "Arrival"
-    vals = {n: meta[n] for n in META_FIELDS}
-    vals.update({
-        "station_id": station_id,
-        "scheduled_time": _ts(obj[f"planned{cap}"]),
-        "projected_time": _ts(obj[pre]),
-        "prognosis_type": obj[f"{pre}PrognosisType"],
-        "is_departure": F.lit(is_dep),
-        "delay_seconds": obj[f"{pre}Delay"].cast("int"),
-        "scheduled_platform": obj[f"planned{cap}Platform"],
-        "projected_platform": obj[f"{pre}Platform"],
-        "sample_time": sample_time,
-    })
-    return F.struct(*[vals[n].alias(n) for n in SAMPLE_FIELDS], stations.alias("stations"))
-
-
-def _stops(*stops: Column) -> Column:
-    return F.array(*stops)
-
-
 def _first_char(c: Column) -> Column:
     return F.substring(F.ltrim(c), 1, 1)
 
 
-# --- single-scan flattening ------------------------------------------------------
-# Stage A parses each document once and lists its sample sources ("objects":
-# trips/legs, board entries, radar movements); stage B computes each object's
-# metadata once as a column; stage C emits all rows of an object with one
-# generator. No unions, so the input is scanned once.
+# --- sample sources of a document --------------------------------------------------
+
+SOURCE = (f"struct<kind:string,id:string,tripId:string,line:{LINE},remarks:{REMARKS},cancelled:boolean,loadFactor:string,"
+          f"t:{TRIP},a:{ALT},sos:array<{STOPOVER}>,prov:string,dest:string,fb:string,dep:boolean>")
+
+
+def _source(kind: str, o: Column, sos: Column, **more: Column) -> Column:
+    """A trip, board entry or movement in one shape; only trips and movements have an id of their own."""
+    null = F.lit(None)
+    return F.struct(
+        F.lit(kind).alias("kind"), (null if kind == "alt" else o["id"]).alias("id"),
+        (o["tripId"]).alias("tripId"), o["line"].alias("line"), o["remarks"].alias("remarks"),
+        o["cancelled"].alias("cancelled"), o["loadFactor"].alias("loadFactor"),
+        (o.dropFields("stopovers", "alternatives") if kind == "trip" else null).alias("t"),
+        (o.dropFields("previousStopovers", "nextStopovers") if kind == "alt" else null).alias("a"),
+        sos.alias("sos"), *[more.get(k, null).alias(k) for k in ("prov", "dest", "fb")],
+        more.get("dep", null).alias("dep")).cast(_SHAPE)
+
+
+def _without(kind: str, *names: str) -> str:
+    """The struct type ``kind`` without some of its array fields."""
+    for n in names:
+        at = kind.index(f",{n}:array<")
+        depth, i = 0, kind.index("<", at)
+        while True:
+            depth += {"<": 1, ">": -1}.get(kind[i], 0)
+            i += 1
+            if not depth:
+                break
+        kind = kind[:at] + kind[i:]
+    return kind
+
+
+TRIP_OWN = _without(TRIP, "stopovers", "alternatives")
+ALT_OWN = _without(ALT, "previousStopovers", "nextStopovers")
+_SHAPE = SOURCE.replace(f"t:{TRIP}", f"t:{TRIP_OWN}").replace(f"a:{ALT}", f"a:{ALT_OWN}")
+
 
-OBJ = (f"struct<kind:string,t:{TRIP},a:{ALT},m:{MOVEMENT},st:timestamp_ntz,dep:boolean>")
+def _alts(arr: Column, dep: Column, fb: Column | None = None) -> Column:
+    none = F.array().cast(f"array<{STOPOVER}>")
+    return F.transform(F.coalesce(arr, F.array().cast(f"array<{ALT}>")), lambda a: _source(
+        "alt", a, F.concat(F.coalesce(a["previousStopovers"], none), F.coalesce(a["nextStopovers"], none)),
+        prov=a["origin"], dest=a["destination"], dep=dep, **({} if fb is None else {"fb": fb})))
 
 
-def _obj(kind: str, t=None, a=None, m=None, st=None, dep=None) -> Column:
-    def n(x, typ):
-        return x if x is not None else F.lit(None).cast(typ)
-    return F.struct(F.lit(kind).alias("kind"), n(t, TRIP).alias("t"), n(a, ALT).alias("a"), n(m, MOVEMENT).alias("m"),
-                    n(st, "timestamp_ntz").alias("st"), n(dep, "boolean").alias("dep"))
+def _trip(t: Column, through: bool) -> Column:
+    """A trip (or leg) and its alternatives; a leg's stopovers don't name its ends as stations."""
+    ends = {"prov": t["origin"], "dest": t["destination"]} if through else {}
+    return F.concat(F.array(_source("trip", t, t["stopovers"], **ends)), _alts(t["alternatives"], F.lit(True), t["origin"]))
 
 
-def _legs(legs: Column, st: Column) -> Column:
-    live = F.filter(F.coalesce(legs, F.array()), lambda l: ~F.coalesce(l["walking"], F.lit(False)))
-    return F.transform(live, lambda l: _obj("trip", t=l, st=st))
+def _legs(legs: Column) -> Column:
+    live = F.filter(F.coalesce(legs, F.array().cast(f"array<{TRIP}>")), lambda x: ~F.coalesce(x["walking"], F.lit(False)))
+    return F.flatten(F.transform(live, lambda x: _trip(x, False)))
 
 
-def _objects(t: Column, d: Column) -> Column:
+def _parsed(docs: DataFrame, keep: list[str], t: Column, d: Column) -> DataFrame:
+    """``keep`` plus one column per envelope, NULL for all but the document's own."""
     is_arr = _first_char(d) == "["
-    no_time = F.lit(None).cast("timestamp_ntz")
-
-    def alts(arr, st, dep):
-        return F.transform(F.coalesce(arr, F.array()), lambda a: _obj("alt", a=a, st=st, dep=F.lit(dep)))
-
-    def board(kind, dep):
-        arr_form = F.from_json(d, ENVELOPES["board_arr"])
-        obj_form = F.from_json(d, ENVELOPES[f"{kind}_obj"])
-        return F.when(is_arr, alts(arr_form, no_time, dep)).otherwise(
-            alts(obj_form[kind], data_time(obj_form), dep))
-
-    trip = F.from_json(d, ENVELOPES["trip"])
-    jr = F.from_json(d, ENVELOPES["journeys"])
-    rj = F.from_json(d, ENVELOPES["refreshJourney"])
-    rd = F.from_json(d, ENVELOPES["radar"])
-    out = (F.when(t == "departures", board("departures", True))
-           .when(t == "arrivals", board("arrivals", False))
-           .when(t == "trip", F.array(_obj("trip", t=trip["trip"], st=data_time(trip))))
-           .when(t == "journeys", F.flatten(F.transform(F.coalesce(jr["journeys"], F.array()),
-                                                        lambda j: _legs(j["legs"], data_time(jr)))))
-           .when(t == "refreshJourney", _legs(rj["journey"]["legs"], data_time(rj)))
-           .when((t == "radar") & ~is_arr, F.transform(F.coalesce(rd["movements"], F.array()),
-                                                       lambda m: _obj("mv", m=m, st=data_time(rd)))))
-    return F.coalesce(out, F.array().cast(f"array<{OBJ}>"))
-
-
-def _stopover_events(sos: Column, parent: Column, st: Column, prov: Column, dest: Column) -> Column:
-    """P7 on an array column: each stopover -> departure / arrival row when planned."""
-    def one(so):
-        meta = metadata(so, parent, so["stop"]["loadFactor"], None, has_id=False, has_trip_id=False,
-                        has_line=False)
-        dep = F.when(_truthy(so["plannedDeparture"]),
-                     _event(meta, so, True, so["stop"]["id"], st, _stops(so["stop"], prov)))
-        arr = F.when(_truthy(so["plannedArrival"]),
-                     _event(meta, so, False, so["stop"]["id"], st, _stops(so["stop"], dest)))
-        return F.array(dep, arr)
-    return F.flatten(F.transform(F.coalesce(sos, F.array()), one))
-
-
-def _alt_events(a: Column, pm: Column, st: Column, fb: Column, dep: Column) -> Column:
-    """P8 for one board entry with its metadata ``pm``: own row + previous/next stopovers."""
-    sid = F.when(_truthy(a["stop"]["id"]), a["stop"]["id"]).otherwise(fb["id"])
-    vals = {n: pm[n] for n in META_FIELDS}
-    vals.update({"station_id": sid, "scheduled_time": _ts(a["plannedWhen"]), "projected_time": _ts(a["when"]),
-                 "prognosis_type": a["prognosisType"], "is_departure": dep,
-                 "delay_seconds": a["delay"].cast("int"), "scheduled_platform": a["plannedPlatform"],
-                 "projected_platform": a["platform"], "sample_time": st})
-    own = F.struct(*[vals[n].alias(n) for n in SAMPLE_FIELDS],
-                   _stops(a["stop"], a["destination"], a["origin"], fb).alias("stations"))
-    return F.concat(F.array(own),
-                    _stopover_events(a["previousStopovers"], pm, st, a["origin"], a["destination"]),
-                    _stopover_events(a["nextStopovers"], pm, st, a["origin"], a["destination"]))
+    wanted = {
+        "_dep_arr": ("board_arr", (t == "departures") & is_arr), "_dep": ("departures_obj", (t == "departures") & ~is_arr),
+        "_arr_arr": ("board_arr", (t == "arrivals") & is_arr), "_arr": ("arrivals_obj", (t == "arrivals") & ~is_arr),
+        "_trip": ("trip", t == "trip"), "_jr": ("journeys", t == "journeys"), "_rj": ("refreshJourney", t == "refreshJourney"),
+        "_rd": ("radar", (t == "radar") & ~is_arr)}
+    return docs.select(*keep, *[F.when(c, F.from_json(d, ENVELOPES[e])).alias(n) for n, (e, c) in wanted.items()])
+
+
+def _sources(x: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per sample source: ``keep``, ``_st`` (realtime stamp) and ``_o``."""
+    yes, no = F.lit(True), F.lit(False)
+    none = F.array().cast(f"array<{_SHAPE}>")
+    mv = F.transform("_rd.movements", lambda m: _source("mv", m, m["nextStopovers"]))
+    by = [("_dep_arr", _alts(F.col("_dep_arr"), yes)), ("_dep", _alts(F.col("_dep.departures"), yes)),
+          ("_arr_arr", _alts(F.col("_arr_arr"), no)), ("_arr", _alts(F.col("_arr.arrivals"), no)),
+          ("_trip", _trip(F.col("_trip.trip"), True)),
+          ("_jr", F.flatten(F.transform("_jr.journeys", lambda j: _legs(j["legs"])))),
+          ("_rj", _legs(F.col("_rj.journey.legs"))), ("_rd", mv)]
+    out = none
+    for name, value in reversed(by):
+        out = F.when(F.col(name).isNotNull(), value).otherwise(out)
+    st = F.coalesce(*[data_time(F.col(n)) for n in ("_dep", "_arr", "_trip", "_jr", "_rj", "_rd")])
+    return x.select(*keep, st.alias("_st"), F.explode(F.coalesce(out, none)).alias("_o"))
+
+
+# --- items: own events and stopovers in one shape --------------------------------------
+
+def _item(stop: Column, o: Column, pre: str, dep: Column, cancelled: Column, remarks: Column, others: list[Column],
+          fb: Column | None = None) -> Column:
+    """The fields of an event, whatever it comes from (``pre``: arrival, departure or a board entry's bare names)."""
+    cap = pre.capitalize()
+    names = (("plannedWhen", "when", "prognosisType", "delay", "plannedPlatform", "platform") if not pre else
+             (f"planned{cap}", pre, f"{pre}PrognosisType", f"{pre}Delay", f"planned{cap}Platform", f"{pre}Platform"))
+    kinds = ("planned", "actual", "prognosis", "delay", "planned_platform", "platform")
+    return F.struct(stop.alias("stop"), *[o[n].alias(k) for n, k in zip(names, kinds)], dep.alias("dep"),
+                    F.coalesce(cancelled, F.lit(False)).alias("cancelled"), o["loadFactor"].alias("own_load"), remarks.alias("remarks"),
+                    F.array(stop, *others, *([] if fb is None else [fb])).alias("stations"),
+                    (F.lit(None).cast("string") if fb is None else fb).alias("fb"))
+
+
+def _items(o: Column) -> Column:
+    t, a = o["t"], o["a"]
+
+    def stopover(so: Column) -> Column:
+        rem = F.coalesce(so["remarks"], o["remarks"])
+        return F.array(
+            F.when(_truthy(so["plannedDeparture"]), _item(so["stop"], so, "departure", F.lit(True), so["cancelled"], rem, [o["prov"]])),
+            F.when(_truthy(so["plannedArrival"]), _item(so["stop"], so, "arrival", F.lit(False), so["cancelled"], rem, [o["dest"]])))
+
+    trip = F.array(_item(t["origin"], t, "departure", F.lit(True), t["cancelled"] & ~_truthy(t["departure"]), o["remarks"], []),
+                   _item(t["destination"], t, "arrival", F.lit(False), t["cancelled"] & ~_truthy(t["arrival"]), o["remarks"], []))
+    alt = F.array(_item(a["stop"], a, "", o["dep"], a["cancelled"], o["remarks"], [a["destination"], a["origin"]], o["fb"]))
+    along = F.flatten(F.transform(F.coalesce(o["sos"], F.array().cast(f"array<{STOPOVER}>")), stopover))
+    # one array of all, the parts that an object hasn't being NULL items
+    return F.filter(F.concat(F.when(o["kind"] == "trip", trip).otherwise(F.slice(trip, 1, 0)),
+                             F.when(o["kind"] == "alt", alt).otherwise(F.slice(alt, 1, 0)), along), lambda i: i.isNotNull())
 
 
 def fptf_samples(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:
     """Dispatch each response document by type, flatten to raw sample rows (one scan).
 
-    Output: response columns + one row per sample (``SAMPLE_FIELDS`` and ``stations``).
+    Output: response columns + one row per sample (``SAMPLE_FIELDS`` and ``stations``, raw stops).
     """
     keep = [c for c in docs.columns if c != doc_col]
-    x = docs.select(*keep, F.explode(_objects(F.col(type_col), F.col(doc_col))).alias("_o"))
+    x = _sources(_parsed(docs, keep, F.col(type_col), F.col(doc_col)), keep)
     o = F.col("_o")
-    t, a, m = o["t"], o["a"], o["m"]
-    kind = o["kind"]
-    pm = (F.when(kind == "trip", metadata(t, None, t["origin"]["loadFactor"], t["departure"]))
-          .when(kind == "alt", metadata(a, None, a["stop"]["loadFactor"], None, has_id=False))
-          .otherwise(metadata(m, None, None, None)))
-    dm = F.when(kind == "trip", metadata(t, None, t["destination"]["loadFactor"], t["arrival"]))
-    x = x.select(*keep, "_o", pm.alias("_pm"), dm.alias("_dm"))
-    o, pmc, dmc = F.col("_o"), F.col("_pm"), F.col("_dm")
-    t, a, m, st = o["t"], o["a"], o["m"], o["st"]
-    null_stop = F.lit(None).cast(STOP)
-    trip_rows = F.concat(
-        F.array(_event(pmc, t, True, t["origin"]["id"], st, _stops(t["origin"])),
-                _event(dmc, t, False, t["destination"]["id"], st, _stops(t["destination"]))),
-        _stopover_events(t["stopovers"], pmc, st, t["origin"], t["destination"]),
-        F.flatten(F.transform(F.coalesce(t["alternatives"], F.array()), lambda alt: _alt_events(
-            alt, metadata(alt, None, alt["stop"]["loadFactor"], None, has_id=False), st, t["origin"], F.lit(True)))))
-    alt_rows = _alt_events(a, pmc, st, null_stop, o["dep"])
-    mv_rows = _stopover_events(m["nextStopovers"], pmc, st, null_stop, null_stop)
-    rows = (F.when(o["kind"] == "trip", trip_rows).when(o["kind"] == "alt", alt_rows).otherwise(mv_rows))
-    return x.select(*keep, F.inline(F.filter(rows, lambda r: r.isNotNull())))
+    trip_id = F.when(_truthy(o["tripId"]), o["tripId"]).when(_truthy(o["id"]), o["id"])
+    x = x.select(*keep, "_st", trip_id.alias("trip_id"), o["line"].alias("_line"), F.explode(_items(o)).alias("_i"))
+    x = x.withColumn("_stop", F.from_json("_i.stop", "struct<id:string,loadFactor:string>"))
+    i, stop, line = F.col("_i"), F.col("_stop"), F.col("_line")
+    station = F.when(_truthy(stop["id"]), stop["id"]).otherwise(F.get_json_object(i["fb"], "$.id"))
+    vals = {
+        "trip_id": F.col("trip_id"), "remarks": i["remarks"], "cancelled": i["cancelled"],
+        "load_factor": F.when(_truthy(stop["loadFactor"]), stop["loadFactor"]).otherwise(i["own_load"]),
+        "operator_id": line["operator"]["id"], "operator_name": line["operator"]["name"], "line_name": line["name"],
+        "line_fahrtnr": line["fahrtNr"], "line_id": line["id"], "product_type": line["product"],
+        "product_name": line["productName"], "station_id": station, "scheduled_time": _ts(i["planned"]),
+        "projected_time": _ts(i["actual"]), "prognosis_type": i["prognosis"], "is_departure": i["dep"],
+        "delay_seconds": i["delay"], "scheduled_platform": i["planned_platform"], "projected_platform": i["platform"],
+        "sample_time": F.col("_st")}
+    return x.select(*keep, *[vals[n].alias(n) for n in SAMPLE_FIELDS], i["stations"].alias("stations"))
 
 
 def stations_of(stops: Column) -> Column:
-    """Stop list -> station rows; skip NULL and ``location``; parent before child."""
-    def one(s):
+    """List of raw stops -> station rows; skip NULL and ``location``; parent before child; ``details`` in full."""
+    def one(raw):
+        s = F.from_json(raw, STOP_FIELDS)
         st = s["station"]
         parent = F.when(st.isNotNull(), F.struct(
             st["id"].alias("station_id"), st["name"].alias("name"), st["location"]["longitude"].alias("lon"),
             st["location"]["latitude"].alias("lat"), F.lit(None).cast("string").alias("parent"),
-            F.to_json(st).alias("details")))
+            F.get_json_object(raw, "$.station").alias("details")))
         child = F.struct(s["id"].alias("station_id"), s["name"].alias("name"),
                          s["location"]["longitude"].alias("lon"), s["location"]["latitude"].alias("lat"),
-                         st["id"].alias("parent"), F.to_json(s).alias("details"))
-        return F.when(s.isNull() | (F.coalesce(s["type"], F.lit("")) == "location"), F.array()).otherwise(
+                         st["id"].alias("parent"), raw.alias("details"))
+        return F.when(raw.isNull() | (F.coalesce(s["type"], F.lit("")) == "location"), F.array()).otherwise(
             F.filter(F.array(parent, child), lambda x: x.isNotNull()))
-    return F.flatten(F.transform(F.coalesce(stops, F.array()), one))
+    return F.flatten(F.transform(F.coalesce(stops, F.array().cast("array<string>")), one))
 
 
 def fptf_stations(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:
@@ -258,5 +235,5 @@ def fptf_stations(docs: DataFrame, type_col: str = "type", doc_col: str = "doc")
     keep = [c for c in docs.columns if c != doc_col]
     samples = fptf_samples(docs, type_col, doc_col).select(*keep, F.inline(stations_of(F.col("stations"))))
     locs = docs.where(F.col(type_col) == "locations").select(
-        *keep, F.inline(stations_of(F.from_json(F.col(doc_col), ENVELOPES["locations"]))))
-    return samples.unionByName(locs)
+        *keep, F.from_json(F.col(doc_col), ENVELOPES["locations"]).alias("_stops"))
+    return samples.unionByName(locs.select(*keep, F.inline(stations_of(F.col("_stops")))))

@@ -575,7 +575,7 @@ def q_fptf_metadata(spark, d):
     return _fptf(spark, d).select("response_key", "trip_id", "station_id", "is_departure", "cancelled",
                                   "load_factor", "operator_id", "operator_name", "line_name", "line_fahrtnr",
                                   "line_id", "product_type", "product_name",
-                                  F.to_json("remarks").alias("remarks"))
+                                  "remarks")
 
 
 @register("fptf_stopovers")
