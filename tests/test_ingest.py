@@ -40,8 +40,10 @@ def test_delay_and_cancel_fill(spark):
     st = spark.createDataFrame([("t1", i, f"s{i}", f"0{i}:00:00", f"0{i}:01:00") for i in range(1, 6)],
                                "trip_id string, stop_sequence int, stop_id string, arrival_time string, "
                                "departure_time string")
-    up = spark.createDataFrame([("t1", 1, "SCHEDULED", 60), ("t1", 2, "SKIPPED", None), ("t1", 4, "SCHEDULED", 0)],
-                               "trip_id string, stop_sequence int, schedule_relationship string, departure_delay int")
+    up = spark.createDataFrame([("t1", "20240101", T(2024, 1, 1, 6, 0), i, i, r, d) for i, r, d in
+                                [(1, "SCHEDULED", 60), (2, "SKIPPED", None), (4, "SCHEDULED", 0)]],
+                               "trip_id string, start_date string, feed_ts timestamp_ntz, position int, stop_sequence int, "
+                               "schedule_relationship string, departure_delay int")
     ev = G.stop_events(inst, st, None, up).where("is_departure").orderBy("stop_number").collect()
     assert [r.delay_minutes for r in ev] == [1, 1, 1, 0]
     assert [r.cancelled for r in ev] == [False, True, True, False]
