@@ -78,24 +78,20 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, bits: int = HASH_BITS, epochs
     for places, y in zip(rows, toxic):
         (p if y else q)[places] += 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    lengths = np.array([len(x) for x in rows])
-    flat = np.concatenate(rows)
-    starts = np.r_[0, np.cumsum(lengths)[:-1]]
-    x = (ratio[flat] / np.sqrt(np.maximum(np.repeat(lengths, lengths), 1))).astype(np.float32)
-    of = np.repeat(np.arange(len(rows), dtype=np.int32), lengths)
-    some = lengths > 0
+    scale = [(ratio[x] / np.sqrt(max(len(x), 1))).astype(np.float32) for x in rows]
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)
 
     def margins(w: np.ndarray, b: float) -> np.ndarray:
-        z = np.full(len(rows), b)
-        z[some] += np.add.reduceat(x * w[flat].astype(np.float32), starts[some])
-        return z
+        w = w.astype(np.float32)
+        return np.array([b + float(x @ w[places]) for x, places in zip(scale, rows)])
 
     w, b = np.zeros(size), 0.0
     m_w, v_w, m_b, v_b = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, epochs + 1):  # Adam on the whole sample
         err = (1 / (1 + np.exp(-margins(w, b))) - toxic) * weight
-        g = np.bincount(flat, weights=x * err[of], minlength=size) + l2 * w
+        g = l2 * w
+        for e, x, places in zip(err.astype(np.float32), scale, rows):  # a row's places are all different
+            g[places] += e * x
         gb = err.sum()
         m_w, v_w = 0.9 * m_w + 0.1 * g, 0.999 * v_w + 0.001 * g * g
         m_b, v_b = 0.9 * m_b + 0.1 * gb, 0.999 * v_b + 0.001 * gb * gb
