@@ -21,8 +21,28 @@ def test_oracle(spark, name):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
+    from oracle import all_sql
+    from punctuo.registry import REGISTRY
+    rows_only = {"fptf_samples", "fptf_board", "fptf_trip", "fptf_journeys", "fptf_radar", "fptf_metadata", "fptf_stopovers",
+                 "fptf_stations", "fptf_normalised"}
+    assert set(REGISTRY) - set(all_sql()) == rows_only
+    assert set(all_sql()) <= set(REGISTRY)
+
+
+def test_oracle_imports_nothing_from_the_library():
+    import oracle
+    for name in os.listdir(os.path.dirname(oracle.__file__)):
+        if name.endswith(".py"):
+            with open(os.path.join(os.path.dirname(oracle.__file__), name), encoding="utf-8") as f:
+                assert "punctuo" not in f.read()
+
+
+def test_the_rest_works_without_the_training_data_queries(monkeypatch):
+    import sys as _sys
+
     import __spark_entry__ as E
-    rows_only = {"offline_samples", "bus_sampling", "fptf_samples", "fptf_board", "fptf_trip", "fptf_journeys",
-                 "fptf_radar", "fptf_metadata", "fptf_stopovers", "fptf_stations", "fptf_normalised"}
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == rows_only
+    from punctuo.registry import REGISTRY
+    for name in [m for m in _sys.modules if m.startswith("punctuo.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(_sys.modules, name)
+    monkeypatch.setitem(_sys.modules, "punctuo.llm", None)
+    assert set(E.queries()) == set(REGISTRY) and set(E.oracle_sql()) <= set(REGISTRY)
