@@ -46,10 +46,10 @@ def main() -> None:
     q: dict[str, float] = {}
 
     def load():
-        (fx.sample(spark, sf_dir).withColumn("d", F.to_date("scheduled_time"))
-         .write.mode("overwrite").partitionBy("d").parquet(out + "/sample"))
+        (fx.sample(spark, sf_dir).withColumn("day", F.to_date("scheduled_time"))
+         .write.mode("overwrite").partitionBy("day").parquet(out + "/sample"))
     q["load_sample"] = timed(load, warm=False)
-    sample = spark.read.parquet(out + "/sample").drop("d")
+    sample = spark.read.parquet(out + "/sample").drop("day")
     remarks = fx.remarks(spark, sf_dir)
 
     q["freeze_threshold"] = timed(lambda: run(FA.freeze_threshold(sample)))
