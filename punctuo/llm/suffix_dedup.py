@@ -20,8 +20,8 @@ into pieces that can:
    have equal smallest hashes, so a string whose hash occurs once in the corpus can't repeat. Hashes go
    to buckets, packed, folded per task; what occurs again goes back to its documents.
 3. Runs of strings with one repeated hash are pieces (at most ``LEAST + STRINGS - 1`` bytes), dealt out by
-   that hash. Equal pieces fold to their first place. All that is left goes into collections, where the
-   construction decides. A hash with over ``HOT_BYTES`` of different pieces (a passage in a third of all
+   that hash. Equal pieces fold to their first place. Hashes that still have several pieces, or one that
+   repeats itself, go into collections, where the construction decides. A hash with over ``HOT_BYTES`` of different pieces (a passage in a third of all
    documents, in as many contexts) is dealt out again string by string.
 
 Defined cases: null and empty texts have nothing to remove; rows repeated with id and text are one document
@@ -48,10 +48,10 @@ LEAST = 100
 GRAM = 50
 #: Strings of a piece, at most.
 STRINGS = 64
-COLLECTION_BYTES = 1 << 20
-HOT_BYTES = 8 << 20
+COLLECTION_BYTES = 1 << 19
+HOT_BYTES = 2 << 20
 #: Bytes of text a task folds before it sends on.
-HELD_BYTES = 24 << 20
+HELD_BYTES = 12 << 20
 #: Bytes of text for each hash bucket.
 BUCKET_BYTES = 16 << 20
 NO_ID = -(1 << 63)
@@ -62,7 +62,8 @@ NO_ID = -(1 << 63)
 def _by_symbol(bwt: np.ndarray) -> np.ndarray:
     """Rows in stable order of their symbols (a counting sort)."""
     import pyarrow.compute as pc
-    return pc.array_sort_indices(pa.array(bwt)).to_numpy().view(np.int64)
+    # not from Arrow's own pool: it keeps the freed buffers of all rounds, each a little longer than the last
+    return pc.array_sort_indices(pa.array(bwt), memory_pool=pa.system_memory_pool()).to_numpy().view(np.int64)
 
 
 def column_bwt(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +251,7 @@ def _different(held_bytes: int, least: int):
 
 
 def _hashes(buckets: int, held_bytes: int, least: int, gram: int):
-    """Rows (bucket, entries) for buckets and (doc, answer) of what repeats within the task."""
+    """Rows (bucket, entries) for buckets and (slot, answers) of what repeats within the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
@@ -265,14 +266,14 @@ def _hashes(buckets: int, held_bytes: int, least: int, gram: int):
             count = np.diff(np.r_[head, len(h)])
             again = np.maximum.reduceat(m, head) | (count > 1)
             back = np.repeat(again, count)
-            rows = [*_answers(d[back], short(h[back]))]
+            rows = [(None, *a) for a in _answers(d[back], short(h[back]), buckets)]
             bucket = bucket_of(h[head], buckets)
             for part in np.split(np.lexsort((d[head], bucket)), np.flatnonzero(np.diff(np.sort(bucket))) + 1):
                 here = head[part]
                 gaps = np.diff(d[here], prepend=0)
                 data = struct.pack("<I", len(here)) + _pack5(short(h[here])) + gaps.tobytes() + again[part].tobytes()
                 rows.append((int(bucket[part[0]]), None, press.compress(data)))
-            yield _table(rows, [("bucket", pa.int64()), ("doc", pa.int64()), ("data", pa.binary())])
+            yield _table(rows, [("bucket", pa.int64()), ("slot", pa.int64()), ("data", pa.binary())])
 
         for b in batches:
             for doc, z in zip(b.column("doc").to_pylist(), b.column("z")):
@@ -295,16 +296,44 @@ def _table(rows: list[tuple], fields: list[tuple[str, pa.DataType]]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
 
 
-def _answers(d: np.ndarray, h40: np.ndarray) -> Iterator[tuple]:
-    order = np.argsort(d, kind="stable")
-    d, h40 = d[order], h40[order]
-    for part in np.split(np.arange(len(d)), np.flatnonzero(np.diff(d)) + 1):
+def _answers(d: np.ndarray, h40: np.ndarray, slots: int) -> Iterator[tuple[int, bytes]]:
+    """(slot, documents and hashes) with the documents dealt over ``slots``: a row a slot, not a row a document."""
+    import zstandard
+    press = zstandard.ZstdCompressor(level=1)
+    slot = d.view(np.uint64) % np.uint64(slots)
+    order = np.lexsort((d, slot))
+    d, h40, slot = d[order], h40[order], slot[order]
+    for part in np.split(np.arange(len(d)), np.flatnonzero(np.diff(slot)) + 1):
         if len(part):
-            yield None, int(d[part[0]]), _pack5(h40[part])
+            yield int(slot[part[0]]), press.compress(struct.pack("<I", len(part)) + d[part].tobytes() + _pack5(h40[part]))
+
+
+def _by_document(slot: pa.Table) -> pa.Table:
+    """A slot's answers, one row a document."""
+    import zstandard
+    unpress, d, h = zstandard.ZstdDecompressor(), [], []
+    for x in slot.column("data"):
+        data = unpress.decompress(x.as_py())
+        n = struct.unpack_from("<I", data)[0]
+        d.append(np.frombuffer(data, np.int64, n, 4))
+        h.append(_unpack5(data[4 + 8 * n:]))
+    d, h = np.concatenate(d), np.concatenate(h)
+    order = np.argsort(d, kind="stable")
+    d, h = d[order], h[order]
+    head = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+    parts = zip(head.tolist(), [*head[1:].tolist(), len(d)])
+    return pa.Table.from_batches([_table([(int(d[a]), _pack5(h[a:b])) for a, b in parts],
+                                         [("doc", pa.int64()), ("said", pa.binary())])])
+
+
+def _again(buckets: int):
+    def run(bucket: pa.Table) -> pa.Table:
+        return _repeated(bucket, buckets)
+    return run
 
 
-def _again(bucket: pa.Table) -> pa.Table:
-    """A bucket's hashes that several tasks have, back to their documents."""
+def _repeated(bucket: pa.Table, slots: int) -> pa.Table:
+    """A bucket's hashes that several tasks have, back to their documents' slots."""
     import zstandard
     unpress = zstandard.ZstdDecompressor()
     h, d, m = [], [], []
@@ -320,7 +349,7 @@ def _again(bucket: pa.Table) -> pa.Table:
     head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     count = np.diff(np.r_[head, len(h)])
     back = np.repeat(count > 1, count) & ~m  # the others have been told by their own task
-    return pa.Table.from_batches([_table([r[1:] for r in _answers(d[back], h[back])], [("doc", pa.int64()), ("data", pa.binary())])])
+    return pa.Table.from_batches([_table([*_answers(d[back], h[back], slots)], [("slot", pa.int64()), ("data", pa.binary())])])
 
 
 _PIECE = [("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()), ("place", pa.int64()), ("piece", pa.binary()),
@@ -349,7 +378,7 @@ def _pieces(held_bytes: int, least: int, gram: int, strings: int):
                 low, _ = smallest_hashes(data, least, gram)
                 head = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
                 stop = np.r_[head[1:], len(low)]
-                wanted = np.isin(short(low[head]), _unpack5(b"".join(x.as_py() for x in said.values)))
+                wanted = np.isin(short(low[head]), _unpack5(said.as_py()))
                 for s, e, k in zip(head[wanted].tolist(), stop[wanted].tolist(), low[head[wanted]].view(np.int64).tolist()):
                     for at in range(s, e, strings):
                         to = min(at + strings, e) + least - 1
@@ -357,7 +386,7 @@ def _pieces(held_bytes: int, least: int, gram: int, strings: int):
                         old = seen.get(x)
                         if old is None:
                             seen[x] = (doc, at, tag, k)
-                            held += len(x) + 150
+                            held += len(x) + 300
                             continue
                         if (doc, at) < old[:2]:
                             seen[x] = (doc, at, tag, k)
@@ -366,7 +395,7 @@ def _pieces(held_bytes: int, least: int, gram: int, strings: int):
                             lost = (doc, at, tag, k)
                         if lost[:2] != seen[x][:2]:
                             gone.append((None, lost[0], lost[2], None, None, struct.pack("<QQ", lost[1], lost[1] + len(x))))
-                            held += 100
+                            held += 300
                 if held >= held_bytes:
                     yield flush()
                     held = 0
@@ -384,13 +413,17 @@ def _decide(collection_bytes: int, hot_bytes: int, least: int):
         open_: dict[bytes, tuple[int, int, int]] = {}
         state = {"key": None, "size": 0, "done": 0, "hot": False}
 
+        def repeats(x: bytes) -> bool:
+            return len({x[o:o + least] for o in range(len(x) - least + 1)}) <= len(x) - least
+
         def strings_of(x: bytes, spot: tuple[int, int, int]) -> None:
             for o in range(len(x) - least + 1):
                 part = x[o:o + least]
                 rows.append((xxhash.xxh64_intdigest(part, 1) - (1 << 63), spot[0], spot[1], spot[2] + o, part, None))
 
         def close() -> None:
-            if not state["hot"]:
+            # a piece alone with its hash has its equals, if any, within itself
+            if not state["hot"] and (len(open_) > 1 or any(map(repeats, open_))):
                 done.update(open_)
                 state["done"] += state["size"]
             open_.clear()
@@ -427,6 +460,9 @@ def _decide(collection_bytes: int, hot_bytes: int, least: int):
                         state["hot"] = True
                         for y, s in open_.items():
                             strings_of(y, s)
+                            if len(rows) > 20_000:
+                                yield _table(rows, _PIECE)
+                                rows.clear()
                 if len(rows) > 20_000:
                     yield _table(rows, _PIECE)
                     rows.clear()
@@ -484,12 +520,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = max(n, -(-total // BUCKET_BYTES))
 
     own = texts.join(first, "doc").filter(F.array_contains("own", F.col("sha"))).drop("own")
-    told = written(own.select("doc", "z").mapInArrow(_hashes(buckets, held_bytes, least, gram), "bucket long, doc long, data binary"),
+    told = written(own.select("doc", "z").mapInArrow(_hashes(buckets, held_bytes, least, gram), "bucket long, slot long, data binary"),
                    "suffix-hashes")
-    answers = (told.filter("doc is not null").select("doc", "data")
+    answers = (told.filter("slot is not null").select("slot", "data")
                .unionByName(told.filter("bucket is not null").select("bucket", "data").repartition(n, "bucket")
-                            .groupBy("bucket").applyInArrow(_again, "doc long, data binary"))
-               .groupBy("doc").agg(F.collect_list("data").alias("said")))
+                            .groupBy("bucket").applyInArrow(_again(buckets), "slot long, data binary"))
+               .groupBy("slot").applyInArrow(_by_document, "doc long, said binary"))
     pieces = written(texts.join(first, "doc").filter(F.array_contains("own", F.col("sha"))).drop("own").join(answers, "doc")
                      .mapInArrow(_pieces(held_bytes, least, gram, strings), _PIECE_DDL), "suffix-pieces")
 
