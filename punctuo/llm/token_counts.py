@@ -27,9 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packing import Known
+
 SPACE = "▁"
-NODES = 300_000
-WORDS = 300_000
+NODES = 600_000
+#: White-space words whose counts a worker remembers.
+WORDS = 600_000
 LONG = 200
 #: Pieces of a vocabulary that is broadcast, at most (about 20 MB).
 PIECES = 200_000
@@ -41,14 +44,22 @@ class Unigram:
     def __init__(self, pieces: dict[str, float], byte_scores: list[float]):
         self.pieces, self.byte_scores = pieces, byte_scores
         self.longest = max(map(len, pieces), default=1)
+        by_end: dict[str, set[int]] = {}
+        for p in pieces:
+            by_end.setdefault(p[-2:], set()).add(len(p))
+        #: By the last two characters (one, where the text has no more) the lengths of pieces that end so.
+        self.lengths = {e: tuple(sorted(x | ({1} if e[-1] in pieces else set()), reverse=True)) for e, x in by_end.items()}
 
     def step(self, text: str, end: int, score: list[float], count: list[int]) -> tuple[float, int]:
         """Best (score, count) of ``text[:end]`` from those of all shorter prefixes."""
         best, n, get = -1e300, 0, self.pieces.get
-        for begin in range(max(0, end - self.longest), end):
-            own = get(text[begin:end])
+        ending = text[end - 2:end] if end > 1 else text[:1]
+        for k in self.lengths.get(ending) or ((1,) if text[end - 1] in self.pieces else ()):
+            if k > end:
+                continue
+            own = get(text[end - k:end])
             if own is not None:
-                got, many = score[begin] + own, count[begin] + 1
+                got, many = score[end - k] + own, count[end - k] + 1
                 if got > best or got == best and many < n:
                     best, n = got, many
         if text[end - 1] not in self.pieces:
@@ -76,7 +87,7 @@ class SharedTrie:
         self._clear()
 
     def _clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: dict[int, int] = {}  # (node << 21 | character) -> node
         self.score, self.many = [0.0], [0]
 
     def terminal(self, text: str) -> int:
@@ -87,10 +98,11 @@ class SharedTrie:
             self._clear()
         node, child, score, many = 0, self.child, [0.0], [0]
         for end, sign in enumerate(text, 1):
-            below = child.get((node, sign))
+            edge = node << 21 | ord(sign)
+            below = child.get(edge)
             if below is None:
                 s, n = self.model.step(text, end, score, many)
-                below = child[node, sign] = len(self.score)
+                below = child[edge] = len(self.score)
                 self.score.append(s)
                 self.many.append(n)
             node = below
@@ -125,17 +137,13 @@ def _counts(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value  # a worker keeps this dict, and so the trie, from task to task
         if "trie" not in held:
-            held["trie"], held["words"] = SharedTrie(Unigram(*held["vocabulary"])), {}
+            held["trie"], held["words"] = SharedTrie(Unigram(*held["vocabulary"])), Known(WORDS)
         trie, known = held["trie"], held["words"]
         for b in batches:
             words_, tokens = [], []
             for x in b.column("text"):
                 words = (x.as_py() or "").split()
-                new = [w for w in set(words) if w not in known]
-                if len(known) + len(new) > WORDS:
-                    known.clear()
-                    new = set(words)
-                for w in sorted(new):
+                for w in sorted(known.missing(set(words))):
                     known[w] = trie.terminal(SPACE + w)
                 words_.append(len(words))
                 tokens.append(sum(map(known.__getitem__, words)))
