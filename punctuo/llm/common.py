@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuo.session import ensure_checkpoint_dir
@@ -46,18 +46,15 @@ def fresh(df: DataFrame, base: str) -> str:
 
 
 def one_row_each(rows: DataFrame, keep: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``rows`` whose ``keys`` are in ``keep``, one for each key; all columns of ``rows``.
+    """Rows of ``rows`` whose ``keys`` are in ``keep`` (nulls alike), one for each key; all columns of ``rows``.
 
-    The window runs on the join's own partitioning and streams (row_number has no frame to hold).
+    The keys are one struct, so the window runs on the join's own partitioning and order, and it streams
+    (row_number has no frame to hold): the rows are shuffled once.
     """
     from pyspark.sql import Window
 
-    k = keep.select([F.col(f"`{c}`").alias(f"__keep_{c}") for c in keys]).distinct()
-    on = None
-    for c in keys:
-        same: Column = F.col(f"`{c}`").eqNullSafe(F.col(f"`__keep_{c}`"))
-        on = same if on is None else on & same
-    w = Window.partitionBy([F.col(f"`{c}`") for c in keys]).orderBy(F.lit(1))
-    nth = fresh(rows, "nth")
-    joined = rows.join(k, on, "left_semi")
-    return joined.withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1).drop(nth)
+    key, nth = fresh(rows, "of"), fresh(rows, "nth")
+    of = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keys)])
+    joined = rows.withColumn(key, of).join(keep.select(of.alias(key)).distinct(), key, "left_semi")
+    w = Window.partitionBy(key).orderBy(key)
+    return joined.withColumn(nth, F.row_number().over(w)).filter(F.col(nth) == 1).drop(key, nth)
