@@ -1,21 +1,27 @@
-"""Line dedup (9): content-defined chunks of lines, with DataFrame functions only.
+"""Line dedup (9): content-defined chunks and repeated runs of lines, with DataFrame functions only.
 
 A text's lines are hashed (XXH64); a cyclic-polynomial rolling hash over the last ``WINDOW`` line hashes ends
 a chunk where it is 0 modulo ``MEAN``, so boundaries depend on nearby lines only and shift with them.
-Chunks of at least ``LEAST`` lines that occur again, anywhere in the corpus, are removed except for the first
-occurrence (smallest id, then text digest, then place).
-
-1. Narrow rows (MD5, document, place) of all multi-line chunks; digests that occur twice or more, and their
-   first place (grouped with partial sums; the join back splits where a digest is hot).
-2. Byte comparison: the chunks of those digests, taken from their texts, are grouped by whole content,
+A repeat that no whole chunk lies in can't be found by chunks, so ``run_dedup`` (the query) matches at every
+line: each run of ``LEAST`` lines that occurs again, anywhere in the corpus, loses its lines except in the first
+occurrence (smallest id, then text digest, then place). Longer repeats are overlapping runs of ``LEAST`` lines, so
+every repeated run of at least ``LEAST`` lines goes to its last line, every repeated chunk with it, and what a line
+says stays where it stood first. Chunks are counted, and those that lost all lines. ``line_dedup`` removes whole
+chunks only.
+
+1. Narrow rows (MD5, document, place) of all runs of ``LEAST`` lines (multi-line chunks in ``line_dedup``); digests
+   that occur twice or more, and their first place (grouped with partial sums; the join back splits where a digest
+   is hot).
+2. Byte comparison: the runs of those digests, taken from their texts, are grouped by whole content,
    combined before the shuffle. A digest with two contents is no ground for removal.
-3. Texts are put together from the chunks that stay.
+3. Texts are put together from the lines that stay.
 
 A document is known by id and text digest, so two texts under one id stay apart.
 
 Defined cases: null and empty texts have one empty line and lose nothing; rows repeated with id and text are
-one document and share its result; null ids come first; single-line chunks stay; an empty table gives an
-empty result; extra columns are ignored.
+one document and share its result; null ids come first; a repeated line between others that don't repeat stays;
+runs may overlap in one text (of three equal lines the first stays); an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,17 +44,22 @@ def _mixed(by: int):
     return lambda a, b: a.bitwiseXOR(_turn(b, by))
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, mean: int) -> DataFrame:
-    """``id, mark`` (text digest) and ``chunks``: an array of (no, lines, text) for each row."""
+def rolled(docs: DataFrame, id_col: str, text_col: str, window: int, *more: str) -> DataFrame:
+    """``id, mark`` (text digest), the text's ``lines`` and the rolling hash ``roll`` at each; ``more`` as it is."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))
-    rows = rows.select("id", F.unhex(F.md5("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), *more)
+    rows = rows.select("id", F.unhex(F.md5("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"), *more)
     rows = rows.select("*", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
     roll = F.col("h")
     for k in range(1, window):  # the hash k lines up, turned by k; none before the first line
         up = F.concat(F.array_repeat(F.lit(0).cast("long"), k), F.col("h"))
         roll = F.zip_with(roll, F.slice(up, F.lit(1), F.size("h")), _mixed(k))
-    rows = rows.select("id", "mark", "lines", roll.alias("roll"))
+    return rows.select("id", "mark", "lines", roll.alias("roll"), *more)
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, mean: int) -> DataFrame:
+    """``id, mark`` (text digest) and ``chunks``: an array of (no, lines, text) for each row."""
+    rows = rolled(docs, id_col, text_col, window)
     ends = F.filter(F.transform("roll", lambda r, i: F.when(F.pmod(r, F.lit(mean)) == 0, i + 1)), lambda i: i.isNotNull())
     rows = rows.select("id", "mark", "lines", F.array_distinct(F.concat(ends, F.array(F.size("lines")))).alias("ends"))
     rows = rows.select("*", F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1)).alias("starts"))
@@ -60,9 +71,13 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, mean: int)
 def repeats(chunks: DataFrame, least: int) -> DataFrame:
     """``id, mark, no, digest, first`` (is it the first occurrence) of all chunks whose digest occurs again."""
     many = F.filter("chunks", lambda c: c["lines"] >= least)
-    each = (chunks.select("id", "mark", F.explode(F.transform(many, lambda c: F.struct(
+    return occurring_again(chunks.select("id", "mark", F.explode(F.transform(many, lambda c: F.struct(
         c["no"].alias("no"), F.unhex(F.md5(c["text"])).alias("digest")))).alias("c"))
         .select("id", "mark", "c.no", "c.digest"))
+
+
+def occurring_again(each: DataFrame) -> DataFrame:
+    """The rows (``id, mark, no, digest``) whose digest is at another place too, and ``first``."""
     at = F.struct("id", "mark", "no")
     first = (each.groupBy("digest").agg(F.min(at).alias("at"), F.max(at).alias("last"))
              .filter(~F.col("at").eqNullSafe(F.col("last"))).drop("last"))
@@ -96,7 +111,67 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.array_join(F.transform(left, lambda c: c["text"]), "\n").alias("kept_text"))
 
 
+def runs_of(lines: Column, least: int) -> Column:
+    """The runs of ``least`` lines, one from each line on as far as there are that many."""
+    run = lines
+    for k in range(1, least):  # null where the text ends
+        run = F.zip_with(run, F.slice(lines, F.lit(k + 1), F.size(lines)), lambda a, b: F.concat(a, F.lit("\n"), b))
+    return F.slice(run, F.lit(1), F.greatest(F.size(lines) - (least - 1), F.lit(0)))
+
+
+def by_line(again: Column) -> Column:
+    """``again`` (sorted by ``no``, one for each) as an array with the struct of line ``no`` at that place; nulls between."""
+    kind = "struct<no:int,digest:binary,first:boolean>"
+    after = F.concat(F.array(F.lit(0)), F.transform(again, lambda a: a["no"] + 1))
+    return F.flatten(F.zip_with(again, F.slice(after, F.lit(1), F.size(again)), lambda a, e: F.concat(
+        F.array_repeat(F.lit(None).cast(kind), a["no"] - e), F.array(a))))
+
+
+def run_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
+              least: int = LEAST) -> DataFrame:
+    """As ``line_dedup``, but every repeated run of at least ``least`` lines goes, wherever chunks end."""
+    lines = F.split("text", "\n", -1)
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    texts = texts.select("id", F.unhex(F.md5("text")).alias("mark"), "text")
+    each = (texts.select("id", "mark", lines.alias("lines")).select("id", "mark", F.posexplode(
+        F.transform(runs_of(F.col("lines"), least), lambda r: F.unhex(F.md5(r)))).alias("no", "digest")))
+    found = written(occurring_again(each).dropDuplicates(["id", "mark", "no"]), "line-repeats")
+    while True:
+        again = (found.groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("no", "digest", "first"))).alias("again"))
+                 .withColumnsRenamed({"id": "id_", "mark": "mark_"}))
+        whole = written(texts.join(again, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), "left")
+                        .select("id", "text", F.coalesce("again", F.array().cast(again.schema["again"].dataType)).alias("again")),
+                        "line-texts")
+        pairs = F.zip_with(by_line(F.col("again")), runs_of(F.col("lines"), least), lambda a, r: F.when(
+            a.isNotNull(), F.struct(a["digest"].alias("digest"), r.alias("text"))))
+        contents = (whole.filter(F.size("again") > 0).select("again", lines.alias("lines"))
+                    .select(F.explode(F.filter(pairs, lambda c: c.isNotNull())).alias("c")).select("c.*").distinct())
+        mixed = written(contents.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")
+        if mixed.isEmpty():  # as good as always: MD5 of other contents
+            break
+        found = found.join(mixed, "digest", "left_anti")
+    rows = rolled(whole.withColumn("again", by_line(F.col("again"))), "id", "text", window, "again")
+    later = F.transform("again", lambda a: F.coalesce(~a["first"], F.lit(False)))
+    gone = F.transform("lines", lambda x: F.lit(False))
+    for k in range(least):  # a line goes with a run that starts there or up to least - 1 lines up
+        gone = F.zip_with(gone, F.concat(F.array_repeat(F.lit(False), k), F.col("later")),
+                          lambda g, x: g | F.coalesce(x, F.lit(False)))
+    rows = rows.select("id", "lines", "roll", later.alias("later")).select("id", "lines", "roll", gone.alias("gone"))
+    n = F.size("lines")
+    ends = F.transform("roll", lambda r: F.pmod(r, F.lit(mean)) == 0)
+    start = F.struct(F.lit(True).alias("all"), F.lit(0).cast("long").alias("gone"), F.lit(0).cast("long").alias("n"))
+    rows = rows.select("id", "lines", "gone", F.concat(F.slice(ends, F.lit(1), n - 1), F.array(F.lit(True))).alias("ends"))
+    counts = F.aggregate(F.zip_with("ends", "gone", lambda e, g: F.struct(e.alias("e"), g.alias("g"))), start, lambda t, x: F.struct(
+        (x["e"] | (t["all"] & x["g"])).alias("all"),
+        (t["gone"] + (x["e"] & t["all"] & x["g"]).cast("long")).alias("gone"), (t["n"] + x["e"].cast("long")).alias("n")))
+    rows = rows.select("id", "lines", "gone", counts.alias("c"))
+    return rows.select(F.col("id").alias(id_col), n.cast("long").alias("n_lines"),
+                       F.size(F.filter("gone", lambda g: g)).cast("long").alias("n_removed"), F.col("c.n").alias("n_chunks"),
+                       F.col("c.gone").alias("n_removed_chunks"),
+                       F.array_join(F.zip_with("lines", "gone", lambda x, g: F.when(~g, x)), "\n").alias("kept_text"))
+
+
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     from .common import table
-    got = line_dedup(table(spark, sf_dir, "documents"))
+    got = run_dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_lines", "n_removed", "n_chunks", "n_removed_chunks", F.sha2("kept_text", 256).alias("kept_sha256"))

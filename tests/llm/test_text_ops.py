@@ -292,6 +292,44 @@ def test_line_dedup(spark):
     assert "PythonUDF" not in (plan := ties._jdf.queryExecution().toString()) and "InPandas" not in plan and "InArrow" not in plan
 
 
+def runs_brute(docs, least=2):
+    """By document: (lines removed, sha256 of the text kept) when every repeated run of lines goes but the first."""
+    import hashlib
+    seen, out = set(), {}
+    for d, t in sorted(set(docs), key=lambda r: r[0]):
+        lines = (t or "").split("\n")
+        gone = set()
+        for i in range(len(lines) - least + 1):
+            run = tuple(lines[i:i + least])
+            gone.update(range(i, i + least) if run in seen else ())
+            seen.add(run)
+        kept = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        out[d] = (len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+def test_line_dedup_finds_every_repeated_run(spark, tmp_path):
+    own = lambda d, n: "\n".join(f"own line {d} {i} {d * 31 + i * 17}" for i in range(n))
+    docs = list(DOCS)
+    for k in range(2, 9):  # a passage of k lines among other lines, twice
+        passage = "\n".join(f"passage {k} line {i}" for i in range(k))
+        docs += [(1000 + 10 * k + j, f"{own(10 * k + j, 1 + j)}\n{passage}\n{own(500 + 10 * k + j, 2)}") for j in range(2)]
+    docs += [(2000, "same\nsame\nsame\nother"), (2001, "x\n\n\ny"), (2002, "z\n\n\n")]
+    cases.frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    got = line_dedup.op9_line_dedup(spark, str(tmp_path))
+    rows = got.collect()
+    want, chunks = runs_brute(docs), line_brute(docs)
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in rows} == want and len(rows) == len(docs)
+    assert all(want[1000 + 10 * k + 1][0] >= k for k in range(2, 9))
+    assert {r.doc_id: r.n_chunks for r in rows} == {d: c[1] for d, c in chunks.items()}
+    assert all(r.n_removed >= chunks[r.doc_id][0] and (r.n_removed_chunks == r.n_chunks) == (r.n_removed == r.n_lines) for r in rows)
+    ties = line_dedup.run_dedup(cases.frame(spark, [(1, "a\nb\nc\nd")] * 2 + [(None, "a\nb\nq"), (None, "a\nb\nq"), (None, None)]))
+    assert Counter((r.doc_id, r.n_removed, r.kept_text) for r in ties.collect()) == {
+        (1, 2, "c\nd"): 2, (None, 0, "a\nb\nq"): 2, (None, 0, ""): 1}
+    assert line_dedup.run_dedup(cases.frame(spark, docs).limit(0)).count() == 0
+    assert "PythonUDF" not in (plan := got._jdf.queryExecution().toString()) and "InPandas" not in plan and "InArrow" not in plan
+
+
 # ---------------------------------------------------------------- 10
 
 def toxic_docs(n=600):
