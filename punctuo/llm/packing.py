@@ -4,10 +4,13 @@
 2. The histogram of piece lengths (at most ``capacity`` numbers, whatever the input) goes to the driver.
    Its configuration LP, min sum(x_c) with sum(x_c * c[l]) >= n_l over all ways c to fill a sequence, is
    solved by multiplicative weights: lengths covered less than their share gain weight, and the fullest
-   configuration at these weights is priced by a knapsack dynamic program over the capacity.
-3. Rounding: shares of the solution are cut to whole numbers, configurations are taken only as far as
-   pieces are left, and what remains is filled in best-fit order, length by length; of the shares tried, the
-   one with the fewest sequences stays.
+   configuration at these weights is priced by a knapsack dynamic program over the capacity. Each pricing
+   also bounds the LP from below (any values of the lengths, over the dearest filling). Where the plan is
+   further than ``GAP`` above the bound, the LP is solved by column generation (at most ``LP_LENGTHS`` lengths;
+   same pricing) or by more rounds of the weights.
+3. Rounding: shares of the solution are cut to whole numbers, with and without the configurations that leave a
+   gap, configurations are taken only as far as pieces are left, and what remains is filled in best-fit order,
+   length by length; of the shares tried, and best fit alone, the one with the fewest sequences stays.
 4. The plan (configuration, how often) says for the r-th piece of a length which sequence and offset it
    gets. Pieces are numbered within (length, salt), with offsets from the counts, so a length that a third
    of all pieces share is numbered by many tasks. The plan's arrays are bounded by the number of
@@ -35,6 +38,13 @@ END_ID = 1
 ROUNDS = 12
 #: Shares of the fractional solution that the rounding takes over, the best of which stays.
 SHARES = (1.0, 0.5, 0.1)
+#: Part of the lower bound that a plan may be above it before the LP is solved further; rounds that it has then.
+GAP = 0.0005
+MORE_ROUNDS = 48
+#: Distinct lengths up to which that is done by column generation; its pricings and pivots, at most.
+LP_LENGTHS = 512
+PRICINGS = 250
+PIVOTS = 6000
 #: Rows of one numbering group, about.
 GROUP_ROWS = 4096
 #: White-space words and parts of words whose ids a worker remembers.
@@ -155,8 +165,8 @@ def _pieces(shared, capacity: int, end_id: int):
 Config = tuple[tuple[int, int], ...]  # (length, how many) of one sequence
 
 
-def price(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Knapsack by dynamic programming: per room the length (its place) to put in last, and the room from there.
+def price(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Knapsack by dynamic programming: per room its best value, the length (its place) to put in last, and the room from there.
 
     Room ``c`` filled best holds ``lengths[last[c]]`` and the best filling of ``rest[c]``; -1: nothing fits.
     """
@@ -169,38 +179,97 @@ def price(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.nda
             k = int(got.argmax())
             if got[k] > best[c]:
                 best[c], last[c], rest[c] = got[k], k, c - lengths[k]
-    return last, rest
+    return best, last, rest
 
 
-def fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int) -> list[tuple[Config, float]]:
-    """Configurations and how often each is used in a near-optimal solution of the LP.
+def fillings(first: np.ndarray, lengths: np.ndarray, last: np.ndarray, rest: np.ndarray, capacity: int) -> np.ndarray:
+    """A row for each of ``first``: its place and those of the best filling of the room it leaves; -1 behind them."""
+    held, room = [first], capacity - lengths[first]
+    while True:  # all fillings side by side
+        k = last[room]
+        if (k < 0).all():
+            return np.stack(held, axis=1)
+        held.append(k)
+        room = np.where(k < 0, room, rest[room])
+
+
+def fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int) -> tuple[list[tuple[Config, float]], float]:
+    """Configurations and how often each is used in a near-optimal solution of the LP, and a lower bound of the LP.
 
     One pricing answers for all lengths at once: the best configuration that holds length l is l and the
     best filling of the room it leaves. Each round adds that one for every length, as often as covers
     ``1 / rounds`` of its need; what a round over-covers loses weight in the next.
     """
     rng = np.random.default_rng(7)
-    covered = np.zeros(len(lengths))
+    covered, bound = np.zeros(len(lengths)), float(lengths @ need) / capacity
     out: list[tuple[Config, float]] = []
     for t in range(rounds):
         weight = np.exp(-4.0 * np.clip(covered / need - t / rounds, -2, 2))
-        last, rest = price(lengths, lengths * weight * (1 + 0.02 * rng.random(len(lengths))), capacity)
+        value = lengths * weight * (1 + 0.02 * rng.random(len(lengths)))
+        best, last, rest = price(lengths, value, capacity)
+        bound = max(bound, float(value @ need) / best[capacity])
         short = np.flatnonzero(covered / need < (t + 1) / rounds)
-        held, room = [short], capacity - lengths[short]
-        while True:  # all fillings side by side
-            k = last[room]
-            if (k < 0).all():
-                break
-            held.append(k)
-            room = np.where(k < 0, room, rest[room])
-        for row in np.stack(held, axis=1):
+        for row in fillings(short, lengths, last, rest, capacity):
             places, counts = np.unique(row[row >= 0], return_counts=True)
             first = row[0]
             times = (need[first] * (t + 1) / rounds - covered[first]) / counts[places == first][0]
             if times > 0:
                 covered[places] += counts * times
                 out.append((tuple(zip(lengths[places].tolist(), counts.tolist())), times))
-    return out
+    return out, bound
+
+
+def generated(lengths: np.ndarray, need: np.ndarray, capacity: int, known: list[tuple[Config, int]] = ()) -> tuple[list[tuple[Config, float]], float]:
+    """As ``fractional``, by column generation: a simplex over the configurations that the pricing finds.
+
+    The basis starts with sequences of one length each, the ``known`` configurations may enter first. A pricing at the basis's values gives the best
+    configuration for every length; those that are worth more than a sequence enter, dearest first, and a
+    length whose value is negative may be covered more than it needs (its surplus enters).
+    """
+    m = len(lengths)
+    base = np.diag((capacity // lengths).astype(float))  # columns: configurations, or minus one for a surplus
+    cost, inverse = np.ones(m), np.diag(1 / np.diag(base))
+    bound, pivots = float(lengths @ need) / capacity, 0
+    at = {size: i for i, size in enumerate(lengths.tolist())}
+    seed = np.zeros((len(known), m))
+    for i, (config, _) in enumerate(known):
+        for size, count in config:
+            seed[i, at[size]] += count
+    for turn in range(PRICINGS):
+        value = np.maximum(cost @ inverse, 0) if turn else lengths / capacity  # the fullest ones first
+        best, last, rest = price(lengths, value, capacity)
+        bound = max(bound, float(value @ need) / best[capacity])
+        if turn and (best[capacity] < 1 + 1e-7 or np.ceil(bound - 1e-6) >= cost @ (inverse @ need) - 1e-6):
+            break
+        pool = np.zeros((m, m))
+        for i, row in enumerate(fillings(np.arange(m), lengths, last, rest, capacity)):
+            np.add.at(pool[i], row[row >= 0], 1)
+        pool = pool if turn else np.concatenate([seed, pool])
+        pool, price_of = np.concatenate([pool, -np.eye(m)]), np.r_[np.ones(len(pool)), np.zeros(m)]
+        while pivots < PIVOTS:
+            gain = pool @ (cost @ inverse) - price_of
+            k = int(gain.argmax())
+            if gain[k] < 1e-9:
+                break
+            x, d = inverse @ need, inverse @ pool[k]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(d > 1e-9, np.maximum(x, 0) / d, np.inf)
+            out = int(ratio.argmin())
+            if not np.isfinite(ratio[out]):
+                break
+            base[:, out], cost[out] = pool[k], price_of[k]
+            inverse[out] /= d[out]
+            d[out] = 0.0
+            inverse -= np.outer(d, inverse[out])
+            pivots += 1
+            if pivots % 200 == 0:
+                inverse = np.linalg.inv(base)
+    times = np.linalg.solve(base, need)
+    found = []
+    for k in np.flatnonzero((cost > 0) & (times > 1e-9)):
+        places = np.flatnonzero(base[:, k])
+        found.append((tuple(zip(lengths[places].tolist(), base[places, k].astype(int).tolist())), float(times[k])))
+    return found, bound
 
 
 def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
@@ -237,15 +306,27 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUN
         return []
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[int(x)] for x in lengths], float)
-    solution = fractional(lengths, need, capacity, rounds)
-    return min((rounded(histogram, solution, share, capacity) for share in SHARES), key=lambda p: sum(n for _, n in p))
+    sequences = lambda p: sum(n for _, n in p)
+    solution, bound = fractional(lengths, need, capacity, rounds)
+    best = min(candidates(histogram, solution, capacity), key=sequences)
+    if sequences(best) > np.ceil(bound - 1e-6) * (1 + GAP):
+        more, _ = (generated(lengths, need, capacity, best) if len(lengths) <= LP_LENGTHS else
+                   fractional(lengths, need, capacity, max(rounds, MORE_ROUNDS)))
+        best = min([best, *candidates(histogram, more, capacity)], key=sequences)
+    return best
+
+
+def candidates(histogram: dict[int, int], solution: list[tuple[Config, float]], capacity: int) -> list[list[tuple[Config, int]]]:
+    """Plans by rounding shares of ``solution``, with the configurations that leave a gap and without; and best fit alone."""
+    return [best_fit(histogram, capacity), *(rounded(histogram, solution, share, capacity) for share in SHARES),
+            *(supported(histogram, solution, share, capacity) for share in SHARES)]
 
 
 def rounded(histogram: dict[int, int], solution: list[tuple[Config, float]], share: float, capacity: int) -> list[tuple[Config, int]]:
-    """Whole numbers for ``share`` of the fractional solution, best fit for what is left."""
+    """Whole numbers for ``share`` of the solution's full configurations, best fit for what is left."""
     left, used, due = dict(histogram), {}, 0.0
     for config, times in solution:
-        if sum(size * n for size, n in config) < capacity:  # a filling with a gap is left to the rounding
+        if sum(size * n for size, n in config) < capacity:  # see ``supported``
             continue
         due += times * share  # the fractions of one configuration pass on to the next
         n = min(int(due), min(left[size] // count for size, count in config))
@@ -258,6 +339,27 @@ def rounded(histogram: dict[int, int], solution: list[tuple[Config, float]], sha
     return [*used.items(), *best_fit({k: n for k, n in left.items() if n}, capacity)]
 
 
+def supported(histogram: dict[int, int], solution: list[tuple[Config, float]], share: float, capacity: int) -> list[tuple[Config, int]]:
+    """Whole numbers for ``share`` of all configurations, those used most first; best fit for what is left.
+
+    The solution may cover a length more than it needs: where its pieces are used up, the others go without it.
+    """
+    left, total, used = dict(histogram), {}, {}
+    for config, times in solution:
+        total[config] = total.get(config, 0.0) + times
+    for config, times in sorted(total.items(), key=lambda c: -c[1]):
+        due = int(times * share + 1e-6)
+        while due and config:
+            n = min(due, min(left[size] // count for size, count in config))
+            if n > 0:
+                due -= n
+                used[config] = used.get(config, 0) + n
+                for size, count in config:
+                    left[size] -= count * n
+            config = tuple((size, min(count, left[size])) for size, count in config if left[size])
+    return [*used.items(), *best_fit({k: n for k, n in left.items() if n}, capacity)]
+
+
 def runs(plan_: list[tuple[Config, int]]) -> dict[str, np.ndarray]:
     """The plan by length: piece numbers from ``first`` on go, ``count`` to a sequence, to ``sequence`` and on."""
     rows, taken, sequence = [], {}, 0

@@ -213,6 +213,23 @@ def test_plan_covers_the_histogram():
         assert used <= fit * 1.01 + 2
 
 
+def test_plan_without_exact_fillings():
+    import random
+    sequences = lambda p: sum(n for _, n in p)
+    assert sequences(packing.plan({2066: 6000, 1063: 6000, 1043: 6000, 983: 12000})) == 9000  # 4092 of 4096 each
+    rng = random.Random(8)
+    hot = {rng.randint(300, 2500): rng.randint(1, 40) for _ in range(60)}
+    hot[1400] = 2 * sum(hot.values())
+    few = [{rng.randint(500, 2200): rng.randint(500, 9000) for _ in range(k)} for k in (2, 3, 5, 8, 20)]
+    for histogram in [hot, *few, {rng.randint(1, 4096): rng.randint(1, 500) for _ in range(600)}]:
+        plan, got = packing.plan(histogram), Counter()
+        for config, n in plan:
+            assert sum(s * k for s, k in config) <= 4096 and n > 0
+            for s, k in config:
+                got[s] += k * n
+        assert got == histogram and sequences(plan) <= sequences(packing.best_fit(histogram, 4096))
+
+
 # ---------------------------------------------------------------- 8
 
 @pytest.mark.parametrize("rows", [DOCS, cases.TIES])
