@@ -13,7 +13,7 @@ without shuffle over all rows; the weights (1 MB) are broadcast.
 
 Defined cases: null and empty texts have no feature and score by the intercept alone; labels that are null
 don't train; a label of a row that occurs twice counts once; without labels of both classes every score
-is the prior of the labels there are, 0.5 without any; extra columns are kept.
+is the prior of the labels there are, 0.5 without any, and ``decent`` keeps all rows; extra columns are kept.
 """
 
 from __future__ import annotations
@@ -131,8 +131,8 @@ def _collectable(text_col: str, bits: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          per_class: int = PER_CLASS, bits: int = HASH_BITS) -> tuple[np.ndarray, float]:
-    """Weights and intercept from labelled rows outside the held-out fold."""
+          per_class: int = PER_CLASS, bits: int = HASH_BITS) -> tuple[np.ndarray, float, bool]:
+    """Weights and intercept from labelled rows outside the held-out fold; and were there rows of both classes?"""
     own = F.col(f"`{id_col}`")
     usable = (labels.select(own.alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
               .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     order = np.argsort(got["o"].to_numpy(), kind="stable")
     places = [np.frombuffer(x.as_py(), np.int32) for x in got["places"]]
     y = got["y"].to_numpy()
-    return fit([places[i] for i in order], y[order], bits)
+    return *fit([places[i] for i in order], y[order], bits), len(np.unique(y)) == 2
 
 
 def _scores(shared, text_col: str, name: str, bits: int):
@@ -161,24 +161,25 @@ def _scores(shared, text_col: str, name: str, bits: int):
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           per_class: int = PER_CLASS, bits: int = HASH_BITS) -> tuple[DataFrame, str]:
-    """``docs`` with a score behind its columns, and that column's name."""
+           per_class: int = PER_CLASS, bits: int = HASH_BITS) -> tuple[DataFrame, str, bool]:
+    """``docs`` with a score behind its columns, that column's name, and whether both classes were learnt."""
     name = fresh(docs, "score")
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, "toxic", per_class, bits))
-    return docs.mapInArrow(_scores(shared, text_col, name, bits), schema_with(docs, f"{name} double")), name
+    *model, learnt = train(docs, labels, id_col, text_col, "toxic", per_class, bits)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    return docs.mapInArrow(_scores(shared, text_col, name, bits), schema_with(docs, f"{name} double")), name, learnt
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, score, predicted``."""
-    got, score = scored(docs.select(id_col, text_col), labels, id_col, text_col, **kw)
+    got, score, _ = scored(docs.select(id_col, text_col), labels, id_col, text_col, **kw)
     return got.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(score).alias("score"),
                       (F.col(score) >= 0.5).cast("int").alias("predicted"))
 
 
 def decent(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't judged toxic, with the columns of ``docs``."""
-    got, score = scored(docs, labels, id_col, text_col)
-    return got.filter(F.col(score) < 0.5).drop(score)
+    """The rows of ``docs`` that aren't judged toxic, with the columns of ``docs``; all where nothing told the classes apart."""
+    got, score, learnt = scored(docs, labels, id_col, text_col)
+    return got.filter(F.col(score) < 0.5).drop(score) if learnt else docs
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -388,3 +388,15 @@ def test_toxicity_without_labels(spark):
     df = cases.frame(spark, DOCS)
     assert toxicity.decent(df, none).columns == df.columns
     assert toxicity.toxicity(df.limit(0), none).count() == 0
+
+
+def test_decent_keeps_all_rows_where_nothing_was_learnt(spark):
+    kind = "doc_id long, quality int, toxic int"
+    docs = DOCS + cases.TIES
+    df, ids = cases.frame(spark, docs), [d for d, _ in DOCS]
+    for rows in ([], [(d, 1, None) for d in ids], [(d, 1, d % 2) for d in ids if cases.held_out(d)], [(d, 1, 1) for d in ids]):
+        kept = toxicity.decent(df, spark.createDataFrame(rows, kind))
+        assert kept.columns == df.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(docs)
+    docs, labels = toxic_docs(200)
+    kept = toxicity.decent(cases.frame(spark, docs), spark.createDataFrame(labels, kind)).count()
+    assert 0 < kept < len(docs)  # and drops rows where there was something to learn
