@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, fill_in_middle, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op3_warc": warc.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op13_fill_in_middle": fill_in_middle.SQL,
 }
