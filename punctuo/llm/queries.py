@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, exact_dedup, fill_in_middle, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter, warc
+from . import decontaminate, exact_dedup, fill_in_middle, hard_negatives, line_dedup, one_bit_search, packing, simhash, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -18,6 +18,8 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_one_bit_search": one_bit_search.op12_one_bit_search,
     "op13_fill_in_middle": fill_in_middle.op13_fill_in_middle,
 }
 
@@ -26,5 +28,6 @@ ORACLE_SQL = {
     "op3_warc": warc.SQL,
     "op5_decontaminate": decontaminate.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
     "op13_fill_in_middle": fill_in_middle.SQL,
 }
