@@ -143,26 +143,25 @@ INSTANCE = ["trip_id", "start_date", "feed_ts"]
 VERSION = "gtfs_version"
 
 
-def _walk(stops: Column, updates: Column, cancelled: Column) -> Column:
-    """G7 + G8 along a trip: per stop the place of its update (or NULL) and whether it is cancelled.
+def _walk(stops: Column, updates: Column) -> Column:
+    """G7 along a trip: for each stop the place of its update, as text (empty: it has none).
 
     A forward pointer into the updates moves on when the next update is for the stop (by stop id or sequence);
-    while it hasn't moved, the first update may match. A stop without update inherits the cancel flag.
+    while it hasn't moved, the first update may match. The fold carries the pointer and one text, which grows by
+    a few bytes a stop (an array would be copied object by object), so the work is linear in the stops.
     """
     def matches(u: Column, s: Column) -> Column:
         return F.coalesce(u["stop_id"] == s["stop_id"], F.lit(False)) | F.coalesce(u["seq"] == s["seq"], F.lit(False))
 
     def step(acc: Column, s: Column) -> Column:
-        nxt, first = F.get(updates, acc["at"] + 1), F.get(updates, F.lit(0))
-        place = F.when(matches(nxt, s), acc["at"] + 1).when((acc["at"] == 0) & matches(first, s), F.lit(0))
-        skipped = F.when(cancelled, F.lit(True)).when(place.isNotNull(), F.coalesce(F.get(updates, place)["rel"] == "SKIPPED",
-                                                                                   F.lit(False))).otherwise(acc["off"])
-        return F.struct(F.coalesce(place, acc["at"]).alias("at"), skipped.alias("off"), F.concat(
-            acc["out"], F.array(F.struct(place.alias("place"), skipped.alias("off")))).alias("out"))
+        on = matches(F.get(updates, acc["at"] + 1), s)
+        first = (acc["at"] == 0) & matches(F.get(updates, F.lit(0)), s)
+        moved = F.when(on, acc["at"] + 1).otherwise(acc["at"])
+        return F.struct(moved.alias("at"), F.concat(acc["out"], F.when(on | first, moved.cast("string")).otherwise(""),
+                                                    F.lit(",")).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("off"),
-                     F.array().cast("array<struct<place:int,off:boolean>>").alias("out"))
-    return F.aggregate(stops, start, step, lambda acc: acc["out"])
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.split(F.aggregate(stops, start, step, lambda acc: acc["out"]), ",")
 
 
 def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame | None, updates: DataFrame | None,
@@ -170,11 +169,13 @@ def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame |
     """One sample row per arrival (not at the first stop) and departure (not at the last stop).
 
     Stop times become one ordered array per (version,) trip, updates one per trip instance (trip, start date,
-    feed time; order ``position``), each once; an instance meets both in one join each, and all matching
-    and filling walks the arrays, which hold the stops of one trip. ``updates`` carries
+    feed time; order ``position``), each once; an instance meets both in one join each, where ``_walk`` matches them.
+    Then each event is a row, and what is carried along a trip (cancel flag, delay) or looked up ahead (durations)
+    are windows over the instance, which is how the rows are already dealt out. ``updates`` carries
     ``trip_id, start_date, feed_ts, position, stop_sequence, stop_id, schedule_relationship`` and any of
     ``arrival_delay, arrival_time, departure_delay, departure_time`` (times in epoch seconds, used where there
     is no delay). ``None`` = no realtime at all (offline samples). ``stops`` restricts to known stop ids.
+    An instance that is in a feed twice gives its events twice.
     """
     st = stop_times.select(*_keys("trip_id", stop_times), F.struct(
         F.col("stop_sequence").cast("bigint").alias("seq"), "stop_id", gtfs_seconds(F.col("arrival_time")).alias("arr_s"),
@@ -192,48 +193,50 @@ def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame |
         j = j.join(u.groupBy(*INSTANCE).agg(F.array_sort(F.collect_list("u")).cast(kind).alias("_updates")), INSTANCE, "left")
     else:
         j = j.withColumn("_updates", F.lit(None).cast(kind))
-    j = j.withColumn("_updates", F.coalesce("_updates", F.array().cast(kind)))
+    copies = Window.partitionBy(*INSTANCE).orderBy(*[c for c in instances.columns if c not in INSTANCE])
+    j = j.withColumns({"_copy": F.row_number().over(copies), "_updates": F.coalesce("_updates", F.array().cast(kind))})
     first_dep = F.get("_stops", F.lit(0))["dep_s"]
-    j = j.withColumns({
-        "_walk": _walk(F.col("_stops"), F.col("_updates"), F.col("trip_schedule_relationship") == "CANCELED"),
-        "_origin": F.unix_seconds(service_start(F.col("start_date"), F.col("start_time"), first_dep, tz).cast("timestamp"))})
+    origin = F.unix_seconds(service_start(F.col("start_date"), F.col("start_time"), first_dep, tz).cast("timestamp"))
 
-    def event(s: Column, w: Column, i: Column, dep: bool) -> Column:
-        upd = F.get(F.col("_updates"), w["place"])
-        sec = s["dep_s"] if dep else s["arr_s"]
-        sched = F.col("_origin") + sec
+    def event(s: Column, place: Column, i: Column, dep: bool) -> Column:
+        upd = F.get(F.col("_updates"), F.when(place != "", place.cast("int")))
         there = (i < F.size("_stops") - 1) if dep else (i > 0)
-        return F.struct(s["stop_id"].alias("stop_id"), s["seq"].alias("seq"), F.lit(dep).alias("dep"), w["off"].alias("off"),
-                        w["place"].isNotNull().alias("upd"), sched.alias("sched"),
-                        F.coalesce(upd["dd" if dep else "ad"], upd["dt" if dep else "at"] - sched).alias("own"),
+        sec = s["dep_s"] if dep else s["arr_s"]
+        return F.struct((2 * i + int(dep)).alias("k"), s["stop_id"].alias("stop_id"), s["seq"].alias("seq"), F.lit(dep).alias("dep"),
+                        F.when(place != "", F.coalesce(upd["rel"] == "SKIPPED", F.lit(False))).alias("off"), sec.alias("sec"),
+                        upd["dd" if dep else "ad"].alias("delay"), upd["dt" if dep else "at"].alias("time"),
                         (there & sec.isNotNull()).alias("there"))
 
-    both = F.flatten(F.transform(F.arrays_zip("_stops", F.col("_walk").alias("_w")), lambda x, i: F.array(
-        event(x["_stops"], x["_w"], i, False), event(x["_stops"], x["_w"], i, True))))
-    j = j.withColumn("_events", F.filter(both, lambda e: e["there"])).drop("_stops", "_updates", "_walk")
-    delays = F.aggregate("_events", F.array().cast("array<bigint>"), lambda acc, e: F.concat(  # G6: the last known one goes on
-        acc, F.array(F.coalesce(e["own"], F.when(F.size(acc) > 0, F.element_at(acc, -1))))))
-    j = j.withColumn("_delays", delays)
-    nxt = F.transform("_events", lambda e, i: F.struct(
-        F.get("_events", i + 1)["sched"].alias("sched"), F.get("_delays", i + 1).alias("delay")))
-    j = j.withColumn("_rows", F.arrays_zip("_events", "_delays", nxt.alias("_next"))).drop("_events", "_delays")
-    e = j.withColumn("r", F.explode("_rows")).drop("_rows")
-    ev, delay, after = F.col("r._events"), F.col("r._delays"), F.col("r._next")
-    real, real_next = ev["sched"] + delay, after["sched"] + after["delay"]
+    both = F.flatten(F.transform(F.arrays_zip("_stops", _walk(F.col("_stops"), F.col("_updates")).alias("_at")), lambda x, i: F.when(
+        x["_stops"].isNotNull(), F.array(event(x["_stops"], x["_at"], i, False), event(x["_stops"], x["_at"], i, True)))
+        .otherwise(F.array())))
+    # outer: for an inner one Spark infers a filter on the array's size, and copies the walk into it
+    e = j.select(*instances.columns, "_copy", origin.alias("_origin"), F.explode_outer(both).alias("_e"))
+    e = e.withColumn("_k", F.col("_e.k"))  # a plain column: the windows below share one sort
+    along = Window.partitionBy(*INSTANCE, "_copy").orderBy("_k")
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    off = F.coalesce(F.last("_e.off", ignorenulls=True).over(so_far), F.lit(False))  # G8: a stop without update inherits
+    e = e.withColumn("_off", F.when(F.col("trip_schedule_relationship") == "CANCELED", F.lit(True)).otherwise(off))
+    sched = F.col("_origin") + F.col("_e.sec")
+    e = e.filter("_e.there").withColumn("_sched", sched)
+    e = e.withColumn("_delay", F.last(F.coalesce("_e.delay", F.col("_e.time") - F.col("_sched")), ignorenulls=True).over(so_far))  # G6
+    e = e.withColumns({"_sched_next": F.lead("_sched").over(along), "_delay_next": F.lead("_delay").over(along)})
+    ev, delay = F.col("_e"), F.col("_delay")
+    real, real_next = F.col("_sched") + delay, F.col("_sched_next") + F.col("_delay_next")
     stime = F.col("feed_ts") if sample_time is None else sample_time
 
     def mins(seconds: Column) -> Column:
         return js_round(seconds / F.lit(60.0)).try_cast("int")
 
     to_ts = lambda c: F.timestamp_seconds(c).cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", stime, to_ts(F.coalesce(real, ev["sched"])))
+    micros = F.timestamp_diff("MICROSECOND", stime, to_ts(F.coalesce(real, F.col("_sched"))))
     out = e.select(
         stime.alias("sample_time"), "trip_id", "start_date", "line_name", "line_fahrtnr", "product_type_id",
-        "product_name", "operator_id", ev["off"].alias("cancelled"), ev["stop_id"].alias("station_id"),
-        ev["seq"].alias("stop_number"), to_ts(ev["sched"]).alias("scheduled_time"), mins(delay).alias("delay_minutes"),
+        "product_name", "operator_id", F.col("_off").alias("cancelled"), ev["stop_id"].alias("station_id"),
+        ev["seq"].alias("stop_number"), to_ts(F.col("_sched")).alias("scheduled_time"), mins(delay).alias("delay_minutes"),
         js_round(micros / F.lit(60_000_000.0)).try_cast("int").alias("ttl_minutes"), ev["dep"].alias("is_departure"),
-        mins(after["sched"] - ev["sched"]).alias("scheduled_duration_minutes"),
-        mins(real_next - real).alias("projected_duration_minutes"), ev["upd"].alias("has_update"))
+        mins(F.col("_sched_next") - F.col("_sched")).alias("scheduled_duration_minutes"),
+        mins(real_next - real).alias("projected_duration_minutes"), ev["off"].isNotNull().alias("has_update"))
     if stops is None:
         return out
     known = stops.select(F.col("stop_id").alias("station_id")).distinct()

@@ -48,3 +48,36 @@ def test_delay_and_cancel_fill(spark):
     assert [r.delay_minutes for r in ev] == [1, 1, 1, 0]
     assert [r.cancelled for r in ev] == [False, True, True, False]
     assert ev[0].scheduled_time == T(2024, 1, 1, 1, 1)
+
+
+def _line(spark, n, trips=1, copies=1):
+    t = spark.range(trips).select(F.concat(F.lit("t"), "id").alias("trip_id"))
+    day, at = F.lit("20240101").alias("start_date"), F.lit("2024-01-01 06:00:00").cast("timestamp_ntz").alias("feed_ts")
+    inst = t.crossJoin(spark.range(copies)).select(
+        "trip_id", day, F.lit(None).cast("string").alias("start_time"), F.lit("SCHEDULED").alias("trip_schedule_relationship"), at,
+        F.lit("L").alias("line_name"), F.lit("N").alias("line_fahrtnr"), F.lit("2").alias("product_name"),
+        F.lit(1).alias("operator_id"), F.lit(104).alias("product_type_id"))
+    st = t.select("trip_id", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("stop_sequence")).select(
+        "trip_id", "stop_sequence", F.concat(F.lit("s"), "stop_sequence").alias("stop_id"), F.lit("10:00:00").alias("arrival_time"),
+        F.when(F.col("stop_sequence") != 5, "10:01:00").alias("departure_time"))
+    up = st.where("stop_sequence % 3 = 0 OR stop_sequence = 5").select(
+        "trip_id", day, at, F.col("stop_sequence").alias("position"), "stop_sequence",
+        F.when(F.col("stop_sequence") == 5, "SKIPPED").otherwise("SCHEDULED").alias("schedule_relationship"),
+        (F.col("stop_sequence") * 60).alias("departure_delay"))
+    return G.stop_events(inst, st, None, up)
+
+
+def test_long_trips_in_one_walk(spark):
+    df = _line(spark, 900)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    rows = df.where("is_departure").orderBy("stop_number").collect()
+    assert len(rows) == 898 and rows[-1].delay_minutes == 897 and rows[-1].stop_number == 899
+    # stop 5 has no departure time, yet its cancellation holds until the next update
+    assert {r.stop_number for r in rows if r.cancelled} == set() and 5 not in {r.stop_number for r in rows}
+    arrivals = df.where("NOT is_departure").orderBy("stop_number").collect()
+    assert [r.stop_number for r in arrivals if r.cancelled] == [5]
+
+
+def test_an_instance_given_twice_gives_its_events_twice(spark):
+    one, two = _line(spark, 12, 2).collect(), _line(spark, 12, 2, copies=2).collect()
+    assert sorted(map(repr, two)) == sorted([*map(repr, one), *map(repr, one)])
