@@ -1,7 +1,7 @@
 """Hard-negative mining (11) with bounds along a spanning tree of anchors.
 
 Vectors become integers, ``floor(scale * x)``; a score is an integer inner product. Anchors lie in blocks of
-at most ``BLOCK`` near ones (range-partitioned by the signs of random projections), each with a minimum spanning tree
+at most ``BLOCK`` near ones (numbered in the order of the signs of random projections), each with a minimum spanning tree
 over its anchors. A candidate ``c`` is scored against the tree's root; along an edge from ``p`` to ``a``
 
     score(p, c) - |a - p| |c|  <=  score(a, c)  <=  score(p, c) + |a - p| |c|
@@ -32,6 +32,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctuo.operators.dims import numbered
+
 from .common import scratch, written
 from .one_bit_search import common_length
 
@@ -116,21 +118,19 @@ def walk(tree: list, vecs, candidates, asked) -> Iterator:
         yield a, places, exact
 
 
-def _packed(block: int, dim: int):
-    """Anchors to rows of at most ``block`` with their spanning tree."""
+def _treed(dim: int):
+    """Blocks of anchors with their spanning tree."""
     def step(batches: Iterator) -> Iterator:
         import json
 
         import numpy as np
         import pyarrow as pa
-        for whole in batches:
-            for i in range(0, whole.num_rows, block):
-                part = whole.slice(i, block)
-                vecs = matrix(part, dim)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([np.asarray(part.column("id"), dtype=np.int64).tobytes()], pa.binary()),
-                    pa.array([np.asarray(part.column("label"), dtype=np.int64).tobytes()], pa.binary()),
-                    pa.array([vecs.tobytes()], pa.binary()), pa.array([json.dumps(spanning_tree(vecs))])], ["ids", "labels", "vecs", "tree"])
+        for batch in batches:
+            for of in batch.column("of"):
+                ids, labels, vecs = (np.array([r[c] for r in of.as_py()], dtype=np.int64) for c in ("id", "label", "vec"))
+                tree = spanning_tree(vecs.reshape(len(ids), dim))
+                yield pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in (ids, labels, vecs)),
+                                                  pa.array([json.dumps(tree)])], ["ids", "labels", "vecs", "tree"])
     return step
 
 
@@ -210,18 +210,19 @@ def _best(found: DataFrame, keys: list[str], k: int) -> DataFrame:
 
 
 def blocks(anchors: DataFrame, block: int, dim: int, seed: int) -> DataFrame:
-    """Anchors in blocks, near ones together: range-partitioned by the signs of ``SIGNS`` random projections.
+    """Anchors in blocks of ``block``, near ones together: numbered in the order of the signs of ``SIGNS`` random projections.
 
-    The id and a row number break ties, so copies of a vector, or of a row, spread over as many partitions as they need.
+    A digest of id and row breaks ties, so copies of a vector, or of a row, spread over as many partitions as they need.
     """
     import numpy as np
     planes = np.random.default_rng(seed).integers(-8, 9, (SIGNS, dim)).tolist()
     bit = lambda p: (F.aggregate(F.zip_with("vec", F.array(*[F.lit(float(x)) for x in p]), lambda a, b: a * b),
-                                 F.lit(0.0), lambda n, x: n + x) > 0).cast("int")
-    near = F.concat(*[bit(p).cast("string") for p in planes])
-    keyed = anchors.withColumns({"near": near, "row": F.monotonically_increasing_id()})
-    dealt = keyed.repartitionByRange(max(1, -(-anchors.count() // block)), "near", "id", "row")
-    return dealt.select("id", "label", "vec").mapInArrow(_packed(block, dim), "ids binary, labels binary, vecs binary, tree string")
+                                 F.lit(0.0), lambda n, x: n + x) > 0).cast("int").cast("string")
+    row = F.md5(F.concat_ws("-", F.col("id").cast("string"), F.monotonically_increasing_id().cast("string")))
+    dealt = numbered(anchors.withColumn("near", F.concat(*[bit(p) for p in planes], row)), "near")
+    one = F.sort_array(F.collect_list(F.struct("_nr", "id", "label", "vec"))).alias("of")
+    return (dealt.groupBy(F.floor((F.col("_nr") - 1) / block).alias("block")).agg(one).select("of")
+            .mapInArrow(_treed(dim), "ids binary, labels binary, vecs binary, tree string"))
 
 
 def hard_negatives(rows: DataFrame, is_anchor: Column, label: Column | None = None, positives: int = 5, negatives: int = 5,
