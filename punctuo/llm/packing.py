@@ -3,11 +3,10 @@
 1. Documents become pieces of at most ``capacity`` tokens (map step; narrow rows are written once).
 2. The histogram of piece lengths (at most ``capacity`` numbers, whatever the input) goes to the driver.
    Its configuration LP, min sum(x_c) with sum(x_c * c[l]) >= n_l over all ways c to fill a sequence, is
-   solved by multiplicative weights: lengths covered less than their share gain weight, and the fullest
-   configuration at these weights is priced by a knapsack dynamic program over the capacity. Each pricing
-   also bounds the LP from below (any values of the lengths, over the dearest filling). Where the plan is
-   further than ``GAP`` above the bound, the LP is solved by column generation (at most ``LP_LENGTHS`` lengths;
-   same pricing) or by more rounds of the weights.
+   solved by multiplicative weights on configurations and lengths: lengths covered less than they need gain weight,
+   configurations worth more than a sequence are used more, steps are averaged. The weights price new
+   configurations by a knapsack dynamic program over the capacity, and each pricing bounds the LP from below
+   (the lengths' values over the dearest filling). It ends with solution and bound within ``GAP``. One way at all sizes.
 3. Rounding: shares of the solution are cut to whole numbers, with and without the configurations that leave a
    gap, configurations are taken only as far as pieces are left, and what remains is filled in best-fit order,
    length by length; of the shares tried, and best fit alone, the one with the fewest sequences stays.
@@ -34,41 +33,46 @@ from .common import written
 
 CAPACITY = 4096
 END_ID = 1
-#: Rounds of the multiplicative weights; each adds a configuration for every length at most.
-ROUNDS = 12
+#: Part of the lower bound that the LP's solution may be above it; pricings, at most.
+GAP = 0.001
+PRICINGS = 100
+#: Steps of the multiplicative weights after each pricing, and their size.
+STEPS = 100
+STEP = 0.5
+#: Worth of a configuration, in sequences, from which on it joins the pool; configurations that the pool holds, about.
+NEAR = 0.98
+POOL = 60_000
 #: Shares of the fractional solution that the rounding takes over, the best of which stays.
 SHARES = (1.0, 0.5, 0.1)
-#: Part of the lower bound that a plan may be above it before the LP is solved further; rounds that it has then.
-GAP = 0.0005
-MORE_ROUNDS = 48
-#: Distinct lengths up to which that is done by column generation; its pricings and pivots, at most.
-LP_LENGTHS = 512
-PRICINGS = 250
-PIVOTS = 6000
 #: Rows of one numbering group, about.
 GROUP_ROWS = 4096
-#: White-space words and parts of words whose ids a worker remembers.
-KNOWN_WORDS = 1_200_000
-KNOWN_PARTS = 1_000_000
+#: Bytes that a worker holds of white-space words, and of parts of words, with their ids; bytes of an entry without its letters.
+KNOWN_WORDS = 160_000_000
+KNOWN_PARTS = 80_000_000
+ENTRY = 200
 MARK = b"\xff" * 4
 
 
 # ---------------------------------------------------------------- tokens
 
 class Known(dict):
-    """Ids by string, as bytes. What was used since it was last half full stays."""
+    """Ids by string, as bytes, in about ``most`` bytes of memory. What was used since it was last half full stays."""
 
     def __init__(self, most: int):
         super().__init__()
-        self.most, self.old = most, {}
+        self.most, self.held, self.old = most, 0, {}
 
     def missing(self, keys: set[str]) -> list[str]:
         """Those that must be made; room is made and old ones are taken over."""
-        if len(self) + len(keys) > self.most // 2:
-            self.old = dict(self)
+        new = [k for k in keys if k not in self]
+        if not new:
+            return new
+        self.held += ENTRY * len(new) + 3 * sum(map(len, new))
+        if self.held > self.most // 2:
+            self.old, new = dict(self), list(keys)
             self.clear()
-        old, new = self.old, [k for k in keys if k not in self]
-        if old:
+            self.held = ENTRY * len(new) + 3 * sum(map(len, new))
+        if old := self.old:
             self.update((k, old[k]) for k in new if k in old)
             new = [k for k in new if k not in old]
         return new
@@ -193,83 +197,113 @@ def fillings(first: np.ndarray, lengths: np.ndarray, last: np.ndarray, rest: np.
         room = np.where(k < 0, room, rest[room])
 
 
-def fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, rounds: int) -> tuple[list[tuple[Config, float]], float]:
-    """Configurations and how often each is used in a near-optimal solution of the LP, and a lower bound of the LP.
+def covering(lengths: np.ndarray, need: np.ndarray, capacity: int) -> dict[bytes, float]:
+    """A first solution: priced fillings, each used as often as the scarcest of its lengths lasts, until all is covered.
 
-    One pricing answers for all lengths at once: the best configuration that holds length l is l and the
-    best filling of the room it leaves. Each round adds that one for every length, as often as covers
-    ``1 / rounds`` of its need; what a round over-covers loses weight in the next.
+    Nothing is covered twice, and each configuration (its places, as bytes) uses up a length, so there are no more than lengths.
     """
     rng = np.random.default_rng(7)
-    covered, bound = np.zeros(len(lengths)), float(lengths @ need) / capacity
-    out: list[tuple[Config, float]] = []
-    for t in range(rounds):
-        weight = np.exp(-4.0 * np.clip(covered / need - t / rounds, -2, 2))
-        value = lengths * weight * (1 + 0.02 * rng.random(len(lengths)))
-        best, last, rest = price(lengths, value, capacity)
-        bound = max(bound, float(value @ need) / best[capacity])
-        short = np.flatnonzero(covered / need < (t + 1) / rounds)
-        for row in fillings(short, lengths, last, rest, capacity):
-            places, counts = np.unique(row[row >= 0], return_counts=True)
-            first = row[0]
-            times = (need[first] * (t + 1) / rounds - covered[first]) / counts[places == first][0]
+    left, out = need.copy(), {}
+    while len(live := np.flatnonzero(left)):
+        value = lengths[live] * (1 + 0.02 * rng.random(len(live)))  # else one length fills all the gaps
+        _, last, rest = price(lengths[live], value, capacity)
+        for row in fillings(np.arange(len(live))[::-1], lengths[live], last, rest, capacity):
+            held = np.sort(live[row[row >= 0]])
+            places, counts = np.unique(held, return_counts=True)
+            times = float((left[places] / counts).min())
             if times > 0:
-                covered[places] += counts * times
-                out.append((tuple(zip(lengths[places].tolist(), counts.tolist())), times))
-    return out, bound
-
-
-def generated(lengths: np.ndarray, need: np.ndarray, capacity: int, known: list[tuple[Config, int]] = ()) -> tuple[list[tuple[Config, float]], float]:
-    """As ``fractional``, by column generation: a simplex over the configurations that the pricing finds.
-
-    The basis starts with sequences of one length each, the ``known`` configurations may enter first. A pricing at the basis's values gives the best
-    configuration for every length; those that are worth more than a sequence enter, dearest first, and a
-    length whose value is negative may be covered more than it needs (its surplus enters).
+                left[places] = np.where(left[places] - counts * times < 1e-9, 0, left[places] - counts * times)
+                out[held.tobytes()] = out.get(held.tobytes(), 0.0) + times
+    return out
+
+
+class Pool:
+    """Configurations side by side: places and counts of all of them, one behind the other, and how often each is used."""
+
+    def __init__(self, lengths: int):
+        self.lengths, self.keys, self.seen = lengths, [], set()
+        self.place, self.count, self.size, self.times = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0)
+
+    def add(self, found: dict[bytes, float]) -> None:
+        new = {k: t for k, t in found.items() if k not in self.seen}
+        if not new:
+            return
+        held = [np.unique(np.frombuffer(k, np.int64), return_counts=True) for k in new]
+        self.place = np.concatenate([self.place, *(p for p, _ in held)])
+        self.count = np.concatenate([self.count, *(c.astype(float) for _, c in held)])
+        self.size = np.concatenate([self.size, [len(p) for p, _ in held]]).astype(np.int64)
+        self.times = np.concatenate([self.times, list(new.values())])
+        self.keys += new
+        self.seen.update(new)
+
+    def keep(self, which: np.ndarray) -> None:
+        of = np.repeat(which, self.size)
+        self.place, self.count, self.size, self.times = self.place[of], self.count[of], self.size[which], self.times[which]
+        self.keys = [k for k, w in zip(self.keys, which) if w]
+        self.seen = set(self.keys)
+
+    def worth(self, value: np.ndarray) -> np.ndarray:
+        """Of each configuration, at these values of the lengths."""
+        return np.add.reduceat(self.count * value[self.place], np.cumsum(self.size) - self.size)
+
+    def covered(self, times: np.ndarray) -> np.ndarray:
+        """Of each length, by configurations used so often."""
+        return np.bincount(self.place, self.count * np.repeat(times, self.size), minlength=self.lengths)
+
+
+def weighted(pool: Pool, value: np.ndarray, need: np.ndarray, steps: int, step: float) -> np.ndarray:
+    """Multiplicative weights on both sides, each step looked ahead once; the averages of the steps are left in the pool and returned.
+
+    A configuration is used more where its lengths are worth more than a sequence, a length is worth more where it is
+    covered less than it needs. Both exponents are relative (to a sequence, to the need), so the step doesn't
+    depend on how rare a length is.
     """
-    m = len(lengths)
-    base = np.diag((capacity // lengths).astype(float))  # columns: configurations, or minus one for a surplus
-    cost, inverse = np.ones(m), np.diag(1 / np.diag(base))
-    bound, pivots = float(lengths @ need) / capacity, 0
-    at = {size: i for i, size in enumerate(lengths.tolist())}
-    seed = np.zeros((len(known), m))
-    for i, (config, _) in enumerate(known):
-        for size, count in config:
-            seed[i, at[size]] += count
+    times, many, much = pool.times, np.zeros_like(pool.times), np.zeros_like(value)
+    turned = lambda x, slope: x * np.exp(step * np.clip(slope, -2, 2))
+    for _ in range(steps):
+        ahead = turned(times, pool.worth(value) - 1), turned(value, 1 - pool.covered(times) / need)
+        slopes = pool.worth(ahead[1]) - 1, 1 - pool.covered(ahead[0]) / need
+        times, value = turned(times, slopes[0]), turned(value, slopes[1])
+        many, much = many + ahead[0], much + ahead[1]
+    pool.times = many / steps
+    return much / steps
+
+
+def fractional(lengths: np.ndarray, need: np.ndarray, capacity: int, gap: float = GAP) -> tuple[list[tuple[Config, float]], float, float]:
+    """Configurations and how often each is used in a solution of the LP, its value, and a lower bound of the LP.
+
+    One pricing answers for all lengths at once: the best configuration that holds length l is l and the best
+    filling of the room it leaves. Those worth about a sequence join the pool, the weights run on it, and the values
+    they end with are priced next; over the dearest filling they bound the LP. It ends when solution and bound are
+    within ``gap`` (or after ``PRICINGS``); what the best solution covers too little is filled up one length at a time.
+    """
+    pool = Pool(len(lengths))
+    pool.add(covering(lengths, need, capacity))
+    value, least, bound = lengths / capacity, np.inf, float(lengths @ need) / capacity
+    out: list[tuple[Config, float]] = []
     for turn in range(PRICINGS):
-        value = np.maximum(cost @ inverse, 0) if turn else lengths / capacity  # the fullest ones first
+        short = np.maximum(need - pool.covered(pool.times), 0)
+        total = float(pool.times.sum() + (short / (capacity // lengths)).sum())
+        if total < least:
+            least, single = total, capacity // lengths
+            parts = [np.unique(np.frombuffer(k, np.int64), return_counts=True) for k, t in zip(pool.keys, pool.times) if t > 1e-6]
+            out = [(tuple(zip(lengths[p].tolist(), c.tolist())), float(t)) for (p, c), t in zip(parts, pool.times[pool.times > 1e-6])]
+            out += [(((int(lengths[i]), int(single[i])),), float(short[i] / single[i])) for i in np.flatnonzero(short > 1e-6)]
         best, last, rest = price(lengths, value, capacity)
         bound = max(bound, float(value @ need) / best[capacity])
-        if turn and (best[capacity] < 1 + 1e-7 or np.ceil(bound - 1e-6) >= cost @ (inverse @ need) - 1e-6):
+        if least <= bound * (1 + gap):
             break
-        pool = np.zeros((m, m))
-        for i, row in enumerate(fillings(np.arange(m), lengths, last, rest, capacity)):
-            np.add.at(pool[i], row[row >= 0], 1)
-        pool = pool if turn else np.concatenate([seed, pool])
-        pool, price_of = np.concatenate([pool, -np.eye(m)]), np.r_[np.ones(len(pool)), np.zeros(m)]
-        while pivots < PIVOTS:
-            gain = pool @ (cost @ inverse) - price_of
-            k = int(gain.argmax())
-            if gain[k] < 1e-9:
-                break
-            x, d = inverse @ need, inverse @ pool[k]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                ratio = np.where(d > 1e-9, np.maximum(x, 0) / d, np.inf)
-            out = int(ratio.argmin())
-            if not np.isfinite(ratio[out]):
-                break
-            base[:, out], cost[out] = pool[k], price_of[k]
-            inverse[out] /= d[out]
-            d[out] = 0.0
-            inverse -= np.outer(d, inverse[out])
-            pivots += 1
-            if pivots % 200 == 0:
-                inverse = np.linalg.inv(base)
-    times = np.linalg.solve(base, need)
-    found = []
-    for k in np.flatnonzero((cost > 0) & (times > 1e-9)):
-        places = np.flatnonzero(base[:, k])
-        found.append((tuple(zip(lengths[places].tolist(), base[places, k].astype(int).tolist())), float(times[k])))
-    return found, bound
+        near = np.flatnonzero(value + best[capacity - lengths] > NEAR * min(1.0, best[capacity])) if turn else np.arange(len(lengths))
+        found = {}
+        for row in fillings(near, lengths, last, rest, capacity):
+            held = np.sort(row[row >= 0])
+            places, counts = np.unique(held, return_counts=True)
+            found[held.tobytes()] = 1e-3 * float((need[places] / counts).min())
+        pool.add(found)
+        value = weighted(pool, value if turn else value / best[capacity], need, STEPS, STEP)
+        if len(pool.keys) > POOL:
+            pool.keep((pool.times > 1e-7 * least / len(lengths)) | (pool.worth(value) > 0.95))
+    return out, least, bound
 
 
 def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
@@ -300,20 +334,14 @@ def best_fit(left: dict[int, int], capacity: int) -> list[tuple[Config, int]]:
     return [(c, n) for found in open_.values() for c, n in found.items()]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[Config, int]]:
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> list[tuple[Config, int]]:
     """Configurations with how many sequences use each; together just the histogram."""
     if not histogram:
         return []
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[int(x)] for x in lengths], float)
-    sequences = lambda p: sum(n for _, n in p)
-    solution, bound = fractional(lengths, need, capacity, rounds)
-    best = min(candidates(histogram, solution, capacity), key=sequences)
-    if sequences(best) > np.ceil(bound - 1e-6) * (1 + GAP):
-        more, _ = (generated(lengths, need, capacity, best) if len(lengths) <= LP_LENGTHS else
-                   fractional(lengths, need, capacity, max(rounds, MORE_ROUNDS)))
-        best = min([best, *candidates(histogram, more, capacity)], key=sequences)
-    return best
+    solution, _, _ = fractional(lengths, need, capacity, gap)
+    return min(candidates(histogram, solution, capacity), key=lambda p: sum(n for _, n in p))
 
 
 def candidates(histogram: dict[int, int], solution: list[tuple[Config, float]], capacity: int) -> list[list[tuple[Config, int]]]:
@@ -413,7 +441,7 @@ def numbered(pieces: DataFrame) -> DataFrame:
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
-         end_id: int = END_ID, rounds: int = ROUNDS) -> DataFrame:
+         end_id: int = END_ID, gap: float = GAP) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
     spark = docs.sparkSession
     with open(vocabulary, encoding="utf-8") as f:  # a file of the driver's; tasks get it by broadcast
@@ -423,7 +451,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     narrow = f"id {kind}, piece int, start long, length long, ids_crc32 long"
     pieces = written(rows.mapInArrow(_pieces(shared, capacity, end_id), narrow), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    where = spark.sparkContext.broadcast(runs(plan(histogram, capacity, rounds)))
+    where = spark.sparkContext.broadcast(runs(plan(histogram, capacity, gap)))
     return (numbered(pieces).select("id", "piece", "start", "length", "ids_crc32", "number")
             .mapInArrow(_placed(where), f"{narrow}, sequence_id long, offset long")
             .withColumnRenamed("id", id_col))

@@ -213,6 +213,28 @@ def test_plan_covers_the_histogram():
         assert used <= fit * 1.01 + 2
 
 
+def test_weights_close_the_gap_at_every_size():
+    import random
+
+    import numpy as np
+    rng = random.Random(11)
+    wide = {n: rng.randint(1, 300) for n in range(600, 1500)}
+    for histogram in [{2066: 6000, 1063: 6000, 1043: 6000, 983: 12000}, {rng.randint(500, 2200): rng.randint(500, 9000) for _ in range(20)},
+                      {rng.randint(1, 4096): rng.randint(1, 500) for _ in range(450)}, wide]:
+        lengths = np.array(sorted(histogram))
+        need = np.array([histogram[int(x)] for x in lengths], float)
+        solution, value, bound = packing.fractional(lengths, need, 4096)
+        assert sum(n for _, n in solution) <= value + 1 and bound <= value <= bound * (1 + packing.GAP)
+        covered = Counter()
+        for config, n in solution:
+            assert sum(s * k for s, k in config) <= 4096
+            for s, k in config:
+                covered[s] += k * n
+        assert all(covered[s] >= n - 0.01 * max(1, n) for s, n in histogram.items())
+    sequences = lambda p: sum(n for _, n in p)
+    assert sequences(packing.plan(wide)) < 0.995 * sequences(packing.best_fit(wide, 4096))
+
+
 def test_plan_without_exact_fillings():
     import random
     sequences = lambda p: sum(n for _, n in p)
