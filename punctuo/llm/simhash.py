@@ -2,20 +2,21 @@
 
 Fingerprint: majority of the bits of the XXH64 values (seed 42) of a text's word shingles.
 
-Index over the *distinct* fingerprints, from the top down:
-
-* **Masked bit patterns as upper nodes, dealt out by Spark.** 64 bits are cut into ``bits + 3`` blocks.
-  Two fingerprints with at most ``bits`` differing bits agree in at least three of them, so each
-  fingerprint goes to the node (mask, pattern) of every choice of three blocks; both ends of a link
-  meet in a node. A node with over ``HEAVY`` fingerprints is dealt out once more by masks inside its
-  free bits, so that no task holds an unbounded node.
-* **Gray order below.** Inside a node the fingerprints are sorted by Gray rank, in which neighbours share
-  long bit patterns. Groups of ``FANOUT`` become tree nodes holding only the shared bits their parent
-  doesn't hold already; a search goes down the levels adding up differences and drops a whole group as
-  soon as the sum exceeds ``bits``.
-
-A node gives links to its components' smallest members (no pair lists); global components follow by
-large-star / small-star rounds on a table written to the shared folder each round.
+Index over the *distinct* fingerprints:
+
+* **Gray order.** They are numbered by Gray rank (range partitions, two passes), in which neighbours share long bit
+  patterns, and cut into groups of ``GROUP`` (more where that would be over ``NODES`` groups).
+* **Shared masked bit patterns as nodes.** AND and OR of a group give the bits all of it shares. The groups, then
+  ``FANOUT`` of them and so on, are the upper nodes of a tree, each holding only the shared bits its parent doesn't
+  hold already; inside a group the same tree goes on down to single fingerprints.
+* **Pruning.** A search goes down the levels adding up differences and drops a whole node as soon as the sum
+  exceeds ``bits``. Every fingerprint is searched in the upper tree (at most ``NODES`` masks and patterns, broadcast),
+  which sends it to the groups that may hold a link, from its own on (a link is looked for from one side). Groups
+  and what was sent to them meet by a shuffle, and the search goes on inside.
+
+A fingerprint within ``bits`` of a group's member differs from the group's shared bits by no more, so no link is lost.
+A group gives each searched fingerprint's link to one member, and links among its members to their components' smallest
+(no pair lists); global components follow by large-star / small-star rounds on a table written to the shared folder each round.
 
 Defined cases: null and empty texts (no words) have fingerprint zero and link like any other; fewer
 words than a shingle make one shingle of all; null ids are never the smallest of a component unless it
@@ -25,22 +26,23 @@ has no other; an empty table gives an empty result; extra columns are ignored (`
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from punctuo.operators.dims import numbered
+
 from .common import fresh, one_row_each, schema_with, spread, written
 
 SHINGLE = 3
 BITS = 2
 FANOUT = 16
-#: Fingerprints of a node beyond which it is dealt out again.
-HEAVY = 20_000
-#: Nodes up to this size are compared directly; the leaves of the index.
-LEAF = 16
+#: Fingerprints of a group, at least; groups in the broadcast upper tree, about; fingerprints in a row of either side.
+GROUP = 4096
+NODES = 65_536
+ROW = 1024
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -88,13 +90,16 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
 
 
 class GrayIndex:
-    """Distinct fingerprints in Gray order under levels of shared masked bit patterns."""
+    """Entries in Gray order under levels of shared masked bit patterns.
+
+    Entries are distinct fingerprints, or groups of them: then ``fps`` are the ANDs of the groups in Gray order, ``anys`` the ORs.
+    """
 
-    def __init__(self, fps: np.ndarray, fanout: int = FANOUT):
-        self.order = np.argsort(gray_rank(fps), kind="stable")
+    def __init__(self, fps: np.ndarray, anys: np.ndarray | None = None, fanout: int = FANOUT):
+        self.order = np.argsort(gray_rank(fps), kind="stable") if anys is None else np.arange(len(fps))
         self.fps, self.fanout = fps[self.order], fanout
         every = np.uint64(0xFFFFFFFFFFFFFFFF)
-        ones, anys = [self.fps], [self.fps]
+        ones, anys = [self.fps], [self.fps if anys is None else anys]
         while len(ones[-1]) > fanout:  # AND and OR of each group give the bits all of it share
             cut = np.arange(0, len(ones[-1]), fanout)
             ones.append(np.bitwise_and.reduceat(ones[-1], cut))
@@ -140,92 +145,96 @@ def smallest_linked(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         low = new
 
 
-def node_links(node: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows sorted by ``node``: links (fingerprint, smallest of its component in the node)."""
-    n = len(fps)
-    if n < 2:
-        return fps[:0], fps[:0]
-    first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-    sizes = np.diff(np.r_[first, n])
-    small = np.repeat(sizes <= LEAF, sizes)
-    a, b = [], []
-    for s in range(1, LEAF):  # leaves: all of a small node side by side
-        i = np.flatnonzero((node[s:] == node[:-s]) & small[s:])
-        if not len(i):
-            break
-        i = i[np.bitwise_count(fps[i] ^ fps[i + s]) <= bits]
-        a.append(i)
-        b.append(i + s)
-    for at, size in zip(first[sizes > LEAF], sizes[sizes > LEAF]):
-        index = GrayIndex(fps[at:at + size])
-        for q0 in range(0, size, 2048):
-            q, hit = index.search(index.fps[q0:q0 + 2048], bits)
-            q += q0
-            up = q < hit
-            a.append(at + index.order[q[up]])
-            b.append(at + index.order[hit[up]])
-    a, b = np.concatenate(a) if a else first[:0], np.concatenate(b) if b else first[:0]
-    if not len(a):
-        return fps[:0], fps[:0]
-    low = smallest_linked(n, a, b)
-    far = np.flatnonzero(low != np.arange(n))
-    return fps[far], fps[low[far]]
+def _routed(shared, bits: int):
+    """Rows of fingerprints to rows for each group that may hold a link of theirs, from their own group on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = GrayIndex(*shared.value)
+        for batch in batches:
+            for own, fps in zip(batch.column("group").to_pylist(), batch.column("fps")):
+                fps = fps.values.to_numpy(zero_copy_only=False)
+                q, group = top.search(fps.view(np.uint64), bits)
+                q, group = q[group >= own], group[group >= own]
+                order = np.argsort(group, kind="stable")
+                q, group = q[order], group[order]
+                cut = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[cut, len(q)], pa.int32()), pa.array(fps[q], pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(group[cut], pa.int64()), pa.array(np.ones(len(cut)), pa.int32()), lists],
+                                                 names=["group", "kind", "fps"])
+    return run
+
+
+class Members:
+    """A group's index, and which of its members are known to be connected."""
+
+    def __init__(self, fps: list[np.ndarray], bits: int):
+        self.index, self.bits = GrayIndex(np.concatenate(fps)), bits
+        self.low = np.arange(len(self.index.fps))
+
+    def links(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(fingerprint, one member) for those of ``fps`` that have a link; its other members are connected with that one."""
+        q, at = self.index.search(fps, self.bits)
+        other = self.index.fps[at] != fps[q]
+        q, at = q[other], at[other]
+        order = np.lexsort((at, q))
+        q, at = q[order], at[order]
+        new = np.r_[True, q[1:] != q[:-1]] if len(q) else np.empty(0, bool)
+        first = at[new][np.cumsum(new) - 1]
+        if (first != at).any():
+            self.low = smallest_linked(len(self.low), np.r_[np.arange(len(self.low)), first], np.r_[self.low, at])
+        return fps[q[new]], self.index.fps[at[new]]
+
+    def own(self) -> tuple[np.ndarray, np.ndarray]:
+        far = np.flatnonzero(self.low != np.arange(len(self.low)))
+        return self.index.fps[far], self.index.fps[self.low[far]]
 
 
 def _links(bits: int):
+    """Rows sorted by group, its members (kind 0) before what was sent to it (kind 1), to links ``a, b``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-        left: tuple[np.ndarray, ...] | None = None
+        of, parts, members = None, [], None
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "pattern", "fp")]
-            if left is not None:
-                cols = [np.concatenate(x) for x in zip(left, cols)]
-            mask, pattern, fp = cols
-            if not len(fp):
-                continue
-            new = np.r_[True, (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])]
-            last = np.flatnonzero(new)[-1]  # its node may go on in the next batch
-            left = (mask[last:], pattern[last:], fp[last:])
-            yield out(*node_links(np.cumsum(new)[:last], fp[:last].view(np.uint64), bits))
-        if left is not None:
-            yield out(*node_links(np.zeros(len(left[2])), left[2].view(np.uint64), bits))
+            out = []
+            for group, kind, fps in zip(batch.column("group").to_pylist(), batch.column("kind").to_pylist(), batch.column("fps")):
+                fps = fps.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                if group != of:
+                    out += [members.own()] if members else []
+                    of, parts, members = group, [], None
+                if kind == 0:
+                    parts.append(fps)
+                else:
+                    members = members or Members(parts, bits)
+                    out.append(members.links(fps))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in zip(*out)], names=["a", "b"])
+        if members:
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in members.own()], names=["a", "b"])
     return run
 
 
-def block_masks(free: list[int], bits: int) -> list[int]:
-    """Masks of three of ``bits + 3`` blocks of the given bit places."""
-    blocks = [sum(1 << p for p in part) for part in np.array_split(free, bits + 3)]
-    return [sum(c) for c in combinations(blocks, 3)]
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+def _rank(fp: str):
+    """Gray rank as a column, in the order of unsigned numbers."""
+    x = F.col(fp)
+    for s in (1, 2, 4, 8, 16, 32):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, s))
+    return x.bitwiseXOR(F.lit(-(1 << 63)))
 
 
-def links(fps: DataFrame, bits: int = BITS, heavy: int = HEAVY) -> DataFrame:
+def links(fps: DataFrame, bits: int = BITS, group: int = GROUP, nodes: int = NODES) -> DataFrame:
     """Links ``a, b`` that connect just those of the distinct fingerprints ``fp`` that ``bits`` connect."""
-    masks = block_masks(list(range(64)), bits)
-    deal = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("pattern"))
-                               for i, m in enumerate(masks)])).alias("x")
-    nodes = fps.select("fp", deal).select("x.mask", "x.pattern", "fp")
-    big = (nodes.groupBy("mask", "pattern").agg(F.count("*").alias("n")).filter(F.col("n") > heavy).drop("n"))
-    big = written(big, "simhash-heavy")
-    if big.isEmpty():
-        dealt = nodes
-    else:
-        finer = []
-        for i, m in enumerate(masks):
-            free = [p for p in range(64) if not m >> p & 1]
-            finer.append(F.when(F.col("mask") == i, F.array(*[
-                F.struct(F.lit(len(masks) * (i + 1) + j).alias("mask"),
-                         F.col("fp").bitwiseAND(F.lit(_signed(m | f))).alias("pattern"))
-                for j, f in enumerate(block_masks(free, bits))])))
-        again = (nodes.join(big, ["mask", "pattern"], "left_semi")
-                 .select("fp", F.explode(F.coalesce(*finer)).alias("x")).select("x.mask", "x.pattern", "fp"))
-        dealt = nodes.join(big, ["mask", "pattern"], "left_anti").unionByName(again)
-    return (dealt.repartition(spread(fps.sparkSession), "mask", "pattern").sortWithinPartitions("mask", "pattern")
+    spark = fps.sparkSession
+    size = max(group, -(-fps.count() // nodes))
+    nr = F.col("_nr") - 1
+    rows = (numbered(fps.select("fp", _rank("fp").alias("rank")), "rank")
+            .groupBy(F.floor(nr / size).alias("group"), F.floor(nr % size / ROW).alias("row"))
+            .agg(F.sort_array(F.collect_list(F.struct("_nr", "fp"))).alias("held"))
+            .select("group", F.lit(0).alias("kind"), F.transform("held", lambda x: x["fp"]).alias("fps")))
+    rows = written(rows, "simhash-groups")
+    both = rows.select("group", F.explode("fps").alias("fp")).groupBy("group").agg(F.bit_and("fp").alias("o"), F.bit_or("fp").alias("a"))
+    top = both.orderBy("group").toPandas()  # about ``nodes`` rows at most
+    shared = spark.sparkContext.broadcast(tuple(top[c].to_numpy(np.int64).view(np.uint64) for c in ("o", "a")))
+    kind = "`group` long, kind int, fps array<long>"
+    sent = rows.select("group", "fps").mapInArrow(_routed(shared, bits), kind)
+    return (rows.unionByName(sent).repartition(spread(spark), "group").sortWithinPartitions("group", "kind")
             .mapInArrow(_links(bits), "a long, b long").distinct())
 
 

@@ -259,7 +259,7 @@ def test_simhash(spark, rows):
     assert rows_of(simhash.simhash_dedup(cases.frame(spark, rows)), "doc_id", "fingerprint", "component_id") == cases.simhashes(rows)
 
 
-def test_gray_index_and_heavy_nodes(spark):
+def test_gray_index_and_groups(spark):
     import numpy as np
     rng = np.random.default_rng(2)
     seeds = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
@@ -271,8 +271,9 @@ def test_gray_index_and_heavy_nodes(spark):
     assert set(zip(q.tolist(), index.order[at].tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
     df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(3)
     low = simhash.smallest_linked(len(fps), *np.nonzero(near))
-    for heavy in (simhash.HEAVY, 20):
-        edges = simhash.links(df, 2, heavy)
+    for group, nodes in ((simhash.GROUP, simhash.NODES), (20, simhash.NODES), (1, 50)):
+        edges = simhash.links(df, 2, group, nodes)
+        assert group < simhash.GROUP or edges.count() < 2 * len(fps)  # not all pairs
         root = {r.a: r.b for r in simhash.components(edges).collect()}
         of = {}
         for i, x in enumerate(fps.view(np.int64).tolist()):
