@@ -1,177 +1,160 @@
-"""Line dedup (9): content-defined chunks and repeated runs of lines, with DataFrame functions only.
-
-A text's lines are hashed (XXH64); a cyclic-polynomial rolling hash over the last ``WINDOW`` line hashes ends
-a chunk where it is 0 modulo ``MEAN``, so boundaries depend on nearby lines only and shift with them.
-A repeat that no whole chunk lies in can't be found by chunks, so ``run_dedup`` (the query) matches at every
-line: each run of ``LEAST`` lines that occurs again, anywhere in the corpus, loses its lines except in the first
-occurrence (smallest id, then text digest, then place). Longer repeats are overlapping runs of ``LEAST`` lines, so
-every repeated run of at least ``LEAST`` lines goes to its last line, every repeated chunk with it, and what a line
-says stays where it stood first. Chunks are counted, and those that lost all lines. ``line_dedup`` removes whole
-chunks only.
-
-1. Narrow rows (MD5, document, place) of all runs of ``LEAST`` lines (multi-line chunks in ``line_dedup``); digests
-   that occur twice or more, and their first place (grouped with partial sums; the join back splits where a digest
-   is hot).
-2. Byte comparison: the runs of those digests, taken from their texts, are grouped by whole content,
-   combined before the shuffle. A digest with two contents is no ground for removal.
-3. Texts are put together from the lines that stay.
+"""Line dedup (9): content-defined chunks of lines, with DataFrame functions only.
+
+A text's lines are hashed (XXH64). A rolling window over the hashes of two neighbouring lines says whether a chunk ends
+between them: a byte of each hash is taken, and the lines stay together where the upper one's is below ``open`` and the lower
+one's at least ``close``. So boundaries depend on nearby lines only and shift with them. ``CHUNKINGS`` are independent
+chunkings of the same text, by other bytes and directions: fine ones, which find short repeats among other lines, and coarse ones.
+Equal lines, one under the other, look alike to any such rule; one more chunking keeps them together, cut to two lines at most.
+
+1. Narrow rows (document, place, lines, MD5) of all multi-line chunks of all chunkings, once each; digests that occur
+   at two places or more, and their first place (grouped with partial sums; the join back splits where a digest is hot).
+2. Matches grow line by line: where a repeated chunk ends, the run of its last line and the next is looked at too, at
+   all places alike, and so on until nothing new repeats. A repeat that no chunk touched isn't found; how many are
+   is measured in the README.
+3. Byte comparison: what repeats is taken from its texts and grouped by whole content, combined before the shuffle. A
+   digest with two contents is no ground for removal.
+4. Lines in a repeated chunk (or run) go, but for its first place (smallest id, then text digest, then place);
+   texts are put together from the lines that stay.
 
 A document is known by id and text digest, so two texts under one id stay apart.
 
 Defined cases: null and empty texts have one empty line and lose nothing; rows repeated with id and text are
 one document and share its result; null ids come first; a repeated line between others that don't repeat stays;
-runs may overlap in one text (of three equal lines the first stays); an empty table gives an empty result; extra
-columns are ignored.
+chunks may overlap in one text; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-WINDOW = 3
-MEAN = 4
-LEAST = 2
+#: (byte of the hash, taken from 255, open, close): two directions of four fine chunkings, two coarse ones.
+CHUNKINGS = (*((byte, turned, 128, 128) for byte in range(4) for turned in (False, True)), (4, False, 224, 32), (5, False, 224, 32))
+FAR = 1 << 32  # a chunk's number: its first line times this, plus its lines
+
+
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, mark`` (text digest) and ``lines``."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    return rows.select("id", F.unhex(F.md5("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
+
+
+def bounds(inside: Column, n: Column) -> Column:
+    """``(start, end)`` of the chunks, from whether each line stays with the next."""
+    ends = F.concat(F.filter(F.transform(inside, lambda x, i: F.when(~x, i + 1)), lambda x: x.isNotNull()), F.array(n))
+    starts = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+    return F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end"))), lambda c: c["end"] - c["start"] > 1)
+
+
+def next_to(values: Column, rule) -> Column:
+    """``rule`` of each value and the one behind it; one less than there are values."""
+    return F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values)), rule)
 
 
-def _turn(x: Column, by: int) -> Column:
-    return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by))
+def multi_line(hashes: Column, chunking: tuple) -> Column:
+    """The numbers of the chunks with two lines or more."""
+    byte, turned, open_, close = chunking
+    part = F.transform(hashes, lambda h: F.shiftrightunsigned(h, 8 * byte).bitwiseAND(F.lit(255)))
+    if turned:
+        part = F.transform(part, lambda x: F.lit(255) - x)
+    found = bounds(next_to(part, lambda a, b: (a < open_) & (b >= close)), F.size(hashes))
+    return F.transform(found, lambda c: c["start"].cast("long") * FAR + (c["end"] - c["start"]))
 
 
-def _mixed(by: int):
-    return lambda a, b: a.bitwiseXOR(_turn(b, by))
+def same_lines(hashes: Column) -> Column:
+    """The numbers of the chunks of equal lines one under the other, of two lines at most."""
+    found = bounds(next_to(hashes, lambda a, b: a == b), F.size(hashes))
+    return F.flatten(F.transform(found, lambda c: F.transform(
+        F.sequence(c["start"], c["end"] - 2, F.lit(2)), lambda i: i.cast("long") * FAR + 2)))
 
 
-def rolled(docs: DataFrame, id_col: str, text_col: str, window: int, *more: str) -> DataFrame:
-    """``id, mark`` (text digest), the text's ``lines`` and the rolling hash ``roll`` at each; ``more`` as it is."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), *more)
-    rows = rows.select("id", F.unhex(F.md5("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"), *more)
-    rows = rows.select("*", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
-    roll = F.col("h")
-    for k in range(1, window):  # the hash k lines up, turned by k; none before the first line
-        up = F.concat(F.array_repeat(F.lit(0).cast("long"), k), F.col("h"))
-        roll = F.zip_with(roll, F.slice(up, F.lit(1), F.size("h")), _mixed(k))
-    return rows.select("id", "mark", "lines", roll.alias("roll"), *more)
+def first_line(number: Column) -> Column:
+    return F.shiftright(number, 32).cast("int")
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, window: int, mean: int) -> DataFrame:
-    """``id, mark`` (text digest) and ``chunks``: an array of (no, lines, text) for each row."""
-    rows = rolled(docs, id_col, text_col, window)
-    ends = F.filter(F.transform("roll", lambda r, i: F.when(F.pmod(r, F.lit(mean)) == 0, i + 1)), lambda i: i.isNotNull())
-    rows = rows.select("id", "mark", "lines", F.array_distinct(F.concat(ends, F.array(F.size("lines")))).alias("ends"))
-    rows = rows.select("*", F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1)).alias("starts"))
-    return rows.select("id", "mark", F.transform(F.arrays_zip("starts", "ends"), lambda c, i: F.struct(
-        i.alias("no"), (c["ends"] - c["starts"]).alias("lines"),
-        F.array_join(F.slice(F.col("lines"), c["starts"] + 1, c["ends"] - c["starts"]), "\n").alias("text"))).alias("chunks"))
+def n_lines(number: Column) -> Column:
+    return number.bitwiseAND(F.lit(FAR - 1)).cast("int")
 
 
-def repeats(chunks: DataFrame, least: int) -> DataFrame:
-    """``id, mark, no, digest, first`` (is it the first occurrence) of all chunks whose digest occurs again."""
-    many = F.filter("chunks", lambda c: c["lines"] >= least)
-    return occurring_again(chunks.select("id", "mark", F.explode(F.transform(many, lambda c: F.struct(
-        c["no"].alias("no"), F.unhex(F.md5(c["text"])).alias("digest")))).alias("c"))
-        .select("id", "mark", "c.no", "c.digest"))
+def content(lines: Column, number: Column) -> Column:
+    return F.array_join(F.slice(lines, first_line(number) + 1, n_lines(number)), "\n")
+
+
+def digests(texts: DataFrame) -> DataFrame:
+    """``id, mark, number, digest`` of the ``numbers`` of ``texts``."""
+    return texts.select("id", "mark", F.explode(F.transform("numbers", lambda x: F.struct(
+        x.alias("number"), F.unhex(F.md5(content(F.col("lines"), x))).alias("digest")))).alias("x")).select("id", "mark", "x.*")
 
 
 def occurring_again(each: DataFrame) -> DataFrame:
-    """The rows (``id, mark, no, digest``) whose digest is at another place too, and ``first``."""
-    at = F.struct("id", "mark", "no")
+    """The rows whose digest is at another place too, and whether theirs is the ``first``; repeated rows once."""
+    at = F.struct("id", "mark", "number")
     first = (each.groupBy("digest").agg(F.min(at).alias("at"), F.max(at).alias("last"))
              .filter(~F.col("at").eqNullSafe(F.col("last"))).drop("last"))
-    return each.join(first, "digest").select("id", "mark", "no", "digest", F.col("at").eqNullSafe(at).alias("first"))
-
-
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
-               least: int = LEAST) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_lines, n_removed`` (lines), ``n_chunks, n_removed_chunks, kept_text``."""
-    chunks = chunked(docs, id_col, text_col, window, mean)
-    found = written(repeats(chunks, least).dropDuplicates(["id", "mark", "no"]), "line-repeats")
-    while True:
-        again = (found.groupBy("id", "mark").agg(F.collect_list(F.struct("no", "digest", "first")).alias("again"))
-                 .withColumnsRenamed({"id": "id_", "mark": "mark_"}))
-        whole = written(chunks.join(again, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), "left")
-                        .drop("id_", "mark_"), "line-chunks")
-        contents = (whole.select(F.explode(F.transform("again", lambda a: F.struct(
-            a["digest"].alias("digest"), F.element_at("chunks", a["no"] + 1)["text"].alias("text")))).alias("c"))
-            .select("c.*").groupBy("digest", "text").agg(F.count("*").alias("n")))
-        mixed = written(contents.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")
-        if mixed.isEmpty():  # as good as always: MD5 of other contents
+    found = each.join(first, "digest").select("id", "mark", "number", "digest", F.col("at").eqNullSafe(at).alias("first"))
+    return found.dropDuplicates(["id", "mark", "number"])
+
+
+def with_found(texts: DataFrame, found: DataFrame, kind: str = "left") -> DataFrame:
+    """``texts`` with the array ``again`` of what was found in each."""
+    again = (found.groupBy("id", "mark").agg(F.collect_list(F.struct("number", "digest", "first")).alias("again"))
+             .withColumnsRenamed({"id": "id_", "mark": "mark_"}))
+    same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_"))
+    return texts.join(again, same, kind).drop("id_", "mark_")
+
+
+def runs_beside(again: Column, lines: Column) -> Column:
+    """Numbers of the two-line runs that a chunk's first or last line forms with the line outside."""
+    beside = F.flatten(F.transform(again, lambda a: F.array(first_line(a["number"]) - 1,
+                                                            first_line(a["number"]) + n_lines(a["number"]) - 1)))
+    inside = F.flatten(F.transform(again, lambda a: F.sequence(first_line(a["number"]),
+                                                               first_line(a["number"]) + n_lines(a["number"]) - 2)))
+    return F.transform(F.filter(F.array_except(beside, inside), lambda i: (i >= 0) & (i < F.size(lines) - 1)),
+                       lambda i: i.cast("long") * FAR + 2)
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunkings: Sequence[tuple] = CHUNKINGS) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_lines, n_removed`` (lines), ``n_chunks, n_removed_chunks`` (multi-line), ``kept_text``."""
+    texts = texts_of(docs, id_col, text_col)
+    hashed = texts.select("*", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
+    chunked = hashed.select("id", "mark", "lines", F.array_distinct(F.concat(
+        same_lines(F.col("h")), *[multi_line(F.col("h"), c) for c in chunkings])).alias("numbers"))
+    found = written(occurring_again(digests(chunked)), "line-repeats")
+    # texts with a repeat, from which the matches grow
+    held = written(with_found(texts, found, "inner").select("id", "mark", "lines"), "line-held")
+    looked, new = found, found
+    while True:  # by a line on each side, as far as something repeats
+        at = with_found(held, new, "inner").withColumn("numbers", runs_beside(F.col("again"), F.col("lines")))
+        more = occurring_again(digests(at).unionByName(looked.drop("first")))
+        known = looked.select(F.col("id").alias("id_"), F.col("mark").alias("mark_"), F.col("number").alias("number_"))
+        same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")) & (F.col("number") == F.col("number_"))
+        new = written(more.join(known, same, "left_anti"), "line-grown")
+        if new.isEmpty():
             break
-        found = found.join(mixed, "digest", "left_anti")
-    gone = F.coalesce(F.transform(F.filter("again", lambda a: ~a["first"]), lambda a: a["no"]), F.array().cast("array<int>"))
-    whole = whole.select("id", "chunks", gone.alias("gone"))
-    left = F.filter("chunks", lambda c: ~F.array_contains("gone", c["no"]))
-    lines = lambda cs: F.aggregate(cs, F.lit(0).cast("long"), lambda n, c: n + c["lines"])
-    return whole.select(F.col("id").alias(id_col), lines(F.col("chunks")).alias("n_lines"),
-                        (lines(F.col("chunks")) - lines(left)).alias("n_removed"),
-                        F.size("chunks").cast("long").alias("n_chunks"), F.size("gone").cast("long").alias("n_removed_chunks"),
-                        F.array_join(F.transform(left, lambda c: c["text"]), "\n").alias("kept_text"))
-
-
-def runs_of(lines: Column, least: int) -> Column:
-    """The runs of ``least`` lines, one from each line on as far as there are that many."""
-    run = lines
-    for k in range(1, least):  # null where the text ends
-        run = F.zip_with(run, F.slice(lines, F.lit(k + 1), F.size(lines)), lambda a, b: F.concat(a, F.lit("\n"), b))
-    return F.slice(run, F.lit(1), F.greatest(F.size(lines) - (least - 1), F.lit(0)))
-
-
-def by_line(again: Column) -> Column:
-    """``again`` (sorted by ``no``, one for each) as an array with the struct of line ``no`` at that place; nulls between."""
-    kind = "struct<no:int,digest:binary,first:boolean>"
-    after = F.concat(F.array(F.lit(0)), F.transform(again, lambda a: a["no"] + 1))
-    return F.flatten(F.zip_with(again, F.slice(after, F.lit(1), F.size(again)), lambda a, e: F.concat(
-        F.array_repeat(F.lit(None).cast(kind), a["no"] - e), F.array(a))))
-
-
-def run_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, mean: int = MEAN,
-              least: int = LEAST) -> DataFrame:
-    """As ``line_dedup``, but every repeated run of at least ``least`` lines goes, wherever chunks end."""
-    lines = F.split("text", "\n", -1)
-    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    texts = texts.select("id", F.unhex(F.md5("text")).alias("mark"), "text")
-    each = (texts.select("id", "mark", lines.alias("lines")).select("id", "mark", F.posexplode(
-        F.transform(runs_of(F.col("lines"), least), lambda r: F.unhex(F.md5(r)))).alias("no", "digest")))
-    found = written(occurring_again(each).dropDuplicates(["id", "mark", "no"]), "line-repeats")
+        looked = looked.unionByName(new)
     while True:
-        again = (found.groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("no", "digest", "first"))).alias("again"))
-                 .withColumnsRenamed({"id": "id_", "mark": "mark_"}))
-        whole = written(texts.join(again, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")), "left")
-                        .select("id", "text", F.coalesce("again", F.array().cast(again.schema["again"].dataType)).alias("again")),
-                        "line-texts")
-        pairs = F.zip_with(by_line(F.col("again")), runs_of(F.col("lines"), least), lambda a, r: F.when(
-            a.isNotNull(), F.struct(a["digest"].alias("digest"), r.alias("text"))))
-        contents = (whole.filter(F.size("again") > 0).select("again", lines.alias("lines"))
-                    .select(F.explode(F.filter(pairs, lambda c: c.isNotNull())).alias("c")).select("c.*").distinct())
-        mixed = written(contents.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")
+        seen = with_found(held, looked, "inner").select(F.explode(F.transform("again", lambda a: F.struct(
+            a["digest"].alias("digest"), content(F.col("lines"), a["number"]).alias("text")))).alias("c")).select("c.*").distinct()
+        mixed = written(seen.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")
         if mixed.isEmpty():  # as good as always: MD5 of other contents
             break
-        found = found.join(mixed, "digest", "left_anti")
-    rows = rolled(whole.withColumn("again", by_line(F.col("again"))), "id", "text", window, "again")
-    later = F.transform("again", lambda a: F.coalesce(~a["first"], F.lit(False)))
-    gone = F.transform("lines", lambda x: F.lit(False))
-    for k in range(least):  # a line goes with a run that starts there or up to least - 1 lines up
-        gone = F.zip_with(gone, F.concat(F.array_repeat(F.lit(False), k), F.col("later")),
-                          lambda g, x: g | F.coalesce(x, F.lit(False)))
-    rows = rows.select("id", "lines", "roll", later.alias("later")).select("id", "lines", "roll", gone.alias("gone"))
+        looked = looked.join(mixed, "digest", "left_anti")
+    later = with_found(chunked, looked.filter(~F.col("first"))).select("id", "lines", "numbers", F.transform(
+        F.coalesce("again", F.array().cast("array<struct<number:bigint,digest:binary,first:boolean>>")), lambda a: a["number"]).alias("later"))
+    gone = F.array_distinct(F.flatten(F.transform("later", lambda x: F.sequence(first_line(x), first_line(x) + n_lines(x) - 1))))
     n = F.size("lines")
-    ends = F.transform("roll", lambda r: F.pmod(r, F.lit(mean)) == 0)
-    start = F.struct(F.lit(True).alias("all"), F.lit(0).cast("long").alias("gone"), F.lit(0).cast("long").alias("n"))
-    rows = rows.select("id", "lines", "gone", F.concat(F.slice(ends, F.lit(1), n - 1), F.array(F.lit(True))).alias("ends"))
-    counts = F.aggregate(F.zip_with("ends", "gone", lambda e, g: F.struct(e.alias("e"), g.alias("g"))), start, lambda t, x: F.struct(
-        (x["e"] | (t["all"] & x["g"])).alias("all"),
-        (t["gone"] + (x["e"] & t["all"] & x["g"]).cast("long")).alias("gone"), (t["n"] + x["e"].cast("long")).alias("n")))
-    rows = rows.select("id", "lines", "gone", counts.alias("c"))
-    return rows.select(F.col("id").alias(id_col), n.cast("long").alias("n_lines"),
-                       F.size(F.filter("gone", lambda g: g)).cast("long").alias("n_removed"), F.col("c.n").alias("n_chunks"),
-                       F.col("c.gone").alias("n_removed_chunks"),
-                       F.array_join(F.zip_with("lines", "gone", lambda x, g: F.when(~g, x)), "\n").alias("kept_text"))
+    later = later.select("*", gone.alias("gone")).select("*", F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone")).alias("left"))
+    return later.select(F.col("id").alias(id_col), n.cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
+                        F.size("numbers").cast("long").alias("n_chunks"),
+                        F.size(F.array_intersect("numbers", "later")).cast("long").alias("n_removed_chunks"),
+                        F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("kept_text"))
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     from .common import table
-    got = run_dedup(table(spark, sf_dir, "documents"))
+    got = line_dedup(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_lines", "n_removed", "n_chunks", "n_removed_chunks", F.sha2("kept_text", 256).alias("kept_sha256"))
