@@ -1,14 +1,15 @@
 """Toxicity (10): linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the different byte n-grams (each counted once however often it occurs) of a text,
+Features are the different n-grams of code points (each counted once however often it occurs) of a text,
 hashed to ``2 ** HASH_BITS`` places: present or not. With p and q the smoothed shares of toxic and other
 training texts that hold a feature, its scale is r = log(p / |p|) - log(q / |q|). Logistic regression on
 the scaled features (L2, classes weighted alike, ``mix`` parts of the plain naive Bayes weights) gives one
 weight per place; a score is the logistic of their mean over the root of the number of features.
 
 Training reads whole texts of a bounded sample of labelled rows: at most ``PER_CLASS`` of each class,
-those with the smallest hash of their id. The ids (2 * ``PER_CLASS``) are broadcast to find the texts,
-the tasks send back feature places, the driver fits ``2 ** HASH_BITS`` weights. Scoring is a map step
+those with the smallest hash of their id, one text of an id (that with the smallest hash). The ids (2 * ``PER_CLASS``) are
+broadcast to find the texts, the tasks send back at most ``PLACES`` feature places of each (of more, those that come
+first in a hashed order), so 2 * ``PER_CLASS * PLACES`` of 4 bytes at most, and the driver fits ``2 ** HASH_BITS`` weights. Scoring is a map step
 without shuffle over all rows; the weights (1 MB) are broadcast.
 
 Defined cases: null and empty texts have no feature and score by the intercept alone; labels that are null
@@ -29,25 +30,28 @@ from .common import fresh, schema_with
 
 NGRAMS = (3, 4, 5)
 HASH_BITS = 18
-#: Labelled rows of each class that train, at most.
+BASE = 16_777_619
+#: Labelled rows of each class that train, and places of one of them, at most.
 PER_CLASS = 2000
+PLACES = 8192
 FOLDS = 5
 EPOCHS = 40
 L2 = 1e-4
 
 
-def features(data: bytes, board: np.ndarray, ngrams: tuple[int, ...] = NGRAMS, bits: int = HASH_BITS) -> np.ndarray:
-    """Places of the different n-grams of a text in lower case (A-Z), blanks at both ends.
+def features(text: str | None, board: np.ndarray, ngrams: tuple[int, ...] = NGRAMS, bits: int = HASH_BITS) -> np.ndarray:
+    """Places of the different n-grams of a text's code points in lower case (A-Z), blanks at both ends.
 
     ``board`` (int32, ``2 ** bits``, any content) notes who wrote a place last: only that one counts.
     """
-    b = np.frombuffer(b" " + data.lower() + b" ", np.uint8).astype(np.uint32)
+    b = np.frombuffer(f" {text or ''} ".encode("utf-32-le"), "<u4").astype(np.uint32)
+    b += np.uint32(32) * ((b >= 65) & (b <= 90))
     found = [np.zeros(0, np.uint32)]
     h = b.copy()
     for n in range(2, max(ngrams) + 1):
         if len(b) < n:
             break
-        h = h[:-1] * np.uint32(257) + b[n - 1:]
+        h = h[:-1] * np.uint32(BASE) + b[n - 1:]
         if n in ngrams:
             mixed = (h ^ (h >> np.uint32(15)) ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
             found.append(mixed >> np.uint32(32 - bits))
@@ -66,6 +70,13 @@ def score_of(places: np.ndarray, weights: np.ndarray, intercept: float) -> float
     return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
+def log_count_ratios(rows: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
+    p, q = np.ones(size), np.ones(size)
+    for places, y in zip(rows, toxic):
+        (p if y else q)[places] += 1
+    return np.log(p / p.sum()) - np.log(q / q.sum())
+
+
 def fit(rows: list[np.ndarray], toxic: np.ndarray, bits: int = HASH_BITS, epochs: int = EPOCHS, l2: float = L2,
         mix: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights by place and an intercept from feature places and 0/1 labels."""
@@ -74,10 +85,7 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, bits: int = HASH_BITS, epochs
     if not len(rows) or toxic.min() == toxic.max():
         share = toxic.mean() if len(rows) else 0.5
         return np.zeros(size, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    p, q = np.ones(size), np.ones(size)
-    for places, y in zip(rows, toxic):
-        (p if y else q)[places] += 1
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum())
+    ratio = log_count_ratios(rows, toxic, size)
     scale = [(ratio[x] / np.sqrt(max(len(x), 1))).astype(np.float32) for x in rows]
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)
 
@@ -120,11 +128,16 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def _collectable(text_col: str, bits: int):
+def _collectable(text_col: str, bits: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         board = new_board(bits)
         for b in batches:
-            got = [features(x.as_py() or b"", board, bits=bits).tobytes() for x in b.column(text_col).cast(pa.large_binary())]
+            got = []
+            for x in b.column(text_col):
+                places = features(x.as_py(), board, bits=bits)
+                if len(places) > most:
+                    places = places[np.argsort(places.astype(np.uint32) * np.uint32(0x9E3779B1), kind="stable")[:most]]
+                got.append(places.tobytes())
             yield pa.RecordBatch.from_arrays([b.column("y"), b.column("o"), pa.array(got, pa.binary())],
                                              names=["y", "o", "places"])
     return run
@@ -141,9 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     for y in (0, 1):
         some = usable.filter(F.col("y") == y).orderBy("o", "id").limit(per_class)
         picked = some if picked is None else picked.union(some)
-    texts = (docs.select(own.alias("id"), F.col(f"`{text_col}`").alias("text"))
-             .join(F.broadcast(picked), "id").select("y", "o", "text"))
-    got = texts.mapInArrow(_collectable("text", bits), "y int, o long, places binary").toArrow()
+    texts = (docs.select(own.alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "id")
+             .groupBy("id", "y", "o").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+             .select("y", "o", F.col("t.text").alias("text")))
+    got = texts.mapInArrow(_collectable("text", bits, PLACES), "y int, o long, places binary").toArrow()
     order = np.argsort(got["o"].to_numpy(), kind="stable")
     places = [np.frombuffer(x.as_py(), np.int32) for x in got["places"]]
     y = got["y"].to_numpy()
@@ -154,8 +168,7 @@ def _scores(shared, text_col: str, name: str, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         board, (weights, intercept) = new_board(bits), shared.value
         for b in batches:
-            got = [score_of(features(x.as_py() or b"", board, bits=bits), weights, intercept)
-                   for x in b.column(text_col).cast(pa.large_binary())]
+            got = [score_of(features(x.as_py(), board, bits=bits), weights, intercept) for x in b.column(text_col)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.float64())], names=[*b.schema.names, name])
     return run
 
@@ -171,9 +184,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, score, predicted``."""
-    got, score, _ = scored(docs.select(id_col, text_col), labels, id_col, text_col, **kw)
-    return got.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(score).alias("score"),
-                      (F.col(score) >= 0.5).cast("int").alias("predicted"))
+    own = F.col(f"`{id_col}`")
+    got, score, _ = scored(docs.select(own, F.col(f"`{text_col}`")), labels, id_col, text_col, **kw)
+    return got.select(own, held_out(own).alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.5).cast("int").alias("predicted"))
 
 
 def decent(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

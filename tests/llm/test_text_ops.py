@@ -428,6 +428,49 @@ def test_toxicity_learns_and_scores_all(spark):
     assert all(abs(r.score - scores[r.doc_id]) < 1e-9 for r in again.collect())
 
 
+def test_toxicity_against_plain_python(spark):
+    """Features, log-count ratios and scores worked out again letter by letter; copies of an id train once."""
+    import math
+    import zlib
+
+    import numpy as np
+
+    def places(text):
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in f" {text or ''} ")
+        out = set()
+        for n in (3, 4, 5):
+            for i in range(len(t) - n + 1):
+                h = 0
+                for c in t[i:i + n]:
+                    h = (h * 16_777_619 + ord(c)) % 2 ** 32
+                out.add(((h ^ h >> 15 ^ n * 0x9E3779B1 % 2 ** 32) * 0x85EBCA6B % 2 ** 32) >> 14)
+        return out
+
+    docs, labels = toxic_docs(150)
+    docs += [(d, "日本語のテキスト VILEWORT été" * 3) for d in (5, 700)]
+    for _, t in [*docs, (0, None), (0, ""), (0, "É日a")]:
+        assert set(toxicity.features(t, toxicity.new_board()).tolist()) == places(t)
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    df = cases.frame(spark, docs + docs[:40] + docs[:40])
+    weights, intercept, learnt = toxicity.train(df, lab)
+    truth = {d: y for d, _, y in labels if zlib.crc32(str(d).encode()) % 5}
+    rows = [(places(t), truth[d]) for d, t in docs[:150] if d in truth and d != 5]
+    p, q = Counter(x for r, y in rows if y for x in r), Counter(x for r, y in rows if not y for x in r)
+    got = toxicity.log_count_ratios([np.array(sorted(r), np.int32) for r, _ in rows], np.array([y for _, y in rows]), 1 << 18)
+    for x in list(p)[:300] + list(q)[:300]:
+        want = math.log((p[x] + 1) / (sum(p.values()) + 2 ** 18)) - math.log((q[x] + 1) / (sum(q.values()) + 2 ** 18))
+        assert abs(got[x] - want) < 1e-9
+    assert learnt
+    for r in toxicity.toxicity(df, lab).collect():
+        options = []
+        for d, t in docs:
+            if d == r.doc_id:
+                f = places(t)
+                z = intercept + sum(float(weights[x]) for x in f) / math.sqrt(len(f)) if f else intercept
+                options.append(1 / (1 + math.exp(-z)))
+        assert min(abs(r.score - o) for o in options) < 1e-5
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(cases.frame(spark, cases.TIES), none)
