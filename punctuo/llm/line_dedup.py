@@ -2,15 +2,17 @@
 
 A text's lines are hashed (XXH64). A rolling window over the hashes of two neighbouring lines says whether a chunk ends
 between them: a byte of each hash is taken, and the lines stay together where the upper one's is below ``open`` and the lower
-one's at least ``close``. So boundaries depend on nearby lines only and shift with them. ``CHUNKINGS`` are independent
-chunkings of the same text, by other bytes and directions: fine ones, which find short repeats among other lines, and coarse ones.
+one's at least ``close``. So boundaries depend on nearby lines only and shift with them. There are several independent
+chunkings of the same text: coarse ones by a byte each, and fine ones, which find short repeats among other lines. A fine one
+(``open`` = ``close`` = 128) goes by one bit, its chunks are the two lines where that bit goes from 0 to 1 (the other direction:
+from 1 to 0), so all of them together have a chunk wherever two neighbours differ in one of their bits.
 Equal lines, one under the other, look alike to any such rule; one more chunking keeps them together, cut to two lines at most.
 
-1. Narrow rows (document, place, lines, MD5) of all multi-line chunks of all chunkings, once each; digests that occur
-   at two places or more, and their first place (grouped with partial sums; the join back splits where a digest is hot).
-2. Matches grow line by line: where a repeated chunk ends, the run of its last line and the next is looked at too, at
-   all places alike, and so on until nothing new repeats. A repeat that no chunk touched isn't found; how many are
-   is measured in the README.
+1. One pass gives narrow rows (document, place, lines, MD5) of all multi-line chunks of all chunkings, once each, and of the
+   few two-line runs that none of them has. Chunk digests that occur at two places or more, and their first place (grouped with
+   partial sums and written; the join back splits where a digest is hot).
+2. Matches grow line by line: a run that no chunking has is looked at where it meets a repeat, at all places alike, and so on
+   until nothing new repeats. A repeat that no chunk touched isn't found; how many are is measured in the README.
 3. Byte comparison: what repeats is taken from its texts and grouped by whole content, combined before the shuffle. A
    digest with two contents is no ground for removal.
 4. Lines in a repeated chunk (or run) go, but for its first place (smallest id, then text digest, then place);
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: (byte of the hash, taken from 255, open, close): two directions of four fine chunkings, two coarse ones.
-CHUNKINGS = (*((byte, turned, 128, 128) for byte in range(4) for turned in (False, True)), (4, False, 224, 32), (5, False, 224, 32))
+#: Bytes of the hash that a fine chunking each goes by, in both directions; (byte, open, close) of the coarse ones.
+FINE = (0, 1, 2, 3)
+COARSE = ((4, 224, 32), (5, 224, 32))
 FAR = 1 << 32  # a chunk's number: its first line times this, plus its lines
 
 
@@ -55,16 +58,20 @@ def next_to(values: Column, rule) -> Column:
     return F.zip_with(F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values)), rule)
 
 
-def multi_line(hashes: Column, chunking: tuple) -> Column:
+def coarse(hashes: Column, byte: int, open_: int, close: int) -> Column:
     """The numbers of the chunks with two lines or more."""
-    byte, turned, open_, close = chunking
     part = F.transform(hashes, lambda h: F.shiftrightunsigned(h, 8 * byte).bitwiseAND(F.lit(255)))
-    if turned:
-        part = F.transform(part, lambda x: F.lit(255) - x)
     found = bounds(next_to(part, lambda a, b: (a < open_) & (b >= close)), F.size(hashes))
     return F.transform(found, lambda c: c["start"].cast("long") * FAR + (c["end"] - c["start"]))
 
 
+def pairs_where(hashes: Column, fine: Sequence[int], differ: bool) -> Column:
+    """The numbers of the two-line runs that a fine chunking has as a chunk (or none has)."""
+    bits = F.lit(sum(128 << 8 * byte for byte in fine))
+    other = next_to(hashes, lambda a, b: (a.bitwiseXOR(b).bitwiseAND(bits) != 0) == F.lit(differ))
+    return F.filter(F.transform(other, lambda x, i: F.when(x, i.cast("long") * FAR + 2)), lambda x: x.isNotNull())
+
+
 def same_lines(hashes: Column) -> Column:
     """The numbers of the chunks of equal lines one under the other, of two lines at most."""
     found = bounds(next_to(hashes, lambda a, b: a == b), F.size(hashes))
@@ -84,74 +91,79 @@ def content(lines: Column, number: Column) -> Column:
     return F.array_join(F.slice(lines, first_line(number) + 1, n_lines(number)), "\n")
 
 
-def digests(texts: DataFrame) -> DataFrame:
-    """``id, mark, number, digest`` of the ``numbers`` of ``texts``."""
-    return texts.select("id", "mark", F.explode(F.transform("numbers", lambda x: F.struct(
-        x.alias("number"), F.unhex(F.md5(content(F.col("lines"), x))).alias("digest")))).alias("x")).select("id", "mark", "x.*")
+def digested(lines: Column, numbers: Column) -> Column:
+    return F.transform(numbers, lambda x: F.struct(x.alias("number"), F.unhex(F.md5(content(lines, x))).alias("digest")))
 
 
 def occurring_again(each: DataFrame) -> DataFrame:
     """The rows whose digest is at another place too, and whether theirs is the ``first``; repeated rows once."""
     at = F.struct("id", "mark", "number")
-    first = (each.groupBy("digest").agg(F.min(at).alias("at"), F.max(at).alias("last"))
-             .filter(~F.col("at").eqNullSafe(F.col("last"))).drop("last"))
+    first = written(each.groupBy("digest").agg(F.min(at).alias("at"), F.max(at).alias("last"))
+                    .filter(~F.col("at").eqNullSafe(F.col("last"))).drop("last"), "line-first")
     found = each.join(first, "digest").select("id", "mark", "number", "digest", F.col("at").eqNullSafe(at).alias("first"))
     return found.dropDuplicates(["id", "mark", "number"])
 
 
-def with_found(texts: DataFrame, found: DataFrame, kind: str = "left") -> DataFrame:
-    """``texts`` with the array ``again`` of what was found in each."""
-    again = (found.groupBy("id", "mark").agg(F.collect_list(F.struct("number", "digest", "first")).alias("again"))
-             .withColumnsRenamed({"id": "id_", "mark": "mark_"}))
-    same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_"))
-    return texts.join(again, same, kind).drop("id_", "mark_")
+def same(*cols: str):
+    """Equal in ``id`` (nulls alike) and in ``cols``, against columns named with ``_`` behind."""
+    on = F.col("id").eqNullSafe(F.col("id_"))
+    for c in cols:
+        on = on & (F.col(c) == F.col(f"{c}_"))
+    return on
 
 
-def runs_beside(again: Column, lines: Column) -> Column:
-    """Numbers of the two-line runs that a chunk's first or last line forms with the line outside."""
-    beside = F.flatten(F.transform(again, lambda a: F.array(first_line(a["number"]) - 1,
-                                                            first_line(a["number"]) + n_lines(a["number"]) - 1)))
-    inside = F.flatten(F.transform(again, lambda a: F.sequence(first_line(a["number"]),
-                                                               first_line(a["number"]) + n_lines(a["number"]) - 2)))
-    return F.transform(F.filter(F.array_except(beside, inside), lambda i: (i >= 0) & (i < F.size(lines) - 1)),
-                       lambda i: i.cast("long") * FAR + 2)
+def underscored(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{c}_") for c in cols])
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunkings: Sequence[tuple] = CHUNKINGS) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: Sequence[int] = FINE,
+               coarser: Sequence[tuple] = COARSE) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_lines, n_removed`` (lines), ``n_chunks, n_removed_chunks`` (multi-line), ``kept_text``."""
     texts = texts_of(docs, id_col, text_col)
-    hashed = texts.select("*", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
-    chunked = hashed.select("id", "mark", "lines", F.array_distinct(F.concat(
-        same_lines(F.col("h")), *[multi_line(F.col("h"), c) for c in chunkings])).alias("numbers"))
-    found = written(occurring_again(digests(chunked)), "line-repeats")
-    # texts with a repeat, from which the matches grow
-    held = written(with_found(texts, found, "inner").select("id", "mark", "lines"), "line-held")
-    looked, new = found, found
+    h, lines = F.col("h"), F.col("lines")
+    hashed = texts.select("id", "mark", "lines", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
+    numbers = F.array_distinct(F.concat(same_lines(h), pairs_where(h, fine, True), *[coarse(h, *c) for c in coarser]))
+    hashed = hashed.select("id", "mark", "lines", numbers.alias("numbers"), pairs_where(h, fine, False).alias("others"))
+    rows = hashed.select("id", "mark", F.explode(F.concat(
+        F.transform(digested(lines, F.col("numbers")), lambda x: x.withField("chunk", F.lit(True))),
+        F.transform(digested(lines, F.array_except("others", "numbers")), lambda x: x.withField("chunk", F.lit(False))))).alias("x"))
+    each = written(rows.select("id", "mark", "x.*"), "line-chunks")
+    new = written(occurring_again(each.filter("chunk").drop("chunk")), "line-repeats")
+    others = each.filter(~F.col("chunk")).drop("chunk").withColumn("line", first_line(F.col("number")))
+    looked = new.withColumn("chunk", F.lit(True))
     while True:  # by a line on each side, as far as something repeats
-        at = with_found(held, new, "inner").withColumn("numbers", runs_beside(F.col("again"), F.col("lines")))
-        more = occurring_again(digests(at).unionByName(looked.drop("first")))
-        known = looked.select(F.col("id").alias("id_"), F.col("mark").alias("mark_"), F.col("number").alias("number_"))
-        same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")) & (F.col("number") == F.col("number_"))
-        new = written(more.join(known, same, "left_anti"), "line-grown")
+        start, size = first_line(F.col("number")), n_lines(F.col("number"))
+        beside = new.select("id", "mark", F.explode(F.array(start - 1, start + size - 1)).alias("line")).distinct()
+        met = others.join(underscored(beside, "id", "mark", "line"), same("mark", "line"), "left_semi").drop("line")
+        more = occurring_again(met.unionByName(looked.drop("first", "chunk")))
+        new = written(more.join(underscored(looked, "id", "mark", "number"), same("mark", "number"), "left_anti"), "line-grown")
         if new.isEmpty():
             break
-        looked = looked.unionByName(new)
+        looked = looked.unionByName(new.withColumn("chunk", F.lit(False)))
+    kind = "struct<number:bigint,digest:binary,first:boolean,chunk:boolean>"
     while True:
-        seen = with_found(held, looked, "inner").select(F.explode(F.transform("again", lambda a: F.struct(
-            a["digest"].alias("digest"), content(F.col("lines"), a["number"]).alias("text")))).alias("c")).select("c.*").distinct()
+        rows = each.filter("chunk").select("id", "mark", "number", F.lit(None).cast(kind).alias("hit")).union(
+            looked.select("id", "mark", F.lit(None).cast("long"), F.struct("number", "digest", "first", "chunk")))
+        of = rows.groupBy(F.col("id").alias("id_"), F.col("mark").alias("mark_")).agg(
+            F.size(F.collect_set("number")).cast("long").alias("n_chunks"), F.sort_array(F.collect_list("hit")).alias("again"))
+        whole = written(texts.join(of, same("mark"), "left").select(
+            "id", "lines", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
+            F.coalesce("again", F.array().cast(f"array<{kind}>")).alias("again")), "line-texts")
+        seen = whole.filter(F.size("again") > 0).select(F.explode(F.transform("again", lambda a: F.struct(
+            a["digest"].alias("digest"), content(lines, a["number"]).alias("text")))).alias("c")).select("c.*").distinct()
         mixed = written(seen.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")
         if mixed.isEmpty():  # as good as always: MD5 of other contents
             break
         looked = looked.join(mixed, "digest", "left_anti")
-    later = with_found(chunked, looked.filter(~F.col("first"))).select("id", "lines", "numbers", F.transform(
-        F.coalesce("again", F.array().cast("array<struct<number:bigint,digest:binary,first:boolean>>")), lambda a: a["number"]).alias("later"))
-    gone = F.array_distinct(F.flatten(F.transform("later", lambda x: F.sequence(first_line(x), first_line(x) + n_lines(x) - 1))))
+    later = F.filter("again", lambda a: ~a["first"])
+    gone = F.array_distinct(F.flatten(F.transform(later, lambda a: F.sequence(
+        first_line(a["number"]), first_line(a["number"]) + n_lines(a["number"]) - 1))))
     n = F.size("lines")
-    later = later.select("*", gone.alias("gone")).select("*", F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone")).alias("left"))
-    return later.select(F.col("id").alias(id_col), n.cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
-                        F.size("numbers").cast("long").alias("n_chunks"),
-                        F.size(F.array_intersect("numbers", "later")).cast("long").alias("n_removed_chunks"),
-                        F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("kept_text"))
+    kept = whole.select("id", "lines", "n_chunks", F.size(F.filter(later, lambda a: a["chunk"])).cast("long").alias("n_removed_chunks"),
+                        gone.alias("gone"))
+    kept = kept.select("*", F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone")).alias("left"))
+    return kept.select(F.col("id").alias(id_col), n.cast("long").alias("n_lines"), F.size("gone").cast("long").alias("n_removed"),
+                       "n_chunks", "n_removed_chunks", F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n").alias("kept_text"))
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -302,7 +302,8 @@ def line_brute(docs):
     chunks = {}
     for d, of in lines.items():
         h, chunks[d] = [xxhash.xxh64_intdigest(x.encode(), 42) for x in of], set()
-        for byte, turned, open_, close in line_dedup.CHUNKINGS:
+        for byte, turned, open_, close in [(b, t, 128, 128) for b in line_dedup.FINE for t in (False, True)] + [
+                (b, False, *x) for b, *x in line_dedup.COARSE]:
             e = [(255 - (x >> 8 * byte & 255)) if turned else x >> 8 * byte & 255 for x in h]
             start = 0
             for i in range(len(e)):
@@ -329,9 +330,7 @@ def line_brute(docs):
     while new:
         beside = {}
         for d, s, n in new:
-            mine = {(x, m) for e, x, m in new if e == d}
-            inside = {j for x, m in mine for j in range(x, x + m - 1)}
-            beside.setdefault(d, set()).update((j, 2) for j in (s - 1, s + n - 1) if 0 <= j < len(lines[d]) - 1 and j not in inside)
+            beside.setdefault(d, set()).update((j, 2) for j in (s - 1, s + n - 1) if 0 <= j < len(lines[d]) - 1 and (j, 2) not in chunks[d])
         new = {p: first for p, first in again(beside, known).items() if p not in known}
         known |= new
     out = {}
