@@ -8,11 +8,13 @@ original text.
 
 The automaton is broadcast. What it holds is bounded: beyond ``PATTERN_CHARS`` pattern characters the
 items are dealt over several automata, each read and broadcast alone, and the table of documents passes
-through them one after the other as further map steps, hits so far riding along. No step shuffles.
+through them one after the other, hits so far riding along; it is written between two of them, so that a task
+holds one automaton at a time. No step shuffles.
 
 Defined cases: null and empty texts have no words and are never contaminated; null or wordless items
-match nothing; repeated items each count in ``n_items`` (by row); null item ids match but are left out
-of the digest; empty benchmark: nothing is hit; a null ``doc_id`` stays null; extra columns are kept.
+match nothing; items of one id count once in ``n_items``; items without an id match but count in neither ``n_items`` nor
+the digest; empty benchmark: nothing is hit; a null ``doc_id`` stays null; extra columns are kept, but for those
+named like a result of ``decontaminate``, which the result replaces.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, schema_with
+from .common import fresh, schema_with, written
 
 WINDOW = 13
 #: Contaminated: at least this share of the words is hit, as (words hit) * SHARE >= words.
@@ -33,7 +35,8 @@ SHARE = 20
 PATTERN_CHARS = 4_000_000
 #: Bytes of a text in UTF-8: A-Z lower-cased, all that aren't part of a word to blanks.
 NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-_STATE = "struct<words:int,lo:array<int>,hi:array<int>,items:array<string>,rows:array<bigint>,start:array<int>,stop:array<int>>"
+_STATE = "struct<words:int,lo:array<int>,hi:array<int>,items:array<string>,start:array<int>,stop:array<int>>"
+RESULTS = ("n_words", "n_hit", "n_items", "item_ids", "spans", "contaminated")
 
 
 def patterns(text: str | None, window: int = WINDOW) -> list[str]:
@@ -44,13 +47,13 @@ def patterns(text: str | None, window: int = WINDOW) -> list[str]:
     return [f" {' '.join(words[i:i + window])} " for i in range(max(1, len(words) - window + 1))]
 
 
-def automaton(items: list[tuple[int, str | None, str | None]], window: int = WINDOW):
-    """``items``: (row number, item id as string, text). Payload of a pattern: words, rows, ids."""
+def automaton(items: list[tuple[str | None, str | None]], window: int = WINDOW):
+    """``items``: (item id as string, text). Payload of a pattern: words, ids."""
     import ahocorasick
-    held: dict[str, list[tuple[int, str | None]]] = {}
-    for row, item, text in items:
-        for p in set(patterns(text, window)):
-            held.setdefault(p, []).append((row, item))
+    held: dict[str, set[str | None]] = {}
+    for item, text in items:
+        for p in patterns(text, window):
+            held.setdefault(p, set()).add(item)
     ac = ahocorasick.Automaton()
     for p, who in held.items():
         ac.add_word(p, (p.count(" ") - 1, who))
@@ -58,18 +61,18 @@ def automaton(items: list[tuple[int, str | None, str | None]], window: int = WIN
     return ac
 
 
-def scan(ac, data: bytes) -> tuple[int, list[tuple[int, int]], dict[int, str | None], list[tuple[int, int]]]:
-    """Of a text in UTF-8: its words, hit word ranges [lo, hi) merged, rows of items found with their ids, and the ranges' places in the text."""
+def scan(ac, data: bytes) -> tuple[int, list[tuple[int, int]], set[str], list[tuple[int, int]]]:
+    """Of a text in UTF-8: its words, hit word ranges [lo, hi) merged, ids of items found, and the ranges' places in the text."""
     plain = data.translate(NORMAL)
     words = [w for w in plain.split(b" ") if w]
     if not words or not len(ac):
-        return len(words), [], {}, []
-    found, rows = [], {}
+        return len(words), [], set(), []
+    found, items = [], set()
     for end, (n, who) in ac.iter(b" ".join([b"", *words, b""]).decode("latin-1")):  # a character a byte
         found.append((end, n))
-        rows.update(who)
+        items |= who
     if not found:
-        return len(words), [], {}, []
+        return len(words), [], set(), []
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)  # place of the blank behind each word
     last = np.searchsorted(ends, [e for e, _ in found]) + 1
     merged: list[tuple[int, int]] = []
@@ -80,8 +83,8 @@ def scan(ac, data: bytes) -> tuple[int, list[tuple[int, int]], dict[int, str | N
             merged.append((lo, hi))
     word = np.frombuffer(b" " + plain + b" ", np.uint8) != 32
     begin, end = np.flatnonzero(~word[:-1] & word[1:]), np.flatnonzero(word[:-1] & ~word[1:])
-    place = lambda byte: len(data[:byte].decode())  # noqa: E731  in characters
-    return len(words), merged, rows, [(place(begin[lo]), place(end[hi - 1])) for lo, hi in merged]
+    chars = np.r_[0, np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)]  # characters before a byte
+    return len(words), merged, items - {None}, [(int(chars[begin[lo]]), int(chars[end[hi - 1]])) for lo, hi in merged]
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -96,7 +99,7 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _pass(shared, text_col: str, state: str, first: bool):
     kind = pa.struct([("words", pa.int32()), ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32())),
-                      ("items", pa.list_(pa.string())), ("rows", pa.list_(pa.int64())),
+                      ("items", pa.list_(pa.string())),
                       ("start", pa.list_(pa.int32())), ("stop", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +108,13 @@ def _pass(shared, text_col: str, state: str, first: bool):
             olds = [None] * b.num_rows if first else b.column(state).to_pylist()
             out = []
             for x, old in zip(b.column(text_col).cast(pa.large_binary()), olds):
-                n, hits, rows, at = scan(ac, x.as_py() or b"")
+                n, hits, items, at = scan(ac, x.as_py() or b"")
                 if old:
                     hits = _union(hits + list(zip(old["lo"], old["hi"])))
                     at = _union(at + list(zip(old["start"], old["stop"])))
-                    rows |= dict(zip(old["rows"], old["items"]))
+                    items |= set(old["items"])
                 out.append({"words": n, "lo": [r[0] for r in hits], "hi": [r[1] for r in hits],
-                            "items": list(rows.values()), "rows": list(rows),
+                            "items": sorted(items),
                             "start": [r[0] for r in at], "stop": [r[1] for r in at]})
             keep = [(c, n) for c, n in zip(b.columns, b.schema.names) if n != state]
             yield pa.RecordBatch.from_arrays([*(c for c, _ in keep), pa.array(out, kind)],
@@ -120,7 +123,7 @@ def _pass(shared, text_col: str, state: str, first: bool):
 
 
 def shards(items: DataFrame, id_col: str, text_col: str, window: int, limit: int):
-    """The items in lists of (row, id, text) whose patterns hold about ``limit`` characters each.
+    """The items in lists of (id, text) whose patterns hold about ``limit`` characters each.
 
     The size is summed on the cluster; one list at a time is on the driver.
     """
@@ -129,8 +132,7 @@ def shards(items: DataFrame, id_col: str, text_col: str, window: int, limit: int
     n = max(1, -(-chars * window // limit))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     for i in range(n):
-        got = rows.filter(part == i).orderBy("item", "text").collect()
-        yield [((i << 32) + k, r["item"], r["text"]) for k, r in enumerate(got)]
+        yield [(r["item"], r["text"]) for r in rows.filter(part == i).orderBy("item", "text").collect()]
 
 
 def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -140,6 +142,7 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id
     schema = schema_with(docs, f"{state} {_STATE}")
     for part in shards(items, item_id, item_text, window, limit):
         shared = docs.sparkSession.sparkContext.broadcast(automaton(part, window))
+        docs = docs if first else written(docs, "decontaminate-pass")
         docs, first = docs.mapInArrow(_pass(shared, text_col, state, first), schema), False
     return docs, state
 
@@ -155,16 +158,13 @@ def contaminated(state: str, share: int = SHARE):
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", share: int = SHARE, **kw) -> DataFrame:
-    """``docs`` with ``n_words, n_hit, n_items, item_ids, spans`` (places in the text) and ``contaminated``.
-
-    The names of these six must be free in ``docs``.
-    """
+    """``docs`` with ``n_words, n_hit, n_items, item_ids, spans`` (places in the text) and ``contaminated``."""
     found, h = find_hits(docs, items, text_col, **kw)
     spans = F.arrays_zip(F.col(f"{h}.start").alias("start"), F.col(f"{h}.stop").alias("stop"))
-    return found.select("*", F.col(f"{h}.words").cast("long").alias("n_words"), _hit_words(h).cast("long").alias("n_hit"),
-                        F.size(f"{h}.rows").cast("long").alias("n_items"),
-                        F.array_sort(F.filter(f"{h}.items", lambda x: x.isNotNull())).alias("item_ids"),
-                        spans.alias("spans"), contaminated(h, share).alias("contaminated")).drop(h)
+    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in RESULTS]
+    return found.select(*own, F.col(f"{h}.words").cast("long").alias("n_words"), _hit_words(h).cast("long").alias("n_hit"),
+                        F.size(f"{h}.items").cast("long").alias("n_items"), F.array_sort(f"{h}.items").alias("item_ids"),
+                        spans.alias("spans"), contaminated(h, share).alias("contaminated"))
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, one_row_each, schema_with
+from .common import fresh, one_row_each, schema_with, written
 
 SALTS = 32
 #: Bytes of different contents a task holds before it sends them on.
@@ -112,14 +112,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    members = (rows.mapInArrow(_digest_rows("id", "text", digest, ["__key", "__sha"], False), f"id {kind}, __key binary, __sha binary")
-               .groupBy("id", "__key", "__sha").agg(F.count("*").cast("int").alias("same")))
-    found = members.join(classes(docs, id_col, text_col, salts, digest, held_bytes), ["__key", "__sha"])
-    nth = F.explode(F.sequence(F.lit(1), F.col("same"))).alias("nth")
-    return (found.select("id", "keep_id", "group_size", "__sha", nth)
-            .select(F.col("id").alias(id_col), "keep_id", "group_size",
-                    (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"),
-                    F.lower(F.hex("__sha")).alias("text_sha256")))
+    members = rows.mapInArrow(_digest_rows("id", "text", digest, ["__key", "__sha"], False), f"id {kind}, __key binary, __sha binary")
+    # a row's own number tells rows apart that repeat each other: none of them is gathered anywhere, and one of them stays
+    members = written(members.withColumn("row", F.monotonically_increasing_id()), "exact-members")
+    stays = members.groupBy("__key", "__sha").agg(F.max(F.struct("id", (-F.col("row")).alias("row"))).alias("stays"))
+    found = classes(docs, id_col, text_col, salts, digest, held_bytes).join(stays, ["__key", "__sha"])
+    return members.join(found, ["__key", "__sha"]).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == -F.col("stays.row")).alias("kept"),
+        F.lower(F.hex("__sha")).alias("text_sha256"))
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

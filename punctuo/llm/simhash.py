@@ -43,6 +43,8 @@ FANOUT = 16
 GROUP = 4096
 NODES = 65_536
 ROW = 1024
+#: Links in a file of the components' rounds, about.
+LINKS = 50_000
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -258,10 +260,11 @@ def components(edges: DataFrame) -> DataFrame:
         return out.filter("a != m").select("a", F.col("m").alias("b")).distinct()
 
     state = written(edges.filter("a != b").select("a", "b").distinct(), "links")
-    told = None
-    while True:
-        state = written(star(star(state, False), True), "links")
+    told, files = None, spread(edges.sparkSession)
+    while True:  # few links, few files: the links of a round are no more than twice those before
+        state = written(star(star(state, False), True).coalesce(files), "links")
         now = tuple(state.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        files = max(1, min(files, 2 * now[0] // LINKS))
         if now == told:
             return state
         told = now

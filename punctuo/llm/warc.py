@@ -216,8 +216,11 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     """Archives of all rows of ``pages`` under ``path``."""
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
-    sample = (rows.filter("length(html) > 0").select(F.xxhash64("id", "url").alias("o"), F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-              .orderBy("o", "html").limit(SAMPLE_ROWS).collect())
+    # numbers choose the sample, so tasks send no texts; then only the texts of those numbers, one each, are fetched
+    hashed = rows.filter("length(html) > 0").select(F.xxhash64("id", "url").alias("o"), "html")
+    chosen = [r["o"] for r in hashed.select("o").distinct().orderBy("o").limit(SAMPLE_ROWS).collect()]
+    sample = (hashed.filter(F.col("o").isin(chosen)).groupBy("o").agg(F.min(F.substring("html", 1, SAMPLE_BYTES)).alias("html"))
+              .orderBy("o").collect())
     shared = pages.sparkSession.sparkContext.broadcast(dictionary([r["html"].encode() for r in sample]))
     keyed = rows.mapInArrow(_digests, f"id {kind}, url string, html string, sha binary, size long")
     lead = (keyed.filter(F.col("size") >= least_bytes).groupBy("sha").agg(F.max("id").alias("leader"), F.count("*").alias("n"))

@@ -86,7 +86,7 @@ def hits(docs, items, window: int = 13):
     for item, t in items:
         w = words(t)
         for i in range(max(1, len(w) - window + 1) if w else 0):
-            held.append((str(item), w[i:i + window]))
+            held.append((item if item is None else str(item), w[i:i + window]))
     out = []
     for d, t in docs:
         w, hit, found = words(t), set(), set()
@@ -94,7 +94,7 @@ def hits(docs, items, window: int = 13):
             for i in range(len(w) - len(p) + 1):
                 if w[i:i + len(p)] == p:
                     hit.update(range(i, i + len(p)))
-                    found.add(item)
+                    found |= {item} - {None}
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
                     bool(hit) and 20 * len(hit) >= len(w)))
     return Counter(out)

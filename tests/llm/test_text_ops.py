@@ -4,6 +4,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F_
+
 from punctuo.llm import decontaminate, exact_dedup, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity
 
 from . import cases
@@ -111,9 +113,12 @@ def test_decontaminate(spark, limit):
     assert decontaminate.clean(docs, items).columns == docs.columns
 
 
-def test_decontaminate_equals_brute_force(spark):
-    items = [(i, t) for i, t in ITEMS if i is not None and i != 2]
-    got = decontaminate.decontaminate(cases.frame(spark, DOCS, extra=False), spark.createDataFrame(items, "item_id long, text string"))
+@pytest.mark.parametrize("limit", [decontaminate.PATTERN_CHARS, 300])
+def test_decontaminate_equals_brute_force(spark, limit):
+    items = [*ITEMS, (None, cases.PASSAGE), (3, "one two")]  # ids twice, none at all
+    got = decontaminate.decontaminate(cases.frame(spark, DOCS, extra=False).withColumn("spans", F_.lit(1)),
+                                      spark.createDataFrame(items, "item_id long, text string"), limit=limit)
+    assert got.columns == ["doc_id", "text", *decontaminate.RESULTS]
     from pyspark.sql import functions as F
     assert rows_of(got.withColumn("d", F.sha2(F.array_join("item_ids", ","), 256)),
                    "doc_id", "n_words", "n_hit", "n_items", "d", "contaminated") == cases.hits(DOCS, items)
@@ -133,6 +138,13 @@ def test_exact_dedup(spark, kw):
     assert rows_of(got, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want
 
 
+def test_exact_dedup_of_rows_that_repeat(spark):
+    df = spark.range(0, 6000, 1, 6).selectExpr("CAST(NULL AS long) AS doc_id", "CAST(NULL AS string) AS text").union(
+        spark.range(0, 4000, 1, 4).selectExpr("9L AS doc_id", "'Same' AS text"))
+    got = exact_dedup.exact_dedup(df).groupBy("doc_id", "keep_id", "group_size", "kept").count().collect()
+    assert {tuple(r) for r in got} == {(None, None, 6000, True, 1), (None, None, 6000, False, 5999), (9, 9, 4000, True, 1), (9, 9, 4000, False, 3999)}
+
+
 def test_exact_dedup_ties_and_survivors(spark):
     ties = cases.frame(spark, cases.TIES)
     got = rows_of(exact_dedup.exact_dedup(ties), "doc_id", "keep_id", "group_size", "kept")
