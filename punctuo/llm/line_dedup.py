@@ -134,8 +134,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     while True:  # by a line on each side, as far as something repeats
         start, size = first_line(F.col("number")), n_lines(F.col("number"))
         beside = new.select("id", "mark", F.explode(F.array(start - 1, start + size - 1)).alias("line")).distinct()
-        met = others.join(underscored(beside, "id", "mark", "line"), same("mark", "line"), "left_semi").drop("line")
-        more = occurring_again(met.unionByName(looked.drop("first", "chunk")))
+        met = written(others.join(underscored(beside, "id", "mark", "line"), same("mark", "line"), "left_semi").drop("line"), "line-met")
+        before = looked.drop("first", "chunk").join(met.select("digest").distinct(), "digest", "left_semi")
+        more = occurring_again(met.unionByName(before))
         new = written(more.join(underscored(looked, "id", "mark", "number"), same("mark", "number"), "left_anti"), "line-grown")
         if new.isEmpty():
             break
