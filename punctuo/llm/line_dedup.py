@@ -11,8 +11,8 @@ Equal lines, one under the other, look alike to any such rule; one more chunking
 1. One pass gives narrow rows (document, place, lines, MD5) of all multi-line chunks of all chunkings, once each, and of the
    few two-line runs that none of them has. Chunk digests that occur at two places or more, and their first place (grouped with
    partial sums and written; the join back splits where a digest is hot).
-2. Matches grow line by line: a run that no chunking has is looked at where it meets a repeat, at all places alike, and so on
-   until nothing new repeats. A repeat that no chunk touched isn't found; how many are is measured in the README.
+2. Matches grow line by line: of the runs that no chunking has, those that repeat go too, as far as they join on to a repeated
+   chunk, by one line each. A repeat that no chunk touched isn't found; how many are is measured in the README.
 3. Byte comparison: what repeats is taken from its texts and grouped by whole content, combined before the shuffle. A
    digest with two contents is no ground for removal.
 4. Lines in a repeated chunk (or run) go, but for its first place (smallest id, then text digest, then place);
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -116,6 +116,17 @@ def underscored(df: DataFrame, *cols: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}_") for c in cols])
 
 
+def grown(each: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows as ``found`` of the repeated runs that no fine chunking has, where an unbroken line of them meets a repeated chunk."""
+    start, size = first_line(F.col("number")), n_lines(F.col("number"))
+    runs = occurring_again(each.filter(~F.col("chunk")).drop("chunk")).withColumn("line", start)
+    nth = F.row_number().over(Window.partitionBy("id", "mark").orderBy("line"))  # the runs of one text
+    runs = written(runs.withColumn("island", F.col("line") - nth), "line-runs")
+    beside = found.select("id", "mark", F.explode(F.array(start - 1, start + size - 1)).alias("line"))
+    met = runs.join(underscored(beside, "id", "mark", "line"), same("mark", "line"), "left_semi").select("id", "mark", "island").distinct()
+    return runs.join(underscored(met, "id", "mark", "island"), same("mark", "island"), "left_semi").drop("line", "island")
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fine: Sequence[int] = FINE,
                coarser: Sequence[tuple] = COARSE) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_lines, n_removed`` (lines), ``n_chunks, n_removed_chunks`` (multi-line), ``kept_text``."""
@@ -126,21 +137,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = hashed.select("id", "mark", "lines", numbers.alias("numbers"), pairs_where(h, fine, False).alias("others"))
     rows = hashed.select("id", "mark", F.explode(F.concat(
         F.transform(digested(lines, F.col("numbers")), lambda x: x.withField("chunk", F.lit(True))),
-        F.transform(digested(lines, F.array_except("others", "numbers")), lambda x: x.withField("chunk", F.lit(False))))).alias("x"))
+        F.transform(digested(lines, F.col("others")), lambda x: x.withField("chunk", F.lit(False))))).alias("x"))
     each = written(rows.select("id", "mark", "x.*"), "line-chunks")
-    new = written(occurring_again(each.filter("chunk").drop("chunk")), "line-repeats")
-    others = each.filter(~F.col("chunk")).drop("chunk").withColumn("line", first_line(F.col("number")))
-    looked = new.withColumn("chunk", F.lit(True))
-    while True:  # by a line on each side, as far as something repeats
-        start, size = first_line(F.col("number")), n_lines(F.col("number"))
-        beside = new.select("id", "mark", F.explode(F.array(start - 1, start + size - 1)).alias("line")).distinct()
-        met = written(others.join(underscored(beside, "id", "mark", "line"), same("mark", "line"), "left_semi").drop("line"), "line-met")
-        before = looked.drop("first", "chunk").join(met.select("digest").distinct(), "digest", "left_semi")
-        more = occurring_again(met.unionByName(before))
-        new = written(more.join(underscored(looked, "id", "mark", "number"), same("mark", "number"), "left_anti"), "line-grown")
-        if new.isEmpty():
-            break
-        looked = looked.unionByName(new.withColumn("chunk", F.lit(False)))
+    found = written(occurring_again(each.filter("chunk").drop("chunk")), "line-repeats")
+    looked = found.withColumn("chunk", F.lit(True)).unionByName(written(grown(each, found), "line-grown").withColumn("chunk", F.lit(False)))
     kind = "struct<number:bigint,digest:binary,first:boolean,chunk:boolean>"
     while True:
         rows = each.filter("chunk").select("id", "mark", "number", F.lit(None).cast(kind).alias("hit")).union(

@@ -328,23 +328,23 @@ def line_brute(docs):
                 chunks[d] |= {(j, 2) for j in range(start, i, 2)}
                 start = i + 1
 
-    def again(of, known=()):
+    def again(of):
         places = {}
-        for d, s, n in known:
-            places.setdefault(tuple(lines[d][s:s + n]), []).append((d, s, n))
         for d, found in of.items():
             for s, n in found:
                 places.setdefault(tuple(lines[d][s:s + n]), []).append((d, s, n))
         return {p: p == min(x) for x in places.values() if len(x) > 1 for p in x}
 
-    known = again(chunks)
-    new = known
-    while new:
-        beside = {}
-        for d, s, n in new:
-            beside.setdefault(d, set()).update((j, 2) for j in (s - 1, s + n - 1) if 0 <= j < len(lines[d]) - 1 and (j, 2) not in chunks[d])
-        new = {p: first for p, first in again(beside, known).items() if p not in known}
-        known |= new
+    known, others = again(chunks), {}
+    for d, of in lines.items():
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in of]
+        others[d] = {(i, 2) for i in range(len(h) - 1) if not any((h[i] ^ h[i + 1]) >> 8 * b + 7 & 1 for b in line_dedup.FINE)}
+    runs = again(others)
+    met = {(d, j, 2) for d, s, n in known for j in (s - 1, s + n - 1)} & set(runs)
+    while more := {(d, j, 2) for d, s, _ in met for j in (s - 1, s + 1)} & set(runs) - met:
+        met |= more
+    for p in met:
+        known[p] = known.get(p, True) and runs[p]
     out = {}
     for d, of in lines.items():
         gone = {i for (e, s, n), first in known.items() if e == d and not first for i in range(s, s + n)}
