@@ -55,6 +55,11 @@ def substitute_hashes(remarks: DataFrame) -> DataFrame:
     return r.where(F.exists("arr", marks)).select("remarks_hash").distinct()
 
 
+def identified(sample: DataFrame) -> DataFrame:
+    """Samples that belong to a stop event: all four key columns known (a NULL equals nothing, and no key may gather them)."""
+    return sample.dropna(subset=KEY)
+
+
 def latest_samples(sample: DataFrame, remarks: DataFrame | None = None,
                    profile: Profile = DE_DB) -> DataFrame:
     """One row per stop event holding its latest informative sample."""
@@ -85,11 +90,12 @@ def with_latest(sample: DataFrame, remarks: DataFrame | None = None, profile: Pr
     """A7 + A9 in one pass: every sample next to the latest informative one of its stop event.
 
     One unordered window on the stop event, so the samples are read and shuffled once; the latest is the
-    greatest (sample time, -ttl, -id) of the informative rows. Stop events without one drop out. A stop event
+    greatest (sample time, -ttl, -id) of the informative rows. Stop events without one drop out, and so do rows
+    with a NULL in the key. A stop event
     holds the observations of one arrival or departure, some hundred rows; its window buffer spills.
     """
     own = ["id", "ttl_minutes", "delay_minutes", "cancelled", "projected_duration_minutes", "remarks_hash"]
-    s = sample.select(*KEY, *own, "sample_time", "scheduled_duration_minutes", "line_name", "product_type_id",
+    s = identified(sample).select(*KEY, *own, "sample_time", "scheduled_duration_minutes", "line_name", "product_type_id",
                       "operator_id", "load_factor_id")
     rank = [F.col("sample_time").alias("t"), F.coalesce(-F.col("ttl_minutes").cast("int"), F.lit(1 << 30)).alias("ttl_first"),
             (-F.col("id")).alias("id_first")]

@@ -89,3 +89,11 @@ def test_histogram_sums_conserved(spark):
         b = sorted(repr(tuple(r)) for r in H.histogram(f, kind).select(*parts[kind].columns).collect())
         assert a == b
     parts["_all"].unpersist()
+
+
+def test_a_null_in_the_key_matches_nothing(spark):
+    s = T(2023, 1, 1, 10, 0)
+    rows = [row(1, s, 5, False, T(2023, 1, 1, 9, 0), 60, trip=None), row(2, s, 2, False, T(2023, 1, 1, 9, 30), 30, trip=None),
+            row(3, s, 7, False, T(2023, 1, 1, 9, 0), 60, station=None), row(4, s, 3, False, T(2023, 1, 1, 9, 0), 60)]
+    f = facts_of(spark, rows)
+    assert [r["latest_sample_delay_bucket"] for r in f] == ["[3,4)"]
