@@ -17,6 +17,8 @@ from .operators import facts as FA
 from .operators import histograms as H
 from .operators import stats as ST
 from .functions import buckets as B
+from .plans import fold as FO
+from .plans import refresh as R
 from .profiles import CH_SBB, DE_DB, DE_GTFS
 from .session import shared_path
 from .sources import envelopes as EN
@@ -110,6 +112,37 @@ def q_histogram_merge(spark, d):
     return H.merge_histogram(H.histogram(f.where(half == 0), "by_day"), H.histogram(f.where(half == 1), "by_day"))
 
 
+def _folded(spark, batches, remarks, kind):
+    """A stored histogram after the batches were folded in, one after the other."""
+    state = shared_path(spark, f"fold-{uuid.uuid4().hex}")
+    for i, batch in enumerate(batches):
+        FO.fold(spark, batch, remarks, state, batch_id=i)
+    return R.stored(spark, state, kind)
+
+
+@register("late_samples")
+def q_late_samples(spark, d):
+    # a fifth of the samples, of all stop events alike, comes when the others are frozen and counted
+    s = fx.sample(spark, d)
+    late = F.pmod(F.xxhash64("trip_id", "station_id", "scheduled_time", "sample_time"), F.lit(5)) == 0
+    return _folded(spark, [s.where(~late), s.where(late)], fx.remarks(spark, d), "by_day")
+
+
+@register("replayed_samples")
+def q_replayed_samples(spark, d):
+    # a third of the samples is reported again under other ids, long after
+    s = fx.sample(spark, d)
+    again = s.where("id % 3 = 0").withColumn("id", F.col("id") + 10 ** 15)
+    return _folded(spark, [s, again], fx.remarks(spark, d), "by_hour")
+
+
+@register("open_samples")
+def q_open_samples(spark, d):
+    state = shared_path(spark, f"fold-{uuid.uuid4().hex}")
+    FO.fold(spark, fx.sample(spark, d), fx.remarks(spark, d), state)
+    return FO.open_samples(spark, state)
+
+
 @register("histogram_without_time")
 def q_histogram_without_time(spark, d):
     return H.without_time(_hist(spark, d, "by_hour"))

@@ -3,9 +3,9 @@
 * Files arrive in a folder; the file source with a checkpoint remembers which
   files were processed (S2), ``trigger(availableNow=True)`` drains what is
   there and stops, like one run of the reference's batch loop.
-* Each batch is freed of repeats against the stored open samples (N8); late rows are kept.
-* ``foreachBatch`` appends the batch and runs the histogram refresh keyed by
-  the batch id (D7): a retried batch is recognised and not counted twice.
+* ``foreachBatch`` folds each batch into the state (``plans.fold``): repeats of stored samples, frozen or not, add
+  nothing (N8), late rows count as if they had come in time, and the batch id is committed with it (D7), so a
+  retried batch is recognised and not counted twice.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import sinks
-from ..plans import refresh as R
+from ..plans import fold as FO
 from ..profiles import DE_DB, Profile
 
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
@@ -41,14 +41,12 @@ def new_samples(batch: DataFrame, current: DataFrame | None) -> DataFrame:
 def ingest_and_refresh(spark: SparkSession, source: DataFrame, state: str, checkpoint: str,
                        remarks: DataFrame | None = None, profile: Profile = DE_DB,
                        on_batch: Callable[[int], None] | None = None) -> StreamingQuery:
-    """Each micro-batch = append samples + refresh, committed under its batch id."""
+    """Each micro-batch is folded in and committed under its batch id."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        m = sinks.manifest(spark, state)
-        if sinks.committed(m, batch_id):
+        if sinks.committed(sinks.manifest(spark, state), batch_id):
             return
-        current = R.stored(spark, state, "sample", m)
-        R.refresh(spark, new_samples(batch, current), remarks, state, profile, batch_id=batch_id)
+        FO.fold(spark, batch, remarks, state, profile, batch_id=batch_id)
         if on_batch:
             on_batch(batch_id)
 
