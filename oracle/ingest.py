@@ -106,7 +106,26 @@ SELECT count(*) AS rt_diff_count, CAST(sum(epoch_us(ts) - epoch_us(last)) AS BIG
   CAST(sum(epoch_us(ts) - epoch_us(last)) AS DOUBLE) / CAST(count(*) AS DOUBLE) / 1000000.0 AS rt_diff_avg_s
 FROM (SELECT response_id, any_value(response_ts) AS ts, max(sample_time) AS last FROM norm WHERE {REL}
       GROUP BY response_id) p WHERE ts IS NOT NULL"""
-    q["batch_window"] = wn + f"""
+    q["batch_window"] = """
+WITH RECURSIVE files AS (
+  SELECT event_id // 10 AS f, arg_min(ts, event_id) AS first,
+    arg_max(ts, event_id) + to_minutes(CAST(event_id // 10 * 7919 % 400 AS BIGINT)) AS last
+  FROM events GROUP BY event_id // 10),
+ends AS (SELECT a.f, min(b.f) AS stop FROM files a LEFT JOIN files b ON b.f >= a.f AND b.last > a.first + INTERVAL 5 DAY GROUP BY a.f),
+run AS (
+  SELECT 0 AS batch, f, stop FROM ends WHERE f = (SELECT min(f) FROM files)
+  UNION ALL
+  SELECT r.batch + 1, e.f, e.stop FROM run r JOIN ends e ON e.f = r.stop + 1)
+SELECT concat('feeds/', lpad(CAST(files.f AS VARCHAR), 9, '0')) AS path, first, last, CAST(max(batch) AS INTEGER) AS batch
+FROM files JOIN run ON run.f <= files.f GROUP BY files.f, first, last"""
+    q["pending_files"] = with_views("feed_files") + """
+SELECT * FROM feed_files
+WHERE path > (SELECT path FROM feed_files WHERE event_id = (SELECT max(event_id) FROM events) // 3)
+  AND path < (SELECT path FROM feed_files WHERE event_id = 2 * (SELECT max(event_id) FROM events) // 3)"""
+    q["stream_resume_files"] = """
+SELECT event_id, event_type FROM (SELECT *, dense_rank() OVER (ORDER BY CAST(ts AS DATE)) AS day FROM events) e
+WHERE day > 10 AND day < 20"""
+    q["batch_grid"] = wn + f"""
 , rel AS (SELECT * FROM norm WHERE {REL})
 SELECT CAST(floor(CAST(epoch_us(sample_time) - epoch_us((SELECT min(sample_time) FROM rel)) AS DOUBLE)
                   / (5 * 86400000000.0)) AS INTEGER) AS batch,

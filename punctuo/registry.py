@@ -203,6 +203,9 @@ def q_rt_availability(spark, d):
 # --- N: normalisation and counters --------------------------------------------
 
 from .operators import normalise as N  # noqa: E402
+from .operators import segments as SG  # noqa: E402
+from .sources import files as FS  # noqa: E402
+from .sources import resume as RS  # noqa: E402
 
 
 def _norm(spark, d):
@@ -300,8 +303,21 @@ def q_rt_diff_avg(spark, d):
     return N.rt_diff_avg(_norm(spark, d))
 
 
+def _file_spans(spark, d):
+    # ten responses to a file; a file's last sample may lie hours behind its first
+    e = fx.table(spark, d, "events").withColumn("f", F.floor(F.col("event_id") / 10))
+    spans = e.groupBy("f").agg(F.min_by("ts", "event_id").alias("first"), F.max_by("ts", "event_id").alias("last"))
+    return spans.select(F.concat(F.lit("feeds/"), F.lpad(F.col("f").cast("string"), 9, "0")).alias("path"), "first",
+                        F.timestamp_add("MINUTE", (F.col("f") * 7919 % 400).cast("int"), F.col("last")).alias("last"))
+
+
 @register("batch_window")
 def q_batch_window(spark, d):
+    return SG.greedy_batches(_file_spans(spark, d))
+
+
+@register("batch_grid")
+def q_batch_grid(spark, d):
     n = N.relevant(_norm(spark, d))
     origin = n.select(F.min("sample_time")).scalar()
     b = n.withColumn("batch", N.batch_id(F.col("sample_time"), origin))
@@ -309,6 +325,29 @@ def q_batch_window(spark, d):
                                   F.max("sample_time").alias("last_sample_time"))
 
 
+@register("pending_files")
+def q_pending_files(spark, d):
+    files = fx.feed_files(spark, d)
+    n = files.agg(F.max("event_id")).first()[0]
+    at = {r["event_id"]: r["path"] for r in files.where(F.col("event_id").isin(n // 3, 2 * n // 3)).collect()}
+    return RS.pending(files, at[n // 3], at[2 * n // 3])
+
+
+@register("stream_resume_files")
+def q_stream_resume_files(spark, d):
+    # a file for each day; the run goes on behind the tenth and stops before the twentieth
+    out = shared_path(spark, f"resume-{uuid.uuid4().hex}")
+    e = fx.table(spark, d, "events").select("event_id", "event_type", F.to_date("ts").alias("day"))
+    e.repartition("day").write.partitionBy("day").parquet(f"{out}/in")
+    files = [r["path"] for r in FS.list_inputs(spark, f"{out}/in/day=*/*.parquet").select("path").collect()]  # one a day
+    prefix = f"{out}/in/"
+    named = [prefix + f.split("/in/", 1)[1] for f in files]
+    names = RS.file_names(spark, f"{out}/in/day=*/*.parquet", after=named[9], up_to=named[19])
+    RS.follow(spark, names, f"{out}/progress", lambda paths: spark.read.parquet(*paths),
+              lambda df, i: df.write.mode("overwrite").parquet(f"{out}/rows/batch={i}")).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("event_id", "event_type")
+
+
 # --- G: GTFS timetable x GTFS-RT ----------------------------------------------
 
 from .operators import gtfs as G  # noqa: E402
