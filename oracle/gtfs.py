@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .views import with_views
+import re
+
+from .views import hms, with_views
 
 
 def secs(x: str) -> str:
@@ -154,6 +156,33 @@ SELECT stop_id AS station_id, stop_name AS name, CAST(stop_lon AS DOUBLE) AS lon
     q["feed_file_sampling"] = with_views("feed_files") + """
 SELECT path, mtime, event_id FROM (SELECT *, row_number() OVER (ORDER BY path) AS rn FROM feed_files) x
 WHERE rn % 3 = 0"""
+    # versions as parts of the trip's name: the same recursion then keeps them apart
+    named = with_views("trip_updates", "trips", "routes", "agency", "stop_times", "stops", "stop_time_updates", "gtfs_versions")
+    for name in ("trip_updates", "trips", "stop_time_updates"):
+        named = re.sub(rf"\b{name}\b", f"{name}0", named)
+    versioned = [f"""
+v3 AS (SELECT version, mtime, row_number() OVER (ORDER BY version) - 1 AS k FROM gtfs_versions WHERE substr(version, 12, 2) IN ('01', '10', '20'))""", """
+v4 AS (SELECT version, k, until, lag(until) OVER (ORDER BY version) AS since FROM (
+  SELECT version, k, date_trunc('day', lead(mtime) OVER (ORDER BY version)) + INTERVAL 14 HOUR AS until FROM v3) x)""", """
+ver AS (SELECT t.trip_id, t.start_date, t.feed_ts, v.version FROM trip_updates0 t JOIN v4 v
+        ON t.feed_ts <= v.until AND (v.since IS NULL OR t.feed_ts > v.since))""", """
+trip_updates AS (SELECT t.* REPLACE (concat(t.trip_id, '#', version) AS trip_id) FROM trip_updates0 t JOIN ver USING (trip_id, start_date, feed_ts))""", """
+stop_time_updates AS (SELECT u.* REPLACE (concat(u.trip_id, '#', version) AS trip_id)
+                      FROM stop_time_updates0 u JOIN ver USING (trip_id, start_date, feed_ts))""", """
+trips AS (SELECT concat(trip_id, '#', version) AS trip_id, route_id,
+            CASE WHEN k = 1 THEN concat('M', trip_short_name) ELSE trip_short_name END AS trip_short_name FROM trips0, v3)""", f"""
+gtfs_stop_times AS (SELECT concat(trip_id, '#', version) AS trip_id, stop_sequence, stop_id,
+                      {hms('(arrival_s + 300 * k)')} AS arrival_time, {hms('(departure_s + 300 * k)')} AS departure_time
+                    FROM stop_times, v3 WHERE k <> 1 OR stop_sequence <> 5)"""]
+    chain = [c.strip() for c in versioned + INST + events("inst", "stop_time_updates")]
+    q["stop_events_versioned"] = named.rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + ",\n".join(chain) + (
+        "\nSELECT * EXCLUDE (has_update) REPLACE (split_part(trip_id, '#', 1) AS trip_id) FROM events")
+    q["gtfs_static_join"] = with_views("routes", "agency", "trips", "gtfs_stop_times", "stops") + """
+SELECT t.trip_id, r.route_id, r.route_short_name, r.route_type, a.agency_name, CAST(NULL AS VARCHAR) AS agency_lang, t.trip_short_name,
+  p.stops, p.first_stop, p.last_time
+FROM trips t JOIN routes r ON t.route_id = r.route_id JOIN agency a ON r.agency_id = a.agency_id
+JOIN (SELECT trip_id, count(*) AS stops, arg_min(stop_name, stop_sequence) AS first_stop, max(departure_time) AS last_time
+      FROM gtfs_stop_times s JOIN stops USING (stop_id) GROUP BY trip_id) p ON t.trip_id = p.trip_id"""
     q["gtfs_version_asof"] = with_views("feed_files", "gtfs_versions", extra=["""
 vv AS (SELECT version, lag(valid_until) OVER (ORDER BY version) AS valid_from, valid_until FROM (
   SELECT version, date_trunc('day', lead(mtime) OVER (ORDER BY version)) + INTERVAL 14 HOUR AS valid_until

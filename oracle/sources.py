@@ -36,4 +36,12 @@ SELECT event_id, strptime(split_part(m1, ' ', 1), '%d/%b/%Y:%H:%M:%S') AS ts,
 FROM (SELECT event_id, regexp_extract(value, '^\\[(.*?)\\] "GET (.*?)" 200', 1) AS m1,
         regexp_extract(value, '^\\[(.*?)\\] "GET (.*?)" 200', 2) AS m2 FROM access_log_lines) x
 WHERE m1 <> ''"""
+    q["log_entries"] = """
+SELECT date_trunc('second', ts) AS ts,
+  CASE event_type WHEN 'view' THEN 'departures' WHEN 'click' THEN 'arrivals' WHEN 'signup' THEN 'trips'
+                  WHEN 'purchase' THEN 'journeys' END AS type,
+  CASE WHEN event_id % 50 <> 7 THEN md5(concat('{"departures":[{"delay":', CAST(user_id AS VARCHAR), '}],', chr(10), '"id":',
+                                                CAST(event_id AS VARCHAR), '}')) END AS hash,
+  CASE WHEN event_id % 50 = 7 THEN 'BadGzipFile' END AS err
+FROM events"""
     return q

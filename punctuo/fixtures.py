@@ -238,6 +238,42 @@ def gtfs_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.timestamp_add("HOUR", (F.dayofmonth("d") % 5 * 5).cast("int"), F.col("d")).alias("mtime"))
 
 
+def timetable_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of the timetable versions: published on the 1st, 10th and 20th; ``k`` is their number."""
+    v = gtfs_versions(spark, sf_dir).withColumn("k", F.element_at(F.create_map(
+        F.lit("01"), F.lit(0), F.lit("10"), F.lit(1), F.lit("20"), F.lit(2)), F.substring("version", 12, 2)))
+    return v.where(F.col("k").isNotNull())
+
+
+def write_timetables(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The timetable in each of three versions, a folder for each version of a table.
+
+    The second runs 5 minutes later than the first, skips fifth stops and names trips otherwise; the third 10 minutes later.
+    """
+    v = timetable_versions(spark, sf_dir).select(F.col("version").alias("gtfs_version"), "k")
+    later = 300 * F.col("k")
+    st = stop_times(spark, sf_dir).join(F.broadcast(v)).where("k <> 1 OR stop_sequence <> 5").select(
+        "gtfs_version", "trip_id", "stop_sequence", "stop_id", _hms(F.col("arrival_s") + later).alias("arrival_time"),
+        _hms(F.col("departure_s") + later).alias("departure_time"))
+    tr = trips(spark, sf_dir).join(F.broadcast(v)).select("gtfs_version", "trip_id", "route_id", F.when(
+        F.col("k") == 1, F.concat(F.lit("M"), F.col("trip_short_name"))).otherwise(F.col("trip_short_name")).alias("trip_short_name"))
+    tables = {"stop_times": st, "trips": tr, "routes": routes(spark, sf_dir).join(F.broadcast(v.drop("k"))),
+              "agency": agency(spark, sf_dir).join(F.broadcast(v.drop("k")))}
+    for name, df in tables.items():
+        df.repartition("gtfs_version").write.partitionBy("gtfs_version").parquet(f"{path}/{name}")
+
+
+def write_gtfs_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """GTFS text files: byte order marks, further columns, and for every 7th route an older row with the same id before it."""
+    rt = routes(spark, sf_dir).withColumn("route_desc", F.lit('a "quoted", text'))
+    old = rt.where("CAST(route_id AS INT) % 7 = 0").withColumn("route_short_name", F.concat(F.lit("old "), F.col("route_short_name")))
+    tables = {"agency": agency(spark, sf_dir), "routes": old.coalesce(1).union(rt.coalesce(1)), "trips": trips(spark, sf_dir),
+              "stops": stops(spark, sf_dir), "stop_times": gtfs_stop_times(spark, sf_dir)}
+    for name, df in tables.items():
+        marked = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+        marked.write.option("header", True).option("escape", '"').csv(f"{path}/{name}.txt")
+
+
 def official_station_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Official station list as read from its ``;`` CSV: text columns, decimal commas."""
     s = table(spark, sf_dir, "supplier")
@@ -417,3 +453,22 @@ def access_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.lit("["), F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss"), F.lit(' +0000] "GET /'), path,
                     F.lit('?id='), _s(F.col("user_id")), F.lit(' HTTP/1.1" '), status, F.lit(" 1234"))
     return e.select("event_id", line.alias("value"))
+
+
+def _gzipped(batches):
+    import gzip
+
+    import pyarrow as pa
+    for b in batches:
+        out = [h.encode() + b"\n" + (b"not gzipped" if i % 50 == 7 else gzip.compress(t.encode(), mtime=0))
+               for i, h, t in zip(*(b.column(c).to_pylist() for c in ("event_id", "header", "body")))]
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["entry"])
+
+
+def write_access_logs(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Access logs with gzipped JSON bodies (one entry per ``events`` row, every 50th body broken)."""
+    e = access_log_lines(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id")
+    header = F.regexp_replace("value", '" 404 ', '" 200 ')
+    body = F.concat(F.lit('{"departures":[{"delay":'), _s(F.col("user_id")), F.lit("}],\n\"id\":"), _s(F.col("event_id")), F.lit("}"))
+    logs = e.select("event_id", header.alias("header"), body.alias("body")).mapInArrow(_gzipped, "entry binary")
+    logs.select(F.col("entry").cast("string").alias("value")).write.text(path)

@@ -301,3 +301,34 @@ def attach_version(feeds: DataFrame, versions: DataFrame, ts: str = "feed_ts", t
     cond = ((F.col("_day") == F.col("_vday")) & (F.col(ts) <= F.col("valid_until"))
             & (F.col("valid_from").isNull() | (F.col(ts) > F.col("valid_from"))))
     return fb.join(vb, cond, "left").drop("_day", "_vday")
+
+
+def versions_in_use(versions: DataFrame, feeds: DataFrame, ts: str = "feed_ts", tz: str = "UTC") -> DataFrame:
+    """``gtfs_version`` of the versions that are valid at some time between the first and the last feed."""
+    seen = feeds.agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    v = version_validity(versions, tz)
+    first, last = seen.select("first").scalar(), seen.select("last").scalar()
+    return v.where((F.col("valid_until") >= first) & (F.col("valid_from").isNull() | (F.col("valid_from") < last))).select(
+        F.col("version").alias(VERSION))
+
+
+def of_versions(timetable: DataFrame, used: DataFrame) -> DataFrame:
+    """Rows of a timetable table stored by ``gtfs_version`` that belong to ``used`` versions.
+
+    ``used`` has a row for each version (at most a few a day are published, see ``version_validity``), so it is broadcast, and its
+    values prune the folders of other versions while the query runs.
+    """
+    return timetable.join(F.broadcast(used), VERSION, "left_semi")
+
+
+def versioned_stop_events(updates: DataFrame, stop_time_updates: DataFrame, versions: DataFrame, tables: dict[str, DataFrame],
+                          stops: DataFrame | None = None, tz: str = "UTC") -> DataFrame:
+    """S14 + G1-G11: each feed's updates with the timetable version that is valid at its time; without one they are dropped.
+
+    ``tables`` are ``trips``, ``routes``, ``agency`` and ``stop_times``, stored by ``gtfs_version``.
+    """
+    used = versions_in_use(versions, updates, tz=tz)
+    tables = {name: of_versions(df, used) for name, df in tables.items()}
+    tu = attach_version(updates, versions, tz=tz).where(F.col("version").isNotNull()).withColumnRenamed("version", VERSION)
+    inst = join_timetable(tu.drop("valid_from", "valid_until"), tables["trips"], tables["routes"], tables["agency"], tables["stop_times"])
+    return stop_events(inst, tables["stop_times"], stops, stop_time_updates, tz)

@@ -351,6 +351,7 @@ def q_stream_resume_files(spark, d):
 # --- G: GTFS timetable x GTFS-RT ----------------------------------------------
 
 from .operators import gtfs as G  # noqa: E402
+from .sources import gtfs_static as GS  # noqa: E402
 
 
 def _instances(spark, d):
@@ -457,6 +458,32 @@ def q_gtfs_version_asof(spark, d):
     return G.attach_version(feeds, fx.gtfs_versions(spark, d)).select("path", "feed_ts", "version")
 
 
+@register("stop_events_versioned")
+def q_stop_events_versioned(spark, d):
+    path = shared_path(spark, f"timetables-{uuid.uuid4().hex}")
+    fx.write_timetables(spark, d, path)
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("trips", "routes", "agency", "stop_times")}
+    return G.versioned_stop_events(fx.trip_updates(spark, d).drop("run"), fx.stop_time_updates(spark, d),
+                                   fx.timetable_versions(spark, d).drop("k"), tables, fx.stops(spark, d)).drop("has_update")
+
+
+@register("gtfs_static_join")
+def q_gtfs_static_join(spark, d):
+    path = shared_path(spark, f"gtfs-{uuid.uuid4().hex}")
+    fx.write_gtfs_csv(spark, d, path)
+    read = lambda name, cols, key=None: GS.read_static(spark, f"{path}/{name}.txt", cols, key)
+    ag = read("agency", ["agency_id", "agency_name", "agency_lang"], "agency_id")
+    rt = read("routes", ["route_id", "agency_id", "route_short_name", "route_type"], "route_id")
+    tr = read("trips", ["trip_id", "route_id", "trip_short_name"], "trip_id")
+    st = read("stop_times", ["trip_id", "stop_id", "stop_sequence", "departure_time"]).withColumn("n", F.col("stop_sequence").cast("int"))
+    sp = read("stops", ["stop_id", "stop_name"], "stop_id")
+    per = (st.join(sp, "stop_id").groupBy("trip_id")
+           .agg(F.count(F.lit(1)).alias("stops"), F.min_by("stop_name", "n").alias("first_stop"), F.max("departure_time").alias("last_time")))
+    return (tr.join(rt, "route_id").join(ag, "agency_id").join(per, "trip_id")
+            .select("trip_id", "route_id", "route_short_name", "route_type", "agency_name", "agency_lang", "trip_short_name", "stops",
+                    "first_stop", "last_time"))
+
+
 # --- D: dimensions, T: stations, S16/C6: official figures ---------------------
 
 from .operators import dims as D  # noqa: E402
@@ -621,6 +648,13 @@ def q_access_log_meta(spark, d):
     return m.where(F.col("m").isNotNull()).select("event_id", "m.ts", "m.type")
 
 
+@register("log_entries")
+def q_log_entries(spark, d):
+    path = shared_path(spark, f"logs-{uuid.uuid4().hex}")
+    fx.write_access_logs(spark, d, path)
+    return FS.read_log(spark, path).select("ts", "type", "hash", "err")
+
+
 def _fptf(spark, d):
     return P.fptf_samples(fx.fptf_documents(spark, d)).drop("stations")
 

@@ -81,3 +81,25 @@ def test_long_trips_in_one_walk(spark):
 def test_an_instance_given_twice_gives_its_events_twice(spark):
     one, two = _line(spark, 12, 2).collect(), _line(spark, 12, 2, copies=2).collect()
     assert sorted(map(repr, two)) == sorted([*map(repr, one), *map(repr, one)])
+
+
+def test_a_timetable_is_pruned_to_the_versions_in_use(spark, tmp_path):
+    from punctuo import fixtures as fx
+    d = "/root/testdata/sf0.001"
+    fx.write_timetables(spark, d, str(tmp_path))
+    tables = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("trips", "routes", "agency", "stop_times")}
+    versions = fx.timetable_versions(spark, d).drop("k")
+    feeds = fx.trip_updates(spark, d).drop("run")
+    used = G.versions_in_use(versions, feeds)
+    assert sorted(r.gtfs_version for r in used.collect()) == ["gtfs-20240101.zip", "gtfs-20240110.zip"]
+    early = feeds.where("feed_ts < '2024-01-05'")
+    assert [r.gtfs_version for r in G.versions_in_use(versions, early).collect()] == ["gtfs-20240101.zip"]
+    pruned = G.of_versions(tables["stop_times"], G.versions_in_use(versions, early))
+    assert pruned.count() == tables["stop_times"].where("gtfs_version = 'gtfs-20240101.zip'").count()
+    df = G.versioned_stop_events(early, fx.stop_time_updates(spark, d), versions, tables)
+    assert df._jdf.queryExecution().executedPlan().toString().count("dynamicpruning") >= 2
+    # with one version valid for all feeds it is the plain chain
+    plain = {n: t.where("gtfs_version = 'gtfs-20240101.zip'").drop("gtfs_version") for n, t in tables.items()}
+    want = G.stop_events(G.join_timetable(early, plain["trips"], plain["routes"], plain["agency"], plain["stop_times"]),
+                         plain["stop_times"], None, fx.stop_time_updates(spark, d))
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, want.collect()))

@@ -131,8 +131,38 @@ def test_unpack_and_split_log(spark):
            + b'[01/Jan/2024:10:01:00 +0000] "GET /radar HTTP/1.1" 200 5\nnot-gzip\n')
     os.makedirs(f"{work}/logs")
     open(f"{work}/logs/access.log", "wb").write(log)
-    out = FS.split_log(spark.read.format("binaryFile").load(f"{work}/logs/*")).orderBy("ts").collect()
+    out = FS.read_log(spark, f"{work}/logs/*").orderBy("ts").collect()
     assert [(r.type, r.err is None) for r in out] == [("departures", True), (None, False)]
     assert out[0].body.startswith('{"departures"')
     listed = FS.list_inputs(spark, f"{work}/*.*", up_to=f"file:{work}/gtfs.zip").collect()
     assert [os.path.basename(r.path) for r in listed] == ["feeds.tar.bz2"]
+
+
+def test_log_entries_across_splits(spark, tmp_path):
+    import datetime as dt
+    import hashlib
+    import random
+    rng = random.Random(2)
+    want, log = {}, b"junk \xff before\nthe first header\n"
+    for i in range(200):
+        body = "".join(rng.choices("abc\n{}é", k=rng.randint(0, 400)))
+        ok = i % 9 != 4
+        log += f'[02/Jan/2024:{i // 60:02d}:{i % 60:02d}:00 +0000] "GET /{["arrivals", "radar"][i % 2]}?x={i} HTTP/1.1" 200 7\n'.encode()
+        log += (gzip.compress(body.encode()) if ok else b"\x1f\x8b broken \n\r\n") + b"\n"
+        want[dt.datetime(2024, 1, 2, i // 60, i % 60)] = ("arrivals" if i % 2 == 0 else None, hashlib.md5(body.encode()).hexdigest() if ok else None, ok)
+    os.makedirs(f"{tmp_path}/logs")
+    for name in ("a.log", "b.log"):
+        open(f"{tmp_path}/logs/{name}", "wb").write(log)
+    open(f"{tmp_path}/logs/empty.log", "wb").close()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("701", kept):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = FS.read_log(spark, f"{tmp_path}/logs/*").collect()
+            for name in ("a.log", "b.log"):
+                mine = [r for r in rows if r.path.endswith(name)]
+                assert {r.ts: (r.type, r.hash, r.err is None) for r in mine if r.ts} == want and len(mine) == 201
+                assert [(r.err, r.hash) for r in mine if r.ts is None] == [("NoHeader", None)]
+            assert len(rows) == 402
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
