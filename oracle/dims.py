@@ -46,6 +46,24 @@ dim2 AS (SELECT line_id, line_name FROM line_dim UNION ALL
     q["surrogate_keys"] = with_views("sample", extra=[line_dim, dim2]) + "SELECT line_id, line_name FROM dim2"
     q["surrogate_key_lookup"] = with_views("sample", extra=[line_dim, dim2]) + (
         "SELECT s.id, d.line_id FROM sample s LEFT JOIN dim2 d ON s.line_name = d.line_name")
+    four = with_views("sample", extra=["""
+vals AS (SELECT id, 'O' || operator_id AS operator, 'Operator ' || operator_id AS operator_name, 'LF' || load_factor_id AS load_factor,
+           'P' || product_type_id AS product_type, CASE id % 3 WHEN 0 THEN 'calculated' WHEN 1 THEN 'prognosed' END AS prognosis_type
+         FROM sample)""", """
+stored AS (SELECT 'operator' AS dim, CAST(r_regionkey * 3 + 1 AS INTEGER) AS id, 'O' || (r_regionkey * 2) AS key, r_name AS name FROM region
+           UNION ALL SELECT DISTINCT 'product_type', 5, product_type, NULL FROM vals WHERE product_type = 'P1')""", """
+seen AS (SELECT dim, key, min(name) AS name FROM (
+  SELECT 'operator' AS dim, operator AS key, operator_name AS name FROM vals UNION ALL SELECT 'load_factor', load_factor, NULL FROM vals
+  UNION ALL SELECT 'product_type', product_type, NULL FROM vals UNION ALL SELECT 'prognosis_type', prognosis_type, NULL FROM vals) x
+  WHERE key IS NOT NULL GROUP BY dim, key)""", """
+dims AS (SELECT dim, id, key, name FROM stored UNION ALL
+  SELECT dim, CAST(coalesce((SELECT max(id) FROM stored t WHERE t.dim = s.dim), 0) + row_number() OVER (PARTITION BY dim ORDER BY key) AS INTEGER),
+    key, name
+  FROM seen s WHERE NOT EXISTS (SELECT 1 FROM stored t WHERE t.dim = s.dim AND t.key = s.key))"""])
+    q["dimension_keys"] = four + "SELECT dim, id, key, name FROM dims"
+    q["dimension_lookup"] = four + "SELECT vals.id" + "".join(
+        f", (SELECT d.id FROM dims d WHERE d.dim = '{k}' AND d.key = vals.{k}) AS {k}_id"
+        for k in ("operator", "load_factor", "product_type", "prognosis_type")) + " FROM vals"
     up = with_views("stops", extra=[STATION_DIM, STATION_NEW, OLD])
     q["station_upsert"] = up + """
 SELECT coalesce(o.station_id, n.station_id) AS station_id,
@@ -88,6 +106,16 @@ SELECT s.station_id, s.name, CASE WHEN {rep} THEN o.lon ELSE s.lon END AS lon,
   CASE WHEN {rep} THEN o.lat ELSE s.lat END AS lat, o.ifopt AS official_id, 1.0 AS weight,
   coalesce({rep}, false) AS repaired, CASE WHEN o.lon IS NOT NULL THEN round({d}, 3) END AS distance_m
 FROM ours s LEFT JOIN official o ON s.station_id = o.eva"""
+    served = with_views("stops", "official_station_list", "gtfs_stop_times", "trips", "routes", extra=[OFFICIAL, OURS, """
+served AS (SELECT station_id, list_sort(list(DISTINCT line_name)) AS lines FROM (
+  SELECT st.stop_id AS station_id, r.route_short_name AS line_name FROM gtfs_stop_times st
+  JOIN trips t ON st.trip_id = t.trip_id JOIN routes r ON t.route_id = r.route_id) x WHERE line_name IS NOT NULL GROUP BY station_id)"""])
+    q["station_documents"] = served + f"""
+SELECT s.station_id, s.station_id AS id, s.name, 'station' AS type, CASE WHEN {rep} THEN o.lon ELSE s.lon END AS lon,
+  CASE WHEN {rep} THEN o.lat ELSE s.lat END AS lat, o.ifopt AS ifopt_id, l.lines, CAST(1 AS DOUBLE) AS weight
+FROM ours s LEFT JOIN official o ON s.station_id = o.eva LEFT JOIN served l ON s.station_id = l.station_id"""
+    q["repaired_stations"] = sv + f"""
+SELECT s.station_id, s.lon, s.lat FROM ours s JOIN official o ON s.station_id = o.eva WHERE {rep}"""
     q["missing_stations"] = sv + """
 SELECT * FROM official WHERE lat IS NOT NULL AND NOT isnan(lat) AND eva NOT IN (SELECT station_id FROM ours)"""
     months = " UNION ALL ".join(

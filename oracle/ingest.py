@@ -90,6 +90,15 @@ SELECT response_id, count(*) AS samples, count(delay_minutes) AS rt_samples,
   count(*) FILTER (WHERE {ins}) AS relevant_samples,
   count(*) FILTER (WHERE {ins} AND remarks_hash IS NOT NULL) AS remarks
 FROM norm GROUP BY response_id"""
+    content = ("trip_id, station_id, is_departure, scheduled_time, projected_time, delay_seconds, cancelled, sample_time, line_name, "
+               "product_type_id, operator_id, remarks_hash, load_factor_id, scheduled_duration_minutes, projected_duration_minutes")
+    q["load_counters"] = wn + f"""
+, twice AS (SELECT * FROM norm UNION ALL SELECT * REPLACE (sample_id + 1000000000000000 AS sample_id) FROM norm WHERE sample_id % 3 = 0),
+nth AS (SELECT response_id, hash, row_number() OVER (PARTITION BY {content} ORDER BY response_id, sample_id) AS n FROM twice WHERE {REL}),
+known AS (SELECT DISTINCT hash FROM responses WHERE ts < TIMESTAMP '2024-01-15 00:00:00')
+SELECT response_id, count(*) AS relevant_samples, count(*) FILTER (WHERE n > 1) AS duplicates,
+  count(*) FILTER (WHERE n = 1 AND k.hash IS NOT NULL) AS skipped, count(*) FILTER (WHERE n = 1 AND k.hash IS NULL) AS persisted
+FROM nth LEFT JOIN known k ON nth.hash = k.hash GROUP BY response_id"""
     q["rt_count_check"] = with_views("raw", "responses", extra=[NORM]) + """
 SELECT count(*) FILTER (WHERE expected - actual <> 0) AS incorrect_rt_count,
   CAST(sum(greatest(expected - actual, 0)) AS BIGINT) AS missing_rts,

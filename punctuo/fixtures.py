@@ -189,6 +189,26 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.join(r, "response_id", "left")
 
 
+def dimension_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The natural keys of four dimensions as responses carry them, one row per ``sample`` row."""
+    s = sample(spark, sf_dir)
+    key = lambda p, c: F.concat(F.lit(p), _s(F.col(c)))
+    return s.select("id", key("O", "operator_id").alias("operator"), key("Operator ", "operator_id").alias("operator_name"),
+                    key("LF", "load_factor_id").alias("load_factor"), key("P", "product_type_id").alias("product_type"),
+                    F.when(F.col("id") % 3 == 0, "calculated").when(F.col("id") % 3 == 1, "prognosed").alias("prognosis_type"))
+
+
+def stored_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What earlier runs stored of them: the keys of samples with small ids in part; every region is an old operator."""
+    r = table(spark, sf_dir, "region").select(
+        F.lit("operator").alias("dim"), (F.col("r_regionkey") * 3 + 1).cast("int").alias("id"),
+        F.concat(F.lit("O"), _s(F.col("r_regionkey") * 2)).alias("key"), F.col("r_name").alias("name"))
+    v = dimension_values(spark, sf_dir)
+    old = v.where("product_type = 'P1'").select(F.lit("product_type").alias("dim"), F.lit(5).cast("int").alias("id"),
+                                               F.col("product_type").alias("key"), F.lit(None).cast("string").alias("name")).distinct()
+    return r.unionByName(old)
+
+
 def _hms(sec: Column) -> Column:
     """Seconds after service-day start as GTFS ``HH:MM:SS`` text (hour may exceed 23)."""
     return F.concat_ws(":", F.lpad(_s(F.floor(sec / 3600)), 2, "0"), F.lpad(_s(F.floor(sec % 3600 / 60)), 2, "0"),

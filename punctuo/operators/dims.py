@@ -58,6 +58,40 @@ def assign_ids(dim: DataFrame, values: DataFrame, key: str, id_col: str) -> tupl
     return dim2, mapped
 
 
+def assign_all(stored: DataFrame, values: DataFrame, columns: dict[str, str], names: dict[str, str] | None = None,
+               auto_ids: bool = True) -> tuple[DataFrame, DataFrame]:
+    """D3 for several dimensions in one pass: (new ``stored``, ``values`` with an id column for each natural key).
+
+    ``stored`` holds all dimensions, ``dim, id, key, name``. ``columns`` says which column of ``values`` has a dimension's
+    keys, ``names`` which has their names. The columns are unpivoted to (dim, key) and grouped at once, combined
+    before the shuffle; keys not stored yet get the ids behind their dimension's greatest, in key order, by one numbering for
+    all dimensions. The written dictionary then replaces each column by ``<dim>_id`` (equi-joins that AQE broadcasts by
+    their runtime size); NULL stays NULL. Without ``auto_ids`` (the job gives ids itself) both stay as they are.
+    """
+    if not auto_ids:
+        return stored, values
+    names = names or {}
+    null = F.lit(None).cast("string")
+    each = F.array(*[F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("key"),
+                              (F.col(names[dim]).cast("string") if dim in names else null).alias("name")) for dim, c in columns.items()])
+    seen = (values.select(F.inline(F.filter(each, lambda x: x["key"].isNotNull()))).groupBy("dim", "key").agg(F.min("name").alias("name")))
+    missing = seen.join(stored.select("dim", "key"), ["dim", "key"], "left_anti")
+    nr = numbered(missing.withColumn("_order", F.concat_ws("\u0001", "dim", "key")), "_order").drop("_order")
+    # a row for each dimension: the number before its first new key, and its greatest stored id
+    first = nr.groupBy("dim").agg((F.min("_nr") - 1).alias("_before"))
+    most = stored.groupBy("dim").agg(F.max("id").alias("_most"))
+    new = (nr.join(first, "dim").join(most, "dim", "left")
+           .select("dim", (F.coalesce("_most", F.lit(0)) + F.col("_nr") - F.col("_before")).cast(stored.schema["id"].dataType).alias("id"),
+                   "key", "name"))
+    ensure_checkpoint_dir(values.sparkSession)
+    every = stored.select("dim", "id", "key", "name").unionByName(new).checkpoint()
+    out = values
+    for dim, c in columns.items():
+        of = every.where(F.col("dim") == dim).select(F.col("key").alias("_key"), F.col("id").alias(f"{dim}_id"))
+        out = out.join(of, F.col(c).cast("string") == F.col("_key"), "left").drop("_key", c, *([names[dim]] if dim in names else []))
+    return every, out
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, update: list[str], only_if_null: bool = False) -> DataFrame:
     """Insert new keys; for existing keys replace ``update`` columns (optionally only where NULL)."""
     o = old.alias("o")

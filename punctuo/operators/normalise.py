@@ -136,6 +136,23 @@ def quality(norm: DataFrame) -> DataFrame:
     )
 
 
+def load_counters(norm: DataFrame, stored_log: DataFrame, content: list[str]) -> DataFrame:
+    """Per response, relevant samples that are ``duplicates``, ``skipped`` (their response is stored already) or ``persisted``.
+
+    A sample is a duplicate of an earlier one (by response, then sample id) with the same MD5 of its ``content``; a
+    response whose hash the log has is skipped with all that is left of it.
+    """
+    rel = relevant(norm).withColumn("_md5", F.md5(F.to_json(F.struct(*content), {"ignoreNullFields": "false"})))
+    w = Window.partitionBy("_md5").orderBy("response_id", "sample_id")
+    again = F.row_number().over(w) > 1
+    known = stored_log.select(F.col("hash").alias("_hash")).distinct()
+    rel = rel.withColumn("_again", again).join(known, F.col("hash") == F.col("_hash"), "left")
+    stored = F.col("_hash").isNotNull()
+    return rel.groupBy("response_id").agg(
+        F.count(F.lit(1)).alias("relevant_samples"), F.count_if(F.col("_again")).alias("duplicates"),
+        F.count_if(~F.col("_again") & stored).alias("skipped"), F.count_if(~F.col("_again") & ~stored).alias("persisted"))
+
+
 def rt_count_check(responses: DataFrame, norm: DataFrame) -> DataFrame:
     """Expected (S7, ``expected_rt_count``) vs extracted realtime count per response, then totals.
 

@@ -62,6 +62,35 @@ def repair_positions(stations: DataFrame, official: DataFrame, metres: float = R
         F.when(F.col("o_lon").isNotNull(), d).alias("distance_m"))
 
 
+DETAILS = "struct<id:string,name:string,type:string,location:struct<latitude:double,longitude:double>,weight:double>"
+
+
+def documents(stations: DataFrame, official: DataFrame, lines: DataFrame | None = None, metres: float = REPAIR_DISTANCE_M) -> DataFrame:
+    """T1 + T3 as they are exported: a station's details, or a synthesised object where it has none, enriched.
+
+    ``stations`` has ``station_id, name, lon, lat, details`` (JSON or NULL); ``lines`` has ``station_id, lines``. The official
+    entry is found by the details' id. Fields that the details lack come from the station; ``repaired`` marks those whose
+    position was replaced (``position`` holds the one before).
+    """
+    d = F.from_json("details", DETAILS)
+    own = stations.select("station_id", F.coalesce(d["id"], F.col("station_id")).alias("id"), F.coalesce(d["name"], F.col("name")).alias("name"),
+                          F.coalesce(d["type"], F.lit("station")).alias("type"),
+                          F.coalesce(d["location"]["longitude"], F.col("lon")).alias("lon"),
+                          F.coalesce(d["location"]["latitude"], F.col("lat")).alias("lat"), d["weight"].alias("weight"))
+    o = official.select(F.col("eva").alias("id"), "ifopt", F.col("lon").alias("o_lon"), F.col("lat").alias("o_lat"))
+    j = own.join(o, "id", "left")
+    j = j.join(lines, "station_id", "left") if lines is not None else j.withColumn("lines", F.lit(None).cast("array<string>"))
+    far = F.coalesce(geo_distance(F.col("lon"), F.col("lat"), F.col("o_lon"), F.col("o_lat")) > F.lit(float(metres)), F.lit(False))
+    place = lambda lon, lat: F.struct(F.lit("location").alias("type"), F.col("id").alias("id"), lat.alias("latitude"), lon.alias("longitude"))
+    return j.select(
+        "station_id", F.struct(
+            "id", "name", "type", place(F.when(far, F.col("o_lon")).otherwise(F.col("lon")),
+                                        F.when(far, F.col("o_lat")).otherwise(F.col("lat"))).alias("location"),
+            F.col("ifopt").alias("ifoptId"), F.transform("lines", lambda x: F.struct(x.alias("name"))).alias("lines"),
+            F.when(F.coalesce("weight", F.lit(0.0)) != 0, F.col("weight")).otherwise(1.0).alias("weight")).alias("details"),
+        far.alias("repaired"), place(F.col("lon"), F.col("lat")).alias("position"))
+
+
 def missing_stations(stations: DataFrame, official: DataFrame) -> DataFrame:
     """T4: official stations (with a valid latitude) absent from ours."""
     o = official.where(F.col("lat").isNotNull() & ~F.isnan("lat"))

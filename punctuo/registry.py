@@ -292,6 +292,20 @@ def q_quality_counters(spark, d):
     return N.quality(_norm(spark, d))
 
 
+SAMPLE_CONTENT = ["trip_id", "station_id", "is_departure", "scheduled_time", "projected_time", "delay_seconds", "cancelled", "sample_time",
+                  "line_name", "product_type_id", "operator_id", "remarks_hash", "load_factor_id", "scheduled_duration_minutes",
+                  "projected_duration_minutes"]
+
+
+@register("load_counters")
+def q_load_counters(spark, d):
+    # a third of the samples is in its response twice; responses before the middle of the month are stored
+    n = _norm(spark, d)
+    twice = n.unionByName(n.where("sample_id % 3 = 0").withColumn("sample_id", F.col("sample_id") + 10 ** 15))
+    stored = fx.responses(spark, d).where(F.col("ts") < F.lit(STORED_BEFORE).cast("timestamp_ntz"))
+    return N.load_counters(twice, stored, SAMPLE_CONTENT)
+
+
 @register("rt_count_check")
 def q_rt_count_check(spark, d):
     r = fx.responses(spark, d).withColumn("expected_rt_count", EN.expected_rt(F.col("raw")))
@@ -519,6 +533,21 @@ def q_surrogate_key_lookup(spark, d):
     return mapped
 
 
+def _dimensions(spark, d):
+    return D.assign_all(fx.stored_dimensions(spark, d), fx.dimension_values(spark, d), {
+        k: k for k in ("operator", "load_factor", "product_type", "prognosis_type")}, {"operator": "operator_name"})
+
+
+@register("dimension_keys")
+def q_dimension_keys(spark, d):
+    return _dimensions(spark, d)[0]
+
+
+@register("dimension_lookup")
+def q_dimension_lookup(spark, d):
+    return _dimensions(spark, d)[1]
+
+
 def _station_dim(spark, d):
     st = fx.stops(spark, d)
     return st.select(F.col("stop_id").alias("station_id"), F.col("stop_name").alias("name"),
@@ -604,6 +633,27 @@ def q_station_repair(spark, d):
     return r.withColumn("distance_m", F.round("distance_m", 3))
 
 
+def _station_documents(spark, d):
+    st = _our_stations(spark, d).join(_station_dim(spark, d).select("station_id", "details"), "station_id")
+    lines = T.station_lines(st.select("station_id"), _served_lines(spark, d))
+    return T.documents(st, _official_stations(spark, d), lines)
+
+
+@register("station_documents")
+def q_station_documents(spark, d):
+    x = F.col("details")
+    return _station_documents(spark, d).select(
+        "station_id", x["id"].alias("id"), x["name"].alias("name"), x["type"].alias("type"), x["location"]["longitude"].alias("lon"),
+        x["location"]["latitude"].alias("lat"), x["ifoptId"].alias("ifopt_id"), F.transform(x["lines"], lambda y: y["name"]).alias("lines"),
+        x["weight"].alias("weight"))
+
+
+@register("repaired_stations")
+def q_repaired_stations(spark, d):
+    return _station_documents(spark, d).where("repaired").select("station_id", F.col("position.longitude").alias("lon"),
+                                                                 F.col("position.latitude").alias("lat"))
+
+
 @register("missing_stations")
 def q_missing_stations(spark, d):
     return T.missing_stations(_our_stations(spark, d), _official_stations(spark, d))

@@ -125,3 +125,28 @@ def test_responses_spread_over_all_events(spark):
     assert fx.raw_samples(spark, d).where("hash IS NULL").count() == 0
     assert fx.raw_samples(spark, d).select("response_id").distinct().count() > 0.9 * n or n > 5000
     assert OF.official_long(fx.official_punctuality_csv(spark, d)).count() > 0
+
+
+def test_dimension_ids_given_by_the_job_stay(spark):
+    from punctuo.operators import dims as D
+    stored = spark.createDataFrame([("operator", 4, "O1", "one")], "dim string, id int, key string, name string")
+    values = spark.createDataFrame([(1, "O1"), (2, "O9"), (3, None), (4, "")], "id int, operator string")
+    assert D.assign_all(stored, values, {"operator": "operator"}, auto_ids=False) == (stored, values)
+    every, out = D.assign_all(stored, values, {"operator": "operator"})
+    assert {(r.key, r.id) for r in every.collect()} == {("O1", 4), ("", 5), ("O9", 6)}
+    assert {(r.id, r.operator_id) for r in out.collect()} == {(1, 4), (2, 6), (3, None), (4, 5)}
+
+
+def test_station_documents_keep_what_details_say(spark):
+    from punctuo.operators import stations as T
+    st = spark.createDataFrame([
+        ("1", "A", 7.0, 50.0, None), ("2", "B", 7.0, 50.0, '{"id":"22","name":"bee","type":"stop","weight":3.5,"location":{"latitude":51.0,"longitude":8.0}}'),
+        ("3", "C", 7.0, 50.0, '{"weight":0}'), ("4", "D", None, None, "no json")], "station_id string, name string, lon double, lat double, details string")
+    of = spark.createDataFrame([("1", "de:1", "x", 7.0001, 50.0), ("22", "de:22", "x", 8.1, 51.0), ("4", "de:4", "x", 9.0, 52.0)],
+                               "eva string, ifopt string, name string, lon double, lat double")
+    got = {r.station_id: r for r in T.documents(st, of).collect()}
+    one, two, three, four = (got[k].details for k in "1234")
+    assert (one.id, one.name, one.type, one.location.longitude, one.ifoptId, one.weight, got["1"].repaired) == ("1", "A", "station", 7.0, "de:1", 1.0, False)
+    assert (two.id, two.name, two.type, two.location.longitude, two.ifoptId, two.weight, got["2"].repaired) == ("22", "bee", "stop", 8.1, "de:22", 3.5, True)
+    assert got["2"].position.longitude == 8.0 and three.weight == 1.0 and three.ifoptId is None
+    assert four.ifoptId == "de:4" and not got["4"].repaired and four.location.longitude is None
