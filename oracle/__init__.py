@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def all_sql() -> dict[str, str]:
-    from . import core, dims, gtfs, ingest, sources
+    from . import core, dims, fptf, gtfs, ingest, sources
     out: dict[str, str] = {}
-    for m in (core, ingest, gtfs, dims, sources):
+    for m in (core, ingest, gtfs, dims, sources, fptf):
         out.update(m.queries())
     return out

@@ -7,7 +7,7 @@ rebuild it row for row (see ``oracle/views.py``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BASE_TS = "2024-01-01 00:00:00"
@@ -379,21 +379,29 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("stop"), _iso(F.col("pa")).alias("plannedArrival"), F.lit(None).cast("string").alias("arrival"),
         F.lit(None).cast("int").alias("arrivalDelay"), _iso(F.col("pd")).alias("plannedDeparture"),
         F.when(dly.isNotNull(), _iso(F.timestamp_add("SECOND", dly, F.col("pd")))).alias("departure"),
-        dly.alias("departureDelay"), (F.col("stop_sequence") == 7).alias("cancelled"))
+        dly.alias("departureDelay"), (F.col("stop_sequence") == 7).alias("cancelled"),
+        F.when(F.col("stop_sequence") % 4 == 2, "low").alias("loadFactor"))
     per_trip = ev.groupBy("trip_id").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", so.alias("so"))))
-                                         .alias("s"), F.max("_day").alias("_day"))
+                                         .alias("s"), F.max("_day").alias("_day"), F.min_by("pd", "stop_sequence").alias("_pd"))
     per_trip = per_trip.join(lines, "trip_id").withColumn("sos", F.transform("s", lambda x: x["so"]))
     first, last = F.col("sos")[0], F.element_at(F.col("sos"), -1)
     kk = F.col("trip_id").cast("bigint")
     remarks = F.when(kk % 5 == 0, F.array(F.struct(F.lit("hint").alias("type"), F.lit("bicycle").alias("code"),
                                                    F.lit("Bicycles allowed").alias("text"))))
+    # every third trip has an alternative ten minutes later, half of them without a stop of their own
+    after = lambda s: F.timestamp_add("SECOND", F.lit(s), F.col("_pd"))
+    other = F.when(kk % 3 == 0, F.array(F.struct(
+        F.concat(F.lit("alt"), F.col("trip_id")).alias("tripId"), F.when(kk % 2 == 1, first["stop"]).alias("stop"),
+        first["stop"].alias("origin"), last["stop"].alias("destination"), F.col("line"),
+        F.when(kk % 5 == 0, _iso(after(900))).alias("when"), _iso(after(600)).alias("plannedWhen"), F.when(kk % 5 == 0, 300).alias("delay"),
+        (kk % 7 == 0).alias("cancelled"), F.lit("high").alias("loadFactor"), F.array(last).alias("nextStopovers"))))
     trip = F.struct(
         F.col("trip_id").alias("id"), first["stop"].alias("origin"), last["stop"].alias("destination"),
         F.col("line"), remarks.alias("remarks"), (kk % 23 == 0).alias("cancelled"),
         first["plannedDeparture"].alias("plannedDeparture"), first["departure"].alias("departure"),
         first["departureDelay"].alias("departureDelay"), last["plannedArrival"].alias("plannedArrival"),
         last["arrival"].alias("arrival"), last["arrivalDelay"].alias("arrivalDelay"),
-        F.slice(F.col("sos"), F.lit(2), F.size("sos")).alias("stopovers"))
+        F.slice(F.col("sos"), F.lit(2), F.size("sos")).alias("stopovers"), other.alias("alternatives"))
     rt_s = F.unix_timestamp(F.timestamp_add("HOUR", F.lit(4), F.col("_day")).cast("timestamp"))
     walking = F.struct(F.lit(True).alias("walking"), last["stop"].alias("origin"), last["stop"].alias("destination"))
     leg = trip.withField("walking", F.lit(False))
@@ -414,12 +422,16 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.when(F.col("stop_sequence") % 3 == 0, F.col("dep_time")).alias("when"),
                    F.col("planned").alias("plannedWhen"),
                    F.when(F.col("stop_sequence") % 3 == 0, dly).alias("delay"),
-                   F.lit(False).alias("cancelled"))
+                   F.lit(False).alias("cancelled"), F.when(F.col("stop_sequence") % 5 == 0, "full").alias("loadFactor"),
+                   F.when((F.col("stop_sequence") % 3 == 2) & F.col("before").isNotNull(), F.array("before")).alias("previousStopovers"),
+                   F.when((F.col("stop_sequence") % 3 == 1) & F.col("behind").isNotNull(), F.array("behind")).alias("nextStopovers"))
+    along = Window.partitionBy("trip_id").orderBy("stop_sequence")
+    ev = ev.withColumn("_so", so).withColumns({"before": F.lag("_so").over(along), "behind": F.lead("_so").over(along)}).drop("_so")
     boards = []
     for is_dep, name in ((True, "departures"), (False, "arrivals")):
         t_col = F.col("pd") if is_dep else F.col("pa")
         b = ev.join(lines, "trip_id").select(
-            "trip_id", "stop_id", "stop", "line", "stop_sequence", "departure_delay",
+            "trip_id", "stop_id", "stop", "line", "stop_sequence", "departure_delay", "before", "behind",
             _iso(t_col).alias("planned"),
             _iso(F.timestamp_add("SECOND", F.coalesce(dly, F.lit(0)), t_col)).alias("dep_time"),
             F.date_trunc("hour", t_col).alias("_h"))

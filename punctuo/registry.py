@@ -742,8 +742,7 @@ def q_fptf_stopovers(spark, d):
 
 @register("fptf_stations")
 def q_fptf_stations(spark, d):
-    st = P.fptf_stations(fx.fptf_documents(spark, d))
-    return D.first_per_key(st, ["response_key", "station_id"], F.col("type"))
+    return P.fptf_stations(fx.fptf_documents(spark, d)).distinct()
 
 
 @register("fptf_normalised")
