@@ -22,7 +22,8 @@ into pieces that can:
 3. Runs of strings with one repeated hash are pieces (at most ``LEAST + STRINGS - 1`` bytes), dealt out by
    that hash. Equal pieces fold to their first place. Hashes that still have several pieces, or one that
    repeats itself, go into collections, where the construction decides. A hash with over ``HOT_BYTES`` of different pieces (a passage in a third of all
-   documents, in as many contexts) is dealt out again string by string.
+   documents, in as many contexts) is dealt out once more by a deeper hash, of grams two bytes shorter than a string: however
+   many contexts there are, the different strings around one such gram are bounded by the alphabet, and so are the collections.
 
 Defined cases: null and empty texts have nothing to remove; rows repeated with id and text are one document
 and share its result; different texts under one id are ordered by place only (equal places of them are no
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import spread, written
@@ -50,6 +51,7 @@ GRAM = 50
 STRINGS = 64
 COLLECTION_BYTES = 1 << 19
 HOT_BYTES = 2 << 20
+DEEPER = 2  # bytes by which a deeper gram is shorter than a string
 #: Bytes of text a task folds before it sends on.
 HELD_BYTES = 12 << 20
 #: Bytes of text for each hash bucket.
@@ -405,9 +407,11 @@ def _pieces(held_bytes: int, least: int, gram: int, strings: int):
 
 
 def _decide(collection_bytes: int, hot_bytes: int, least: int):
-    """Pieces sorted by hash: ranges to remove; strings of a hot hash one by one (key set, ranges null)."""
+    """Pieces sorted by hash: ranges to remove; pieces of a hot hash cut by deeper ones (key set, ranges null).
+
+    ``hot_bytes`` 0: no hash is hot.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
         rows: list[tuple] = []
         done: dict[bytes, tuple[int, int, int]] = {}  # pieces of hashes that are complete
         open_: dict[bytes, tuple[int, int, int]] = {}
@@ -417,9 +421,10 @@ def _decide(collection_bytes: int, hot_bytes: int, least: int):
             return len({x[o:o + least] for o in range(len(x) - least + 1)}) <= len(x) - least
 
         def strings_of(x: bytes, spot: tuple[int, int, int]) -> None:
-            for o in range(len(x) - least + 1):
-                part = x[o:o + least]
-                rows.append((xxhash.xxh64_intdigest(part, 1) - (1 << 63), spot[0], spot[1], spot[2] + o, part, None))
+            low, _ = smallest_hashes(x, least, max(1, least - DEEPER))
+            head = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+            for s, e, k in zip(head.tolist(), [*head[1:].tolist(), len(low)], low[head].view(np.int64).tolist()):
+                rows.append((k, spot[0], spot[1], spot[2] + s, x[s:e + least - 1], None))
 
         def close() -> None:
             # a piece alone with its hash has its equals, if any, within itself
@@ -456,7 +461,7 @@ def _decide(collection_bytes: int, hot_bytes: int, least: int):
                 else:
                     open_[x] = spot
                     state["size"] += len(x)
-                    if state["size"] > hot_bytes and len(x) > least:
+                    if hot_bytes and state["size"] > hot_bytes:
                         state["hot"] = True
                         for y, s in open_.items():
                             strings_of(y, s)
@@ -500,6 +505,14 @@ def _removed(with_text: bool):
 
 # ---------------------------------------------------------------- operator
 
+def route(tag: Column | None = None) -> Column:
+    """What a text and its answers meet by: its id; texts without one, however many, spread by a tag from their digest."""
+    if tag is None:
+        digits = F.hex(F.substring("sha", 1, 8))  # the tag's bytes, least first
+        tag = F.conv(F.concat(*[F.substring(digits, at, 2) for at in range(15, 0, -2)]), 16, -10).cast("long")
+    return F.when(F.col("doc") == NO_ID, tag).otherwise(F.col("doc"))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM,
                  strings: int = STRINGS, collection_bytes: int = COLLECTION_BYTES, hot_bytes: int = HOT_BYTES,
                  held_bytes: int = HELD_BYTES, with_text: bool = False) -> DataFrame:
@@ -513,37 +526,37 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = written(rows.mapInArrow(_marks, "id long, sha binary, size long"), "suffix-members")
     doc = F.coalesce("id", F.lit(NO_ID)).alias("doc")
     first = members.filter(F.col("size") >= least).select("sha", doc).groupBy("sha").agg(F.min("doc").alias("doc"))
-    first = first.groupBy("doc").agg(F.collect_list("sha").alias("own"))
-    texts = (rows.mapInArrow(_different(held_bytes, least), "doc long, sha binary, z binary")
-             .repartition(n, "doc").sortWithinPartitions("doc").persist(StorageLevel.DISK_ONLY))
+    first = first.select(route().alias("route"), "sha").groupBy("route").agg(F.collect_list("sha").alias("own"))
+    texts = (rows.mapInArrow(_different(held_bytes, least), "doc long, sha binary, z binary").withColumn("route", route())
+             .repartition(n, "route").sortWithinPartitions("route").persist(StorageLevel.DISK_ONLY))
     total = members.agg(F.sum("size").alias("n")).first()["n"] or 0
     buckets = max(n, -(-total // BUCKET_BYTES))
 
-    own = texts.join(first, "doc").filter(F.array_contains("own", F.col("sha"))).drop("own")
-    told = written(own.select("doc", "z").mapInArrow(_hashes(buckets, held_bytes, least, gram), "bucket long, slot long, data binary"),
-                   "suffix-hashes")
+    own = texts.join(first, "route").filter(F.array_contains("own", F.col("sha"))).drop("own")
+    told = written(own.select(F.col("route").alias("doc"), "z").mapInArrow(
+        _hashes(buckets, held_bytes, least, gram), "bucket long, slot long, data binary"), "suffix-hashes")
     answers = (told.filter("slot is not null").select("slot", "data")
                .unionByName(told.filter("bucket is not null").select("bucket", "data").repartition(n, "bucket")
                             .groupBy("bucket").applyInArrow(_again(buckets), "slot long, data binary"))
-               .groupBy("slot").applyInArrow(_by_document, "doc long, said binary"))
-    pieces = written(texts.join(first, "doc").filter(F.array_contains("own", F.col("sha"))).drop("own").join(answers, "doc")
+               .groupBy("slot").applyInArrow(_by_document, "doc long, said binary").withColumnRenamed("doc", "route"))
+    pieces = written(texts.join(first, "route").filter(F.array_contains("own", F.col("sha"))).drop("own").join(answers, "route")
                      .mapInArrow(_pieces(held_bytes, least, gram, strings), _PIECE_DDL), "suffix-pieces")
 
-    def decided(some: DataFrame) -> DataFrame:
+    def decided(some: DataFrame, hot_bytes: int) -> DataFrame:
         dealt = some.select("key", "doc", "tag", "place", "piece").repartition(n, "key").sortWithinPartitions("key")
         return written(dealt.mapInArrow(_decide(collection_bytes, hot_bytes, least), _PIECE_DDL), "suffix-ranges")
 
-    once = decided(pieces.filter("key is not null"))
+    once = decided(pieces.filter("key is not null"), hot_bytes)
     parts = [pieces, once]
     hot = once.filter("key is not null")
     if not hot.isEmpty():
-        parts.append(decided(hot))
+        parts.append(decided(hot, 0))
     ranges = None
     for part in parts:
-        got = part.filter("ranges is not null").select("doc", F.struct("tag", "ranges").alias("r"))
+        got = part.filter("ranges is not null").select(route(F.col("tag")).alias("route"), F.struct("tag", "ranges").alias("r"))
         ranges = got if ranges is None else ranges.unionByName(got)
-    ranges = ranges.groupBy("doc").agg(F.collect_list("r").alias("said"))
-    removed = written(texts.join(ranges, "doc").mapInArrow(
+    ranges = ranges.groupBy("route").agg(F.collect_list("r").alias("said"))
+    removed = written(texts.join(ranges, "route").mapInArrow(
         _removed(with_text), "doc long, sha binary, n_removed long, spans array<array<bigint>>, kept_sha binary, kept binary"), "suffix-removed")
     texts.unpersist()
 

@@ -49,6 +49,24 @@ def test_suffix_dedup(spark, kw):
             assert bytes(r.kept) == b"".join(parts) + b[at:]
 
 
+def test_suffix_dedup_of_a_passage_in_many_contexts_and_of_many_rows_without_id(spark):
+    import random
+    rng = random.Random(6)
+    passage = "".join(rng.choices("abcdefgh ", k=170))
+    noise = lambda: "".join(rng.choices("ijklmnop ", k=rng.randint(20, 90)))
+    texts = [noise() + passage + noise() for _ in range(80)] + [noise() * 3 for _ in range(10)] + [passage[:120] * 2, passage[30:]]
+    docs = list(enumerate(texts))
+    want = cases.removed(docs)
+    for kw in ({}, {"hot_bytes": 2000}, {"hot_bytes": 2000, "collection_bytes": 500, "held_bytes": 3000}):
+        got = suffix_dedup.suffix_dedup(cases.frame(spark, docs), **kw).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in got} == want
+    some = [(None if i < 60 else i, t) for i, t in docs]
+    one = suffix_dedup.suffix_dedup(cases.frame(spark, [(-1 if d is None else d, t) for d, t in some]))
+    none = suffix_dedup.suffix_dedup(cases.frame(spark, some))
+    shape = lambda df: Counter((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in df.collect())
+    assert shape(none) == shape(one)
+
+
 def test_suffix_dedup_ties_and_empty(spark):
     got = rows_of(suffix_dedup.suffix_dedup(cases.frame(spark, cases.TIES)), "doc_id", "n_bytes", "n_removed")
     # "same row " repeats itself from byte 9 on; null ids come first, so the copy under 9 goes whole
