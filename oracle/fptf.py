@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import core
 from .ingest import js_round
 from .views import with_views
 
@@ -77,6 +78,24 @@ known AS (SELECT stop_id, stop_name, stop_lon, stop_lat, parent_station, CASE WH
 seen AS (SELECT DISTINCT response_key, type, station_id FROM fptf UNION
          SELECT concat('l', coalesce(parent_station, stop_id)), 'locations', stop_id FROM stops)"""]
 
+# from rows to stored samples: fallback time, relevance, ids of natural keys, one of equal rows
+STORED = [f"""
+norm AS (SELECT *, {js_round("CAST(epoch_us(coalesce(projected_time, scheduled_time)) - epoch_us(seen_at) AS DOUBLE) / 60000000.0")} AS ttl_minutes
+         FROM (SELECT *, coalesce(sample_time, response_ts - INTERVAL 2 MINUTE) AS seen_at, {js_round("CAST(delay_seconds AS DOUBLE) / 60.0")} AS delay_minutes
+               FROM (SELECT *, CASE WHEN contains(response_key, '@') THEN strptime(split_part(response_key, '@', 2), '%Y%m%d%H') + INTERVAL 30 MINUTE END
+                       AS response_ts FROM fptf) x) y)""", """
+rel AS (SELECT * FROM norm WHERE seen_at IS NOT NULL AND abs(ttl_minutes) <= 1440)""", *[f"""
+{name} AS (SELECT {key} AS key, row_number() OVER (ORDER BY {key}) AS id FROM (SELECT DISTINCT {key} FROM rel WHERE {key} IS NOT NULL) k)"""
+          for name, key in (("operators", "operator_id"), ("loads", "load_factor"), ("products", "product_type"))], """
+uniq AS (SELECT DISTINCT scheduled_time, delay_minutes, cancelled, seen_at AS sample_time, ttl_minutes, trip_id, line_name, line_fahrtnr,
+           p.id AS product_type_id, product_name, station_id, o.id AS operator_id, is_departure, md5(remarks) AS remarks_hash, l.id AS load_factor_id
+         FROM rel LEFT JOIN operators o ON rel.operator_id = o.key LEFT JOIN loads l ON rel.load_factor = l.key
+         LEFT JOIN products p ON rel.product_type = p.key)""", """
+sample AS (SELECT *, CAST(NULL AS SMALLINT) AS scheduled_duration_minutes, CAST(NULL AS SMALLINT) AS projected_duration_minutes,
+             CAST('0x' || substr(md5(concat_ws('|', trip_id, station_id, CAST(is_departure AS VARCHAR), epoch_us(scheduled_time), epoch_us(sample_time),
+               ttl_minutes, delay_minutes, CAST(cancelled AS VARCHAR), line_name, operator_id, load_factor_id, remarks_hash)), 1, 15) AS BIGINT) AS id
+           FROM uniq)""", "subs AS (SELECT '' AS remarks_hash WHERE false)"]
+
 SAMPLE = ("response_key, type, trip_id, station_id, is_departure, scheduled_time, projected_time, delay_seconds, cancelled, load_factor, "
           "line_name, operator_id, sample_time")
 
@@ -100,4 +119,13 @@ FROM seen JOIN known ON seen.station_id = known.stop_id
 UNION
 SELECT DISTINCT response_key, type, parent_station, concat('Station ', parent_station), stop_lon, stop_lat, NULL, station
 FROM seen JOIN known ON seen.station_id = known.stop_id WHERE parent_station IS NOT NULL"""
+    chain = [*STORED, core.THR, *core.latest_cte(True), f"facts AS ({core.facts_body()})", f"h AS ({core.hist_sql('by_hour')})"]
+    q["ingest_fptf"] = base.rstrip() + ",\n" + ",\n".join(c.strip() for c in chain) + "\nSELECT * FROM h"
+    q["ingest_fptf_log"] = base.rstrip() + ",\n" + ",\n".join(c.strip() for c in STORED[:2]) + """
+SELECT response_id, CAST(CASE type WHEN 'journeys' THEN 0 WHEN 'departures' THEN 1 WHEN 'arrivals' THEN 2 WHEN 'trip' THEN 3
+    WHEN 'refreshJourney' THEN 4 WHEN 'radar' THEN 6 END AS SMALLINT) AS type, coalesce(response_ts, last + INTERVAL 2 MINUTE) AS response_time,
+  response_ts IS NULL AS response_time_estimated, false AS sample_time_estimated, sample_count, 'fixture' AS source
+FROM (SELECT response_key AS response_id, any_value(type) AS type, any_value(response_ts) AS response_ts, count(*) AS sample_count,
+        max(CASE WHEN seen_at IS NOT NULL AND abs(ttl_minutes) <= 1440 THEN seen_at END) AS last FROM norm GROUP BY response_key) g
+WHERE last IS NOT NULL"""
     return q

@@ -452,6 +452,14 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_docs.unionByName(boards[0]).unionByName(boards[1]).unionByName(locs)
 
 
+def fptf_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as responses: boards came half an hour after their hour began, of others the time isn't known."""
+    d = fptf_documents(spark, sf_dir)
+    hour = F.try_to_timestamp(F.split("response_key", "@").getItem(1), F.lit("yyyyMMddHH")).cast("timestamp_ntz")
+    return d.select(F.col("response_key").alias("response_id"), "type", "doc", F.when(F.contains("response_key", F.lit("@")),
+                    add_minutes(hour, F.lit(30))).alias("response_ts"), F.lit("fixture").alias("source"))
+
+
 def _hafas_inner(e: Column, i: Column) -> Column:
     et = F.col("event_type")
     meth = (F.when(et.isin("view", "click"), "StationBoard").when(et == "signup", "JourneyDetails")

@@ -18,6 +18,7 @@ from .operators import histograms as H
 from .operators import stats as ST
 from .functions import buckets as B
 from .plans import fold as FO
+from .plans import ingest as IN
 from .plans import refresh as R
 from .profiles import CH_SBB, DE_DB, DE_GTFS
 from .session import shared_path
@@ -750,3 +751,21 @@ def q_fptf_normalised(spark, d):
     s = _fptf(spark, d).withColumn("response_ts", F.col("sample_time"))
     return N.relevant(N.normalise(s)).select("response_key", "trip_id", "station_id", "is_departure",
                                              "scheduled_time", "delay_minutes", "ttl_minutes", "cancelled")
+
+
+def _ingested(spark, d):
+    # all responses, and then all of them again under another batch
+    state = shared_path(spark, f"ingest-{uuid.uuid4().hex}")
+    for i in range(2):
+        IN.ingest_fptf(spark, fx.fptf_responses(spark, d), state, batch_id=i)
+    return state
+
+
+@register("ingest_fptf")
+def q_ingest_fptf(spark, d):
+    return R.stored(spark, _ingested(spark, d), "by_hour")
+
+
+@register("ingest_fptf_log")
+def q_ingest_fptf_log(spark, d):
+    return IN.table(spark, _ingested(spark, d), "response_log", IN.LOG).drop("hash")
