@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from . import core
 from .views import hms, with_views
 
 
@@ -177,6 +178,15 @@ gtfs_stop_times AS (SELECT concat(trip_id, '#', version) AS trip_id, stop_sequen
     chain = [c.strip() for c in versioned + INST + events("inst", "stop_time_updates")]
     q["stop_events_versioned"] = named.rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + ",\n" + ",\n".join(chain) + (
         "\nSELECT * EXCLUDE (has_update) REPLACE (split_part(trip_id, '#', 1) AS trip_id) FROM events")
+    # the same events, relevant ones, folded with the timetable's profile
+    stored = ["""
+stored AS (SELECT DISTINCT split_part(trip_id, '#', 1) AS trip_id, * EXCLUDE (trip_id, start_date, has_update) FROM events WHERE abs(ttl_minutes) <= 1440)""", """
+sample AS (SELECT *, CAST(NULL AS SMALLINT) AS load_factor_id, CAST(NULL AS VARCHAR) AS remarks_hash,
+             CAST('0x' || substr(md5(concat_ws('|', trip_id, station_id, CAST(is_departure AS VARCHAR), epoch_us(scheduled_time), epoch_us(sample_time),
+               ttl_minutes, delay_minutes, CAST(cancelled AS VARCHAR), stop_number)), 1, 15) AS BIGINT) AS id FROM stored)""", core.THR,
+              *core.latest_cte(False), f"facts AS ({core.facts_body('de_gtfsde')})", f"h AS ({core.hist_sql('by_day', 'de_gtfsde')})"]
+    q["ingest_gtfs"] = q["stop_events_versioned"].rsplit("\nSELECT * EXCLUDE", 1)[0] + ",\n" + ",\n".join(c.strip() for c in stored) + (
+        "\nSELECT * FROM h")
     q["gtfs_static_join"] = with_views("routes", "agency", "trips", "gtfs_stop_times", "stops") + """
 SELECT t.trip_id, r.route_id, r.route_short_name, r.route_type, a.agency_name, CAST(NULL AS VARCHAR) AS agency_lang, t.trip_short_name,
   p.stops, p.first_stop, p.last_time

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators import dims as D
 from ..operators import fptf as P
+from ..operators import gtfs as G
 from ..operators import normalise as N
-from ..profiles import DE_DB, Profile
+from ..profiles import DE_DB, DE_GTFS, Profile
 from . import fold as FO
 
 DIMENSIONS = {"operator": "operator_key", "load_factor": "load_factor", "product_type": "product_type", "prognosis_type": "prognosis_type"}
@@ -92,3 +93,50 @@ def ingest_fptf(spark: SparkSession, docs: DataFrame, state: str, profile: Profi
                                            "delay_minutes", "cancelled", "line_name", "operator_id", "load_factor_id", "remarks_hash"))
     parts, more = FO.folded(spark, rows.select(*SAMPLE), remarks, state, base, profile, keep_days)
     return FO.committed(spark, state, base, tables | parts, batch_id, more)
+
+
+class TimetableUnavailable(RuntimeError):
+    """Feeds lie behind the end of the last known timetable version."""
+
+
+def ingest_gtfs(spark: SparkSession, updates: DataFrame, stop_time_updates: DataFrame, versions: DataFrame, timetable: dict[str, DataFrame],
+                stops: DataFrame, state: str, profile: Profile = DE_GTFS, batch_id: int | None = None, tz: str = "UTC", strict: bool = False,
+                offline: bool = False, bus_fraction: float = 1.0, keep_days: int | None = None) -> dict:
+    """Ingest trip updates with the timetable version valid at their time (S14, G1-G15) and commit; the manifest.
+
+    Feeds without a valid version are left out; with ``strict`` they stop the job before anything is stored. ``offline`` adds a
+    sample without realtime for the first feed of each trip and day (G12), ``bus_fraction`` thins buses (G13). Operators
+    come with the agencies (G14), stations with the stops (G15).
+    """
+    base = sinks.manifest(spark, state)
+    if sinks.committed(base, batch_id):
+        return base
+    used = G.versions_in_use(versions, updates, tz=tz)
+    tables_ = {name: G.of_versions(df, used) for name, df in timetable.items()}
+    tu = G.attach_version(updates, versions, tz=tz).withColumnRenamed("version", G.VERSION).drop("valid_from", "valid_until")
+    if strict and not tu.where(F.col(G.VERSION).isNull()).isEmpty():
+        raise TimetableUnavailable("feeds without a valid timetable version")
+    tu = tu.where(F.col(G.VERSION).isNotNull())
+    inst = G.join_timetable(tu, tables_["trips"], tables_["routes"], tables_["agency"], tables_["stop_times"])
+    inst = inst if bus_fraction >= 1 else G.bus_thinning(inst, bus_fraction)
+    events = G.stop_events(inst, tables_["stop_times"], stops, stop_time_updates, tz)
+    if offline:
+        off = G.stop_events(G.offline_instances(inst), tables_["stop_times"], stops, None, tz, F.col("offline_sample_time"))
+        events = events.unionByName(off)
+    small = lambda c: F.col(c).cast("smallint").alias(c)
+    null = F.lit(None)
+    rows = N.relevant(events).withColumns({
+        "load_factor_id": null.cast("smallint"), "remarks_hash": null.cast("string"), "response_id": null.cast("string"),
+        "prognosis_type_id": null.cast("smallint"),
+        "id": sample_id("trip_id", "station_id", "is_departure", "scheduled_time", "sample_time", "ttl_minutes", "delay_minutes", "cancelled",
+                        "stop_number")})
+    short = {"scheduled_duration_minutes", "projected_duration_minutes", "delay_minutes", "ttl_minutes"}
+    rows = rows.select(*[small(c) if c in short else F.col(c) for c in SAMPLE])
+    agencies = timetable["agency"].drop(G.VERSION).distinct()
+    operators = D.insert_ignore(table(spark, state, "operator", "operator_id int, id string, name string", base), G.operators(agencies), "id")
+    lonlat = G.stations(stops).select("station_id", "name", F.col("lonlat.lon").alias("lon"), F.col("lonlat.lat").alias("lat"), "parent",
+                                      F.lit(None).cast("string").alias("details"))
+    stations = D.upsert(table(spark, state, "station", STATIONS, base), lonlat, "station_id", ["details"], only_if_null=True)
+    tables = {"operator": [sinks.write_part(operators, state, "operator")], "station": [sinks.write_part(stations, state, "station")]}
+    parts, more = FO.folded(spark, rows, None, state, base, profile, keep_days)
+    return FO.committed(spark, state, base, tables | parts, batch_id, more)

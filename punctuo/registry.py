@@ -769,3 +769,17 @@ def q_ingest_fptf(spark, d):
 @register("ingest_fptf_log")
 def q_ingest_fptf_log(spark, d):
     return IN.table(spark, _ingested(spark, d), "response_log", IN.LOG).drop("hash")
+
+
+@register("ingest_gtfs")
+def q_ingest_gtfs(spark, d):
+    # feeds of odd and even trips in two batches, each against the version valid at its time
+    path = shared_path(spark, f"timetables-{uuid.uuid4().hex}")
+    fx.write_timetables(spark, d, path)
+    tables = {n: spark.read.parquet(f"{path}/{n}") for n in ("trips", "routes", "agency", "stop_times")}
+    tu, odd = fx.trip_updates(spark, d).drop("run"), F.col("trip_id").cast("bigint") % 2 == 1
+    state = shared_path(spark, f"ingest-{uuid.uuid4().hex}")
+    for i, part in enumerate((odd, ~odd)):
+        IN.ingest_gtfs(spark, tu.where(part), fx.stop_time_updates(spark, d).where(part), fx.timetable_versions(spark, d).drop("k"), tables,
+                       fx.stops(spark, d), state, batch_id=i)
+    return R.stored(spark, state, "by_day")
