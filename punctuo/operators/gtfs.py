@@ -193,25 +193,29 @@ def stop_events(instances: DataFrame, stop_times: DataFrame, stops: DataFrame |
         j = j.join(u.groupBy(*INSTANCE).agg(F.array_sort(F.collect_list("u")).cast(kind).alias("_updates")), INSTANCE, "left")
     else:
         j = j.withColumn("_updates", F.lit(None).cast(kind))
-    copies = Window.partitionBy(*INSTANCE).orderBy(*[c for c in instances.columns if c not in INSTANCE])
-    j = j.withColumns({"_copy": F.row_number().over(copies), "_updates": F.coalesce("_updates", F.array().cast(kind))})
+    # the number only tells instances with equal keys apart, which share a task from the next shuffle on
+    j = j.withColumns({"_copy": F.monotonically_increasing_id(), "_updates": F.coalesce("_updates", F.array().cast(kind))})
     first_dep = F.get("_stops", F.lit(0))["dep_s"]
     origin = F.unix_seconds(service_start(F.col("start_date"), F.col("start_time"), first_dep, tz).cast("timestamp"))
 
-    def event(s: Column, place: Column, i: Column, dep: bool) -> Column:
-        upd = F.get(F.col("_updates"), F.when(place != "", place.cast("int")))
-        there = (i < F.size("_stops") - 1) if dep else (i > 0)
-        sec = s["dep_s"] if dep else s["arr_s"]
-        return F.struct((2 * i + int(dep)).alias("k"), s["stop_id"].alias("stop_id"), s["seq"].alias("seq"), F.lit(dep).alias("dep"),
-                        F.when(place != "", F.coalesce(upd["rel"] == "SKIPPED", F.lit(False))).alias("off"), sec.alias("sec"),
-                        upd["dd" if dep else "ad"].alias("delay"), upd["dt" if dep else "at"].alias("time"),
-                        (there & sec.isNotNull()).alias("there"))
-
-    both = F.flatten(F.transform(F.arrays_zip("_stops", _walk(F.col("_stops"), F.col("_updates")).alias("_at")), lambda x, i: F.when(
-        x["_stops"].isNotNull(), F.array(event(x["_stops"], x["_at"], i, False), event(x["_stops"], x["_at"], i, True)))
-        .otherwise(F.array())))
+    def call(x: Column, i: Column) -> Column:
+        place = x["_at"]
+        return F.struct(i.alias("i"), x["_stops"].alias("s"), (place != "").alias("has"),
+                        F.get(F.col("_updates"), F.when(place != "", place.cast("int"))).alias("u"))
+
+    calls = F.transform(F.arrays_zip("_stops", _walk(F.col("_stops"), F.col("_updates")).alias("_at")), call)
     # outer: for an inner one Spark infers a filter on the array's size, and copies the walk into it
-    e = j.select(*instances.columns, "_copy", origin.alias("_origin"), F.explode_outer(both).alias("_e"))
+    e = j.select(*instances.columns, "_copy", origin.alias("_origin"), (F.size("_stops") - 1).alias("_last"), F.explode_outer(calls).alias("_c"))
+    c = F.col("_c")
+    arrives = (c["i"] > 0) & c["s"]["arr_s"].isNotNull()
+    departs = (c["i"] < F.col("_last")) & c["s"]["dep_s"].isNotNull()
+    # arrival and departure where they are; where neither is, one that only carries the cancel flag on
+    both = F.array(*[F.struct(
+        (2 * c["i"] + int(dep)).alias("k"), c["s"]["stop_id"].alias("stop_id"), c["s"]["seq"].alias("seq"), F.lit(dep).alias("dep"),
+        F.when(c["has"], F.coalesce(c["u"]["rel"] == "SKIPPED", F.lit(False))).alias("off"), c["s"]["dep_s" if dep else "arr_s"].alias("sec"),
+        c["u"]["dd" if dep else "ad"].alias("delay"), c["u"]["dt" if dep else "at"].alias("time"), there.alias("there"),
+        (there | (~other & F.lit(dep))).alias("kept")) for dep, there, other in ((False, arrives, departs), (True, departs, arrives))])
+    e = e.where(c["s"].isNotNull()).select(*instances.columns, "_copy", "_origin", F.explode(both).alias("_e")).where("_e.kept")
     e = e.withColumn("_k", F.col("_e.k"))  # a plain column: the windows below share one sort
     along = Window.partitionBy(*INSTANCE, "_copy").orderBy("_k")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
