@@ -47,8 +47,8 @@ SHARES = (1.0, 0.5, 0.1)
 #: Rows of one numbering group, about.
 GROUP_ROWS = 4096
 #: Bytes that a worker holds of white-space words, and of parts of words, with their ids; bytes of an entry without its letters.
-KNOWN_WORDS = 160_000_000
-KNOWN_PARTS = 80_000_000
+KNOWN_WORDS = 300_000_000
+KNOWN_PARTS = 140_000_000
 ENTRY = 200
 MARK = b"\xff" * 4
 
