@@ -61,6 +61,20 @@ def test_run_and_empty(spark, folder):
         assert stage(spark, docs, folder).count() == 0
 
 
+def test_stages_with_columns_of_any_name(spark, folder):
+    rows = cases.documents() + cases.TIES
+    docs = cases.frame(spark, rows).withColumnsRenamed({"z": "spans", "n": "n_words"})
+    plain = cases.frame(spark, rows, extra=False)
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = stage(spark, docs, folder), stage(spark, plain, folder)
+        if name == "best_fit_packing":
+            pieces = lambda df: Counter((r.doc_id, r.piece, r.length, r.ids_crc32) for r in df.collect())
+            assert pieces(got) == pieces(want)
+        else:
+            assert got.columns == docs.columns
+            assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r.doc_id, r.text) for r in want.collect())
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     from oracle_check import compare
@@ -70,4 +84,4 @@ def test_queries_equal_their_sql(spark, name):
 def test_all_are_registered():
     import __spark_entry__
     assert set(queries.QUERIES) <= set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES} - {"pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES} - {"pipeline"}
