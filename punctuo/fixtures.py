@@ -105,21 +105,28 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(prefix, _s(k % 90)).alias("route_short_name"), _s(rt).alias("route_type"))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    return o.select(_s(F.col("o_orderkey")).alias("trip_id"), _s(F.col("o_custkey")).alias("route_id"),
+    return o.select("o_orderkey", _s(F.col("o_orderkey")).alias("trip_id"), _s(F.col("o_custkey")).alias("route_id"),
                     F.concat(F.lit("N"), _s(F.col("o_orderkey") % 997)).alias("trip_short_name"))
 
 
-def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trips(spark, sf_dir).drop("o_orderkey")
+
+
+def _stop_times(li: DataFrame) -> DataFrame:
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
     g = li.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("sk"), F.max("l_partkey").alias("upd"))
     base = F.lit(18000) + (ok % 20) * 3600 + ln * 600
-    return g.select(_s(ok).alias("trip_id"), ln.alias("stop_sequence"), _s(F.col("sk")).alias("stop_id"),
+    return g.select("l_orderkey", _s(ok).alias("trip_id"), ln.alias("stop_sequence"), _s(F.col("sk")).alias("stop_id"),
                     (base - 60).alias("arrival_s"), base.alias("departure_s"), "upd")
 
 
+def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stop_times(table(spark, sf_dir, "lineitem")).drop("l_orderkey")
+
+
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Departure delay per (trip, stop), one run per trip (for the documents)."""
     st = stop_times(spark, sf_dir)
@@ -340,52 +347,80 @@ def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def _fptf_stop(p: Column) -> Column:
+    """The FPTF stop of a narrow one (``stop_id, stop_name, stop_lon, stop_lat, parent_station``)."""
+    loc = F.struct(F.lit("location").alias("type"), p["stop_id"].alias("id"),
+                   p["stop_lat"].alias("latitude"), p["stop_lon"].alias("longitude"))
+    parent = F.when(p["parent_station"].isNotNull(), F.struct(
+        F.lit("station").alias("type"), p["parent_station"].alias("id"),
+        F.concat(F.lit("Station "), p["parent_station"]).alias("name"), loc.alias("location")))
+    return F.struct(F.lit("stop").alias("type"), p["stop_id"].alias("id"), p["stop_name"].alias("name"),
+                    loc.alias("location"), parent.alias("station"),
+                    F.when(p["stop_id"].cast("int") % 4 == 0, F.lit("low-to-medium")).alias("loadFactor"))
+
+
+def _fptf_line(n: Column) -> Column:
+    return F.struct(F.lit("line").alias("type"), n["route_id"].alias("id"),
+                    n["trip_short_name"].alias("fahrtNr"), n["route_short_name"].alias("name"),
+                    F.lit("regional").alias("product"), n["route_type"].alias("productName"),
+                    F.struct(F.lit("operator").alias("type"), n["agency_id"].alias("id"),
+                             n["agency_name"].alias("name")).alias("operator"))
+
+
+def _trip_day(k: Column) -> Column:
+    return F.timestamp_add("DAY", (k % 28).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
+
+
+def _fptf_stopover(c: Column, day: Column) -> Column:
+    """The FPTF stopover of a narrow call (``stop_sequence, arrival_s, departure_s, delay, p``)."""
+    pd = F.timestamp_add("SECOND", c["departure_s"].cast("int"), day)
+    pa = F.timestamp_add("SECOND", c["arrival_s"].cast("int"), day)
+    return F.struct(
+        _fptf_stop(c["p"]).alias("stop"), _iso(pa).alias("plannedArrival"), F.lit(None).cast("string").alias("arrival"),
+        F.lit(None).cast("int").alias("arrivalDelay"), _iso(pd).alias("plannedDeparture"),
+        F.when(c["delay"].isNotNull(), _iso(F.timestamp_add("SECOND", c["delay"], pd))).alias("departure"),
+        c["delay"].alias("departureDelay"), (c["stop_sequence"] == 7).alias("cancelled"),
+        F.when(c["stop_sequence"] % 4 == 2, F.lit("low")).alias("loadFactor"))
+
+
+def _trip_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each trip with a line: ``l_orderkey``, its line ``n`` and its calls ``c`` in order, both narrow.
+
+    The line items are dealt out once, by order; all that follows for a trip is done where they lie.
+    """
+    st = _stop_times(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+                     .where(F.col("l_orderkey").isNotNull()).repartition("l_orderkey"))
+    u = F.col("upd")
+    delay = F.when((u % 3 != 0) & (u % 11 != 0) & F.col("stop_sequence").isNotNull(), u % 1500 - 300).cast("int")
+    sp = stops(spark, sf_dir)
+    ev = st.join(sp.select("stop_id", F.struct(*sp.columns).alias("p")), "stop_id")
+    calls = ev.withColumn("delay", delay).groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("stop_sequence", "arrival_s", "departure_s", "delay", "p"))).alias("c"),
+        F.min_by("departure_s", "stop_sequence").alias("first_s"))
+    n = F.struct("route_id", "trip_short_name", "route_short_name", "route_type", "agency_id", "agency_name")
+    lines = (_trips(spark, sf_dir).join(routes(spark, sf_dir), "route_id").join(agency(spark, sf_dir), "agency_id")
+             .select("o_orderkey", n.alias("n")))
+    return calls.join(lines, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+
 def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FPTF response documents (one JSON text per row) built from the timetable tables.
 
     trip_id % 4 picks the document type of each trip (trip, journeys,
     refreshJourney, radar); departure/arrival boards are built per (stop, day,
     hour) so a board stays bounded; ``locations`` per parent station.
+
+    Only narrow calls, stops and lines are dealt out, by trip and then by board; a document's nested objects are put
+    together row by row behind the last shuffle.
     """
-    st = stop_times(spark, sf_dir)
-    tr = trips(spark, sf_dir)
-    rt = routes(spark, sf_dir)
-    ag = agency(spark, sf_dir)
     sp = stops(spark, sf_dir)
-    up = updates(spark, sf_dir).select("trip_id", "stop_sequence", "departure_delay")
-    loc = F.struct(F.lit("location").alias("type"), F.col("stop_id").alias("id"),
-                   F.col("stop_lat").alias("latitude"), F.col("stop_lon").alias("longitude"))
-    parent = F.when(F.col("parent_station").isNotNull(), F.struct(
-        F.lit("station").alias("type"), F.col("parent_station").alias("id"),
-        F.concat(F.lit("Station "), F.col("parent_station")).alias("name"), loc.alias("location")))
-    stop = F.struct(F.lit("stop").alias("type"), F.col("stop_id").alias("id"), F.col("stop_name").alias("name"),
-                    loc.alias("location"), parent.alias("station"),
-                    F.when(F.col("stop_id").cast("int") % 4 == 0, F.lit("low-to-medium")).alias("loadFactor"))
-    stops_s = sp.select("stop_id", stop.alias("stop"))
-    line = F.struct(F.lit("line").alias("type"), F.col("route_id").alias("id"),
-                    F.col("trip_short_name").alias("fahrtNr"), F.col("route_short_name").alias("name"),
-                    F.lit("regional").alias("product"), F.col("route_type").alias("productName"),
-                    F.struct(F.lit("operator").alias("type"), F.col("agency_id").alias("id"),
-                             F.col("agency_name").alias("name")).alias("operator"))
-    lines = tr.join(rt, "route_id").join(ag, "agency_id").select("trip_id", line.alias("line"))
-    k = F.col("trip_id").cast("bigint")
-    day = F.timestamp_add("DAY", (k % 28).cast("int"), F.lit(BASE_TS).cast("timestamp_ntz"))
-    ev = (st.join(stops_s, "stop_id").join(up, ["trip_id", "stop_sequence"], "left")
-          .withColumn("_day", day)
-          .withColumn("pd", F.timestamp_add("SECOND", F.col("departure_s").cast("int"), F.col("_day")))
-          .withColumn("pa", F.timestamp_add("SECOND", F.col("arrival_s").cast("int"), F.col("_day"))))
-    dly = F.col("departure_delay").cast("int")
-    so = F.struct(
-        F.col("stop"), _iso(F.col("pa")).alias("plannedArrival"), F.lit(None).cast("string").alias("arrival"),
-        F.lit(None).cast("int").alias("arrivalDelay"), _iso(F.col("pd")).alias("plannedDeparture"),
-        F.when(dly.isNotNull(), _iso(F.timestamp_add("SECOND", dly, F.col("pd")))).alias("departure"),
-        dly.alias("departureDelay"), (F.col("stop_sequence") == 7).alias("cancelled"),
-        F.when(F.col("stop_sequence") % 4 == 2, "low").alias("loadFactor"))
-    per_trip = ev.groupBy("trip_id").agg(F.array_sort(F.collect_list(F.struct("stop_sequence", so.alias("so"))))
-                                         .alias("s"), F.max("_day").alias("_day"), F.min_by("pd", "stop_sequence").alias("_pd"))
-    per_trip = per_trip.join(lines, "trip_id").withColumn("sos", F.transform("s", lambda x: x["so"]))
+    trip_calls = _trip_calls(spark, sf_dir)
+    kk = F.col("l_orderkey")
+    per_trip = trip_calls.select(
+        "l_orderkey", _s(kk).alias("trip_id"), _fptf_line(F.col("n")).alias("line"), _trip_day(kk).alias("_day"),
+        F.timestamp_add("SECOND", F.col("first_s").cast("int"), _trip_day(kk)).alias("_pd"),
+        F.transform("c", lambda c: _fptf_stopover(c, _trip_day(kk))).alias("sos"))
     first, last = F.col("sos")[0], F.element_at(F.col("sos"), -1)
-    kk = F.col("trip_id").cast("bigint")
     remarks = F.when(kk % 5 == 0, F.array(F.struct(F.lit("hint").alias("type"), F.lit("bicycle").alias("code"),
                                                    F.lit("Bicycles allowed").alias("text"))))
     # every third trip has an alternative ten minutes later, half of them without a stop of their own
@@ -418,25 +453,31 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise("radar"))
     trip_docs = per_trip.select(F.concat(F.lit("t"), F.col("trip_id")).alias("response_key"), typ.alias("type"),
                                 doc.alias("doc"))
-    alt = F.struct(F.col("trip_id").alias("tripId"), F.col("stop"), F.col("line"),
-                   F.when(F.col("stop_sequence") % 3 == 0, F.col("dep_time")).alias("when"),
-                   F.col("planned").alias("plannedWhen"),
-                   F.when(F.col("stop_sequence") % 3 == 0, dly).alias("delay"),
-                   F.lit(False).alias("cancelled"), F.when(F.col("stop_sequence") % 5 == 0, "full").alias("loadFactor"),
-                   F.when((F.col("stop_sequence") % 3 == 2) & F.col("before").isNotNull(), F.array("before")).alias("previousStopovers"),
-                   F.when((F.col("stop_sequence") % 3 == 1) & F.col("behind").isNotNull(), F.array("behind")).alias("nextStopovers"))
-    along = Window.partitionBy("trip_id").orderBy("stop_sequence")
-    ev = ev.withColumn("_so", so).withColumns({"before": F.lag("_so").over(along), "behind": F.lead("_so").over(along)}).drop("_so")
+    # along a trip, a stop of every third number shows the call before it, another one the call behind it
+    shown = F.transform("c", lambda c, i: F.struct(
+        c.alias("x"), F.when(c["stop_sequence"] % 3 == 2, F.get(F.col("c"), i - 1)).alias("before"),
+        F.when(c["stop_sequence"] % 3 == 1, F.get(F.col("c"), i + 1)).alias("behind")))
+    ev = trip_calls.select("l_orderkey", "n", F.explode(shown).alias("e"))
     boards = []
     for is_dep, name in ((True, "departures"), (False, "arrivals")):
-        t_col = F.col("pd") if is_dep else F.col("pa")
-        b = ev.join(lines, "trip_id").select(
-            "trip_id", "stop_id", "stop", "line", "stop_sequence", "departure_delay", "before", "behind",
-            _iso(t_col).alias("planned"),
-            _iso(F.timestamp_add("SECOND", F.coalesce(dly, F.lit(0)), t_col)).alias("dep_time"),
-            F.date_trunc("hour", t_col).alias("_h"))
-        g = b.groupBy("stop_id", "_h").agg(F.array_sort(F.collect_list(F.struct("trip_id", alt.alias("a"))))
-                                          .alias("l"))
+        t_col = F.timestamp_add("SECOND", F.col("e.x.departure_s" if is_dep else "e.x.arrival_s").cast("int"), _trip_day(kk))
+        b = ev.select(F.col("e.x.p.stop_id").alias("stop_id"), F.date_trunc("hour", t_col).alias("_h"),
+                      F.struct(kk.alias("k"), "n", t_col.alias("at"), "e").alias("b"))
+
+        def alt(b: Column) -> Column:
+            x, delay, day = b["e"]["x"], b["e"]["x"]["delay"], _trip_day(b["k"])
+            third = lambda r: x["stop_sequence"] % 3 == r
+            over = lambda c: F.when(c.isNotNull(), F.array(_fptf_stopover(c, day)))
+            return F.struct(
+                _s(b["k"]).alias("tripId"), _fptf_stop(x["p"]).alias("stop"), _fptf_line(b["n"]).alias("line"),
+                F.when(third(0), _iso(F.timestamp_add("SECOND", F.coalesce(delay, F.lit(0)), b["at"]))).alias("when"),
+                _iso(b["at"]).alias("plannedWhen"), F.when(third(0), delay).alias("delay"),
+                F.lit(False).alias("cancelled"), F.when(x["stop_sequence"] % 5 == 0, F.lit("full")).alias("loadFactor"),
+                over(b["e"]["before"]).alias("previousStopovers"), over(b["e"]["behind"]).alias("nextStopovers"))
+
+        g = b.groupBy("stop_id", "_h").agg(F.collect_list("b").alias("l"))
+        g = g.select("stop_id", "_h", F.array_sort(F.transform("l", lambda b: F.struct(_s(b["k"]).alias("trip_id"), alt(b).alias("a"))))
+                     .alias("l"))
         alts = F.transform("l", lambda x: x["a"])
         obj_form = F.to_json(F.struct(alts.alias(name), F.unix_timestamp(F.col("_h").cast("timestamp"))
                                       .alias("realtimeDataUpdatedAt")))
@@ -445,6 +486,7 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         boards.append(g.select(F.concat(F.lit(name[0]), F.col("stop_id"), F.lit("@"),
                                         F.date_format("_h", "yyyyMMddHH")).alias("response_key"),
                                F.lit(name).alias("type"), d.alias("doc")))
+    stops_s = sp.select("stop_id", _fptf_stop(F.struct(*sp.columns)).alias("stop"))
     lg = sp.join(stops_s, "stop_id").groupBy(F.coalesce("parent_station", "stop_id").alias("p")).agg(
         F.array_sort(F.collect_list(F.struct("stop_id", "stop"))).alias("l"))
     locs = lg.select(F.concat(F.lit("l"), F.col("p")).alias("response_key"), F.lit("locations").alias("type"),

@@ -138,8 +138,8 @@ def _parsed(docs: DataFrame, keep: list[str], t: Column, d: Column) -> DataFrame
     return docs.select(*keep, *[F.when(c, F.from_json(d, ENVELOPES[e])).alias(n) for n, (e, c) in wanted.items()])
 
 
-def _sources(x: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per sample source: ``keep``, ``_st`` (realtime stamp) and ``_o``."""
+def _source_array() -> Column:
+    """All sample sources of a parsed document."""
     yes, no = F.lit(True), F.lit(False)
     none = F.array().cast(f"array<{_SHAPE}>")
     mv = F.transform("_rd.movements", lambda m: _source("mv", m, m["nextStopovers"]))
@@ -151,8 +151,13 @@ def _sources(x: DataFrame, keep: list[str]) -> DataFrame:
     out = none
     for name, value in reversed(by):
         out = F.when(F.col(name).isNotNull(), value).otherwise(out)
+    return F.coalesce(out, none)
+
+
+def _sources(x: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per sample source: ``keep``, ``_st`` (realtime stamp) and ``_o``."""
     st = F.coalesce(*[data_time(F.col(n)) for n in ("_dep", "_arr", "_trip", "_jr", "_rj", "_rd")])
-    return x.select(*keep, st.alias("_st"), F.explode(F.coalesce(out, none)).alias("_o"))
+    return x.select(*keep, st.alias("_st"), F.explode(_source_array()).alias("_o"))
 
 
 # --- items: own events and stopovers in one shape --------------------------------------
@@ -230,10 +235,33 @@ def stations_of(stops: Column) -> Column:
     return F.flatten(F.transform(F.coalesce(stops, F.array().cast("array<string>")), one))
 
 
+def _source_stops(o: Column) -> Column:
+    """The raw stops that the items of a sample source name (``stations`` of ``_items``)."""
+    none = F.array().cast("array<string>")
+    trip = F.when(o["kind"] == "trip", F.array(o["t"]["origin"], o["t"]["destination"])).otherwise(none)
+    alt = F.when(o["kind"] == "alt", F.array(o["a"]["stop"], o["a"]["destination"], o["a"]["origin"], o["fb"])).otherwise(none)
+    along = F.transform(F.coalesce(o["sos"], F.array().cast(f"array<{STOPOVER}>")), lambda so: F.concat(
+        F.when(_truthy(so["plannedDeparture"]), F.array(so["stop"], o["prov"])).otherwise(none),
+        F.when(_truthy(so["plannedArrival"]), F.array(so["stop"], o["dest"])).otherwise(none)))
+    return F.concat(trip, alt, F.flatten(along))
+
+
+def fptf_stops(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:
+    """P3 + P11: ``stops``, the different raw stops that a document names (its samples, or a ``locations`` document); row-local."""
+    keep = [c for c in docs.columns if c != doc_col]
+    t, d = F.col(type_col), F.col(doc_col)
+    named = F.flatten(F.transform(_source_array(), _source_stops))
+    samples = _parsed(docs, keep, t, d).select(*keep, F.array_distinct(named).alias("stops"))
+    locs = docs.where(t == "locations").select(*keep, F.array_distinct(F.from_json(d, ENVELOPES["locations"])).alias("stops"))
+    return samples.where(F.size("stops") > 0).unionByName(locs)
+
+
 def fptf_stations(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:
-    """P3 + P11: stations seen per response (from samples and ``locations`` documents)."""
+    """P3 + P11: stations seen per response (from samples and ``locations`` documents), each once.
+
+    What is dealt out by response are a document's different raw stops in one row; they become station rows behind that, where
+    making them distinct needs no further shuffle.
+    """
     keep = [c for c in docs.columns if c != doc_col]
-    samples = fptf_samples(docs, type_col, doc_col).select(*keep, F.inline(stations_of(F.col("stations"))))
-    locs = docs.where(F.col(type_col) == "locations").select(
-        *keep, F.from_json(F.col(doc_col), ENVELOPES["locations"]).alias("_stops"))
-    return samples.unionByName(locs.select(*keep, F.inline(stations_of(F.col("_stops")))))
+    stops = fptf_stops(docs, type_col, doc_col).repartition(*keep)
+    return stops.select(*keep, F.inline(F.array_distinct(stations_of(F.col("stops"))))).distinct()
