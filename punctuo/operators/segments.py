@@ -11,7 +11,8 @@ side and the starts are found by pointer jumping:
 3. next-start pointers are squared; from the first file on, jumps by falling powers of two mark all starts;
 4. a start covers the files up to the next one; files meet their batch by blocks of numbers.
 
-Every step is an equi-join of narrow rows; their number is logarithmic in the files. Files without sample times belong to
+Every step is an equi-join of narrow rows; their number is logarithmic in the files. Both sides are as long as the listing, so
+all are merge joins: a table of a few MB would else be collected by the driver and broadcast, once for each step. Files without sample times belong to
 the batch they lie in and neither start the clock nor end it: a batch counts from its first file with a time.
 """
 
@@ -32,7 +33,7 @@ def next_starts(files: DataFrame, n: int, days: int) -> DataFrame:
     tables, width = [level], 1
     while 2 * width <= n:
         other = level.select((F.col("nr") - width).alias("nr"), F.col("m").alias("m2"))
-        level = level.join(other, "nr", "left").select("nr", F.greatest("m", "m2").alias("m")).checkpoint()
+        level = level.join(other.hint("merge"), "nr", "left").select("nr", F.greatest("m", "m2").alias("m")).checkpoint()
         tables.append(level)
         width *= 2
     limit = F.col("first") + F.make_dt_interval(F.lit(days))
@@ -40,7 +41,7 @@ def next_starts(files: DataFrame, n: int, days: int) -> DataFrame:
     for k in reversed(range(len(tables))):  # greatest last time of 2 ** k files
         table = tables[k].select(F.col("nr").alias("at"), "m")
         skip = F.coalesce(F.col("m") <= F.col("limit"), F.lit(False))
-        state = state.join(table, "at", "left").select("nr", "limit", F.when(skip, F.col("at") + (1 << k)).otherwise(F.col("at")).alias("at"))
+        state = state.join(table.hint("merge"), "at", "left").select("nr", "limit", F.when(skip, F.col("at") + (1 << k)).otherwise(F.col("at")).alias("at"))
         state = state.checkpoint()
     return state.select("nr", F.least(F.col("at") + 1, F.lit(n + 1)).alias("next"))
 
@@ -50,11 +51,11 @@ def starts(pointers: DataFrame, n: int) -> DataFrame:
     jumps = [pointers.checkpoint()]
     while jumps[-1].where("nr = 1").first()["next"] <= n:
         there = jumps[-1].select(F.col("nr").alias("next"), F.col("next").alias("then"))
-        jumps.append(jumps[-1].join(there, "next", "left").select("nr", F.coalesce("then", F.lit(n + 1)).alias("next")).checkpoint())
+        jumps.append(jumps[-1].join(there.hint("merge"), "next", "left").select("nr", F.coalesce("then", F.lit(n + 1)).alias("next")).checkpoint())
     found = jumps[0].where("nr = 1").select("nr")
     for jump in reversed(jumps):
-        found = found.union(found.join(jump, "nr").select(F.col("next").alias("nr")).where(F.col("nr") <= n)).distinct().checkpoint()
-    return found.join(jumps[0], "nr")
+        found = found.union(found.join(jump.hint("merge"), "nr").select(F.col("next").alias("nr")).where(F.col("nr") <= n)).distinct().checkpoint()
+    return found.join(jumps[0].hint("merge"), "nr")
 
 
 def greedy_batches(files: DataFrame, days: int = BATCH_DAYS) -> DataFrame:
@@ -69,10 +70,10 @@ def greedy_batches(files: DataFrame, days: int = BATCH_DAYS) -> DataFrame:
         "nr", "next", (F.col("_nr") - 1).cast("int").alias("batch"))
     # a start's files: from its own number (the first batch: from the first file) up to that of the next start
     at = timed.select("nr", "_all")
-    spans = (found.join(at, "nr").join(at.select(F.col("nr").alias("next"), F.col("_all").alias("_end")), "next", "left")
+    spans = (found.join(at.hint("merge"), "nr").join(at.select(F.col("nr").alias("next"), F.col("_all").alias("_end")).hint("merge"), "next", "left")
              .select("batch", F.when(F.col("nr") == 1, 1).otherwise(F.col("_all")).alias("_from"),
                      F.coalesce("_end", F.lit(every.count() + 1)).alias("_end")))
     block = lambda c: F.floor(c / COVER)
     spans = spans.select("*", F.explode(F.sequence(block(F.col("_from")), block(F.col("_end") - 1))).alias("_block"))
     inside = (block(F.col("_all")) == F.col("_block")) & (F.col("_all") >= F.col("_from")) & (F.col("_all") < F.col("_end"))
-    return every.join(spans, inside).select(*files.columns, "batch")
+    return every.join(spans.hint("merge"), inside).select(*files.columns, "batch")
