@@ -286,8 +286,8 @@ def write_timetables(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.col("k") == 1, F.concat(F.lit("M"), F.col("trip_short_name"))).otherwise(F.col("trip_short_name")).alias("trip_short_name"))
     tables = {"stop_times": st, "trips": tr, "routes": routes(spark, sf_dir).join(F.broadcast(v.drop("k"))),
               "agency": agency(spark, sf_dir).join(F.broadcast(v.drop("k")))}
-    for name, df in tables.items():
-        df.repartition("gtfs_version").write.partitionBy("gtfs_version").parquet(f"{path}/{name}")
+    for name, df in tables.items():  # each task writes a file for each version; dealt out by version, three tasks would write all
+        df.write.partitionBy("gtfs_version").parquet(f"{path}/{name}")
 
 
 def write_gtfs_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
