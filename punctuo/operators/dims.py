@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
+#: Keys of a dictionary that is sent to all executors, some MB at most.
+BROADCAST_KEYS = 50_000
+
 
 def zip_rows(df: DataFrame, arrays: list[str], names: list[str] | None = None) -> DataFrame:
     """Parallel arrays -> one row per index (``UNNEST(a, b, ...)``)."""
@@ -63,10 +66,11 @@ def assign_all(stored: DataFrame, values: DataFrame, columns: dict[str, str], na
     """D3 for several dimensions in one pass: (new ``stored``, ``values`` with an id column for each natural key).
 
     ``stored`` holds all dimensions, ``dim, id, key, name``. ``columns`` says which column of ``values`` has a dimension's
-    keys, ``names`` which has their names. The columns are unpivoted to (dim, key) and grouped at once, combined
-    before the shuffle; keys not stored yet get the ids behind their dimension's greatest, in key order, by one numbering for
-    all dimensions. The written dictionary then replaces each column by ``<dim>_id`` (equi-joins that AQE broadcasts by
-    their runtime size); NULL stays NULL. Without ``auto_ids`` (the job gives ids itself) both stay as they are.
+    keys, ``names`` which has their names. The columns are unpivoted to (dim, key, name) and made distinct in hash maps before
+    the shuffle (a minimum of texts alone would sort every row); keys not stored yet get the ids behind their dimension's
+    greatest, in key order, by one numbering for all dimensions. The written dictionary then replaces each column by
+    ``<dim>_id``: broadcast where it has at most ``BROADCAST_KEYS`` keys, so that ``values`` isn't dealt out by columns of
+    few values, else by equi-joins; NULL stays NULL. Without ``auto_ids`` (the job gives ids itself) both stay as they are.
     """
     if not auto_ids:
         return stored, values
@@ -74,7 +78,8 @@ def assign_all(stored: DataFrame, values: DataFrame, columns: dict[str, str], na
     null = F.lit(None).cast("string")
     each = F.array(*[F.struct(F.lit(dim).alias("dim"), F.col(c).cast("string").alias("key"),
                               (F.col(names[dim]).cast("string") if dim in names else null).alias("name")) for dim, c in columns.items()])
-    seen = (values.select(F.inline(F.filter(each, lambda x: x["key"].isNotNull()))).groupBy("dim", "key").agg(F.min("name").alias("name")))
+    seen = (values.select(F.inline(F.filter(each, lambda x: x["key"].isNotNull()))).distinct()
+            .groupBy("dim", "key").agg(F.min("name").alias("name")))
     missing = seen.join(stored.select("dim", "key"), ["dim", "key"], "left_anti")
     nr = numbered(missing.withColumn("_order", F.concat_ws("\u0001", "dim", "key")), "_order").drop("_order")
     # a row for each dimension: the number before its first new key, and its greatest stored id
@@ -85,10 +90,10 @@ def assign_all(stored: DataFrame, values: DataFrame, columns: dict[str, str], na
                    "key", "name"))
     ensure_checkpoint_dir(values.sparkSession)
     every = stored.select("dim", "id", "key", "name").unionByName(new).checkpoint()
-    out = values
+    out, few = values, every.count() <= BROADCAST_KEYS
     for dim, c in columns.items():
         of = every.where(F.col("dim") == dim).select(F.col("key").alias("_key"), F.col("id").alias(f"{dim}_id"))
-        out = out.join(of, F.col(c).cast("string") == F.col("_key"), "left").drop("_key", c, *([names[dim]] if dim in names else []))
+        out = out.join(F.broadcast(of) if few else of, F.col(c).cast("string") == F.col("_key"), "left").drop("_key", c, *([names[dim]] if dim in names else []))
     return every, out
 
 
