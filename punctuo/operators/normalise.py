@@ -140,17 +140,21 @@ def load_counters(norm: DataFrame, stored_log: DataFrame, content: list[str]) ->
     """Per response, relevant samples that are ``duplicates``, ``skipped`` (their response is stored already) or ``persisted``.
 
     A sample is a duplicate of an earlier one (by response, then sample id) with the same MD5 of its ``content``; a
-    response whose hash the log has is skipped with all that is left of it.
+    response whose hash the log has is skipped with all that is left of it. Samples are dealt out once, by the MD5's bytes,
+    and counted by response and hash; the log meets the counts, not the samples.
     """
-    rel = relevant(norm).withColumn("_md5", F.md5(F.to_json(F.struct(*content), {"ignoreNullFields": "false"})))
+    rel = relevant(norm).select("response_id", "sample_id", "hash", F.unhex(F.md5(F.to_json(
+        F.struct(*content), {"ignoreNullFields": "false"}))).alias("_md5"))
     w = Window.partitionBy("_md5").orderBy("response_id", "sample_id")
     again = F.row_number().over(w) > 1
     known = stored_log.select(F.col("hash").alias("_hash")).distinct()
-    rel = rel.withColumn("_again", again).join(known, F.col("hash") == F.col("_hash"), "left")
-    stored = F.col("_hash").isNotNull()
-    return rel.groupBy("response_id").agg(
-        F.count(F.lit(1)).alias("relevant_samples"), F.count_if(F.col("_again")).alias("duplicates"),
-        F.count_if(~F.col("_again") & stored).alias("skipped"), F.count_if(~F.col("_again") & ~stored).alias("persisted"))
+    per = rel.withColumn("_again", again).groupBy("response_id", "hash").agg(
+        F.count(F.lit(1)).alias("_all"), F.count_if(F.col("_again")).alias("_twice"))
+    per = per.join(known, F.col("hash") == F.col("_hash"), "left")
+    rest, stored = F.col("_all") - F.col("_twice"), F.col("_hash").isNotNull()
+    return per.groupBy("response_id").agg(
+        F.sum("_all").alias("relevant_samples"), F.sum("_twice").alias("duplicates"),
+        F.sum(F.when(stored, rest).otherwise(0)).alias("skipped"), F.sum(F.when(stored, 0).otherwise(rest)).alias("persisted"))
 
 
 def rt_count_check(responses: DataFrame, norm: DataFrame) -> DataFrame:
