@@ -253,7 +253,7 @@ def fptf_stops(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") ->
     named = F.flatten(F.transform(_source_array(), _source_stops))
     samples = _parsed(docs, keep, t, d).select(*keep, F.array_distinct(named).alias("stops"))
     locs = docs.where(t == "locations").select(*keep, F.array_distinct(F.from_json(d, ENVELOPES["locations"])).alias("stops"))
-    return samples.where(F.size("stops") > 0).unionByName(locs)
+    return samples.unionByName(locs)  # no filter on the array: Spark would copy all of its making, the parsing too, into it
 
 
 def fptf_stations(docs: DataFrame, type_col: str = "type", doc_col: str = "doc") -> DataFrame:

@@ -74,7 +74,8 @@ def ingest_fptf(spark: SparkSession, docs: DataFrame, state: str, profile: Profi
     def add(name: str, rows: DataFrame) -> None:
         tables[name] = [*base["tables"].get(name, []), sinks.write_part(rows, state, name)]
 
-    stops = P.fptf_stops(docs.select("type", "doc")).select(F.explode("stops").alias("stop")).distinct()  # each is parsed once
+    # each stop is parsed once; outer: for an inner one Spark infers a filter on the array's size, and copies the parsing into it
+    stops = P.fptf_stops(docs.select("type", "doc")).select(F.explode_outer("stops").alias("stop")).where("stop IS NOT NULL").distinct()
     stations = stops.select(F.inline(P.stations_of(F.array("stop")))).select(*[c.split()[0] for c in STATIONS.split(", ")])
     first = D.first_per_key(stations, "station_id", [F.col("parent").isNull(), F.col("details")])
     tables["station"] = [sinks.write_part(D.upsert(table(spark, state, "station", STATIONS, base), first, "station_id", ["details"],
