@@ -458,34 +458,39 @@ def fptf_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         c.alias("x"), F.when(c["stop_sequence"] % 3 == 2, F.get(F.col("c"), i - 1)).alias("before"),
         F.when(c["stop_sequence"] % 3 == 1, F.get(F.col("c"), i + 1)).alias("behind")))
     ev = trip_calls.select("l_orderkey", "n", F.explode(shown).alias("e"))
+    # a call is dealt out once for both boards of its stop and hour, twice only where it arrives and leaves in different hours
+    forms = {"departures": ("departure_s", 1), "arrivals": ("arrival_s", 2)}
+    at = lambda x, k, field: F.timestamp_add("SECOND", x[field].cast("int"), _trip_day(k))
+    dep, arr = [F.date_trunc("hour", at(F.col("e.x"), kk, field)) for field, _ in forms.values()]
+    hour = lambda h, of: F.struct(h.alias("_h"), F.lit(of).alias("of"))
+    hours = F.when(dep.eqNullSafe(arr), F.array(hour(dep, 3))).otherwise(F.array(hour(dep, 1), hour(arr, 2)))
+    b = ev.select("l_orderkey", "n", "e", F.explode_outer(hours).alias("w")).select(
+        F.col("e.x.p.stop_id").alias("stop_id"), "w._h", F.struct(kk.alias("k"), "n", "w.of", "e").alias("b"))
+    g = b.groupBy("stop_id", "_h").agg(F.collect_list("b").alias("l"), F.bit_or("b.of").alias("of"))
     boards = []
-    for is_dep, name in ((True, "departures"), (False, "arrivals")):
-        t_col = F.timestamp_add("SECOND", F.col("e.x.departure_s" if is_dep else "e.x.arrival_s").cast("int"), _trip_day(kk))
-        b = ev.select(F.col("e.x.p.stop_id").alias("stop_id"), F.date_trunc("hour", t_col).alias("_h"),
-                      F.struct(kk.alias("k"), "n", t_col.alias("at"), "e").alias("b"))
-
+    for name, (field, bit) in forms.items():
         def alt(b: Column) -> Column:
-            x, delay, day = b["e"]["x"], b["e"]["x"]["delay"], _trip_day(b["k"])
+            x, delay, day, t = b["e"]["x"], b["e"]["x"]["delay"], _trip_day(b["k"]), at(b["e"]["x"], b["k"], field)
             third = lambda r: x["stop_sequence"] % 3 == r
             over = lambda c: F.when(c.isNotNull(), F.array(_fptf_stopover(c, day)))
             return F.struct(
                 _s(b["k"]).alias("tripId"), _fptf_stop(x["p"]).alias("stop"), _fptf_line(b["n"]).alias("line"),
-                F.when(third(0), _iso(F.timestamp_add("SECOND", F.coalesce(delay, F.lit(0)), b["at"]))).alias("when"),
-                _iso(b["at"]).alias("plannedWhen"), F.when(third(0), delay).alias("delay"),
+                F.when(third(0), _iso(F.timestamp_add("SECOND", F.coalesce(delay, F.lit(0)), t))).alias("when"),
+                _iso(t).alias("plannedWhen"), F.when(third(0), delay).alias("delay"),
                 F.lit(False).alias("cancelled"), F.when(x["stop_sequence"] % 5 == 0, F.lit("full")).alias("loadFactor"),
                 over(b["e"]["before"]).alias("previousStopovers"), over(b["e"]["behind"]).alias("nextStopovers"))
 
-        g = b.groupBy("stop_id", "_h").agg(F.collect_list("b").alias("l"))
-        g = g.select("stop_id", "_h", F.array_sort(F.transform("l", lambda b: F.struct(_s(b["k"]).alias("trip_id"), alt(b).alias("a"))))
-                     .alias("l"))
+        own = F.filter("l", lambda b: b["of"].bitwiseAND(F.lit(bit)) != 0)
+        d = g.where(F.col("of").bitwiseAND(F.lit(bit)) != 0).select("stop_id", "_h", F.array_sort(
+            F.transform(own, lambda b: F.struct(_s(b["k"]).alias("trip_id"), alt(b).alias("a")))).alias("l"))
         alts = F.transform("l", lambda x: x["a"])
         obj_form = F.to_json(F.struct(alts.alias(name), F.unix_timestamp(F.col("_h").cast("timestamp"))
                                       .alias("realtimeDataUpdatedAt")))
         arr_form = F.to_json(alts)
-        d = F.when(F.col("stop_id").cast("int") % 2 == 0, obj_form).otherwise(arr_form)
-        boards.append(g.select(F.concat(F.lit(name[0]), F.col("stop_id"), F.lit("@"),
+        doc = F.when(F.col("stop_id").cast("int") % 2 == 0, obj_form).otherwise(arr_form)
+        boards.append(d.select(F.concat(F.lit(name[0]), F.col("stop_id"), F.lit("@"),
                                         F.date_format("_h", "yyyyMMddHH")).alias("response_key"),
-                               F.lit(name).alias("type"), d.alias("doc")))
+                               F.lit(name).alias("type"), doc.alias("doc")))
     stops_s = sp.select("stop_id", _fptf_stop(F.struct(*sp.columns)).alias("stop"))
     lg = sp.join(stops_s, "stop_id").groupBy(F.coalesce("parent_station", "stop_id").alias("p")).agg(
         F.array_sort(F.collect_list(F.struct("stop_id", "stop"))).alias("l"))

@@ -4,6 +4,7 @@ import contextlib
 import datetime as dt
 import glob
 import io
+import re
 
 from pyspark.sql import functions as F
 
@@ -77,6 +78,35 @@ def test_only_narrow_calls_are_dealt_out_for_documents(spark):
     assert kept == ["stop_sequence", "arrival_s", "departure_s", "delay", "p"]
 
 
+def test_boards_deal_a_call_out_once(spark, tmp_path):
+    d = str(tmp_path)
+    tables = {"lineitem": ([(0, 1, 2, 5), (0, 6, 3, 7), (0, 2, 2, 9)], "l_orderkey long, l_linenumber int, l_suppkey long, l_partkey long"),
+              "orders": ([(0, 7)], "o_orderkey long, o_custkey long"), "part": ([(7,)], "p_partkey long"),
+              "supplier": ([(2, "A"), (3, "B")], "s_suppkey long, s_name string"), "nation": ([(7, "N")], "n_nationkey long, n_name string")}
+    for name, (rows, kind) in tables.items():
+        spark.createDataFrame(rows, kind).write.parquet(f"{d}/{name}.parquet")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        df = fx.fptf_documents(spark, d).where("type in ('departures', 'arrivals')")
+        text = plan(df)
+    assert text.count("+- Exchange hashpartitioning(stop_id") == 1 and len(re.findall(r"ReusedExchange \[stop_id#\d+, _h", text)) == 1
+    # the call at stop 3 arrives at 05:59 and leaves at 06:00; stop 2's at 05:10 and 05:20 (trips leave at 18000 s and 600 s a line)
+    got = {r.response_key: r.doc for r in df.collect()}
+    assert sorted(got) == ["a2@2024010105", "a3@2024010105", "d2@2024010105", "d3@2024010106"]
+    assert got["d2@2024010105"].count('"tripId"') == got["a2@2024010105"].count('"tripId"') == 2
+    assert '"plannedWhen":"2024-01-01T05:59:00Z"' in got["a3@2024010105"] and '"plannedWhen":"2024-01-01T06:00:00Z"' in got["d3@2024010106"]
+
+
+def test_queries_on_documents_have_more_partitions(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(session, "PARTITION_INPUT_BYTES", 100)
+    n = {}
+    for query in ("final_delay", "fptf_samples"):
+        with settings(spark, **{ADVISORY: "64MB", SCAN: "128MB", PARTITIONS: "4"}):
+            session.size_tasks(spark, str(tmp_path), query)
+            n[query] = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 4 * n["final_delay"] - 4 < n["fptf_samples"] <= 4 * n["final_delay"]
+
+
 def test_stations_of_a_response_come_once(spark):
     stop = '{"type":"stop","id":"1","name":"A","station":{"type":"station","id":"9","name":"B"}}'
     entry_ = f'{{"tripId":"t","stop":{stop},"plannedWhen":"2024-01-01T00:00:00Z"}}'
