@@ -31,8 +31,8 @@ from .packing import Known
 
 SPACE = "▁"
 NODES = 600_000
-#: White-space words whose counts a worker remembers.
-WORDS = 600_000
+#: Bytes of the white-space words whose counts a worker remembers.
+WORDS = 160_000_000
 LONG = 200
 #: Pieces of a vocabulary that is broadcast, at most (about 20 MB).
 PIECES = 200_000

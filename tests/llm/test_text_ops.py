@@ -1,7 +1,9 @@
 """Operators on documents against brute force, over awkward rows."""
 
 from collections import Counter
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F_
@@ -76,6 +78,18 @@ def test_suffix_dedup_ties_and_empty(spark):
 
 # ---------------------------------------------------------------- 4
 
+def test_token_counts_remember_words(monkeypatch):
+    made, terminal = [], token_counts.SharedTrie.terminal
+    monkeypatch.setattr(token_counts.SharedTrie, "terminal", lambda self, w: made.append(w) or terminal(self, w))
+    words = [f"{i:x}" for i in range(20_000)]
+    texts = [" ".join(words[at:at + 1000]) for at in range(0, 20_000, 1000)] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["id", "text"])
+    run = token_counts._counts(SimpleNamespace(value={"vocabulary": ({c: -1.0 for c in "0123456789abcdef"}, [-4.0] * 256)}))
+    got = pa.Table.from_batches(run(iter([batch]))).to_pylist()
+    assert len(made) == len(set(made)) == 20_000
+    assert [x["n_tokens"] for x in got] == [sum(len(w) + 3 for w in t.split()) for t in texts]  # the mark is three bytes
+
+
 def test_token_counts(spark):
     import public_tokenizers
     path = public_tokenizers.path("piece_bpe_32k.model")
