@@ -41,9 +41,9 @@ FAR = 1 << 32  # a chunk's number: its first line times this, plus its lines
 
 
 def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``id, mark`` (text digest) and ``lines``."""
+    """``id, mark`` (text digest), ``text`` and its ``lines``."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return rows.select("id", F.unhex(F.md5("text")).alias("mark"), F.split("text", "\n", -1).alias("lines"))
+    return rows.select("id", F.unhex(F.md5("text")).alias("mark"), "text", F.split("text", "\n", -1).alias("lines"))
 
 
 def bounds(inside: Column, n: Column) -> Column:
@@ -132,8 +132,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: ``doc_id, n_lines, n_removed`` (lines), ``n_chunks, n_removed_chunks`` (multi-line), ``kept_text``."""
     texts = texts_of(docs, id_col, text_col)
     h, lines = F.col("h"), F.col("lines")
-    hashed = texts.select("id", "mark", "lines", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
+    hashed = texts.select("id", "mark", "text", "lines", F.transform("lines", lambda x: F.xxhash64(x)).alias("h"))
     numbers = F.array_distinct(F.concat(same_lines(h), pairs_where(h, fine, True), *[coarse(h, *c) for c in coarser]))
+    counted = hashed.select("id", "mark", "text", F.size(numbers).cast("long").alias("n_chunks"))
     hashed = hashed.select("id", "mark", "lines", numbers.alias("numbers"), pairs_where(h, fine, False).alias("others"))
     rows = hashed.select("id", "mark", F.explode(F.concat(
         F.transform(digested(lines, F.col("numbers")), lambda x: x.withField("chunk", F.lit(True))),
@@ -143,13 +144,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     looked = found.withColumn("chunk", F.lit(True)).unionByName(written(grown(each, found), "line-grown").withColumn("chunk", F.lit(False)))
     kind = "struct<number:bigint,digest:binary,first:boolean,chunk:boolean>"
     while True:
-        rows = each.filter("chunk").select("id", "mark", "number", F.lit(None).cast(kind).alias("hit")).union(
-            looked.select("id", "mark", F.lit(None).cast("long"), F.struct("number", "digest", "first", "chunk")))
-        of = rows.groupBy(F.col("id").alias("id_"), F.col("mark").alias("mark_")).agg(
-            F.size(F.collect_set("number")).cast("long").alias("n_chunks"), F.sort_array(F.collect_list("hit")).alias("again"))
-        whole = written(texts.join(of, same("mark"), "left").select(
-            "id", "lines", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"),
-            F.coalesce("again", F.array().cast(f"array<{kind}>")).alias("again")), "line-texts")
+        # only repeats and texts (shorter than their lines) are dealt out; how many chunks a text has, its own row says
+        of = looked.groupBy(F.col("id").alias("id_"), F.col("mark").alias("mark_")).agg(
+            F.sort_array(F.collect_list(F.struct("number", "digest", "first", "chunk"))).alias("again"))
+        whole = written(counted.join(of, same("mark"), "left").select(
+            "id", F.split("text", "\n", -1).alias("lines"), "n_chunks", F.coalesce("again", F.array().cast(f"array<{kind}>")).alias("again")), "line-texts")
         seen = whole.filter(F.size("again") > 0).select(F.explode(F.transform("again", lambda a: F.struct(
             a["digest"].alias("digest"), content(lines, a["number"]).alias("text")))).alias("c")).select("c.*").distinct()
         mixed = written(seen.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "line-mixed")

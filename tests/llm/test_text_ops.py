@@ -384,6 +384,16 @@ def line_brute(docs):
     return out
 
 
+def test_line_dedup_deals_out_repeats_only(spark, monkeypatch):
+    read, write = {}, line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", lambda df, name: read.setdefault(name, df.inputFiles()) and None or write(df, name))
+    docs = [(1, "a\nb\nc\nd"), (2, "a\nb\nc\nd"), (2, "a\nb\nc\nd"), (3, "x\ny\nz"), (4, None)]
+    got = {r.doc_id: r for r in line_dedup.line_dedup(cases.frame(spark, docs)).collect()}
+    assert not any("line-chunks" in f for f in read["line-texts"])
+    assert (got[1].n_removed, got[2].n_removed, got[3].n_removed, got[4].n_removed) == (0, 4, 0, 0)
+    assert got[1].n_chunks == got[2].n_chunks > 0 and got[4].n_chunks == 0
+
+
 def test_line_dedup(spark):
     shared = "\n".join(f"license line {i} of the notice" for i in range(30))
     docs = DOCS + [(500 + i, f"own {i}\n" * (i + 1) + shared + f"\ntail {i}") for i in range(8)]
