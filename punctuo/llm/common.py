@@ -20,10 +20,13 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: cuts lineage, survives lost executors."""
+    """``df`` written as Parquet to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The schema is known, so no job looks for it in the files.
+    """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(spark: SparkSession) -> int:

@@ -43,7 +43,7 @@ FANOUT = 16
 GROUP = 4096
 NODES = 65_536
 ROW = 1024
-#: Links in a file of the components' rounds, about.
+#: Links in a file of the components' rounds, about, and of those that a task looks at together.
 LINKS = 50_000
 
 
@@ -232,8 +232,8 @@ def links(fps: DataFrame, bits: int = BITS, group: int = GROUP, nodes: int = NOD
             .select("group", F.lit(0).alias("kind"), F.transform("held", lambda x: x["fp"]).alias("fps")))
     rows = written(rows, "simhash-groups")
     both = rows.select("group", F.explode("fps").alias("fp")).groupBy("group").agg(F.bit_and("fp").alias("o"), F.bit_or("fp").alias("a"))
-    top = both.orderBy("group").toPandas()  # about ``nodes`` rows at most
-    shared = spark.sparkContext.broadcast(tuple(top[c].to_numpy(np.int64).view(np.uint64) for c in ("o", "a")))
+    top = both.orderBy("group").toArrow()  # about ``nodes`` rows at most
+    shared = spark.sparkContext.broadcast(tuple(top[c].to_numpy().view(np.uint64) for c in ("o", "a")))
     kind = "`group` long, kind int, fps array<long>"
     sent = rows.select("group", "fps").mapInArrow(_routed(shared, bits), kind)
     return (rows.unionByName(sent).repartition(spread(spark), "group").sortWithinPartitions("group", "kind")
@@ -242,11 +242,33 @@ def links(fps: DataFrame, bits: int = BITS, group: int = GROUP, nodes: int = NOD
 
 # ---------------------------------------------------------------- components
 
+def _starred(most: int):
+    """Links to fewer that connect the same: of about ``most`` at a time, each node's to the smallest that they connect it with."""
+    def stars(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        a, b = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in ("a", "b"))
+        nodes, at = np.unique(np.r_[a, b], return_inverse=True)
+        low = smallest_linked(len(nodes), at[:len(a)], at[len(a):])
+        far = low != np.arange(len(nodes))
+        return pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(nodes[low[far]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= most:
+                yield stars(held)
+                held = []
+        if held:
+            yield stars(held)
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``a`` and the smallest ``b`` it is connected with, for every node that isn't itself the smallest.
 
     Large-star and small-star in turn until nothing changes; each round is a grouped minimum (combined
-    before the shuffle) and a join that AQE splits where a node has many links.
+    before the shuffle) and a join that AQE splits where a node has many links. Before a round's links are written, those
+    in a file connect their nodes with the smallest, so that few links take few rounds (each has some ten shuffles to plan).
     """
     def star(e: DataFrame, small: bool) -> DataFrame:
         both = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")) if small else \
@@ -259,12 +281,15 @@ def components(edges: DataFrame) -> DataFrame:
             out = moved.filter("b > a").select(F.col("b").alias("a"), "m")
         return out.filter("a != m").select("a", F.col("m").alias("b")).distinct()
 
-    state = written(edges.filter("a != b").select("a", "b").distinct(), "links")
-    told, files = None, spread(edges.sparkSession)
+    def kept(links: DataFrame) -> tuple[DataFrame, tuple]:
+        links = written(links.mapInArrow(_starred(LINKS), "a long, b long"), "links")
+        return links, tuple(links.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+    files = spread(edges.sparkSession)
+    state, told = kept(edges.filter("a != b").select("a", "b").distinct())
     while True:  # few links, few files: the links of a round are no more than twice those before
-        state = written(star(star(state, False), True).coalesce(files), "links")
-        now = tuple(state.select(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        files = max(1, min(files, 2 * now[0] // LINKS))
+        files = max(1, min(files, 2 * told[0] // LINKS))
+        state, now = kept(star(star(state, False), True).coalesce(files))
         if now == told:
             return state
         told = now

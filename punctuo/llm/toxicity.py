@@ -86,7 +86,9 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, bits: int = HASH_BITS, epochs
         share = toxic.mean() if len(rows) else 0.5
         return np.zeros(size, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     ratio = log_count_ratios(rows, toxic, size)
-    scale = [(ratio[x] / np.sqrt(max(len(x), 1))).astype(np.float32) for x in rows]
+    scale = np.split(np.empty(sum(map(len, rows)), np.float32), np.cumsum([len(x) for x in rows])[:-1])  # one array: it is given back whole
+    for own, x in zip(scale, rows):
+        own[:] = ratio[x] / np.sqrt(max(len(x), 1))
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean())) / len(rows)
 
     def margins(w: np.ndarray, b: float) -> np.ndarray:
@@ -159,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .select("y", "o", F.col("t.text").alias("text")))
     got = texts.mapInArrow(_collectable("text", bits, PLACES), "y int, o long, places binary").toArrow()
     order = np.argsort(got["o"].to_numpy(), kind="stable")
-    places = [np.frombuffer(x.as_py(), np.int32) for x in got["places"]]
+    places = [np.frombuffer(x.as_buffer(), np.int32) for x in got["places"]]  # views: the driver holds what was sent once
     y = got["y"].to_numpy()
     return *fit([places[i] for i in order], y[order], bits), len(np.unique(y)) == 2
 

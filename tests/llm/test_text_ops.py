@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F_
 
-from punctuo.llm import decontaminate, exact_dedup, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity
+from punctuo.llm import common, decontaminate, exact_dedup, line_dedup, packing, simhash, suffix_dedup, token_counts, toxicity
 
 from . import cases
 
@@ -325,6 +325,31 @@ def test_gray_index_and_groups(spark):
         assert len(of) == len(set(low.tolist()))
 
 
+def test_components_of_few_links_take_few_rounds(spark, monkeypatch):
+    import numpy as np
+    written = []
+    monkeypatch.setattr(simhash, "written", lambda df, name: written.append(name) or common.written(df, name))
+    order = np.random.default_rng(3).permutation(300).tolist()
+    rows = [*zip(order[:199], order[1:200]), *zip(order[200:299], order[201:300]), (order[5], order[0]), (order[7], order[7])]  # two chains
+    edges = spark.createDataFrame(rows, "a long, b long").repartition(3)
+    low = {x: min(part) for part in (order[:200], order[200:]) for x in part}
+    want = sorted((x, m) for x, m in low.items() if x != m)
+    assert sorted((r.a, r.b) for r in simhash.components(edges).collect()) == want
+    assert len(written) <= 3
+    monkeypatch.setattr(simhash, "LINKS", 40)  # links in several files, and looked at a few at a time
+    assert sorted((r.a, r.b) for r in simhash.components(edges).collect()) == want
+    assert simhash.components(edges.limit(0)).collect() == []
+
+
+def test_written_tables_are_read_without_a_job(spark):
+    spark.sparkContext.setJobGroup("written", "")
+    df = common.written(spark.range(5, numPartitions=1), "five")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("written")) == 1  # the writing
+    assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3, 4]
+    assert common.written(spark.range(5).limit(0), "none").columns == ["id"]
+
+
 def test_near_survivors(spark):
     rows = DOCS + cases.TIES
     df = cases.frame(spark, rows)
