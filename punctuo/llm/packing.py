@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,8 @@ SHARES = (1.0, 0.5, 0.1)
 #: Rows of one numbering group, about.
 GROUP_ROWS = 4096
 #: Bytes that a worker holds of white-space words, and of parts of words, with their ids; bytes of an entry without its letters.
-KNOWN_WORDS = 160_000_000
-KNOWN_PARTS = 80_000_000
+KNOWN_WORDS = 200_000_000
+KNOWN_PARTS = 100_000_000
 ENTRY = 200
 MARK = b"\xff" * 4
 
@@ -64,7 +65,7 @@ class Known(dict):
 
     def missing(self, keys: set[str]) -> list[str]:
         """Those that must be made; room is made and old ones are taken over."""
-        new = [k for k in keys if k not in self]
+        new = list(filterfalse(self.__contains__, keys))
         if not new:
             return new
         self.held += ENTRY * len(new) + 3 * sum(map(len, new))
@@ -73,8 +74,9 @@ class Known(dict):
             self.clear()
             self.held = ENTRY * len(new) + 3 * sum(map(len, new))
         if old := self.old:
-            self.update((k, old[k]) for k in new if k in old)
-            new = [k for k in new if k not in old]
+            again = list(filter(old.__contains__, new))
+            self.update(zip(again, map(old.__getitem__, again)))
+            new = list(filterfalse(old.__contains__, new))
         return new
 
 
@@ -135,9 +137,14 @@ class Encoder:
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self._whole(text)
         words = text.split()
-        if new := self.words.missing(set(words)):
-            self._learn(new)
-        return b"".join(map(self.words.__getitem__, words))
+        ids = list(map(self.words.get, words))
+        if None in ids:  # only what isn't at hand is looked up again
+            gaps = [i for i, x in enumerate(ids) if x is None]
+            if new := self.words.missing({words[i] for i in gaps}):
+                self._learn(new)
+            for i in gaps:
+                ids[i] = self.words[words[i]]
+        return b"".join(ids)
 
 
 def _pieces(shared, capacity: int, end_id: int):

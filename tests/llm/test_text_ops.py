@@ -210,6 +210,32 @@ def test_known_forgets_without_loss():
         assert known[str(i)] == str(i).encode() and known[str(i // 2)] == str(i // 2).encode()
 
 
+def test_encoder_looks_known_words_up_once(monkeypatch):
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encode = packing.Encoder(f.read())
+    first = encode("the cat, the dog")
+    asked, missing = [], encode.words.missing
+    monkeypatch.setattr(encode.words, "missing", lambda keys: asked.append(sorted(keys)) or missing(keys))
+    assert encode("the cat, the dog") == first and asked == []
+    assert encode("the cat, the cow cow") == encode._whole("the cat, the cow cow") and asked == [["cow"]]
+
+
+def test_encoder_that_forgets_within_a_text_equals_the_library(monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 3000)
+    monkeypatch.setattr(packing, "KNOWN_PARTS", 1500)
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        encode = packing.Encoder(f.read())
+    for text in [t or "" for _, t in DOCS] * 2:
+        ids = encode(text)
+        assert ids == encode._whole(text)
+    words = [f"w{i % 37}x" for i in range(500)]
+    for at in range(0, 500, 7):
+        text = " ".join(words[at:at + 20])
+        assert encode(text) == encode._whole(text)
+
+
 def test_packing(spark):
     import zlib
 
