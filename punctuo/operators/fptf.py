@@ -155,9 +155,14 @@ def _source_array() -> Column:
 
 
 def _sources(x: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per sample source: ``keep``, ``_st`` (realtime stamp) and ``_o``."""
+    """One row per sample source: ``keep``, ``_st`` (realtime stamp) and ``_o``.
+
+    The stamp is exploded along with its source. As a column beside them, Spark would move a filter on it below the parsing
+    and copy the parsing, and with it the making of the documents, into the filter for every field of a stamp that it reads.
+    """
     st = F.coalesce(*[data_time(F.col(n)) for n in ("_dep", "_arr", "_trip", "_jr", "_rj", "_rd")])
-    return x.select(*keep, st.alias("_st"), F.explode(_source_array()).alias("_o"))
+    stamped = F.transform(_source_array(), lambda o: F.struct(st.alias("st"), o.alias("o")))
+    return x.select(*keep, F.explode(stamped).alias("_s")).select(*keep, F.col("_s.st").alias("_st"), F.col("_s.o").alias("_o"))
 
 
 # --- items: own events and stopovers in one shape --------------------------------------

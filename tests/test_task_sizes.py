@@ -116,6 +116,18 @@ def test_stations_of_a_response_come_once(spark):
     assert got == [("l", "1"), ("l", "9"), ("q", "1"), ("q", "9"), ("r", "1"), ("r", "9")]
 
 
+def test_a_filter_on_samples_copies_no_parsing(spark):
+    entry_ = '{"tripId":"t","stop":{"type":"stop","id":"1"},"plannedWhen":"2024-01-01T00:00:00Z"}'
+    obj = lambda at: f'{{"departures":[{entry_}],"realtimeDataUpdatedAt":{at}}}'
+    docs = spark.createDataFrame([("r", "departures", obj(1704067200 - 3600)), ("old", "departures", obj(1)), ("q", "departures", f"[{entry_}]")],
+                                 "response_key string, type string, doc string")
+    s = P.fptf_samples(docs.withColumn("doc", F.trim("doc"))).drop("stations")
+    rel = N.relevant(N.normalise(s.withColumn("response_ts", F.col("sample_time"))))
+    assert [(r.response_key, r.ttl_minutes) for r in rel.collect()] == [("r", 60)]
+    optimized = [df._jdf.queryExecution().optimizedPlan().toString() for df in (s, rel)]
+    assert optimized[1].count("from_json(") == optimized[0].count("from_json(") and optimized[1].count("trim(") == optimized[0].count("trim(")
+
+
 def test_dictionaries_neither_sort_nor_deal_out_the_values(spark):
     stored = spark.createDataFrame([("operator", 3, "O1", "old")], "dim string, id int, key string, name string")
     values = spark.createDataFrame([(1, "O1", "x"), (2, "O2", "b"), (3, "O2", "a"), (4, None, None)], "n int, operator string, operator_name string")
